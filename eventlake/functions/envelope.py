@@ -45,13 +45,22 @@ def _flat(decoded: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def _once(parsed: Column) -> Column:
+    """A parsed message that is parsed once.
+
+    As a plain column its text would be parsed again in every filter that the
+    optimizer moves below the projection; filters stay above a generator.
+    """
+    return F.explode(F.array(parsed))
+
+
 def _broker_columns(rows: DataFrame, env: Column, *extra: Column) -> DataFrame:
     return rows.select(
         F.col("topic").alias("raw_topic"),
         F.col("partition").alias("raw_partition"),
         F.col("offset").alias("raw_offset"),
         F.col("timestamp").alias("kafka_ts"),
-        env.alias("env"),
+        _once(env).alias("env"),
         *extra,
     )
 
@@ -81,8 +90,9 @@ def decode_or_reject(rows: DataFrame, row_schema: T.StructType) -> DataFrame:
     text = F.col("value").cast("string")
     env = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
     decoded = _broker_columns(rows, env, text.alias("raw_value"))
+    # Only a missing value gives a null struct; any text gives a struct.
     reason = (
-        F.when(F.col("raw_value").isNull(), "tombstone")
+        F.when(F.col("env").isNull(), "tombstone")
         .when(F.col(f"env.{_CORRUPT}").isNotNull(), "malformed")
         .when(~F.coalesce(F.col("env.op").isin(*ALL_OPS), F.lit(False)), "unknown_op")
     )
@@ -123,7 +133,7 @@ def decode_json(
 ) -> DataFrame:
     """Payload columns of plain JSON messages; rows without an event time are dropped."""
     return (
-        rows.select(decoder(F.col("value"), schema).alias("m"))
+        rows.select(_once(decoder(F.col("value"), schema)).alias("m"))
         .select("m.*")
         .where(F.col(time_col).isNotNull())
     )

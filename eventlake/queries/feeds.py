@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.session import prepare
+from eventlake.sources.broker import file_stream
 from eventlake.sources.envelopes import broker_rows, envelope
 
 MICRO_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -20,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+FILES_PER_TRIGGER = 64
+
+
+def topic_table(
+    spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool = False
+) -> DataFrame:
+    """A table dealt out by message key, as a topic deals its messages to partitions.
+
+    Only a table with fewer splits than the cluster has slots is dealt out; a
+    large one already has a split for every task. As a stream, a bounded number
+    of its files makes up a micro-batch.
+    """
+    df = table(spark, sf_dir, name)
+    if stream:
+        # A file source takes a folder or a pattern; a table may be either file or folder.
+        path = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
+        return file_stream(spark, path, FILES_PER_TRIGGER, df.schema)
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+
+
 def utc(name: str) -> Column:
     """Zone-free table times as instants; watermarks accept only those."""
     return F.col(name).cast("timestamp")
@@ -43,9 +65,9 @@ _CURRENCY_SQL = "CASE {0} % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'G
     "WHEN 3 THEN 'JPY' ELSE 'XXX' END"
 
 
-def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_changes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One change per line item. Some messages are empty, broken, or carry an unknown op."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = topic_table(spark, sf_dir, "lineitem", "l_orderkey", stream)
     key, number = F.col("l_orderkey"), F.col("l_linenumber")
     pos = key * 8 + number
     turn = (key + number) % 10
@@ -141,7 +163,7 @@ VERSIONS = """versions AS (
 
 def order_changes(spark: SparkSession, sf_dir: str, table_col: Column | None = None) -> DataFrame:
     """Change histories of orders: created or snapshot, updated, deleted, created again."""
-    orders = table(spark, sf_dir, "orders")
+    orders = topic_table(spark, sf_dir, "orders", "o_orderkey")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     gone = (F.col("o_orderpriority") == "5-LOW") & (status == "F")
     back = gone & (F.col("o_custkey") % 2 == 0)
@@ -200,9 +222,9 @@ def _user() -> Column:
     return F.concat(F.lit("u"), F.col("user_id"))
 
 
-def click_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Clicks as JSON; errors have no page, and some messages no time."""
-    events = table(spark, sf_dir, "events")
+    events = topic_table(spark, sf_dir, "events", "event_id", stream)
     countries = F.array(*[F.lit(c) for c in ("DE", "FR", "JP", "US")])
     click = F.struct(
         _user().alias("user_id"), F.concat(F.lit("s"), F.col("user_id")).alias("session_id"),
@@ -228,8 +250,8 @@ CLICKS = """clicks AS (
   FROM events WHERE event_id % 97 <> 0)"""
 
 
-def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+def txn_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    events = topic_table(spark, sf_dir, "events", "event_id", stream)
     txn = F.struct(
         F.col("event_id").cast("string").alias("txn_id"), _user().alias("user_id"),
         F.col("value").alias("amount"), F.col("event_type").alias("merchant"),

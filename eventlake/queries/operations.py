@@ -1,2 +1,294 @@
-QUERIES = {}
-SQL = {}
+"""Latency, throughput, cost, lag, alarms and retention over events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventlake.operators import metrics
+from eventlake.plans import operations as plans
+from eventlake.queries import feeds
+from eventlake.queries.feeds import POINTS, RUNS, plain_times
+
+END = "2024-01-31 00:00:00"
+
+
+def _runs(spark, sf_dir):
+    return plans.all_runs(feeds.tracks(spark, sf_dir))
+
+
+def _time(text: str):
+    return F.lit(text).cast("timestamp")
+
+
+def latency_percentiles(spark, sf_dir):
+    """P50, P95, P99 and maximum per track, from bounded sketches."""
+    return metrics.latency_percentiles(
+        _runs(spark, sf_dir), "runtime", "end_to_end_latency_ms", accuracy=1_000_000
+    )
+
+
+def latency_percentiles_exact(spark, sf_dir):
+    return metrics.exact_percentiles(
+        _runs(spark, sf_dir), "runtime", "end_to_end_latency_ms", width=100
+    )
+
+
+def throughput_minute(spark, sf_dir):
+    return plain_times(
+        metrics.throughput_per_minute(_runs(spark, sf_dir), "runtime", "event_time")
+    )
+
+
+def union_tracks(spark, sf_dir):
+    """All tracks by name; the column one track lacks is null there."""
+    return plain_times(_runs(spark, sf_dir).select(
+        "event_id", "event_time", "runtime", "event_type", "end_to_end_latency_ms"
+    ))
+
+
+def recent_tracks(spark, sf_dir):
+    """The last 24 hours before a fixed time, latency from whole seconds."""
+    rows = plans.all_runs(feeds.tracks(spark, sf_dir), _time("2024-01-20 00:00:00"), whole_seconds=True)
+    return rows.groupBy("runtime").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("end_to_end_latency_ms").alias("latency_sum")
+    )
+
+
+def runtime_comparison(spark, sf_dir):
+    return plans.runtime_comparison(_runs(spark, sf_dir))
+
+
+def cost_per_million(spark, sf_dir):
+    """Cost per million events from the measured rate of each track."""
+    runs = _runs(spark, sf_dir)
+    seconds = F.max(F.unix_seconds("event_time")) - F.min(F.unix_seconds("event_time"))
+    rate = runs.groupBy("runtime").agg((F.count(F.lit(1)) / seconds).alias("events_per_second"))
+    costs = spark.createDataFrame(
+        [(n, c) for n, c, _ in plans.TRACK_COSTS], "runtime string, cost_per_hour double"
+    )
+    rows = plans.cost_report(rate, costs)
+    return rows.select("runtime", "cost_per_hour", F.round("cost_per_million", 6).alias("cost_per_million"))
+
+
+def _batches(spark, sf_dir):
+    """Hourly micro-batches of one job per event type."""
+    hour = F.floor(F.unix_seconds("ts") / 3600)
+    return feeds.events(spark, sf_dir).groupBy(
+        F.col("event_type").alias("job"), hour.alias("batch_id")
+    ).agg(
+        F.count(F.lit(1)).alias("records_in"), F.count_if(F.col("value") > 10).alias("records_out"),
+        F.floor(F.max("value") * 100).alias("duration_ms"),
+        F.floor(F.min("value") * 100).alias("lag_ms"),
+    )
+
+
+def batch_metrics(spark, sf_dir):
+    return metrics.as_metrics(_batches(spark, sf_dir), metrics.BATCH_METRICS, "JobName", "job")
+
+
+def falling_behind(spark, sf_dir):
+    """Ends of three consecutive batches in which fewer rows left than came in."""
+    rates = _batches(spark, sf_dir).select(
+        "job", "batch_id", (F.col("records_in") / 3600).alias("input_per_second"),
+        (F.col("records_out") / 3600).alias("processed_per_second"),
+    )
+    return metrics.falling_behind(rates, chunk=50).select("job", "batch_id")
+
+
+def _lags(spark, sf_dir):
+    """Consumer of the click topic that stopped on the 20th; partition 5 never committed."""
+    events = feeds.events(spark, sf_dir).select(
+        F.lit("app.clickstream").alias("topic"), (F.col("user_id") % 6).alias("partition"),
+        F.col("event_id").alias("offset"), "ts",
+    )
+    ends = events.groupBy("topic", "partition").agg(
+        F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("end_offset")
+    )
+    done = events.where((F.col("ts") < _time("2024-01-20 00:00:00")) & (F.col("partition") < 5))
+    committed = done.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("committed_offset")
+    )
+    return metrics.consumer_lag(ends, committed)
+
+
+def consumer_lag(spark, sf_dir):
+    return _lags(spark, sf_dir).select("topic", "partition", "end_offset", "committed_offset", "lag")
+
+
+def consumer_lag_total(spark, sf_dir):
+    return metrics.lag_summary(_lags(spark, sf_dir))
+
+
+def alarm_eval(spark, sf_dir):
+    """The platform's alarms with hourly periods, per dimension."""
+    from dataclasses import replace
+
+    alarms = [replace(a, period="1 hour") for a in metrics.PLATFORM_ALARMS]
+    return plain_times(metrics.evaluate_alarms(feeds.metric_points(spark, sf_dir), alarms))
+
+
+def rate_alerts(spark, sf_dir):
+    """Lag that is over a limit and still growing, hour by hour."""
+    return plain_times(metrics.growing_lag(
+        feeds.metric_points(spark, sf_dir), limit=60.0, period="1 hour"
+    ))
+
+
+def slow_batches(spark, sf_dir):
+    """Batch duration above twice the trigger for consecutive periods."""
+    from dataclasses import replace
+
+    alarm = replace(metrics.slow_batch_alarm(20), metric="Errors", period="6 hours", periods=3)
+    return plain_times(metrics.alarm_runs(feeds.metric_points(spark, sf_dir), alarm))
+
+
+def dashboard_series(spark, sf_dir):
+    rows = metrics.metric_series(feeds.metric_points(spark, sf_dir), "1 hour")
+    return plain_times(rows.select(
+        "period_start", "metric", F.round("avg_value", 6).alias("avg_value"), "max_value",
+        F.round("sum_value", 6).alias("sum_value"), "p99_value", "points",
+    ))
+
+
+def retention_tiers(spark, sf_dir):
+    """Keep, move or expire by tier; one kind of event has no policy."""
+    tiers = {"click": "hot", "view": "search", "purchase": "olap", "signup": "lake"}
+    tier = F.lit("unmanaged")
+    for kind, name in tiers.items():
+        tier = F.when(F.col("event_type") == kind, name).otherwise(tier)
+    policy = spark.createDataFrame(
+        list(metrics.TIER_POLICY), "tier string, keep_days double, move_days double"
+    )
+    rows = feeds.events(spark, sf_dir).withColumn("tier", tier)
+    acted = metrics.retention_actions(rows, policy, _time("2024-04-10 00:00:00"), "ts")
+    return acted.groupBy("tier", "action").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def topic_retention(spark, sf_dir):
+    """Stored messages of three topics against the hours their topic keeps."""
+    names = F.array(*[F.lit(t) for t in ("app.clickstream", "cdc.public.orders", "ws-broadcast")])
+    rows = feeds.events(spark, sf_dir).withColumn(
+        "topic", F.get(names, (F.col("user_id") % 3).cast("int"))
+    )
+    policy = spark.createDataFrame(
+        [(t, h / 24, None) for t, h in metrics.TOPIC_HOURS.items()],
+        "topic string, keep_days double, move_days double",
+    )
+    acted = metrics.retention_actions(rows, policy, _time(END), "ts", "topic")
+    return acted.groupBy("topic", "action").agg(F.count(F.lit(1)).alias("rows"))
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        latency_percentiles, latency_percentiles_exact, throughput_minute, union_tracks,
+        recent_tracks, runtime_comparison, cost_per_million, batch_metrics, falling_behind,
+        consumer_lag, consumer_lag_total, alarm_eval, rate_alerts, slow_batches,
+        dashboard_series, retention_tiers, topic_retention,
+    )
+}
+
+_QUANTILES = """quantile_disc(latency, 0.5) AS p50_ms, quantile_disc(latency, 0.95) AS p95_ms,
+  quantile_disc(latency, 0.99) AS p99_ms"""
+_BATCHES = """batches AS (
+  SELECT event_type AS job, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS batch_id,
+    count(*) AS records_in, count(*) FILTER (value > 10) AS records_out,
+    CAST(floor(max(value) * 100) AS BIGINT) AS duration_ms,
+    CAST(floor(min(value) * 100) AS BIGINT) AS lag_ms FROM events GROUP BY ALL)"""
+_LAGS = """t AS (SELECT 'app.clickstream' AS topic, user_id % 6 AS partition, event_id AS o, ts FROM events),
+lags AS (SELECT topic, partition, max(o) + 1 AS end_offset,
+    CASE WHEN partition < 5 THEN max(o) FILTER (ts < TIMESTAMP '2024-01-20') + 1 END AS committed_offset,
+    min(o) AS first_offset FROM t GROUP BY topic, partition),
+lag AS (SELECT *, greatest(end_offset - coalesce(committed_offset, first_offset), 0) AS lag FROM lags)"""
+
+
+def _runs_sql(name: str, metric: str, statistic: str, hours: int, limit: float, periods: int) -> str:
+    # Gaps and islands: a breaching period starts a run when the one before did not breach.
+    return f"""SELECT '{name}' AS alarm, dimension, min(p) AS breach_start,
+  max(p) + INTERVAL {hours} HOUR AS breach_end, count(*) AS periods, max(v) AS worst_value
+FROM (SELECT *, sum(opens) OVER (PARTITION BY dimension ORDER BY p) AS run FROM (
+  SELECT *, CASE WHEN lag(p) OVER (PARTITION BY dimension ORDER BY p) = p - INTERVAL {hours} HOUR
+    THEN 0 ELSE 1 END AS opens FROM (
+    SELECT dimension, time_bucket(INTERVAL {hours} HOUR, ts) AS p, {statistic}(value) AS v
+    FROM points WHERE metric = '{metric}' GROUP BY ALL HAVING {statistic}(value) > {limit})))
+GROUP BY dimension, run HAVING count(*) >= {periods}"""
+
+
+SQL = {
+    "latency_percentiles": f"""WITH {RUNS}
+SELECT runtime, count(*) AS events, {_QUANTILES}, max(latency) AS max_ms FROM runs GROUP BY runtime""",
+    "latency_percentiles_exact": f"""WITH {RUNS}
+SELECT runtime, CAST(p AS DOUBLE) AS percentile, value FROM (
+  SELECT runtime, 0.5 AS p, quantile_disc(latency, 0.5) AS value FROM runs GROUP BY runtime
+  UNION ALL SELECT runtime, 0.9, quantile_disc(latency, 0.9) FROM runs GROUP BY runtime
+  UNION ALL SELECT runtime, 0.95, quantile_disc(latency, 0.95) FROM runs GROUP BY runtime
+  UNION ALL SELECT runtime, 0.99, quantile_disc(latency, 0.99) FROM runs GROUP BY runtime)""",
+    "throughput_minute": f"""WITH {RUNS}
+SELECT runtime, date_trunc('minute', event_time) AS minute, count(*) AS events_per_minute
+FROM runs GROUP BY ALL""",
+    "union_tracks": f"""WITH {RUNS}
+SELECT event_id, event_time, runtime, event_type, latency AS end_to_end_latency_ms FROM runs""",
+    "recent_tracks": f"""WITH {RUNS}
+SELECT runtime, count(*) AS events, CAST(sum(
+    CAST(floor((epoch_us(event_time) + latency * 1000) / 1000000) - floor(epoch_us(event_time) / 1000000)
+    AS BIGINT) * 1000) AS BIGINT) AS latency_sum
+FROM runs WHERE event_time > TIMESTAMP '2024-01-19' GROUP BY runtime""",
+    "runtime_comparison": f"""WITH {RUNS}, m AS (
+  SELECT runtime, date_trunc('minute', event_time) AS minute, count(*) AS n FROM runs GROUP BY ALL),
+per AS (SELECT runtime, count(*) AS active_minutes, max(n) AS peak_per_minute FROM m GROUP BY runtime),
+lat AS (SELECT runtime, count(*) AS events, {_QUANTILES}, max(latency) AS max_ms FROM runs GROUP BY runtime)
+SELECT * FROM lat JOIN per USING (runtime)""",
+    "cost_per_million": f"""WITH {RUNS}, rate AS (
+  SELECT runtime, count(*) / (CAST(floor(epoch(max(event_time))) AS BIGINT)
+    - CAST(floor(epoch(min(event_time))) AS BIGINT)) AS eps FROM runs GROUP BY runtime),
+costs(runtime, cost_per_hour) AS (VALUES ('emr_on_eks', CAST(0.44 AS DOUBLE)), ('databricks', 0.71),
+  ('flink', 0.44))
+SELECT runtime, cost_per_hour, round(cost_per_hour / (eps * 3600) * 1000000, 6) AS cost_per_million
+FROM rate JOIN costs USING (runtime)""",
+    "batch_metrics": f"""WITH {_BATCHES}
+SELECT 'RecordsIn' AS metric, CAST(records_in AS DOUBLE) AS value, 'Count' AS unit,
+  'JobName=' || job AS dimension FROM batches
+UNION ALL SELECT 'RecordsOut', records_out, 'Count', 'JobName=' || job FROM batches
+UNION ALL SELECT 'BatchDurationMs', duration_ms, 'Milliseconds', 'JobName=' || job FROM batches
+UNION ALL SELECT 'LagMs', lag_ms, 'Milliseconds', 'JobName=' || job FROM batches
+UNION ALL SELECT 'BatchId', batch_id, 'None', 'JobName=' || job FROM batches""",
+    "falling_behind": f"""WITH {_BATCHES}
+SELECT a.job, a.batch_id FROM batches a
+JOIN batches b ON a.job = b.job AND b.batch_id = a.batch_id - 1 AND b.records_out < b.records_in
+JOIN batches c ON a.job = c.job AND c.batch_id = a.batch_id - 2 AND c.records_out < c.records_in
+WHERE a.records_out < a.records_in""",
+    "consumer_lag": f"""WITH {_LAGS}
+SELECT topic, partition, end_offset, committed_offset, lag FROM lag""",
+    "consumer_lag_total": f"""WITH {_LAGS}
+SELECT topic, count(*) AS partitions, CAST(sum(lag) AS BIGINT) AS total_lag, max(lag) AS max_lag
+FROM lag GROUP BY topic""",
+    "alarm_eval": f"WITH {POINTS}\n" + "\nUNION ALL\n".join((
+        _runs_sql("under-replicated", "UnderReplicatedPartitions", "max", 1, 0.0, 2),
+        _runs_sql("disk-usage", "KafkaDataLogsDiskUsed", "max", 1, 75.0, 2),
+        _runs_sql("handler-errors", "Errors", "sum", 1, 5.0, 2),
+        _runs_sql("downtime", "downtime", "max", 1, 0.0, 2),
+    )),
+    "rate_alerts": f"""WITH {POINTS}, s AS (
+  SELECT dimension, time_bucket(INTERVAL 1 HOUR, ts) AS period_start, max(value) AS lag_value
+  FROM points WHERE metric = 'LagMs' GROUP BY ALL),
+b AS (SELECT *, lag(lag_value) OVER (PARTITION BY dimension ORDER BY period_start) AS previous_value FROM s)
+SELECT * FROM b WHERE lag_value > 60 AND lag_value > previous_value""",
+    "slow_batches": f"WITH {POINTS}\n" + _runs_sql("slow-batches", "Errors", "max", 6, 40.0, 3),
+    "dashboard_series": f"""WITH {POINTS}
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS period_start, metric, round(avg(value), 6) AS avg_value,
+  max(value) AS max_value, round(sum(value), 6) AS sum_value,
+  quantile_disc(value, 0.99) AS p99_value, count(*) AS points FROM points GROUP BY ALL""",
+    "retention_tiers": """WITH t AS (
+  SELECT CASE event_type WHEN 'click' THEN 'hot' WHEN 'view' THEN 'search' WHEN 'purchase' THEN 'olap'
+    WHEN 'signup' THEN 'lake' ELSE 'unmanaged' END AS tier, TIMESTAMP '2024-04-10' - ts AS age FROM events)
+SELECT tier, CASE WHEN tier = 'hot' AND age > INTERVAL 1 HOUR THEN 'expire'
+  WHEN tier = 'search' AND age > INTERVAL 30 DAY THEN 'expire'
+  WHEN tier = 'olap' AND age > INTERVAL 90 DAY THEN 'expire'
+  WHEN tier = 'lake' AND age > INTERVAL 90 DAY THEN 'move' ELSE 'keep' END AS action,
+  count(*) AS rows FROM t GROUP BY ALL""",
+    "topic_retention": f"""WITH t AS (
+  SELECT CASE user_id % 3 WHEN 0 THEN 'app.clickstream' WHEN 1 THEN 'cdc.public.orders'
+    ELSE 'ws-broadcast' END AS topic, TIMESTAMP '{END}' - ts AS age FROM events)
+SELECT topic, CASE WHEN age > CASE topic WHEN 'app.clickstream' THEN INTERVAL 72 HOUR
+  WHEN 'cdc.public.orders' THEN INTERVAL 168 HOUR ELSE INTERVAL 1 HOUR END
+  THEN 'expire' ELSE 'keep' END AS action, count(*) AS rows FROM t GROUP BY ALL""",
+}

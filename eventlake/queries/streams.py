@@ -1,2 +1,156 @@
-QUERIES = {}
-SQL = {}
+"""The operators as streaming queries over the same tables, drained and read back.
+
+Each run writes to a fresh folder below ``spark.checkpoint.dir``. Windows and
+sessions that the watermark has not closed yet are not part of append output.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventlake.operators import joins, windows
+from eventlake.operators.anomaly import windowed_alerts
+from eventlake.plans import activity, orders
+from eventlake.queries import feeds
+from eventlake.queries.activity import _SCORED, _alert_columns, _dedup_sql, _pairs_sql, _sessions_sql
+from eventlake.queries.activity import SQL as BATCH_SQL
+from eventlake.queries.feeds import CLICKS, TXNS, plain_times
+from eventlake.queries.orders import SQL as ORDER_SQL
+from eventlake.session import prepare, shared_dir
+from eventlake.sinks.columnar import ColumnarSink, newest_version
+from eventlake.sinks.lake import LakeSink
+from eventlake.streaming.dedup import first_per_window_stream
+from eventlake.streaming.runs import batch_table, drain, start_query
+
+
+def _drain(df, name, output_mode="append"):
+    base = shared_dir(df.sparkSession, name)
+    return drain(df, f"{base}/out", f"{base}/checkpoint", output_mode)
+
+
+def _clicks(spark, sf_dir):
+    return activity.clicks(feeds.click_messages(spark, sf_dir, stream=True))
+
+
+def tumbling_stream(spark, sf_dir):
+    rows = windows.tumbling_window(
+        _clicks(spark, sf_dir), "event_time", "1 hour", ["country"],
+        [("*", "count", "rows"), ("page_load_ms", "sum", "load_sum")],
+    )
+    return plain_times(_drain(rows, "tumbling").drop("batch_id"))
+
+
+def sliding_update_stream(spark, sf_dir):
+    """Update mode into an append-only store; readers take the newest version per key."""
+    rows = _drain(activity.page_views(_clicks(spark, sf_dir)), "sliding", "update")
+    newest = newest_version(rows, ["window_start", "country", "device_type"])
+    return plain_times(
+        newest.drop("batch_id").withColumn("avg_page_load_ms", F.round("avg_page_load_ms", 6))
+    )
+
+
+def session_stream(spark, sf_dir):
+    rows = activity.user_sessions(_clicks(spark, sf_dir))
+    return plain_times(_drain(rows, "sessions").drop("batch_id"))
+
+
+def interval_join_stream(spark, sf_dir):
+    base = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    base = base.withColumn("ts", feeds.utc("ts")).select("event_id", "user_id", "event_type", "ts")
+    left = base.where("event_type = 'purchase'").drop("event_type")
+    right = base.where("event_type = 'click'").drop("event_type")
+    pairs = joins.interval_join(left, right, "user_id", "ts", "ts", "12 hours")
+    rows = _drain(pairs.select("event_id", "user_id", "ts", "r_event_id", "r_ts"), "pairs")
+    return plain_times(rows.drop("batch_id"))
+
+
+def zscore_alerts_stream(spark, sf_dir):
+    """Alerts against the last window the watermark has closed."""
+    txns = activity.transactions(feeds.txn_messages(spark, sf_dir, stream=True))
+    rows = windowed_alerts(txns, size="24 hours", slide="1 hour")
+    return _alert_columns(_drain(rows, "alerts"))
+
+
+def dedup_stream(spark, sf_dir):
+    """Exact first row per key and window from the stateful processor."""
+    base = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    rows = base.select("event_id", feeds.utc("ts").alias("ts"), "user_id", "event_type", "value")
+    kept = first_per_window_stream(
+        rows, "user_id", "ts", "12 hours", "24 hours", "48 hours", ["event_id"]
+    )
+    out = _drain(kept, "dedup")
+    return plain_times(out.where(~F.col("is_late")).drop("batch_id", "is_late"))
+
+
+def orders_fanout_stream(spark, sf_dir):
+    """Enriched orders to a lake and an OLAP table from one shared plan; margins from the lake."""
+    base = shared_dir(prepare(spark), "orders")
+    sinks = [LakeSink("cold", path=f"{base}/lake"), ColumnarSink("olap", path=f"{base}/olap")]
+    raw = feeds.line_changes(spark, sf_dir, stream=True)
+    for query in orders.run_enrichment(
+        raw, feeds.products(spark, sf_dir), sinks, f"{base}/checkpoint", None, shared=True
+    ):
+        query.awaitTermination()
+    cold = spark.read.parquet(f"{base}/lake")
+    return orders.margin_by_brand(cold.where(F.col("event_time").isNotNull()))
+
+
+def medallion_stream(spark, sf_dir):
+    """Bronze, silver and gold as chained streaming tables."""
+    base = shared_dir(prepare(spark), "stages")
+    raw = feeds.line_changes(spark, sf_dir, stream=True)
+    orders.run_stages(spark, raw, feeds.products(spark, sf_dir), base)
+    last = spark.read.parquet(f"{base}/gold")
+    return last.where(F.col("event_time").isNotNull()).groupBy("event_date", "category").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("qty").alias("qty"),
+        F.sum(F.round("margin_amount", 2).cast("decimal(18,2)")).cast("double").alias("margin"),
+    )
+
+
+def exactly_once_replay(spark, sf_dir):
+    """The same input written again after its checkpoint is lost: nothing doubles."""
+    base = shared_dir(prepare(spark), "replay")
+    txns = activity.transactions(feeds.txn_messages(spark, sf_dir, stream=True))
+    for attempt in ("first", "second"):
+        start_query(txns, batch_table(f"{base}/out"), f"{base}/{attempt}").awaitTermination()
+    rows = spark.read.parquet(f"{base}/out")
+    return rows.groupBy("merchant").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("txn_id").alias("txns")
+    )
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
+        zscore_alerts_stream, dedup_stream, orders_fanout_stream, medallion_stream,
+        exactly_once_replay,
+    )
+}
+
+SQL = {
+    "tumbling_stream": f"""WITH {CLICKS}, w AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS window_start,
+    time_bucket(INTERVAL 1 HOUR, event_time) + INTERVAL 1 HOUR AS window_end, country,
+    count(*) AS rows, CAST(sum(page_load_ms) AS BIGINT) AS load_sum FROM clicks GROUP BY ALL)
+SELECT * FROM w WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM clicks)""",
+    "sliding_update_stream": BATCH_SQL["sliding_counts"],
+    "session_stream": f"""SELECT * FROM (
+{_sessions_sql("user_id", "count(page_url) AS page_view_count")}
+) WHERE session_end <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events WHERE event_id % 97 <> 0)""",
+    "interval_join_stream": _pairs_sql("INNER"),
+    "zscore_alerts_stream": f"""WITH {TXNS}, spread AS (
+  SELECT user_id, amount, time_bucket(INTERVAL 1 HOUR, event_time) + to_hours(k + 1) AS window_end
+  FROM txns, range(24) AS r(k)),
+stats AS (SELECT user_id, window_end, avg(amount) AS avg_amount, stddev_samp(amount) AS std_amount,
+  count(*) AS txn_count FROM spread GROUP BY ALL
+  HAVING window_end <= (SELECT max(event_time) - INTERVAL 5 MINUTE FROM txns)),
+scored AS (SELECT t.*, avg_amount, std_amount, txn_count FROM txns t JOIN stats s
+  ON t.user_id = s.user_id AND t.event_time > s.window_end
+  AND t.event_time <= s.window_end + INTERVAL 1 HOUR)
+{_SCORED}""",
+    "dedup_stream": _dedup_sql("e.event_id, e.ts, e.user_id, e.event_type, e.value", "user_id", 12),
+    "orders_fanout_stream": ORDER_SQL["broadcast_enrich_margin"],
+    "medallion_stream": ORDER_SQL["medallion_gold"],
+    "exactly_once_replay": """SELECT event_type AS merchant, count(*) AS rows,
+  count(DISTINCT event_id) AS txns FROM events GROUP BY event_type""",
+}

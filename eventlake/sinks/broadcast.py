@@ -45,7 +45,8 @@ class BroadcastSink(Sink):
 def subscribed_topics(topics: Column) -> Column:
     """``a, b,`` as [a, b]; nothing left means everything."""
     parts = F.filter(
-        F.transform(F.split(F.coalesce(topics, F.lit("")), ","), F.trim), lambda t: t != ""
+        F.transform(F.split(F.coalesce(topics, F.lit("")), ","), lambda t: F.trim(t)),
+        lambda t: t != "",
     )
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("*")))
 
