@@ -17,11 +17,9 @@ never the chunk. The chains of a chunk merge quickly, so step 2 sees few rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,59 +29,102 @@ from eventlake.functions.durations import micros
 _NEVER = -(2 ** 62)
 
 
-def _runs(ids: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Bounds of the runs of equal neighbours."""
-    edges = np.flatnonzero(ids[1:] != ids[:-1]) + 1
-    yield from zip([0, *edges.tolist()], [*edges.tolist(), len(ids)])
+class _SortedGroups:
+    """Times of many groups in one sorted line, so one search serves all groups.
 
+    ``group`` numbers the groups of a batch from zero. Each group owns a stretch
+    of the line as long as the batch's time span; a time beyond the group's rows
+    lands at the end of its stretch.
+    """
 
-def _chunk_summaries(window: int, chunk: int):
+    def __init__(self, group: np.ndarray, times: np.ndarray):
+        self.group, self.times = group, times
+        self.base = int(times.min()) if len(times) else 0
+        self.span = int(times.max()) - self.base + 2 if len(times) else 2
+        self.line = group * self.span + (times - self.base)
+
+    def first_at_or_after(self, group: np.ndarray, at: np.ndarray):
+        """(row, found): first row of each given group whose time is not before ``at``."""
+        offset = np.clip(at - self.base, 0, self.span - 1)
+        row = np.searchsorted(self.line, group * self.span + offset)
+        found = row < len(self.line)
+        found[found] = self.group[row[found]] == group[found]
+        return row, found
+
+
+def _short(batches):
+    """Batches cut so that groups times time span fits the sorted line's integers."""
+    for batch in batches:
+        waiting = [batch] if batch.num_rows else []
+        while waiting:
+            part = waiting.pop()
+            times = part.column("us").to_numpy()
+            times = times[times != _NEVER]
+            span = int(times.max()) - int(times.min()) + 2 if len(times) else 0
+            if part.num_rows > 1 and part.num_rows * span >= 2 ** 62:
+                half = part.num_rows // 2
+                waiting += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
+def _numbered(column) -> tuple[np.ndarray, list]:
+    """Running group number of each row, and the group ids, of a sorted column."""
+    runs = pc.run_end_encode(column)
+    ends = runs.run_ends.to_numpy()
+    number = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    return number, runs.values.to_pylist()
+
+
+def _chunk_summaries(window: int):
     """(group, entry, last): entering at or before ``entry`` keeps ``last`` as last row."""
+    empty = np.empty(0, np.int64)
 
-    def advance(last, entry, times):
-        while True:
-            at = np.searchsorted(times, last + window)
-            moving = at < len(times)
-            if not moving.any():
-                return last, entry
-            last = np.where(moving, times[np.minimum(at, len(times) - 1)], last)
-            # Chains that met are one from here on; the latest entry speaks for it.
-            keep = np.append(last[1:] != last[:-1], True)
-            last, entry = last[keep], entry[keep]
+    def table(ids, group, entry, last):
+        return pa.RecordBatch.from_pydict({
+            "group_id": pa.array([ids[g] for g in group.tolist()], pa.string()),
+            "entry_us": pa.array(entry, pa.int64()), "last_us": pa.array(last, pa.int64()),
+        })
 
     def run(batches):
-        group, start = None, 0
-        last = entry = np.empty(0, np.int64)
-        done = False
-
-        def flush():
-            return pd.DataFrame({"group_id": group, "entry_us": entry, "last_us": last})
-
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            ids, times = pdf["group_id"].to_numpy(), pdf["us"].to_numpy()
-            starts = pdf["start_us"].to_numpy()
-            for lo, hi in _runs(ids):
-                if ids[lo] != group:
-                    if group is not None:
-                        yield flush()
-                    group, start, done = ids[lo], starts[lo], False
-                    last = entry = np.empty(0, np.int64)
-                span = times[lo:hi]
-                # Possible first rows: those in the chunk's first window, and the
-                # first one after it.
-                first = 0 if done else int(np.searchsorted(span, start + window))
-                fresh = span[:first]
-                if not done and first < len(span):
-                    fresh, done = span[:first + 1], True
-                fresh = np.unique(fresh)
-                last, entry = np.append(last, fresh), np.append(entry, fresh)
-                if len(last):
-                    order = np.argsort(last, kind="stable")
-                    last, entry = advance(last[order], entry[order], span)
-        if group is not None:
-            yield flush()
+        # The last group of a batch may go on in the next one.
+        open_id, seen_after, last, entry = None, False, empty, empty
+        for batch in _short(batches):
+            number, ids = _numbered(batch.column("group_id"))
+            times = batch.column("us").to_numpy()
+            closes = batch.column("start_us").to_numpy() + window
+            if open_id is not None and ids[0] != open_id:
+                yield table([open_id], np.zeros(len(last), np.int64), entry, last)
+                open_id = None
+            if open_id is None:
+                seen_after, last, entry = False, empty, empty
+            rows = _SortedGroups(number, times)
+            # Possible first rows of a chunk: all in its first window, and the
+            # first one after it.
+            first = times < closes
+            groups = np.arange(len(ids))
+            heads = np.searchsorted(number, groups)
+            after, found = rows.first_at_or_after(groups, closes[heads])
+            found[0] &= not seen_after
+            first[after[found]] = True
+            chain = np.append(np.zeros(len(last), np.int64), number[first])
+            last, entry = np.append(last, times[first]), np.append(entry, times[first])
+            while len(chain):
+                row, moving = rows.first_at_or_after(chain, last + window)
+                if not moving.any():
+                    break
+                last = last.copy()
+                last[moving] = times[row[moving]]
+                # Chains that met are one from here on; the latest entry speaks for it.
+                keep = np.append((last[1:] != last[:-1]) | (chain[1:] != chain[:-1]), True)
+                chain, last, entry = chain[keep], last[keep], entry[keep]
+            final = len(ids) - 1
+            seen_after = bool(found[final]) or (seen_after and final == 0)
+            ended = chain < final
+            yield table(ids, chain[ended], entry[ended], last[ended])
+            open_id, last, entry = ids[final], last[~ended], entry[~ended]
+        if open_id is not None:
+            yield table([open_id], np.zeros(len(last), np.int64), entry, last)
 
     return run
 
@@ -93,9 +134,11 @@ def _chunk_entries(window: int):
 
     def run(batches):
         key, group, last, found = None, None, _NEVER, False
-        for pdf in batches:
+        for batch in batches:
             out_group, out_last = [], []
-            rows = zip(pdf["key_id"], pdf["group_id"], pdf["entry_us"], pdf["last_us"])
+            rows = zip(*[
+                batch.column(c).to_pylist() for c in ("key_id", "group_id", "entry_us", "last_us")
+            ])
             for row_key, row_group, entry, after in rows:
                 if row_key != key:
                     key, group, last = row_key, None, _NEVER
@@ -105,8 +148,10 @@ def _chunk_entries(window: int):
                     out_last.append(last)
                 if not found and last + window <= entry:
                     last, found = after, True
-            yield pd.DataFrame({"group_id": out_group, "last_us": out_last},
-                               columns=["group_id", "last_us"]).astype({"last_us": "int64"})
+            yield pa.RecordBatch.from_pydict({
+                "group_id": pa.array(out_group, pa.string()),
+                "last_us": pa.array(out_last, pa.int64()),
+            })
 
     return run
 
@@ -115,22 +160,29 @@ def _keep_rows(window: int):
     """Kept rows of each chunk; the chunk's entry mark is its first row."""
 
     def run(batches):
-        group, last = None, _NEVER
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("group_id").to_numpy(zero_copy_only=False)
-            times = batch.column("us").to_numpy(zero_copy_only=False)
-            marks = batch.column("entry_last_us").to_numpy(zero_copy_only=False)
-            keep: list[int] = []
-            for lo, hi in _runs(ids):
-                if ids[lo] != group:
-                    group, last, lo = ids[lo], marks[lo], lo + 1
-                while lo < hi:
-                    lo += int(np.searchsorted(times[lo:hi], last + window))
-                    if lo < hi:
-                        last = times[lo]
-                        keep.append(lo)
+        open_id, last = None, _NEVER
+        for batch in _short(batches):
+            number, ids = _numbered(batch.column("group_id"))
+            times = batch.column("us").to_numpy()
+            mark = times == _NEVER
+            # Last kept time of every group so far: from its mark, or from the
+            # batch before.
+            known = np.full(len(ids), _NEVER, np.int64)
+            known[number[mark]] = batch.column("entry_last_us").to_numpy()[mark]
+            if ids[0] == open_id:
+                known[0] = last
+            where = np.flatnonzero(~mark)
+            rows = _SortedGroups(number[where], times[where])
+            groups = np.arange(len(ids))
+            row, found = rows.first_at_or_after(groups, known + window)
+            kept = []
+            while found.any():
+                row = row[found]
+                kept.append(row)
+                known[rows.group[row]] = rows.times[row]
+                row, found = rows.first_at_or_after(rows.group[row], rows.times[row] + window)
+            open_id, last = ids[-1], known[-1]
+            keep = np.sort(where[np.concatenate(kept)]) if kept else np.empty(0, np.int64)
             yield batch.drop_columns(["group_id", "us", "entry_last_us"]).take(
                 pa.array(keep, pa.int64())
             )
@@ -162,14 +214,14 @@ def first_per_window(
         rows.select("group_id", start_us.alias("start_us"), "us").distinct()
         .repartition("group_id").sortWithinPartitions("group_id", "us")
     )
-    summaries = sorted_times.mapInPandas(
-        _chunk_summaries(width, chunk), "group_id string, entry_us long, last_us long"
+    summaries = sorted_times.mapInArrow(
+        _chunk_summaries(width), "group_id string, entry_us long, last_us long"
     )
     key_of = F.expr("substring(group_id, instr(group_id, '@') + 1)")
     entries = (
         summaries.withColumn("key_id", key_of)
         .repartition("key_id").sortWithinPartitions("key_id", "entry_us")
-        .mapInPandas(_chunk_entries(width), "group_id string, last_us long")
+        .mapInArrow(_chunk_entries(width), "group_id string, last_us long")
     )
     marks = entries.select(
         "group_id", F.lit(_NEVER).alias("us"), F.col("last_us").alias("entry_last_us")

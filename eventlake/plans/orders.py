@@ -114,7 +114,7 @@ def run_versioned(
 
 
 def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
-               trigger: str | None = None) -> list:
+               trigger: str | None = None, gold_partition: tuple[str, ...] = ("event_date",)) -> list:
     """Bronze, silver and gold as three chained tables, each with its own checkpoint.
 
     Without a trigger every stage drains its input before the next one starts.
@@ -131,7 +131,7 @@ def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
     second = silver(spark.readStream.schema(first.schema).parquet(f"{base}/bronze"))
     queries.append(start(second, "silver"))
     third = gold(spark.readStream.schema(second.schema).parquet(f"{base}/silver"), products)
-    queries.append(start(third, "gold", ("event_date",)))
+    queries.append(start(third, "gold", gold_partition))
     return queries
 
 

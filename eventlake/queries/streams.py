@@ -85,7 +85,11 @@ def dedup_stream(spark, sf_dir):
 def orders_fanout_stream(spark, sf_dir):
     """Enriched orders to a lake and an OLAP table from one shared plan; margins from the lake."""
     base = shared_dir(prepare(spark), "orders")
-    sinks = [LakeSink("cold", path=f"{base}/lake"), ColumnarSink("olap", path=f"{base}/olap")]
+    # Years of orders in one go: monthly folders, not one per day.
+    sinks = [
+        LakeSink("cold", path=f"{base}/lake", unit="month"),
+        ColumnarSink("olap", path=f"{base}/olap"),
+    ]
     raw = feeds.line_changes(spark, sf_dir, stream=True)
     for query in orders.run_enrichment(
         raw, feeds.products(spark, sf_dir), sinks, f"{base}/checkpoint", None, shared=True
@@ -99,7 +103,9 @@ def medallion_stream(spark, sf_dir):
     """Bronze, silver and gold as chained streaming tables."""
     base = shared_dir(prepare(spark), "stages")
     raw = feeds.line_changes(spark, sf_dir, stream=True)
-    orders.run_stages(spark, raw, feeds.products(spark, sf_dir), base)
+    orders.run_stages(
+        spark, raw, feeds.products(spark, sf_dir), base, gold_partition=("category",)
+    )
     last = spark.read.parquet(f"{base}/gold")
     return last.where(F.col("event_time").isNotNull()).groupBy("event_date", "category").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("qty").alias("qty"),

@@ -87,7 +87,16 @@ def record_outcomes(spark: SparkSession, outcomes: list[BatchOutcome], path: str
 def overwrite_partitions(
     df: DataFrame, path: str, partitions: list[str], fmt: str = "parquet", **options
 ) -> None:
-    """Replace exactly the partitions present in ``df``."""
+    """Replace exactly the partitions present in ``df``.
+
+    Rows are gathered by partition first, so a partition gets few files instead
+    of one per task; the rebalancing hint lets adaptive execution split a
+    partition that holds much of the data.
+    """
+    # A single new partition, as a micro-batch number is, needs no gathering.
+    gather = [c for c in partitions if c not in ("batch_id", "parked_batch")]
+    if gather:
+        df = df.hint("rebalance", *gather)
     (
         df.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").options(**options)

@@ -14,11 +14,17 @@ ARCHIVE_ROWS_PER_FILE = 50_000
 HOUR_FOLDERS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
 
-def lake_rows(df: DataFrame, time_col: str = "order_ts", date_col: str = "event_date") -> DataFrame:
-    """Rows with their partition date, derived only where it is absent."""
+def lake_rows(
+    df: DataFrame, time_col: str = "order_ts", date_col: str = "event_date", unit: str = "day"
+) -> DataFrame:
+    """Rows with their partition date, derived only where it is absent.
+
+    A coarser ``unit`` (week, month) dates rows by its first day, for history
+    spread thinly over many days.
+    """
     if date_col in df.columns:
         return df
-    return df.withColumn(date_col, F.to_date(time_col))
+    return df.withColumn(date_col, F.to_date(F.date_trunc(unit, F.col(time_col))))
 
 
 class LakeSink(Sink):
@@ -26,15 +32,15 @@ class LakeSink(Sink):
 
     def __init__(
         self, name: str, path: str | None = None, table: str | None = None,
-        time_col: str = "order_ts", **kwargs,
+        time_col: str = "order_ts", unit: str = "day", **kwargs,
     ):
         super().__init__(name, **kwargs)
         if bool(path) == bool(table):
             raise ValueError("give either path or table")
-        self.path, self.table, self.time_col = path, table, time_col
+        self.path, self.table, self.time_col, self.unit = path, table, time_col, unit
 
     def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
-        rows = lake_rows(batch, self.time_col)
+        rows = lake_rows(batch, self.time_col, unit=self.unit)
         if self.table:
             return write_counted(rows, lambda df: df.writeTo(self.table).append()), 0
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))

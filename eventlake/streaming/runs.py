@@ -49,7 +49,14 @@ def start_table(
     df: DataFrame, target: str, checkpoint: str, partition_by: tuple[str, ...] = (),
     trigger: str | None = TRIGGERS["orders"], fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Streaming table writer, by path or by catalog name."""
+    """Streaming table writer, by path or by catalog name.
+
+    A partitioned table of files is written batch by batch, with the rows of a
+    micro-batch gathered by partition and the batch id as the last partition.
+    """
+    if partition_by and "/" in target:
+        callback = batch_table(target, partition_by)
+        return start_query(df, callback, checkpoint, trigger)
     writer = df.writeStream.format(fmt).outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
@@ -58,12 +65,12 @@ def start_table(
     return writer.start(target) if "/" in target else writer.toTable(target)
 
 
-def batch_table(path: str):
-    """Callback storing each micro-batch as its own partition; a replay replaces it."""
+def batch_table(path: str, partition_by: tuple[str, ...] = ()):
+    """Callback storing each micro-batch as its own partitions; a replay replaces them."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        overwrite_partitions(numbered, path, ["batch_id"])
+        overwrite_partitions(numbered, path, [*partition_by, "batch_id"])
 
     return on_batch
 
