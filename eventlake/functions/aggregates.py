@@ -31,7 +31,7 @@ class Aggregation:
         return getattr(F, self.fn)(self._input()).alias(self.alias)
 
     def partials(self) -> list[Column]:
-        name = f"__{self.alias}"
+        name = f"__part_{self.alias}"
         if self.fn == "avg":
             return [
                 F.sum(self._input().cast("double")).alias(f"{name}_sum"),
@@ -40,7 +40,7 @@ class Aggregation:
         return [getattr(F, self.fn)(self._input()).alias(name)]
 
     def merged(self) -> Column:
-        name = f"__{self.alias}"
+        name = f"__part_{self.alias}"
         if self.fn == "avg":
             total, n = F.sum(f"{name}_sum"), F.sum(f"{name}_n")
             return F.when(n > 0, total / n).alias(self.alias)

@@ -201,7 +201,10 @@ def first_per_window(
     """
     width = micros(window)
     chunk = width * windows_per_chunk
-    order = list(tie_cols or [c for c in df.columns if c not in (key, time_col)])
+    order = [
+        F.to_json(F.struct(c)) if "map<" in df.schema[c].dataType.simpleString() else F.col(c)
+        for c in tie_cols or [c for c in df.columns if c not in (key, time_col)]
+    ]
     us = F.unix_micros(time_col)
     number = F.floor(us / F.lit(chunk))
     key_id = F.col(key).cast("string")
