@@ -45,7 +45,7 @@ def _flat(decoded: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def _once(parsed: Column) -> Column:
+def parsed_once(parsed: Column) -> Column:
     """A parsed message that is parsed once.
 
     As a plain column its text would be parsed again in every filter that the
@@ -60,7 +60,7 @@ def _broker_columns(rows: DataFrame, env: Column, *extra: Column) -> DataFrame:
         F.col("partition").alias("raw_partition"),
         F.col("offset").alias("raw_offset"),
         F.col("timestamp").alias("kafka_ts"),
-        _once(env).alias("env"),
+        parsed_once(env).alias("env"),
         *extra,
     )
 
@@ -113,6 +113,43 @@ def dead_letters(decoded: DataFrame, ignore_tombstones: bool = True) -> DataFram
     )
 
 
+def changelog(
+    rows: DataFrame, row_schema: T.StructType, watermark: str = "10 seconds",
+    decoder: Decoder = json_decoder,
+) -> DataFrame:
+    """Changes as a table of rows: payload columns, ``op``, source time, event time.
+
+    The event time is the commit time at the source database and carries the
+    watermark. A delete shows the row it removed.
+    """
+    decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema)))
+    image = F.coalesce(F.col("env.after"), F.col("env.before"))
+    ms = F.col("env.source.ts_ms")
+    return (
+        decoded.where(F.col("env").isNotNull())
+        .select(
+            image.alias("image"), F.col("env.op").alias("op"), ms.alias("source_ts_ms"),
+            F.timestamp_millis(ms).alias("event_time"), "raw_topic", "raw_partition", "raw_offset",
+        )
+        .select("image.*", "op", "source_ts_ms", "event_time", "raw_topic", "raw_partition", "raw_offset")
+        .withWatermark("event_time", watermark)
+    )
+
+
+def as_stream_events(changes: DataFrame, ingestion_time: Column) -> DataFrame:
+    """Decoded changes in the canonical event shape of all sources."""
+    key = F.concat_ws(":", "raw_topic", F.col("raw_partition").cast("string"))
+    return changes.select(
+        "event_id", F.lit("cdc_debezium").alias("source_type"),
+        F.col("raw_topic").alias("source_topic"), F.col("raw_partition").alias("partition"),
+        F.col("raw_offset").alias("offset"), "event_time",
+        ingestion_time.alias("ingestion_time"), key.alias("key"),
+        F.create_map(F.lit("table"), F.col("source_table")).alias("payload"),
+        F.create_map().cast("map<string,string>").alias("headers"),
+        "cdc_op", F.col("before").alias("cdc_before"), F.col("after").alias("cdc_after"),
+    )
+
+
 def upserts(changes: DataFrame) -> DataFrame:
     """Only creates, updates and snapshot reads."""
     return changes.where(F.col("cdc_op").isin(*UPSERT_OPS))
@@ -133,7 +170,7 @@ def decode_json(
 ) -> DataFrame:
     """Payload columns of plain JSON messages; rows without an event time are dropped."""
     return (
-        rows.select(_once(decoder(F.col("value"), schema)).alias("m"))
+        rows.select(parsed_once(decoder(F.col("value"), schema)).alias("m"))
         .select("m.*")
         .where(F.col(time_col).isNotNull())
     )

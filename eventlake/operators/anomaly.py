@@ -69,24 +69,24 @@ def trailing_stats(
         "__user", "__cell", (F.col("__cell") * width).alias("__us"), F.lit(0).alias("__kind"),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast(t).alias(c) for c, t in names.items()],
     )
-    # kind 1: leaves just after t + frame; kind 2: row to be scored, then enters.
-    leaving = rows.select(
-        "__user", (F.col("__cell") + cells).alias("__cell"),
-        (F.col("__us") + frame_us).alias("__us"), F.lit(1).alias("__kind"),
-        *[(-F.col(c)).cast(t).alias(c) for c, t in names.items()],
+    # kind 1: the row to be scored, which then enters; kind 2: the same row when
+    # it leaves, just after t + frame, without its columns.
+    enters = F.col("__kind") == 1
+    moves = rows.withColumn("__kind", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        "__user", F.when(enters, F.col("__cell")).otherwise(F.col("__cell") + cells).alias("__cell"),
+        F.when(enters, F.col("__us")).otherwise(F.col("__us") + frame_us).alias("__us"), "__kind",
+        *[F.when(enters, F.col(c)).otherwise(-F.col(c)).cast(t).alias(c) for c, t in names.items()],
+        F.when(enters, F.col("__row")).alias("__row"),
     )
-    scored = rows.withColumn("__kind", F.lit(2))
-    line = scored.unionByName(opening, allowMissingColumns=True).unionByName(
-        leaving, allowMissingColumns=True
+    # Order within an instant: opening balance, rows of the instant (one exactly
+    # `frame` old still counts), rows that left.
+    line = moves.unionByName(opening, allowMissingColumns=True).withColumn(
+        "__at", F.col("__us") * 3 + F.col("__kind")
     )
-    # Time order with three ranks per instant: the opening balance (0), rows of
-    # the instant (1; a row exactly `frame` old still counts), rows that left (2).
-    rank = F.when(F.col("__kind") == 0, 0).when(F.col("__kind") == 2, 1).otherwise(2)
-    line = line.withColumn("__at", F.col("__us") * 3 + rank)
     upto = Window.partitionBy("__user", "__cell").orderBy("__at")
     past = upto.rangeBetween(Window.unboundedPreceding, -1)
     sums = [F.coalesce(F.sum(c).over(past), F.lit(0)).alias(c) for c in names]
-    stats = line.select("__kind", "__row", *sums).where("__kind = 2")
+    stats = line.select("__kind", "__row", *sums).where("__kind = 1")
     mean, std = _mean_and_std(F.col("__n"), F.col("__s"), F.col("__sq"), decimals)
     return stats.select(
         "__row.*", mean.alias("avg_amount"), std.alias("std_amount"),

@@ -31,13 +31,15 @@ def latest_state(
 
 def latest_state_with_truncate(
     changes: DataFrame, table_col: str, keys: list[str], position: list[str],
-    op_col: str = "cdc_op", max_tables: int = 10_000,
+    op_col: str = "cdc_op", max_tables: int | None = 10_000,
 ) -> DataFrame:
     """``latest_state`` over several tables, each cleared by its truncates.
 
     The log is folded first. A key whose newest change precedes the table's last
     truncate has only earlier changes, so comparing the folded row is enough and
-    the truncate positions (one row per table) never meet the raw log.
+    the truncate positions (one row per table) never meet the raw log. They are
+    broadcast up to ``max_tables`` tables, more stop the query; with None they
+    join by shuffle, whatever their number.
     """
     marks = (
         changes.where(F.col(op_col) == OP_TRUNCATE)
@@ -48,8 +50,10 @@ def latest_state_with_truncate(
         changes.where(F.col(op_col) != OP_TRUNCATE), [table_col, *keys], position, op_col
     )
     alive = F.col("__cleared").isNull() | (F.struct(*position) > F.col("__cleared"))
+    if max_tables is not None:
+        marks = bounded_broadcast(marks, max_tables)
     return (
-        folded.join(bounded_broadcast(marks, max_tables), table_col, "left")
+        folded.join(marks, table_col, "left")
         .where(alive).drop("__cleared").select(*changes.columns)
     )
 

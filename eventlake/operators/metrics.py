@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.durations import micros
-from eventlake.operators.joins import bounded_broadcast
+from eventlake.operators.joins import fits_broadcast
 
 
 def _pname(p: float) -> str:
@@ -306,7 +306,6 @@ TOPIC_HOURS = {
 
 def retention_actions(
     df: DataFrame, policy: DataFrame, now: Column, time_col: str, tier_col: str = "tier",
-    max_policies: int = 10_000,
 ) -> DataFrame:
     """Each row with keep, move or expire by its age and its tier's policy.
 
@@ -319,7 +318,9 @@ def retention_actions(
         .when(age_days > F.col("move_days"), "move")
         .otherwise("keep")
     )
+    if fits_broadcast(policy):
+        policy = F.broadcast(policy)
     return (
-        df.join(bounded_broadcast(policy, max_policies), tier_col, "left")
+        df.join(policy, tier_col, "left")
         .withColumn("action", action).drop("keep_days", "move_days")
     )

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.functions.envelope import decode_changes, flatten_after, upserts
+from eventlake.functions.envelope import changelog, decode_changes, flatten_after, upserts
 from eventlake.operators.joins import asof_join, broadcast_enrich, with_margin
 from eventlake.operators.quality import ORDER_EXPECTATIONS, enforce
-from eventlake.schemas import ORDER_SCHEMA
+from eventlake.schemas import ORDER_SCHEMA, UPSERT_OPS
 from eventlake.sinks.document import DocumentSink
 from eventlake.sinks.keyed import KeyedSink
 from eventlake.sinks.lake import LakeSink, lake_rows
@@ -41,7 +41,8 @@ def versioned_orders(
     row_schema: T.StructType = ORDER_SCHEMA, max_rows: int | None = None,
 ) -> DataFrame:
     """Orders with the product version valid at their event time, margin and date."""
-    orders = order_rows(broker_rows, row_schema)
+    orders = changelog(broker_rows, row_schema).where(F.col("op").isin(*UPSERT_OPS))
+    orders = orders.drop("op", "source_ts_ms")
     bound = {} if max_rows is None else {"max_rows": max_rows}
     joined = asof_join(
         orders, product_versions, "product_id", "event_time", updated_col,
@@ -50,6 +51,18 @@ def versioned_orders(
     return lake_rows(with_margin(joined), "order_ts")
 
 
+def refreshing_products(read_products, callback):
+    """``foreachBatch`` callback that reads the dimension anew for every micro-batch.
+
+    For plain order rows as input: dimension changes take effect without a restart.
+    """
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        enriched = broadcast_enrich(batch, read_products(), "product_id", DIM_COLS)
+        callback(with_margin(enriched), batch_id)
+
+    return on_batch
+
+
 def lake_copy(
     broker_rows: DataFrame, products: DataFrame, row_schema: T.StructType = ORDER_SCHEMA
 ) -> DataFrame:
@@ -103,11 +116,11 @@ def run_versioned(
     broker_rows: DataFrame, product_versions: DataFrame, open_search, lake_path: str,
     checkpoint: str, trigger: str | None = "5 seconds",
 ):
-    """As-of enrichment to search and lake from one plan."""
+    """As-of enrichment to search (one document per order) and lake from one plan."""
     rows = versioned_orders(broker_rows, product_versions)
     sinks = [
         DocumentSink("orders-search", open_search, "orders-{yyyy_mm_dd}", "order_ts",
-                     ("event_time", "raw_offset")),
+                     ("event_time", "raw_offset"), id_col="order_id"),
         LakeSink("orders-cold", path=lake_path),
     ]
     return start_shared(rows, sinks, checkpoint, trigger)

@@ -37,7 +37,8 @@ def keyed_merge_rows(spark, sf_dir):
         "event_id", "order_id", "currency", "raw_topic", "raw_partition", "raw_offset"
     )
     merged = keyed.merged_hash_rows(rows, "order:", "order_id", ["raw_offset"])
-    return merged.where(F.col("field").isin("currency", "order_id", "raw_offset"))
+    rows = merged.select("key", F.explode("fields").alias("field", "value"))
+    return rows.where(F.col("field").isin("currency", "order_id", "raw_offset"))
 
 
 def live_hash_rows(spark, sf_dir):

@@ -167,6 +167,26 @@ def asof_enrich_chunked(spark, sf_dir):
     return _versioned(spark, sf_dir, max_rows=0)
 
 
+def changelog_rows(spark, sf_dir):
+    """The change log as a table, by operation; a delete counts the row it removed."""
+    rows = env.changelog(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
+    return plain_times(rows.where(F.col("event_time").isNotNull()).groupBy("op", "currency").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("qty").alias("qty"),
+        F.max("event_time").alias("last_time"),
+    ))
+
+
+def stream_events(spark, sf_dir):
+    """Changes in the canonical event shape, with the lag between event and ingestion."""
+    changes = env.decode_changes(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
+    rows = env.as_stream_events(changes, F.col("kafka_ts")).where(F.col("event_time").isNotNull())
+    return rows.groupBy("source_type", "source_topic", "partition", "cdc_op").agg(
+        F.count_if(env.is_cdc(F.col("source_type"))).alias("cdc_rows"),
+        F.sum(env.lag_ms(F.col("event_time"), F.col("ingestion_time"))).alias("lag_sum"),
+        F.max("offset").alias("last_offset"), F.sum("cdc_after.qty").alias("qty"),
+    )
+
+
 def lake_copy_rows(spark, sf_dir):
     rows = plans.lake_copy(feeds.line_changes(spark, sf_dir), feeds.products(spark, sf_dir))
     return rows.where(F.col("event_time").isNotNull()).groupBy("event_date").agg(
@@ -210,7 +230,8 @@ QUERIES = {
         cdc_decode, cdc_event_id, cdc_quarantine, dead_letter_rows, order_rows, cdc_lag,
         topic_routing, start_offsets, start_timestamp, topic_positions, broadcast_enrich_margin,
         enriched_order_rows, shuffled_enrich_margin, unmatched_dim_keys, duplicate_dim_keys,
-        dimension_refresh, asof_enrich_margin, asof_enrich_chunked, lake_copy_rows, dq_report,
+        dimension_refresh, asof_enrich_margin, asof_enrich_chunked, changelog_rows,
+        stream_events, lake_copy_rows, dq_report,
         dq_silver, medallion_gold, idempotency_tokens,
     )
 }
@@ -294,6 +315,17 @@ SELECT category, count(*) AS versions,
 FROM versions WHERE updated_at <= TIMESTAMP '1999-01-01' GROUP BY category""",
     "asof_enrich_margin": _ASOF,
     "asof_enrich_chunked": _ASOF,
+    "changelog_rows": f"""WITH {LINES}
+SELECT op, currency, count(*) AS rows, CAST(sum(qty) AS BIGINT) AS qty,
+  max(make_timestamp(ts_ms * 1000)) AS last_time
+FROM (SELECT * REPLACE (CASE defect WHEN 2 THEN 'x' ELSE op END AS op) FROM lines
+  WHERE {_READ}) GROUP BY ALL""",
+    "stream_events": f"""WITH {LINES}
+SELECT 'cdc_debezium' AS source_type, topic AS source_topic, part AS partition,
+  CASE defect WHEN 2 THEN 'x' ELSE op END AS cdc_op, count(*) AS cdc_rows,
+  CAST(count(*) * 250 AS BIGINT) AS lag_sum, max(pos) AS last_offset,
+  CAST(sum(CASE WHEN op <> 'd' THEN qty END) AS BIGINT) AS qty
+FROM lines WHERE {_READ} GROUP BY ALL""",
     "lake_copy_rows": f"""WITH {LINES}, {PRODUCTS}
 SELECT CAST(order_ts AS DATE) AS event_date, count(*) AS orders, count(lsn) AS with_lsn,
   CAST(sum(CAST({_MARGIN} AS DECIMAL(18,2))) AS DOUBLE) AS margin

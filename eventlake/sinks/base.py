@@ -32,6 +32,7 @@ class BatchOutcome:
     records_written: int
     records_failed: int
     duration_ms: int
+    error: Exception | None = None
 
     @property
     def failure_rate(self) -> float:
@@ -55,10 +56,14 @@ class Sink(ABC):
         """Write one micro-batch; returns (written, failed) rows."""
 
     def run(self, batch: DataFrame, batch_id: int) -> BatchOutcome:
-        began = time.perf_counter()
-        written, failed = self.write(batch, batch_id)
+        """Write and time one batch; a write that raises has failed for all its rows."""
+        began, error = time.perf_counter(), None
+        try:
+            written, failed = self.write(batch, batch_id)
+        except Exception as raised:
+            written, failed, error = 0, batch.count(), raised
         took = int((time.perf_counter() - began) * 1000)
-        return BatchOutcome(self.name, batch_id, written, failed, took)
+        return BatchOutcome(self.name, batch_id, written, failed, took, error)
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
         """Callback for ``writeStream.foreachBatch``: write, record, halt on breach."""
@@ -71,7 +76,7 @@ class Sink(ABC):
                 raise SinkFailure(
                     f"sink {self.name} batch {batch_id}: failure rate "
                     f"{outcome.failure_rate:.2%} exceeds {self.max_failure_fraction:.2%}"
-                )
+                ) from outcome.error
 
         return on_batch
 
@@ -160,12 +165,9 @@ class ParkingSink(Sink):
         self.parking_path = parking_path
 
     def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
-        try:
-            outcome = self.sink.run(batch, batch_id)
-            if outcome.failure_rate <= self.max_failure_fraction:
-                return outcome.records_written, outcome.records_failed
-        except Exception as error:
-            print(f"sink {self.name} batch {batch_id} parked: {error}")
+        outcome = self.sink.run(batch, batch_id)
+        if outcome.failure_rate <= self.max_failure_fraction:
+            return outcome.records_written, outcome.records_failed
         parked = batch.withColumn("parked_batch", F.lit(batch_id))
         n = write_counted(
             parked, lambda df: overwrite_partitions(df, self.parking_path, ["parked_batch"])

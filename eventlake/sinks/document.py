@@ -11,12 +11,17 @@ from eventlake.sinks.base import PartitionSink
 
 def documents(
     df: DataFrame, index_pattern: str, time_col: str = "event_time",
-    position: list[str] | None = None,
+    position: list[str] | None = None, id_col: str | None = None,
 ) -> DataFrame:
-    """(_index, _id, _source); with ``position`` only the newest row per document stays."""
+    """(_index, _id, _source); with ``position`` only the newest row per document stays.
+
+    The id is the idempotency token, or a key column where the store is to hold
+    one document per key.
+    """
+    token = idempotency_token(df)
+    doc_id = F.coalesce(F.col(id_col).cast("string"), token) if id_col else token
     rows = df.select(
-        index_name(index_pattern, F.col(time_col)).alias("_index"),
-        idempotency_token(df).alias("_id"), record_json(df).alias("_source"),
+        index_name(index_pattern, F.col(time_col)).alias("_index"), doc_id.alias("_id"), record_json(df).alias("_source"),
         F.struct(*(position or [F.lit(0).alias("none")])).alias("__p"),
     )
     if not position:
@@ -29,13 +34,15 @@ class DocumentSink(PartitionSink):
 
     def __init__(
         self, name: str, open_client, index_pattern: str = "events-{yyyy_mm_dd}",
-        time_col: str = "event_time", position: tuple[str, ...] = (), **kwargs,
+        time_col: str = "event_time", position: tuple[str, ...] = (), id_col: str | None = None,
+        **kwargs,
     ):
         super().__init__(name, open_client, **kwargs)
         self.index_pattern, self.time_col, self.position = index_pattern, time_col, list(position)
+        self.id_col = id_col
 
     def shape(self, batch: DataFrame) -> DataFrame:
-        return documents(batch, self.index_pattern, self.time_col, self.position)
+        return documents(batch, self.index_pattern, self.time_col, self.position, self.id_col)
 
 
 def statuses_ok(statuses: list[int]) -> list[bool]:

@@ -48,15 +48,26 @@ def hash_rows(
 def merged_hash_rows(
     df: DataFrame, prefix: str, key_field: str, position: list[str]
 ) -> DataFrame:
-    """Field-wise merge, as repeated hash writes leave it: the newest non-null per field.
+    """(key, fields) merged field by field, as repeated hash writes leave it.
 
-    Long form (key, field, value); combining happens per (key, field).
+    Each field keeps its newest value that is not null.
     """
-    entries = F.explode(_fields(df, df.columns)).alias("field", "value")
+    names = df.columns
+    texts = [field_text(df, c).alias(f"__f{i}") for i, c in enumerate(names)]
     rows = df.select(
-        _store_key(df, prefix, key_field).alias("key"), entries, F.struct(*position).alias("__p")
+        _store_key(df, prefix, key_field).alias("key"), *texts, F.struct(*position).alias("__p")
     )
-    return rows.groupBy("key", "field").agg(F.max_by("value", "__p").alias("value"))
+    # Rows without an ordering value do not count for max_by.
+    newest = [
+        F.max_by(f"__f{i}", F.when(F.col(f"__f{i}").isNotNull(), F.col("__p"))).alias(f"__f{i}")
+        for i in range(len(names))
+    ]
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("key"), F.col(f"__f{i}").alias("value"))
+        for i, c in enumerate(names)
+    ])
+    present = F.filter(entries, lambda e: e["value"].isNotNull())
+    return rows.groupBy("key").agg(*newest).select("key", F.map_from_entries(present).alias("fields"))
 
 
 def live_rows(hashes: DataFrame, now: Column) -> DataFrame:

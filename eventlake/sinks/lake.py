@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.envelope import parsed_once
 from eventlake.sinks.base import Sink, overwrite_partitions, write_counted
 
 # Layout of lake and archive files.
@@ -51,9 +52,13 @@ class LakeSink(Sink):
 
 def archive_rows(broker_rows: DataFrame, ts_ms: Column) -> DataFrame:
     """Raw messages with UTC hour folders from ``ts_ms``; messages without a value are skipped."""
-    at = F.timestamp_millis(ts_ms)
-    return broker_rows.where(F.col("value").isNotNull()).select(
-        "*", *[F.date_format(at, fmt).alias(name) for name, fmt in HOUR_FOLDERS.items()]
+    at = F.timestamp_millis("__ms")
+    rows = broker_rows.where(F.col("value").isNotNull()).select(
+        "*", parsed_once(ts_ms).alias("__ms")
+    )
+    return rows.select(
+        *broker_rows.columns,
+        *[F.date_format(at, fmt).alias(name) for name, fmt in HOUR_FOLDERS.items()],
     )
 
 

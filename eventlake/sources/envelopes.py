@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.envelope import parsed_once
+
 
 def envelope(
     op: Column, ts_ms: Column, lsn: Column, before: Column, after: Column,
@@ -27,7 +29,8 @@ def broker_rows(
     offset: Column, timestamp: Column,
 ) -> DataFrame:
     return df.select(
-        key.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"),
+        key.cast("string").cast("binary").alias("key"),
+        parsed_once(value.cast("binary")).alias("value"),
         topic.alias("topic"), partition.cast("int").alias("partition"),
         offset.cast("long").alias("offset"), timestamp.alias("timestamp"),
     )

@@ -46,8 +46,10 @@ def test_truncate_clears_earlier_rows_of_its_table(spark):
         spark, ("t", "a", 1, 1, "c", 10), ("u", "a", 2, 2, "c", 20), ("t", None, 3, 3, "t", None),
         ("t", "b", 4, 4, "c", 30), ("t", None, 2, 2, "t", None),
     )
-    out = changes.latest_state_with_truncate(df, "table", ["id"], ["source_lsn", "raw_offset"])
-    assert state(out, "table", "id", "v") == [("t", "b", 30), ("u", "a", 20)]
+    for limit in (10, None):
+        out = changes.latest_state_with_truncate(
+            df, "table", ["id"], ["source_lsn", "raw_offset"], max_tables=limit)
+        assert state(out, "table", "id", "v") == [("t", "b", 30), ("u", "a", 20)]
 
 
 def test_stale_changes_do_not_overwrite(spark):

@@ -71,8 +71,10 @@ def test_tolerance_halts(spark):
     Failing((99, 1), max_failure_fraction=0.01).foreach_batch()(df, 0)
     with pytest.raises(base.SinkFailure, match="50.00%"):
         Failing((1, 1)).foreach_batch()(df, 3)
-    with pytest.raises(ValueError):
+    with pytest.raises(base.SinkFailure, match="100.00%") as failure:
         Failing(ValueError("down")).foreach_batch()(df, 3)
+    assert isinstance(failure.value.__cause__, ValueError)
+    Failing(ValueError("down"), max_failure_fraction=1.0).foreach_batch()(df, 3)
 
 
 def test_metrics_are_replaced_on_replay(spark, shared):
@@ -110,7 +112,7 @@ def test_item_failures_are_counted(spark, tmp_path):
 
 def test_field_merge_keeps_the_previous_value(spark):
     df = orders(spark, ("a", "1", T0, T0, 1, 10.0), ("a", "2", T0, T0, 2, None))
-    merged = {r.field: r.value for r in keyed.merged_hash_rows(df, "o:", "order_id", ["raw_offset"]).collect()}
+    merged = keyed.merged_hash_rows(df, "o:", "order_id", ["raw_offset"]).first().fields
     assert merged["total_amount"] == "10.0" and merged["raw_offset"] == "2"
     replaced = keyed.hash_rows(df, "o:", "order_id", 60, F.lit(T0), ["raw_offset"]).first()
     assert "total_amount" not in replaced.fields and replaced.expires_at == T0 + timedelta(seconds=60)

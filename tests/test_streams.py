@@ -239,6 +239,20 @@ def test_versioned_enrichment(spark, shared, tmp_path):
     assert {r.unit_cost: r["count"] for r in costs.collect()} == {3.0: 5, 4.0: 5}
 
 
+def test_dimension_is_read_anew_for_every_batch(spark, shared, products):
+    raw = messages(spark, f"{shared}/in", [order_message(i) for i in range(4)], batches=2)
+    reads = []
+
+    def read_products():
+        reads.append(1)
+        return products.withColumn("unit_cost", F.lit(float(len(reads))))
+
+    callback = orders.refreshing_products(read_products, runs.batch_table(f"{shared}/out"))
+    runs.start_query(orders.order_rows(raw), callback, f"{shared}/cp").awaitTermination()
+    costs = spark.read.parquet(f"{shared}/out").groupBy("unit_cost").count()
+    assert {r.unit_cost: r["count"] for r in costs.collect()} == {1.0: 2, 2.0: 2}
+
+
 def test_stages_by_day(spark, shared, products):
     values = [order_message(i, "c", "p1", 1 + i % 2) for i in range(8)] + [order_message(8, "d")]
     raw = messages(spark, f"{shared}/in", values, batches=2)
