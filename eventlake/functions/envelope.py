@@ -119,8 +119,9 @@ def changelog(
 ) -> DataFrame:
     """Changes as a table of rows: payload columns, ``op``, source time, event time.
 
-    The event time is the commit time at the source database and carries the
-    watermark. A delete shows the row it removed.
+    The event time is the commit time at the source database (the envelope's own
+    time where that is missing) and carries the watermark. A delete shows the row
+    it removed.
     """
     decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema)))
     image = F.coalesce(F.col("env.after"), F.col("env.before"))
@@ -129,7 +130,7 @@ def changelog(
         decoded.where(F.col("env").isNotNull())
         .select(
             image.alias("image"), F.col("env.op").alias("op"), ms.alias("source_ts_ms"),
-            F.timestamp_millis(ms).alias("event_time"), "raw_topic", "raw_partition", "raw_offset",
+            F.timestamp_millis(F.coalesce(ms, F.col("env.ts_ms"))).alias("event_time"), "raw_topic", "raw_partition", "raw_offset",
         )
         .select("image.*", "op", "source_ts_ms", "event_time", "raw_topic", "raw_partition", "raw_offset")
         .withWatermark("event_time", watermark)

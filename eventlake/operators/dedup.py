@@ -58,7 +58,7 @@ def _short(batches):
         waiting = [batch] if batch.num_rows else []
         while waiting:
             part = waiting.pop()
-            times = part.column("us").to_numpy()
+            times = part.column("__us").to_numpy()
             times = times[times != _NEVER]
             span = int(times.max()) - int(times.min()) + 2 if len(times) else 0
             if part.num_rows > 1 and part.num_rows * span >= 2 ** 62:
@@ -82,7 +82,7 @@ def _chunk_summaries(window: int):
 
     def table(ids, group, entry, last):
         return pa.RecordBatch.from_pydict({
-            "group_id": pa.array([ids[g] for g in group.tolist()], pa.string()),
+            "__group": pa.array([ids[g] for g in group.tolist()], pa.string()),
             "entry_us": pa.array(entry, pa.int64()), "last_us": pa.array(last, pa.int64()),
         })
 
@@ -90,9 +90,9 @@ def _chunk_summaries(window: int):
         # The last group of a batch may go on in the next one.
         open_id, seen_after, last, entry = None, False, empty, empty
         for batch in _short(batches):
-            number, ids = _numbered(batch.column("group_id"))
-            times = batch.column("us").to_numpy()
-            closes = batch.column("start_us").to_numpy() + window
+            number, ids = _numbered(batch.column("__group"))
+            times = batch.column("__us").to_numpy()
+            closes = batch.column("__start").to_numpy() + window
             if open_id is not None and ids[0] != open_id:
                 yield table([open_id], np.zeros(len(last), np.int64), entry, last)
                 open_id = None
@@ -137,7 +137,7 @@ def _chunk_entries(window: int):
         for batch in batches:
             out_group, out_last = [], []
             rows = zip(*[
-                batch.column(c).to_pylist() for c in ("key_id", "group_id", "entry_us", "last_us")
+                batch.column(c).to_pylist() for c in ("key_id", "__group", "entry_us", "last_us")
             ])
             for row_key, row_group, entry, after in rows:
                 if row_key != key:
@@ -149,7 +149,7 @@ def _chunk_entries(window: int):
                 if not found and last + window <= entry:
                     last, found = after, True
             yield pa.RecordBatch.from_pydict({
-                "group_id": pa.array(out_group, pa.string()),
+                "__group": pa.array(out_group, pa.string()),
                 "last_us": pa.array(out_last, pa.int64()),
             })
 
@@ -162,13 +162,13 @@ def _keep_rows(window: int):
     def run(batches):
         open_id, last = None, _NEVER
         for batch in _short(batches):
-            number, ids = _numbered(batch.column("group_id"))
-            times = batch.column("us").to_numpy()
+            number, ids = _numbered(batch.column("__group"))
+            times = batch.column("__us").to_numpy()
             mark = times == _NEVER
             # Last kept time of every group so far: from its mark, or from the
             # batch before.
             known = np.full(len(ids), _NEVER, np.int64)
-            known[number[mark]] = batch.column("entry_last_us").to_numpy()[mark]
+            known[number[mark]] = batch.column("__entry").to_numpy()[mark]
             if ids[0] == open_id:
                 known[0] = last
             where = np.flatnonzero(~mark)
@@ -183,7 +183,7 @@ def _keep_rows(window: int):
                 row, found = rows.first_at_or_after(rows.group[row], rows.times[row] + window)
             open_id, last = ids[-1], known[-1]
             keep = np.sort(where[np.concatenate(kept)]) if kept else np.empty(0, np.int64)
-            yield batch.drop_columns(["group_id", "us", "entry_last_us"]).take(
+            yield batch.drop_columns(["__group", "__us", "__entry"]).take(
                 pa.array(keep, pa.int64())
             )
 
@@ -209,30 +209,30 @@ def first_per_window(
     number = F.floor(us / F.lit(chunk))
     key_id = F.col(key).cast("string")
     rows = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull()).select(
-        F.concat_ws("@", number.cast("string"), key_id).alias("group_id"),
-        us.alias("us"), *df.columns,
+        F.concat_ws("@", number.cast("string"), key_id).alias("__group"),
+        us.alias("__us"), *df.columns,
     )
-    start_us = F.floor(F.col("us") / F.lit(chunk)) * chunk
+    start_us = F.floor(F.col("__us") / F.lit(chunk)) * chunk
     sorted_times = (
-        rows.select("group_id", start_us.alias("start_us"), "us").distinct()
-        .repartition("group_id").sortWithinPartitions("group_id", "us")
+        rows.select("__group", start_us.alias("__start"), "__us").distinct()
+        .repartition("__group").sortWithinPartitions("__group", "__us")
     )
     summaries = sorted_times.mapInArrow(
-        _chunk_summaries(width), "group_id string, entry_us long, last_us long"
+        _chunk_summaries(width), "__group string, entry_us long, last_us long"
     )
-    key_of = F.expr("substring(group_id, instr(group_id, '@') + 1)")
+    key_of = F.expr("substring(__group, instr(__group, '@') + 1)")
     entries = (
         summaries.withColumn("key_id", key_of)
         .repartition("key_id").sortWithinPartitions("key_id", "entry_us")
-        .mapInArrow(_chunk_entries(width), "group_id string, last_us long")
+        .mapInArrow(_chunk_entries(width), "__group string, last_us long")
     )
     marks = entries.select(
-        "group_id", F.lit(_NEVER).alias("us"), F.col("last_us").alias("entry_last_us")
+        "__group", F.lit(_NEVER).alias("__us"), F.col("last_us").alias("__entry")
     )
     kept = (
-        rows.withColumn("entry_last_us", F.lit(0).cast("long"))
+        rows.withColumn("__entry", F.lit(0).cast("long"))
         .unionByName(marks, allowMissingColumns=True)
-        .repartition("group_id").sortWithinPartitions("group_id", "us", *order)
+        .repartition("__group").sortWithinPartitions("__group", "__us", *order)
     )
     out = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     return kept.mapInArrow(_keep_rows(width), out)

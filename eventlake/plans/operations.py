@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.envelope import lag_ms
-from eventlake.operators.metrics import cost_per_million, latency_percentiles
+from eventlake.operators.metrics import cost_per_million, latency_percentiles, throughput_per_minute
 from eventlake.sinks.lake import ArchiveSink
 from eventlake.sources.broker import matching_topics
 from eventlake.sources.tables import recent, union_tracks
@@ -41,6 +41,10 @@ def runtime_comparison(runs: DataFrame) -> DataFrame:
     return latency.join(minutes, "runtime").orderBy("p99_ms", "runtime")
 
 
+def throughput_report(runs: DataFrame) -> DataFrame:
+    return throughput_per_minute(runs, "runtime", "event_time").orderBy("runtime", "minute")
+
+
 def cost_report(throughput: DataFrame, costs: DataFrame) -> DataFrame:
     """Cost per million events; ``costs`` has runtime and cost_per_hour."""
     return throughput.join(costs, "runtime").withColumn(

@@ -73,6 +73,14 @@ def lake_copy(
     return lake_rows(enriched.drop("event_id", "cdc_op"), "order_ts")
 
 
+def run_lake_copy(
+    broker_rows: DataFrame, products: DataFrame, sink, checkpoint: str,
+    trigger: str | None = "5 seconds",
+):
+    """The one-destination variant as a query."""
+    return start_per_sink(lake_copy(broker_rows, products), [sink], checkpoint, trigger)
+
+
 def bronze(broker_rows: DataFrame, row_schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
     """Decoded envelopes, nothing judged yet."""
     return decode_changes(broker_rows, row_schema)

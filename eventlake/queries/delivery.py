@@ -36,9 +36,8 @@ def keyed_merge_rows(spark, sf_dir):
     rows = rows.where(F.col("event_time").isNotNull()).select(
         "event_id", "order_id", "currency", "raw_topic", "raw_partition", "raw_offset"
     )
-    merged = keyed.merged_hash_rows(rows, "order:", "order_id", ["raw_offset"])
-    rows = merged.select("key", F.explode("fields").alias("field", "value"))
-    return rows.where(F.col("field").isin("currency", "order_id", "raw_offset"))
+    merged = keyed.merged_hash_rows(rows, "order:", "order_id", ["raw_offset", "event_id"])
+    return merged.select("key", F.explode("fields").alias("field", "value"))
 
 
 def live_hash_rows(spark, sf_dir):
@@ -253,12 +252,16 @@ SELECT 'order:' || order_id AS key, event_time + INTERVAL 3600 SECOND AS expires
   CAST(total_amount AS VARCHAR) AS total_amount, currency,
   strftime(order_ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS order_ts, op AS cdc_op FROM newest""",
     "keyed_merge_rows": f"""WITH {LINES}, keyed AS (
-  SELECT *, 'order:' || coalesce(order_id,
-    'eid:' || coalesce(CAST(lsn AS VARCHAR), topic || ':' || part || ':' || pos)) AS key FROM flat)
+  SELECT *, 'order:' || coalesce(order_id, 'eid:' || event_id) AS key FROM (
+    SELECT *, coalesce(CAST(lsn AS VARCHAR), topic || ':' || part || ':' || pos) AS event_id FROM flat)),
+newest AS (SELECT key, max(pos) AS raw_offset, arg_max(part, pos) AS raw_partition FROM keyed GROUP BY key)
 SELECT key, 'currency' AS field, arg_max(currency, pos) AS value FROM keyed GROUP BY key
 UNION ALL SELECT key, 'order_id', arg_max(order_id, pos) FROM keyed
   WHERE order_id IS NOT NULL GROUP BY key
-UNION ALL SELECT key, 'raw_offset', CAST(max(pos) AS VARCHAR) FROM keyed GROUP BY key""",
+UNION ALL SELECT key, 'event_id', arg_max(event_id, (pos, event_id)) FROM keyed GROUP BY key
+UNION ALL SELECT key, 'raw_topic', 'cdc.public.orders' FROM newest
+UNION ALL SELECT key, 'raw_partition', CAST(raw_partition AS VARCHAR) FROM newest
+UNION ALL SELECT key, 'raw_offset', CAST(raw_offset AS VARCHAR) FROM newest""",
     "live_hash_rows": f"""WITH {HISTORY}, {_NEWEST_ORDER}
 SELECT currency, count(*) AS keys FROM newest
 WHERE event_time + INTERVAL 365 DAY > TIMESTAMP '1999-07-01' GROUP BY currency""",

@@ -34,9 +34,7 @@ def latency_percentiles_exact(spark, sf_dir):
 
 
 def throughput_minute(spark, sf_dir):
-    return plain_times(
-        metrics.throughput_per_minute(_runs(spark, sf_dir), "runtime", "event_time")
-    )
+    return plain_times(plans.throughput_report(_runs(spark, sf_dir)))
 
 
 def union_tracks(spark, sf_dir):
