@@ -126,6 +126,8 @@ class PartitionSink(Sink):
 
     def __init__(self, name: str, open_client, rows_per_call: int = BATCH_ROWS, **kwargs):
         super().__init__(name, **kwargs)
+        if not callable(open_client):
+            raise ValueError(f"sink {name} needs a function that opens its client")
         self.open_client = open_client
         self.rows_per_call = rows_per_call
 
