@@ -127,39 +127,64 @@ def trailing_alerts(
     return as_alerts(flag_outliers(stats, amount_col, min_count, z_limit), user_col)
 
 
-def windowed_stats(
-    df: DataFrame, user_col: str, amount_col: str, time_col: str,
-    size: str = "1 hour", slide: str = "5 minutes", decimals: int = 2,
-) -> DataFrame:
-    """Mean, deviation and count per user and sliding window, keyed by window end.
-
-    In batch the rows are combined per pane before panes are copied to windows.
-    """
+def _parts(amount_col: str, decimals: int) -> tuple[Column, ...]:
     units = _units(F.col(amount_col), decimals)
     squared = units.cast("decimal(19,0)") * units.cast("decimal(19,0)")
-    parts = (
+    return (
         F.count(F.lit(1)).alias("c"), F.count(units).alias("n"),
         F.sum(units).alias("s"), F.sum(squared).alias("sq"),
     )
+
+
+def _named_stats(decimals: int) -> tuple[Column, ...]:
     mean, std = _mean_and_std(F.col("n"), F.col("s"), F.col("sq").cast("decimal(38,0)"), decimals)
-    named = (mean.alias("avg_amount"), std.alias("std_amount"), F.col("c").alias("txn_count"))
-    if df.isStreaming:
-        window = F.window(time_col, size, slide)
-        return df.groupBy(window, user_col).agg(*parts).select(
-            user_col, F.window_time("window").alias("stats_time"),
-            F.col("window.end").alias("window_end"), *named,
-        )
-    size_us, step = micros(size), micros(slide)
+    return mean.alias("avg_amount"), std.alias("std_amount"), F.col("c").alias("txn_count")
+
+
+def windowed_stats(
+    df: DataFrame, user_col: str, amount_col: str, time_col: str,
+    size: str = "1 hour", slide: str = "5 minutes", decimals: int = 2,
+) -> DataFrame:
+    """Mean, deviation and count per user and sliding window, with the window's end."""
+    stats = df.groupBy(F.window(time_col, size, slide).alias("w"), user_col).agg(
+        *_parts(amount_col, decimals)
+    )
+    return stats.select(
+        user_col, F.window_time("w").alias("stats_time"), F.col("w.end").alias("window_end"),
+        *_named_stats(decimals),
+    )
+
+
+def _stats_where_needed(
+    rows: DataFrame, user_col: str, amount_col: str, time_col: str, size_us: int, step: int,
+    decimals: int,
+) -> DataFrame:
+    """The sliding windows some row is scored with, without building all others.
+
+    Rows are combined per (user, pane) on the map side. A window is a run of
+    panes, so its figures are a sum over the panes before its end, taken only at
+    the ends that have a row right after them. A user's share of the ordered
+    step is bounded by the number of panes in the time span.
+    """
     if size_us % step:
         raise ValueError("the window size must be a whole number of slides")
-    panes = df.groupBy(F.window(time_col, slide).alias("pane"), user_col).agg(*parts)
-    end = F.unix_micros("pane.end")
-    ends = F.sequence(end, end + (size_us - step), F.lit(step).cast("long"))
-    return (
-        panes.withColumn("end_us", F.explode(ends))
-        .groupBy(user_col, "end_us")
-        .agg(*[F.sum(c).alias(c) for c in ("c", "n", "s", "sq")])
-        .select(user_col, F.timestamp_micros("end_us").alias("window_end"), *named)
+    pane = F.floor(F.unix_micros(time_col) / F.lit(step))
+    panes = rows.where(F.col(time_col).isNotNull()).groupBy(
+        F.col(user_col).alias("__user"), pane.alias("__i")
+    ).agg(*_parts(amount_col, decimals))
+    # End e, as a number of slides, of the window a row is scored with.
+    ends = rows.where(F.col(time_col).isNotNull()).select(
+        F.col(user_col).alias("__user"),
+        F.floor(F.unix_micros("__end") / F.lit(step)).alias("__i"), F.lit(True).alias("__scored"),
+    ).distinct()
+    within = Window.partitionBy("__user").orderBy("__i").rangeBetween(-(size_us // step), -1)
+    line = panes.unionByName(ends, allowMissingColumns=True)
+    sums = line.select(
+        "__user", "__i", "__scored", *[F.sum(c).over(within).alias(c) for c in ("c", "n", "s", "sq")]
+    )
+    return sums.where("__scored and c > 0").select(
+        "__user", F.timestamp_micros(F.col("__i") * step).alias("window_end"),
+        *_named_stats(decimals),
     )
 
 
@@ -171,25 +196,31 @@ def windowed_scores(
     """Each row beside the statistics of the last closed window of its user.
 
     A row at t meets the one window whose end e satisfies e < t <= e + slide, so
-    the join is an equality on (user, e) and not on the user alone. The same
-    text runs on a stream, where the time bounds let Spark drop old state; a row
-    is scored at most one slide plus the watermark late.
+    the join is an equality on (user, e) and not on the user alone. On a stream
+    the time bounds let Spark drop old state; a row is scored at most one slide
+    plus the watermark late. A batch gives the same rows.
     """
     step = micros(slide)
+    last_end = F.timestamp_micros(F.floor((F.unix_micros(time_col) - 1) / F.lit(step)) * step)
     rows = df.withWatermark(time_col, watermark)
+    ended = rows.withColumn("__end", last_end)
+    if not df.isStreaming:
+        stats = _stats_where_needed(
+            ended, user_col, amount_col, time_col, micros(size), step, decimals
+        ).alias("s")
+        on = (F.col(f"t.{user_col}") == F.col("s.__user")) & (
+            F.col("t.__end") == F.col("s.window_end"))
+        return ended.alias("t").join(stats, on, "inner").drop("__end", "__user")
     stats = windowed_stats(rows, user_col, amount_col, time_col, size, slide, decimals)
-    last_end = F.timestamp_micros(F.floor((F.unix_micros(time_col) - 1) / F.lit(step)) * step)
-    rows = rows.withColumn("__end", last_end).alias("t")
     stats = stats.withColumnRenamed(user_col, "__user").alias("s")
-    on = (F.col(f"t.{user_col}") == F.col("s.__user")) & (F.col("t.__end") == F.col("s.window_end"))
-    if df.isStreaming:
-        on = (
-            on & (F.col(f"t.{time_col}") > F.col("s.stats_time"))
-            & (F.col(f"t.{time_col}") <= F.col("s.stats_time") + F.expr(f"INTERVAL {slide}")
-               + F.expr("INTERVAL 1 millisecond"))
-        )
-    joined = rows.join(stats, on, "inner").drop("__end", "__user")
-    return joined.drop("stats_time") if df.isStreaming else joined
+    at, closed = F.col(f"t.{time_col}"), F.col("s.stats_time")
+    # The closing time is the end less a moment, hence the extra millisecond.
+    latest = closed + F.expr(f"INTERVAL {slide}") + F.expr("INTERVAL 1 millisecond")
+    on = (
+        (F.col(f"t.{user_col}") == F.col("s.__user"))
+        & (F.col("t.__end") == F.col("s.window_end")) & (at > closed) & (at <= latest)
+    )
+    return ended.alias("t").join(stats, on, "inner").drop("__end", "__user", "stats_time")
 
 
 def windowed_alerts(

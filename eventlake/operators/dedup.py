@@ -107,6 +107,8 @@ def _chunk_summaries(window: int):
             after, found = rows.first_at_or_after(groups, closes[heads])
             found[0] &= not seen_after
             first[after[found]] = True
+            # Of rows at the same time one is enough.
+            first[1:] &= (number[1:] != number[:-1]) | (times[1:] != times[:-1])
             chain = np.append(np.zeros(len(last), np.int64), number[first])
             last, entry = np.append(last, times[first]), np.append(entry, times[first])
             while len(chain):
@@ -214,7 +216,7 @@ def first_per_window(
     )
     start_us = F.floor(F.col("__us") / F.lit(chunk)) * chunk
     sorted_times = (
-        rows.select("__group", start_us.alias("__start"), "__us").distinct()
+        rows.select("__group", start_us.alias("__start"), "__us")
         .repartition("__group").sortWithinPartitions("__group", "__us")
     )
     summaries = sorted_times.mapInArrow(

@@ -70,8 +70,7 @@ def alerts(txns: DataFrame, frame: str = "1 hour", slide: str = "5 minutes") ->
 def run_alerting(broker_rows: DataFrame, sink: Sink, checkpoint: str,
                  trigger: str | None = TRIGGERS["alerts"]):
     rows = alerts(transactions(broker_rows))
-    flat = rows.drop("stats_time") if "stats_time" in rows.columns else rows
-    return start_query(flat, sink.foreach_batch(), f"{checkpoint}/alerts", trigger)
+    return start_query(rows, sink.foreach_batch(), f"{checkpoint}/alerts", trigger)
 
 
 def split_late(kept_path: str, late_path: str):

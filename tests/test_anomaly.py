@@ -75,6 +75,19 @@ def test_windowed_scores_use_the_last_closed_window(spark):
     assert (row.avg_amount, row.txn_count) == (11.0, 3)
 
 
+def test_windowed_scores_equal_all_windows(spark):
+    """Hot users, rows exactly on window borders, and rows without an amount."""
+    df = spark.createDataFrame(txns(900, span=20_000), SCHEMA).repartition(4)
+    got = anomaly.windowed_scores(df, size="30 minutes", slide="5 minutes")
+    stats = anomaly.windowed_stats(df, "user_id", "amount", "event_time", "30 minutes", "5 minutes")
+    s = stats.drop("stats_time").withColumnRenamed("user_id", "u")
+    at, end = df["event_time"], s["window_end"]
+    want = df.join(s, (df["user_id"] == s["u"]) & (at > end)
+                   & (at <= end + timedelta(minutes=5))).drop("u")
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_bad_frames(spark):
     df = spark.createDataFrame(history([1.0], 1.0), SCHEMA)
     with pytest.raises(ValueError):
