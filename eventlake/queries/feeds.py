@@ -34,12 +34,13 @@ def topic_table(
     of its files makes up a micro-batch.
     """
     df = table(spark, sf_dir, name)
+    slots = spark.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < slots
     if stream:
         # A file source takes a folder or a pattern; a table may be either file or folder.
         path = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
-        return file_stream(spark, path, FILES_PER_TRIGGER, df.schema)
-    slots = spark.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+        df = file_stream(spark, path, FILES_PER_TRIGGER, df.schema)
+    return df.repartition(slots, key) if few else df
 
 
 def utc(name: str) -> Column:

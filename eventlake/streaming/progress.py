@@ -79,6 +79,32 @@ def progress_table(spark: SparkSession, job: str, reports: list[dict]) -> DataFr
     return spark.createDataFrame([progress_row(job, r) for r in reports], PROGRESS_SCHEMA)
 
 
+def committed_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(topic, partition, committed_offset) of the newest committed batch of a broker query.
+
+    Offsets live in the query's checkpoint and not in a consumer group; with the
+    topic's end offsets they give the consumer lag. The folder holds one small
+    file per retained batch.
+    """
+    def log(name: str) -> DataFrame:
+        number = F.col("_metadata.file_name").try_cast("long")
+        files = spark.read.text(f"{checkpoint}/{name}", wholetext=True)
+        return files.select(number.alias("batch_id"), "value")
+
+    newest = log("commits").agg(F.max("batch_id").alias("batch_id"))
+    # A log file has a version line, a settings line, and one line per source.
+    lines = F.split("value", "\n")
+    sources = F.filter(F.slice(lines, 3, 1_000_000), lambda line: line.startswith("{"))
+    planned = log("offsets").join(F.broadcast(newest), "batch_id").select(
+        F.explode(sources).alias("source")
+    )
+    topics = planned.select(
+        F.explode(F.from_json("source", "map<string,map<string,bigint>>")).alias("topic", "parts")
+    )
+    parts = topics.select("topic", F.explode("parts").alias("partition", "committed_offset"))
+    return parts.withColumn("partition", F.col("partition").cast("int"))
+
+
 def batch_metrics(progress: DataFrame) -> DataFrame:
     """Metric rows per micro-batch and job: records in and out, duration, lag, batch id."""
     return as_metrics(progress, BATCH_METRICS, "JobName", "job")

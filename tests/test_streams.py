@@ -203,6 +203,24 @@ def test_progress_and_dropped_rows(spark, shared):
         "RecordsIn", "RecordsOut", "BatchDurationMs", "LagMs", "BatchId"}
 
 
+def test_committed_offsets_give_the_lag(spark, tmp_path):
+    from eventlake.operators.metrics import consumer_lag
+
+    for folder, files in {
+        "offsets": {"4": '{"t":{"0":10}}', "5": '{"t":{"0":20,"1":7},"u":{"0":1}}', "6": '{"t":{"0":99}}'},
+        "commits": {"4": '{"nextBatchWatermarkMs":0}', "5": '{"nextBatchWatermarkMs":0}'},
+    }.items():
+        os.makedirs(tmp_path / folder)
+        for number, body in files.items():
+            (tmp_path / folder / number).write_text(f"v1\n{{\"batchWatermarkMs\":0}}\n{body}")
+    done = progress.committed_offsets(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in done.collect()) == [("t", 0, 20), ("t", 1, 7), ("u", 0, 1)]
+    ends = spark.createDataFrame([("t", 0, 0, 25), ("t", 1, 0, 7), ("t", 2, 3, 5)],
+                                 "topic string, partition int, first_offset long, end_offset long")
+    lags = consumer_lag(ends, done)
+    assert {r.partition: r.lag for r in lags.collect()} == {0: 5, 1: 0, 2: 2}
+
+
 def test_progress_row_lag():
     row = progress.progress_row("j", {
         "batchId": 3, "timestamp": "2026-01-01T00:00:10.000Z", "numInputRows": 5, "batchDuration": 500,
