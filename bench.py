@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,7 +36,6 @@ def session():
     return build_session("eventlake-bench", f"local[{CPUS}]", {
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": os.environ.get("BENCH_DIR") or tempfile.mkdtemp(prefix="run-"),
     })
 
 

@@ -124,17 +124,19 @@ def changelog(
     it removed.
     """
     decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema)))
-    image = F.coalesce(F.col("env.after"), F.col("env.before"))
+    gone = F.col("env.after").isNull()
+    image = [
+        F.when(gone, F.col(f"env.before.{f.name}")).otherwise(F.col(f"env.after.{f.name}"))
+        .alias(f.name)
+        for f in row_schema.fields
+    ]
     ms = F.col("env.source.ts_ms")
-    return (
-        decoded.where(F.col("env").isNotNull())
-        .select(
-            image.alias("image"), F.col("env.op").alias("op"), ms.alias("source_ts_ms"),
-            F.timestamp_millis(F.coalesce(ms, F.col("env.ts_ms"))).alias("event_time"), "raw_topic", "raw_partition", "raw_offset",
-        )
-        .select("image.*", "op", "source_ts_ms", "event_time", "raw_topic", "raw_partition", "raw_offset")
-        .withWatermark("event_time", watermark)
+    flat = decoded.where(F.col("env").isNotNull()).select(
+        *image, F.col("env.op").alias("op"), ms.alias("source_ts_ms"),
+        F.timestamp_millis(F.coalesce(ms, F.col("env.ts_ms"))).alias("event_time"),
+        "raw_topic", "raw_partition", "raw_offset",
     )
+    return flat.withWatermark("event_time", watermark)
 
 
 def as_stream_events(changes: DataFrame, ingestion_time: Column) -> DataFrame:

@@ -134,10 +134,28 @@ def interval_join(
     return l_rows.join(r_rows, on, how).drop("__b", "__rb")
 
 
-def version_intervals(versions: DataFrame, key: str, updated_col: str) -> DataFrame:
-    """Validity [valid_from, valid_to) of each version; the newest is open-ended."""
-    later = F.lead(updated_col).over(Window.partitionBy(key).orderBy(updated_col))
-    return versions.withColumn("valid_from", F.col(updated_col)).withColumn("valid_to", later)
+def version_intervals(
+    versions: DataFrame, key: str, updated_col: str, chunk: str = "1 day"
+) -> DataFrame:
+    """Validity [valid_from, valid_to) of each version; the newest is open-ended.
+
+    Versions are ordered per (key, chunk of time). The first version of the next
+    chunk that has any closes the chunk, so a key with very many versions is
+    spread over its chunks.
+    """
+    at = F.col(updated_col)
+    rows = versions.withColumn("__c", F.floor(F.unix_micros(at) / F.lit(micros(chunk))))
+    firsts = rows.groupBy(key, "__c").agg(F.min(at).alias("__first"))
+    following = F.lead("__first").over(Window.partitionBy(key).orderBy("__c"))
+    closing = firsts.select(
+        key, "__c", following.alias(updated_col), F.lit(1).alias("__closing")
+    ).where(at.isNotNull())
+    line = rows.withColumn("__closing", F.lit(0)).unionByName(closing, allowMissingColumns=True)
+    in_chunk = Window.partitionBy(key, "__c").orderBy("__closing", updated_col)
+    return (
+        line.withColumn("valid_from", at).withColumn("valid_to", F.lead(updated_col).over(in_chunk))
+        .where("__closing = 0").drop("__c", "__closing")
+    )
 
 
 def asof_join(

@@ -84,6 +84,14 @@ def completeness(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def approx_completeness(df: DataFrame, key: str, error: float = 0.01) -> DataFrame:
+    """Rows and roughly how many distinct keys, from a sketch and without a shuffle of keys."""
+    return df.agg(
+        F.lit(key).alias("key"), F.count(key).alias("row_count"),
+        F.approx_count_distinct(key, error).alias("distinct_keys"),
+    )
+
+
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventlake.functions import envelope as env
+from eventlake.functions.tokens import index_name
 from eventlake.operators import metrics
 from eventlake.plans import orders as plans
+from eventlake.plans.activity import clicks, page_views, transactions
 from eventlake.queries import feeds
 from eventlake.queries.feeds import HISTORY, LINES, TXNS, plain_times
 from eventlake.schemas import ORDER_SCHEMA
@@ -69,8 +71,6 @@ def index_names(spark, sf_dir):
     """Monthly and yearly indexes; orders without a time go to 1970."""
     rows = _orders(spark, sf_dir)
     ts = F.when(F.col("raw_offset") % 5 != 0, F.col("order_ts"))
-    from eventlake.functions.tokens import index_name
-
     return rows.groupBy(
         index_name("o-{yyyy_mm}", ts).alias("monthly"), index_name("o-{yyyy}-all", ts).alias("yearly")
     ).agg(F.count(F.lit(1)).alias("documents"))
@@ -78,8 +78,6 @@ def index_names(spark, sf_dir):
 
 def columnar_newest(spark, sf_dir):
     """Window rows written twice in update mode: readers see the newest version per key."""
-    from eventlake.plans.activity import clicks, page_views
-
     views = page_views(clicks(feeds.click_messages(spark, sf_dir)), "6 hours", "6 hours")
     first = views.withColumn("page_view_count", (F.col("page_view_count") / 2).cast("long"))
     appended = first.withColumn("batch_id", F.lit(0)).unionByName(
@@ -109,8 +107,6 @@ def archive_partitions(spark, sf_dir):
 
 def broadcast_messages(spark, sf_dir):
     """Broadcast topic messages of large transactions, read back from their JSON."""
-    from eventlake.plans.activity import transactions
-
     txns = transactions(feeds.txn_messages(spark, sf_dir)).where("amount > 200")
     targets = F.when(F.col("merchant") != "error", F.array("user_id", F.lit("ops-team")))
     sent = broadcast.broadcast_messages(

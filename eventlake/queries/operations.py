@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from eventlake.operators import metrics
@@ -119,8 +121,6 @@ def consumer_lag_total(spark, sf_dir):
 
 def alarm_eval(spark, sf_dir):
     """The platform's alarms with hourly periods, per dimension."""
-    from dataclasses import replace
-
     alarms = [replace(a, period="1 hour") for a in metrics.PLATFORM_ALARMS]
     return plain_times(metrics.evaluate_alarms(feeds.metric_points(spark, sf_dir), alarms))
 
@@ -134,8 +134,6 @@ def rate_alerts(spark, sf_dir):
 
 def slow_batches(spark, sf_dir):
     """Batch duration above twice the trigger for consecutive periods."""
-    from dataclasses import replace
-
     alarm = replace(metrics.slow_batch_alarm(20), metric="Errors", period="6 hours", periods=3)
     return plain_times(metrics.alarm_runs(feeds.metric_points(spark, sf_dir), alarm))
 
@@ -176,9 +174,16 @@ def topic_retention(spark, sf_dir):
     return acted.groupBy("topic", "action").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def approx_completeness(spark, sf_dir):
+    """Distinct events and users from sketches."""
+    rows = feeds.events(spark, sf_dir)
+    return metrics.approx_completeness(rows, "event_id").unionByName(
+        metrics.approx_completeness(rows, "user_id"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        latency_percentiles, latency_percentiles_exact, throughput_minute, union_tracks,
+        approx_completeness, latency_percentiles, latency_percentiles_exact, throughput_minute, union_tracks,
         recent_tracks, runtime_comparison, cost_per_million, batch_metrics, falling_behind,
         consumer_lag, consumer_lag_total, alarm_eval, rate_alerts, slow_batches,
         dashboard_series, retention_tiers, topic_retention,

@@ -115,6 +115,19 @@ def test_asof_routes_agree_on_hot_keys(spark):
     assert spans.exceptAll(merged).count() == 0 and merged.exceptAll(spans).count() == 0
 
 
+@pytest.mark.parametrize("chunk", ["1 hour", "1 day", "900 days"])
+def test_version_intervals(spark, chunk):
+    rnd = random.Random(8)
+    rows = {("hot" if i % 3 else f"k{i % 5}", T0 + timedelta(minutes=rnd.randrange(9000))) for i in range(700)}
+    df = spark.createDataFrame(sorted(rows), "k string, updated timestamp").repartition(3)
+    got = {(r.k, r.updated): r.valid_to for r in joins.version_intervals(df, "k", "updated", chunk).collect()}
+    want = {}
+    for key, at in rows:
+        later = [t for k, t in rows if k == key and t > at]
+        want[key, at] = min(later) if later else None
+    assert got == want
+
+
 def test_refresh_dimension(spark):
     dim = spark.createDataFrame([(1, T0), (2, T0 + timedelta(days=1))], "k long, _loaded_at timestamp")
     assert joins.refresh_dimension(dim).count() == 2

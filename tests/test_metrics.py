@@ -92,6 +92,11 @@ def test_completeness(spark):
     assert [tuple(r) for r in metrics.repeated_keys(df.where("k is not null"), "k").collect()] == [("a", 2)]
 
 
+def test_approx_completeness(spark):
+    row = metrics.approx_completeness(spark.range(50_000).unionAll(spark.range(50_000)), "id").first()
+    assert row.row_count == 100_000 and abs(row.distinct_keys - 50_000) < 2_500
+
+
 def test_consumer_lag(spark):
     ends = spark.createDataFrame([("t", 0, 0, 10), ("t", 1, 5, 20)],
                                  "topic string, partition int, first_offset long, end_offset long")
