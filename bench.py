@@ -14,8 +14,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from eventlake.functions.envelope import decode_changes, upserts  # noqa: E402
 from eventlake.operators import anomaly, changes, dedup, joins, metrics, windows  # noqa: E402
 from eventlake.plans import activity, operations, orders  # noqa: E402

@@ -130,8 +130,9 @@ def trailing_stats(spark, sf_dir):
     """The statistics behind the alerts, for every row and for few, heavy keys."""
     txns = plans.transactions(feeds.txn_messages(spark, sf_dir))
     rows = anomaly.trailing_stats(txns, "merchant", "amount", "event_time", "2 hours")
+    # Means of cents over 32 or more rows can lie exactly between two roundings.
     return rows.select(
-        "txn_id", F.round("avg_amount", 6).alias("avg_amount"),
+        "txn_id", F.round(F.col("avg_amount") + 1e-9, 6).alias("avg_amount"),
         F.round("std_amount", 6).alias("std_amount"), "txn_count",
     )
 
@@ -295,7 +296,7 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, device_type,
     RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))
 {_SCORED}""",
     "trailing_stats": f"""WITH {TXNS}
-SELECT txn_id, round(avg(amount) OVER w, 6) AS avg_amount,
+SELECT txn_id, round(avg(amount) OVER w + 1e-9, 6) AS avg_amount,
   round(stddev_samp(amount) OVER w, 6) AS std_amount, count(*) OVER w AS txn_count FROM txns
 WINDOW w AS (PARTITION BY merchant ORDER BY event_time
   RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",

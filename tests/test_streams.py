@@ -17,7 +17,6 @@ from eventlake.schemas import BROKER_SCHEMA, TXN_SCHEMA
 from eventlake.sinks.base import Sink
 from eventlake.sinks.broadcast import BroadcastSink
 from eventlake.sinks.columnar import ColumnarSink, newest_version
-from eventlake.sinks.lake import LakeSink
 from eventlake.sources.broker import file_stream
 from eventlake.streaming import progress, runs
 from test_sinks import folder_client, stored
