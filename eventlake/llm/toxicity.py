@@ -79,11 +79,11 @@ def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.
     n = len(y)
     if not n or not y.any():
         return ToxicityModel(weights.astype(np.float32), -20.0)
-    sentence_row = np.repeat(np.arange(n), np.diff(rows))
-    owner = np.repeat(np.arange(len(words) - 1), np.diff(words))
+    sentence_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(rows))
+    owner = np.repeat(np.arange(len(words) - 1, dtype=np.int32), np.diff(words))
     seen = np.unique(bucket.astype(np.int64) * n + sentence_row[owner])
     used = np.flatnonzero(np.bincount(seen // n, minlength=BUCKETS) >= least_docs)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     word = place[bucket]
     word, owner = word[word >= 0], owner[word >= 0]
@@ -109,7 +109,7 @@ def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.
     return ToxicityModel(weights.astype(np.float32), float(bias))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000) -> ToxicityModel:
     """A model of ``labels.toxic``, from the whole texts of about ``max_rows`` labelled documents at most.
 
     Rows with a null id or label are left out; an id with two labels counts
