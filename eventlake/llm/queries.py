@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, quality, toxicity
-from eventlake.llm.tables import remainder, table
+from eventlake.llm import language, linededup, mixing, neardup, quality, tokens, toxicity
+from eventlake.llm.tables import remainder, stored, table
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,20 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """b-bit MinHash on two-word shingles: components of documents at 80 percent or more."""
+    docs = table(spark, sf_dir, "documents")
+    found = neardup.near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), size=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block quotas from a hypergeometric splitting tree: what the mix takes of each document, and for which shards."""
+    docs = table(spark, sf_dir, "documents")
+    rows = stored(mixing.sized(docs, ["doc_id"]), "sizes")
+    return mixing.draw(rows).select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees over document statistics, fitted to the quality labels."""
     docs = table(spark, sf_dir, "documents")
@@ -32,5 +46,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("spans", lambda s: s["sentence"]).alias("sentences"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op5_quality, op7_toxicity)}
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids in packed blocks, written in document order and read back."""
+    return tokens.tokenized(table(spark, sf_dir, "documents"))
+
+
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier in the corpus, by content-defined line chunks: one row for each document that has some."""
+    found = linededup.repeated_passages(table(spark, sf_dir, "documents"))
+    span = F.struct("start", "end", "n_lines", "n_words", "first_doc_id")
+    return found.groupBy("doc_id", "key").agg(F.sum("n_words").alias("removed_words"), F.array_sort(F.collect_list(span)).alias("passages")).drop("key")
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op5_quality, op7_toxicity, op9_tokens, op10_passages)}
 SQL: dict[str, str] = {}
