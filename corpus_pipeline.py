@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import toxicity
+from eventlake.llm import decontam, mixing, neardup, tokens, toxicity
 from eventlake.llm.tables import stored, table
 
 
@@ -13,7 +13,28 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
-STAGES = [("toxicity", toxic_out)]
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    return neardup.drop_near_duplicates(docs, size=5, percent=80)
+
+
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that hold a benchmark item."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and drops documents so that each source's words come near its target."""
+    return mixing.mixed(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the corpus as packed token ids and lists its documents, as read back."""
+    return tokens.tokenized(docs)
+
+
+STAGES = [("toxicity", toxic_out), ("near duplicates", one_of_each_group), ("decontamination", benchmark_out),
+          ("mixing", mix_sources), ("tokens", token_files)]
 
 ORACLE_SQL = None  # learned models and hashed draws have no SQL form
 
@@ -22,5 +43,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; every stage is written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, linededup, mixing, neardup, quality, tokens, toxicity
+from eventlake.llm import decontam, fixity, language, linededup, mixing, neardup, ngrams, quality, tokens, toxicity
 from eventlake.llm.tables import remainder, stored, table
 
 
@@ -31,12 +31,36 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draw(rows).select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards")
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, by BM25 with block-max pruning and verified overlap."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees over document statistics, fitted to the quality labels."""
     docs = table(spark, sf_dir, "documents")
     return quality.quality_rules(docs, quality.train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC files, and a replica in which every 1009th record is damaged, audited by Merkle trees."""
+    return fixity.audited(table(spark, sf_dir, "pages"), 1009, 7)
+
+
+OP6_SQL = """
+WITH records AS (
+  SELECT page_id, chr(0) || 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html
+    || chr(13) || chr(10) || chr(13) || chr(10) AS bytes
+  FROM pages)
+SELECT page_id, CAST(strlen(bytes) - 1 AS BIGINT) AS n_bytes, sha256(bytes) AS digest,
+       CASE WHEN page_id % 1009 = 7 THEN 'corrupt' ELSE 'intact' END AS state
+FROM records
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Noisy-or of sentence scores, learned from three quarters of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +70,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("spans", lambda s: s["sentence"]).alias("sentences"))
 
 
+def op8_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted backoff automaton over nine tenths of the corpus, scoring all of it."""
+    docs = table(spark, sf_dir, "documents")
+    return ngrams.score_texts(docs, remainder("doc_id", 10) != 0).select(
+        "doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids in packed blocks, written in document order and read back."""
     return tokens.tokenized(table(spark, sf_dir, "documents"))
@@ -58,5 +89,5 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "key").agg(F.sum("n_words").alias("removed_words"), F.array_sort(F.collect_list(span)).alias("passages")).drop("key")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op5_quality, op7_toxicity, op9_tokens, op10_passages)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op4_decontam, op5_quality, op6_fixity, op7_toxicity, op8_ngrams, op9_tokens, op10_passages)}
+SQL: dict[str, str] = {"op6_fixity": OP6_SQL}
