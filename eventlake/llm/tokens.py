@@ -136,7 +136,7 @@ class PieceEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2,
-                 segment_ids: int = SEGMENT_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
+                 segment_ids: int = SEGMENT_IDS, block_bytes: int = 1 << 21, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text, appends ``end_id`` and writes the ids in ascending order of the document id.
 
     Rows are dealt out by ranges of the id (null first, repeated ids by a hash
@@ -160,7 +160,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json
                 ["part", "seq", "n_ids", "doc_ids", "lengths", "payload"])
 
         for batch in batches:
-            for block in blocks(batch.column(1), 1 << 21):
+            for block in blocks(batch.column(1), block_bytes):
                 ids, lengths = encoder.encode_block(block)
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 held.append((batch.column(0).slice(block.first, block.n), ids, lengths + 1))
