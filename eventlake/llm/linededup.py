@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.tables import stored
@@ -72,22 +72,22 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in blocks(batch.column(2)):
+        for block in blocks(batch.column(1)):
             found = lines(block)
             hashes = Hasher(block.data)(found.starts[found.chunk[:-1]], found.ends[found.chunk[1:] - 1])
             row = np.repeat(np.arange(block.n), np.diff(found.chunk_rows))
             seq = np.arange(len(row)) - found.chunk_rows[row]
-            part = batch.select(["doc_id", "key"]).take(pa.array(block.first + row))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(seq.astype(np.int32)), pa.array(hashes.view(np.int64))],
-                                             ["doc_id", "key", "seq", "hash"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(block.first + row)), pa.array(seq.astype(np.int32)), pa.array(hashes.view(np.int64)),
+                 pa.array(np.diff(found.chunk).astype(np.int32))], ["key", "seq", "hash", "lines"])
 
 
-_PIECE = ("doc_id long, key long, seq int, first int, last int, starts array<long>, ends array<long>, n_words array<int>, "
+_PIECE = ("doc_id long, key long, low int, high int, first int, starts array<long>, ends array<long>, n_words array<int>, "
           "before array<binary>, body array<binary>, after array<binary>")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked chunks of each document, as lines with their places, and the lines next to them."""
+    """The asked runs of chunks of each document, as lines with their places, and the lines next to them."""
     for batch in batches:
         for block in blocks(batch.column(2)):
             found, raw = lines(block), block.data.tobytes()
@@ -95,14 +95,14 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(block.n):
                 doc_id, key = batch.column(0)[block.first + r].as_py(), batch.column(1)[block.first + r].as_py()
                 base, low, high = int(block.rows[r]), int(found.rows[r]), int(found.rows[r + 1])
-                for seq in batch.column(3)[block.first + r].as_py():
-                    c = int(found.chunk_rows[r]) + seq
-                    a, b = int(found.chunk[c]), int(found.chunk[c + 1])
+                for span in batch.column(3)[block.first + r].as_py():
+                    a = int(found.chunk[found.chunk_rows[r] + span["low"]])
+                    b = int(found.chunk[found.chunk_rows[r] + span["high"] + 1])
                     near = [(max(low, a - BEFORE), a), (a, b), (b, min(high, b + AFTER))]
-                    texts = [[raw[found.starts[i]:found.ends[i]] for i in range(*span)] for span in near]
+                    texts = [[raw[found.starts[i]:found.ends[i]] for i in range(*part)] for part in near]
                     wide = slice(near[0][0], near[2][1])
-                    out.append((doc_id, key, seq, a - low, b - low, (found.starts[wide] - base).tolist(), (found.ends[wide] - base).tolist(),
-                                found.n_words[wide].tolist(), *texts))
+                    out.append((doc_id, key, span["low"], span["high"], near[0][0] - low, (found.starts[wide] - base).tolist(),
+                                (found.ends[wide] - base).tolist(), found.n_words[wide].tolist(), *texts))
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()),
                          pa.list_(pa.int32()), *[pa.list_(pa.binary())] * 3]
@@ -111,69 +111,105 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks equal to their first occurrence, grown over equal neighbours: one row for each line."""
+    """The lines of each run that equal those of its first occurrence, byte by byte, and equal neighbours on either side."""
     for batch in batches:
         out = []
         for row in batch.to_pylist():
             own, other = row["own"], row["other"]
-            if own["body"] != other["body"]:
-                continue
+            equal = [x == y for x, y in zip(own["body"], other["body"], strict=False)]
             low = high = 0
             for x, y in zip(reversed(own["before"]), reversed(other["before"]), strict=False):
-                if x != y:
+                if x != y or not equal[0]:
                     break
                 low += 1
             for x, y in zip(own["after"], other["after"], strict=False):
-                if x != y:
+                if x != y or not equal[-1]:
                     break
                 high += 1
             skip = len(own["before"])
-            for k in range(skip - low, skip + len(own["body"]) + high):
-                out.append((row["doc_id"], row["key"], own["first"] - skip + k, own["starts"][k], own["ends"][k], own["n_words"][k], row["first_doc_id"]))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            at = [*range(skip - low, skip), *(skip + k for k, same in enumerate(equal) if same),
+                  *range(skip + len(own["body"]), skip + len(own["body"]) + high)]
+            out.append((own["doc_id"], row["key"], [own["first"] + k for k in at], [own["starts"][k] for k in at], [own["ends"][k] for k in at],
+                        [own["n_words"][k] for k in at], other["doc_id"]))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
         columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)],
                                          ["doc_id", "key", "line", "start", "end", "n_words", "first_doc_id"])
 
 
+def _joined_runs(least_lines: int, least_words: int):
+    """One document's matched lines, put together to passages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                covered: dict[int, tuple] = {}
+                for m in row["matches"]:
+                    for line, *place in zip(m["line"], m["start"], m["end"], m["n_words"], strict=True):
+                        firsts = [x for x in (m["first_doc_id"], covered.get(line, (None,))[-1]) if x is not None]
+                        covered[line] = (*place, min(firsts, default=None))
+                order = np.array(sorted(covered))
+                for part in np.split(order, np.flatnonzero(np.diff(order) > 1) + 1):
+                    found = [covered[int(k)] for k in part]
+                    n_words = sum(x[2] for x in found)
+                    if len(found) >= least_lines and n_words >= least_words:
+                        firsts = [x[3] for x in found if x[3] is not None]
+                        out.append((row["doc_id"], row["key"], found[0][0], found[-1][1], len(found), n_words, min(firsts, default=None)))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns],
+                                             ["doc_id", "key", "start", "end", "n_lines", "n_words", "first_doc_id"])
+    return run
+
+
+def _perhaps_among(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Leaves out most rows whose ``key`` isn't asked for, before they are shuffled: a bitmap of 2**24 places, 2 MB at most."""
+    place = F.pmod("key", F.lit(1 << 24))
+    bitmaps = asked.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = rows.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("bucket"))
+    return marked.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Passages that stand earlier in the corpus, one row each.
+    """Passages that stand in another place of the corpus as well, one row each; the first place is left out.
 
     ``start`` and ``end`` are byte bounds in the document's UTF-8 text,
-    ``first_doc_id`` is the smallest document id among the first occurrences
-    of its chunks. A passage is a run of repeated neighbouring lines of
-    ``least_lines`` and ``least_words`` at least; the first occurrence, by
-    document id (null first), key and place, stays. Rows of the same id and text are one
-    document. Null and empty texts have no lines.
-
-    Chunk hashes are counted with partial sums, and only chunks found twice
-    carry text through a shuffle: a chunk that is everywhere is joined
-    with its single first occurrence.
+    ``first_doc_id`` is the document of the first place (the smallest id, where
+    parts have several). A passage is a run of repeated neighbouring lines of
+    ``least_lines`` and ``least_words`` at least; repeated chunks that follow
+    each other in both places must cover ``least_lines`` lines of it. First is what has the
+    smallest hash of id and text, then what stands first in the text. Rows of
+    the same id and text are one document. Null and empty texts have no lines.
+
+    Chunk hashes are counted with partial sums, and a chunk that is everywhere is joined
+    with its single first place. Of texts only those with a run to
+    compare are shuffled, and runs, not chunks, carry their text to the comparison.
     """
     rows = _keyed(docs, id_col, text_col)
-    chunks = stored(rows.mapInArrow(_chunks, "doc_id long, key long, seq int, hash long"), "line-chunks")
-    place = F.struct("doc_id", "key", "seq")
-    firsts = chunks.groupBy("hash").agg(F.min(place).alias("at"), F.max(place).alias("final")).where(~F.col("at").eqNullSafe(F.col("final")))
-    links = chunks.join(firsts.select("hash", F.col("at.doc_id").alias("first_doc_id"), F.col("at.key").alias("first_key"), F.col("at.seq").alias("first_seq")), "hash")
-    links = links.where((F.col("key") != F.col("first_key")) | (F.col("seq") != F.col("first_seq"))).distinct()
-    links = stored(links.drop("hash"), "line-links")
-    asked = links.select("key", "seq").union(links.select("first_key", "first_seq")).distinct().groupBy("key").agg(F.collect_list("seq").alias("seqs"))
-    asked_texts = rows.dropDuplicates(["doc_id", "key"]).join(asked, "key").select("doc_id", "key", "text", "seqs")
-    pieces = stored(asked_texts.mapInArrow(_pieces, _PIECE), "line-pieces")
-
-    def as_struct(name: str) -> Column:
-        return F.struct("first", "starts", "ends", "n_words", "before", "body", "after").alias(name)
-
-    own = pieces.select("key", "seq", as_struct("own"))
-    other = pieces.select(F.col("key").alias("first_key"), F.col("seq").alias("first_seq"), as_struct("other"))
-    found = links.join(own, ["key", "seq"]).join(other, ["first_key", "first_seq"]).select("doc_id", "key", "first_doc_id", "own", "other")
-    covered = found.mapInArrow(_matched, "doc_id long, key long, line int, start long, end long, n_words int, first_doc_id long")
-    covered = covered.groupBy("key", "line").agg(*[F.min(c).alias(c) for c in ("doc_id", "start", "end", "n_words", "first_doc_id")])
-    run = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
-    passages = covered.withColumn("run", run).groupBy("key", "run").agg(
-        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_lines"),
-        F.sum("n_words").alias("n_words"), F.min("first_doc_id").alias("first_doc_id"))
-    return passages.where((F.col("n_lines") >= least_lines) & (F.col("n_words") >= least_words)).drop("run")
+    chunks = stored(rows.select("key", "text").mapInArrow(_chunks, "key long, seq int, hash long, lines int"), "line-chunks")
+    firsts = chunks.groupBy("hash").agg(F.min(F.struct("key", "seq")).alias("at"), F.count("*").alias("n")).where("n > 1")
+    links = chunks.join(firsts.select("hash", F.col("at.key").alias("first_key"), F.col("at.seq").alias("first_seq")), "hash")
+    links = links.where("key != first_key or seq != first_seq").withColumn("shift", F.col("seq") - F.col("first_seq"))
+    together = Window.partitionBy("key", "first_key", "shift")
+    runs = links.withColumn("run", F.col("seq") - F.dense_rank().over(together.orderBy("seq"))).groupBy("key", "first_key", "shift", "run").agg(
+        F.min("seq").alias("low"), F.max("seq").alias("high"), F.sum("lines").alias("lines")).where(F.col("lines") >= least_lines)
+    runs = stored(runs.select("key", "low", "high", "first_key", (F.col("low") - F.col("shift")).alias("first_low"),
+                              (F.col("high") - F.col("shift")).alias("first_high")), "line-runs")
+    spans = runs.select("key", "low", "high").union(runs.select("first_key", "first_low", "first_high")).distinct()
+    asked = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    texts = _perhaps_among(rows, spans.select("key")).join(asked, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "spans")
+    pieces = stored(texts.mapInArrow(_pieces, _PIECE), "line-pieces")
+    whole = F.struct("doc_id", "first", "starts", "ends", "n_words", "before", "body", "after")
+    own = pieces.select("key", "low", "high", whole.alias("own"))
+    other = pieces.select(F.col("key").alias("first_key"), F.col("low").alias("first_low"), F.col("high").alias("first_high"),
+                          F.struct("doc_id", "before", "body", "after").alias("other"))
+    met = runs.join(own, ["key", "low", "high"]).join(other, ["first_key", "first_low", "first_high"]).select("key", "own", "other")
+    matched = met.mapInArrow(_matched, "doc_id long, key long, line array<int>, start array<long>, end array<long>, n_words array<int>, first_doc_id long")
+    by_document = matched.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.collect_list(F.struct("line", "start", "end", "n_words", "first_doc_id")).alias("matches"))
+    return by_document.select("doc_id", "key", "matches").mapInArrow(
+        _joined_runs(least_lines, least_words), "doc_id long, key long, start long, end long, n_lines long, n_words long, first_doc_id long")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
