@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import stored
+from eventlake.llm.tables import perhaps_among, stored
 from eventlake.llm.text import Block, Hasher, blocks, mix, words
 
 SPAN = 2
@@ -161,16 +161,6 @@ def _joined_runs(least_lines: int, least_words: int):
     return run
 
 
-def _perhaps_among(rows: DataFrame, asked: DataFrame) -> DataFrame:
-    """Leaves out most rows whose ``key`` isn't asked for, before they are shuffled: a bitmap of 2**24 places, 2 MB at most."""
-    place = F.pmod("key", F.lit(1 << 24))
-    bitmaps = asked.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    marked = rows.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("bucket"))
-    return marked.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
-
-
 def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages that stand in another place of the corpus as well, one row each; the first place is left out.
 
@@ -198,7 +188,7 @@ def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int =
                               (F.col("high") - F.col("shift")).alias("first_high")), "line-runs")
     spans = runs.select("key", "low", "high").union(runs.select("first_key", "first_low", "first_high")).distinct()
     asked = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    texts = _perhaps_among(rows, spans.select("key")).join(asked, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "spans")
+    texts = perhaps_among(rows, spans.select("key"), "key").join(asked, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "spans")
     pieces = stored(texts.mapInArrow(_pieces, _PIECE), "line-pieces")
     whole = F.struct("doc_id", "first", "starts", "ends", "n_words", "before", "body", "after")
     own = pieces.select("key", "low", "high", whole.alias("own"))

@@ -2,8 +2,8 @@
 
 A document's set holds the hashes of its word shingles. Equal sets form
 classes, and each class goes on as one representative. Minima of ``BANDS`` x
-``ROWS`` hash functions are taken; bands of whole minima give candidate
-buckets, and only the low ``BITS`` bits of each minimum are kept, packed into
+``ROWS`` hash functions, and of some more, are taken; bands of whole minima give candidate
+buckets, and only the low ``BITS`` bits of all minima are kept, packed into
 words, to estimate the similarity of a candidate pair by counting bits. What
 the estimate doesn't rule out is confirmed on the full sets.
 """
@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import stored
+from eventlake.llm.tables import perhaps_among, stored
 from eventlake.llm.text import LOWER, Block, Hasher, blocks, distinct, mix, shingles, words
 
 # A pair of similarity 0.8 misses all bands with probability (1 - 0.8^6)^45 = 1.2e-6.
 BANDS, ROWS, BITS = 45, 6, 2
-# Six standard deviations of the estimate at similarity 0.8 below 0.8: sqrt(0.85 * 0.15 / 270) / 0.75 * 6 = 0.17.
-MARGIN = 0.18
+FUNCTIONS = 1440  # whose low bits are kept; the first BANDS * ROWS make the bands
+# 4.5 standard deviations of the estimate at similarity 0.8: sqrt(0.85 * 0.15 / 1440) / 0.75 * 4.5, missed with 3.4e-6.
+MARGIN = 0.057
+CELL_ROWS = 1500  # of one bucket that meet in one task
 
 
 def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,13 +47,13 @@ def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
-    return rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32), rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return rng.integers(0, 1 << 32, FUNCTIONS, dtype=np.uint32), rng.integers(0, 1 << 31, FUNCTIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def minima(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Minimum of each hash function over each non-empty set: (sets x functions) of 32 bits."""
     folded = (keys >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(bounds) - 1, BANDS * ROWS), np.uint32)
+    out = np.empty((len(bounds) - 1, FUNCTIONS), np.uint32)
     for k, (flip, factor) in enumerate(zip(*_functions(), strict=True)):
         out[:, k] = np.minimum.reduceat((folded ^ flip) * factor, bounds[:-1])
     return out
@@ -59,7 +61,7 @@ def minima(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     """One 64-bit bucket for each band: its minima and its number."""
-    grouped = low.reshape(len(low), BANDS, ROWS).astype(np.uint64)
+    grouped = low[:, :BANDS * ROWS].reshape(len(low), BANDS, ROWS).astype(np.uint64)
     keys = np.arange(BANDS, dtype=np.uint64)[None] * np.uint64(0x9E3779B97F4A7C15)
     for k in range(ROWS):
         keys = mix(keys + grouped[:, :, k])
@@ -80,7 +82,7 @@ def packed_bits(low: np.ndarray) -> np.ndarray:
 
 def estimate(a: Column, b: Column) -> Column:
     """Similarity of two packed signatures, corrected for low bits that agree by chance."""
-    n, words_each = BANDS * ROWS, -(-BANDS * ROWS // 64)
+    n, words_each = FUNCTIONS, -(-FUNCTIONS // 64)
     differing = sum((F.bit_count(_any_bit(a, b, k, words_each)) for k in range(words_each)), F.lit(0))
     chance = 1 / (1 << BITS)
     return ((1 - differing / n) - chance) / (1 - chance)
@@ -140,6 +142,51 @@ def _linked(percent: int):
     return run
 
 
+def _across(percent: int):
+    """Pairs of different components in sorted cells of buckets, each pair in the first band that its two share."""
+    cut = 1 - (percent / 100 - MARGIN)
+    chance = 1 / (1 << BITS)
+    most = FUNCTIONS * (1 - chance) * cut  # differing places
+
+    def pairs(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids, component, n = (cell.column(c).to_numpy() for c in ("id", "component", "n"))
+        if len(ids) < 2 or (component == component[0]).all():
+            return ids[:0], ids[:0]
+        bits = np.array(cell.column("bits").to_pylist(), np.int64).view(np.uint64).reshape(len(ids), BITS, -1)
+        bands = np.array(cell.column("bands").to_pylist(), np.int64)
+        bucket, out = cell.column("bucket")[0].as_py(), []
+        for i in range(len(ids) - 1):
+            rest = np.arange(i + 1, len(ids))
+            near = (component[rest] != component[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            rest = rest[near]
+            if len(rest):
+                apart = np.bitwise_or.reduce(bits[rest] ^ bits[i], axis=1)
+                rest = rest[np.bitwise_count(apart).sum(1) <= most]
+            if len(rest):
+                first = bands[i][(bands[rest] == bands[i]).argmax(1)]
+                out.extend((ids[i], ids[j]) for j in rest[first == bucket])
+        a, b = (np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (ids[:0], ids[:0])
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            where = np.stack([held.column(c).to_numpy() for c in ("bucket", "cell")], axis=1)
+            starts = np.concatenate([[0], np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1])
+            for low, high in zip(starts[:-1], starts[1:], strict=True):
+                if high - low > 1:
+                    a, b = pairs(held.slice(low, high - low))
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            held = held.slice(starts[-1])
+        if held is not None:
+            a, b = pairs(held)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
 def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: int = 2) -> DataFrame:
     """Component of each document under links of ``percent`` similarity or more.
 
@@ -150,12 +197,14 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     equal sets are sought for one of them. A row without an id takes the
     component of an equal set, if any.
 
-    Copies are never expanded into pairs. In ``stars`` rounds each
-    representative is compared with one other of its buckets, the one with the best
-    estimate among the buckets' hubs; what is linked becomes one
-    component. Only buckets that still hold several components have the pairs
-    across components compared, so every link that the bands see is confirmed or refuted unless
-    its ends are in one component anyway.
+    Copies are never expanded into pairs. A bucket's hub is its member with the
+    most company over all its buckets, which in a group of copies is the text
+    they were made from. Each representative is compared with the
+    hub it resembles most, and what is linked becomes one component. ``stars`` such rounds
+    are made, the later ones with any other hub. Only buckets that
+    still hold several components have the pairs across components compared, so
+    every link that the bands see is confirmed or refuted unless its ends are in
+    one component anyway.
     """
     texts = rows.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     profiles = stored(texts.mapInArrow(_profiles(size), "id long, n long, f1 long, f2 long, bands array<long>, bits array<long>"), "profiles")
@@ -165,8 +214,10 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     reps = filled.join(at_rep, ["id", "f1", "f2", "n"], "left_semi").select("id", "n", "bands", "bits").dropDuplicates(["id"])
     reps = stored(reps, "representatives")
     members = reps.select("id", F.explode("bands").alias("bucket"))
-    busy = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
+    busy = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(busy, "bucket"), "bucket-members")
+    company = members.groupBy("id").agg(F.sum("size").alias("company"))
+    members = stored(members.select("id", "bucket").join(company, "id"), "bucket-company")
     signatures = reps.select("id", "n", "bits")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -179,7 +230,7 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     def confirmed(pairs: DataFrame, purpose: str) -> DataFrame:
         pairs = stored(pairs, purpose)
         needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = stored(texts.join(needed, "id", "left_semi").mapInArrow(_sets(size), "id long, items binary"), "sets")
+        sets = stored(perhaps_among(texts, needed, "id").join(needed, "id", "left_semi").mapInArrow(_sets(size), "id long, items binary"), "sets")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_linked(percent), "a long, b long"), "links")
@@ -188,9 +239,8 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     labels = reps.select("id", F.col("id").alias("component"))
     for turn in range(stars):
         labelled = members.join(labels, "id") if turn else members.withColumn("component", F.col("id"))
-        # A bucket's hub: of the smallest component at first, then of the largest.
-        pick = F.min if turn % 2 == 0 else F.max
-        hubs = labelled.groupBy("bucket").agg(pick(F.struct("component", "id")).alias("hub"))
+        rank = F.col("company") if turn == 0 else F.xxhash64("id", F.lit(turn))
+        hubs = labelled.groupBy("bucket").agg(F.max(F.struct(rank, "component", "id")).alias("hub"))
         spokes = labelled.join(hubs, "bucket").where(F.col("component") != F.col("hub.component")).select(
             F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), "id")
         met = plausible(spokes.select("a", "b"))
@@ -199,13 +249,16 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
         links = found if links is None else links.union(found)
         labels = stored(components(reps.select("id"), links), "labels")
     labelled = members.join(labels, "id")
-    split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    labelled = stored(labelled.join(split, "bucket").join(signatures, "id"), "split-buckets")
-    left, right = (labelled.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "bits")]) for s in "ab")
-    across = left.join(right, "bucket").where(
-        (F.col("component_a") < F.col("component_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (estimate(F.col("bits_a"), F.col("bits_b")) >= percent / 100 - MARGIN))
-    across = across.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    split = labelled.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
+    # A large bucket is dealt into parts, and every two parts meet in a cell of their own.
+    parts = F.ceil(F.col("size") / CELL_ROWS).cast("long")
+    part = F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts"))
+    open_members = labelled.select("id", "bucket", "component").join(split.select("bucket", parts.alias("parts")), "bucket")
+    open_members = open_members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    cells = open_members.select("id", "bucket", "component", (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).alias("cell"))
+    full = cells.join(reps.select("id", "n", "bits", "bands"), "id").repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "id")
+    across = full.select("bucket", "cell", "id", "component", "n", "bits", "bands").mapInArrow(_across(percent), "a long, b long").distinct()
     links = links.union(confirmed(across, "across"))
     labels = stored(components(reps.select("id"), links), "labels")
     by_class = classes.join(labels.withColumnRenamed("id", "rep"), "rep").select("f1", "f2", "n", "component")

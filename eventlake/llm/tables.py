@@ -30,5 +30,21 @@ def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(_HASH_SPAN)) < int(_HASH_SPAN * bound / n))
 
 
+def perhaps_among(rows: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """Leaves out most rows whose ``key`` (a long) isn't asked for, before they are shuffled.
+
+    Goes by a bitmap of 2**24 places, 2 MB at most, which is broadcast: a row
+    that is asked for always stays, others stay where their places collide.
+    """
+    places = 1 << 24
+    wanted = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(places))
+    bitmaps = asked.groupBy(F.bitmap_bucket_number(wanted).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(wanted)).alias("__bits"))
+    bit = F.bitmap_bit_position(wanted)
+    byte = F.conv(F.hex(F.substring("__bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = rows.join(F.broadcast(bitmaps), F.bitmap_bucket_number(wanted) == F.col("__bucket"))
+    return marked.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*[f"`{c}`" for c in rows.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
