@@ -23,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.llm import packing
 from eventlake.llm.tables import stored
 from eventlake.llm.text import LOWER, Hasher, blocks, words
 
 STATE_SHARE = 1e-5       # so at most 100,000 words are states
 LEAST_PAIR = 2
 DISCOUNT = 0.75
-BLOCK_BYTES = 16 << 20   # of text whose requests are made together
+BLOCK_BYTES = 8 << 20   # of text whose requests are made together
 END = 1                  # stands for the end token among the 64-bit word hashes
 _SHIFT = 20              # a pair is (state << _SHIFT) + state
 
@@ -42,7 +43,7 @@ def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def row() -> pa.RecordBatch:
         vocabulary, token = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
         fields = [(part << 32) + seq, sum((x[0] for x in held), []), sum((x[1] for x in held), []), np.concatenate([x[3] for x in held]).tolist(),
-                  vocabulary.tobytes(), token.astype(np.int32).tobytes()]
+                  vocabulary.tobytes(), packing.encode(token.astype(np.uint32))]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([f], k) for f, k in zip(fields, kinds, strict=True)],
                                           ["block", "ids", "train", "lengths", "vocabulary", "tokens"])
@@ -71,7 +72,7 @@ def _token_requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for block in batch.to_pylist():
             keys = np.frombuffer(block["vocabulary"], np.int64)
             train = np.repeat(np.array(block["train"], bool), block["lengths"])
-            count = np.bincount(np.frombuffer(block["tokens"], np.int32)[train], minlength=len(keys))
+            count = np.bincount(packing.decode(block["tokens"])[train], minlength=len(keys))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(keys), block["block"])), pa.array(np.arange(len(keys), dtype=np.int32)), pa.array(keys), pa.array(count.astype(np.int32))],
                 ["block", "place", "key", "n"])
@@ -88,7 +89,7 @@ def _pairs(block: dict, states: np.ndarray) -> np.ndarray:
         state = np.where(states[place] == keys, place + 1, -1)
     else:
         state = np.full(len(keys), -1)
-    at = state[np.frombuffer(block["tokens"], np.int32)]
+    at = state[packing.decode(block["tokens"])]
     before = np.concatenate([[0], at[:-1]])
     before[np.cumsum([0, *block["lengths"]])[:-1]] = 0
     return np.where((at > 0) & (before >= 0), (before << _SHIFT) + at, -1), before
@@ -151,7 +152,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         place, value = answers.column("place").to_numpy(), answers.column("c").to_numpy()
         is_pair = answers.column("is_pair").to_numpy(zero_copy_only=False)
         for block in left.to_pylist():
-            token = np.frombuffer(block["tokens"], np.int32)
+            token = packing.decode(block["tokens"])
             count = np.zeros(len(block["vocabulary"]) // 8)
             count[place[~is_pair]] = value[~is_pair]
             unigram = (count + 0.1) / (n + 0.1 * (v + 1))
