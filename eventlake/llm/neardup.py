@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
 from eventlake.llm.tables import perhaps_among, stored
-from eventlake.llm.text import LOWER, Block, Hasher, blocks, distinct, mix, shingles, words
+from eventlake.llm.text import LOWER, Block, Hasher, blocks, distinct, mix, shingles, views, words
 
 # A pair of similarity 0.8 misses all bands with probability (1 - 0.8^6)^45 = 1.2e-6.
 BANDS, ROWS, BITS = 45, 6, 2
@@ -134,7 +134,7 @@ def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for x, y in zip(views(batch.column(2)), views(batch.column(3)), strict=True):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))

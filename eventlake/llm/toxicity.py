@@ -81,8 +81,10 @@ def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.
         return ToxicityModel(weights.astype(np.float32), -20.0)
     sentence_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(rows))
     owner = np.repeat(np.arange(len(words) - 1, dtype=np.int32), np.diff(words))
-    seen = np.unique(bucket.astype(np.int64) * n + sentence_row[owner])
-    used = np.flatnonzero(np.bincount(seen // n, minlength=BUCKETS) >= least_docs)
+    holders = np.zeros(BUCKETS, np.int32)
+    for low, high in zip(words[rows[:-1]], words[rows[1:]], strict=True):
+        holders[np.unique(bucket[low:high])] += 1
+    used = np.flatnonzero(holders >= least_docs)
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     word = place[bucket]
