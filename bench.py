@@ -79,11 +79,12 @@ def workloads(spark, topics):
     return {
         "filter": ("lines", lambda: upserts(decoded("lines"))),
         "broadcast_join": ("lines", lambda: orders.enriched_orders(batch("lines"), products)),
-        "shuffled_join": ("lines", lambda: joins.broadcast_enrich(
-            orders.order_rows(batch("lines")), products, "product_id", orders.DIM_COLS, max_rows=0)),
-        "asof_join": ("lines", lambda: orders.versioned_orders(batch("lines"), versions)),
+        "shuffled_join": ("lines", lambda: joins.enrich(
+            orders.order_rows(batch("lines")), products.hint("merge"), "product_id", orders.DIM_COLS)),
+        "asof_join": ("lines", lambda: orders.versioned_orders(
+            batch("lines"), versions, few_versions=True)),
         "asof_join_chunked": ("lines", lambda: orders.versioned_orders(
-            batch("lines"), versions, max_rows=0)),
+            batch("lines"), versions)),
         "latest_state": ("orders", lambda: changes.latest_state(
             keyed(decoded("orders")), ["order_id"], ["source_lsn", "raw_offset"])),
         "window_1h": ("clicks", lambda: hourly(activity.clicks(batch("clicks")))),

@@ -12,13 +12,15 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.plans import activity, operations, orders
-from eventlake.session import build_session
+from eventlake.session import build_session, ship_package
 from eventlake.sinks.broadcast import BroadcastSink
 from eventlake.sinks.columnar import ColumnarSink
 from eventlake.sources.broker import (
-    CLICKS_PER_TRIGGER, IAM_OPTIONS, ORDERS_PER_TRIGGER, BrokerSource, file_stream,
+    ARCHIVE_PER_TRIGGER, CLICKS_PER_TRIGGER, IAM_OPTIONS, ORDERS_PER_TRIGGER,
+    TXNS_PER_TRIGGER, BrokerSource, file_stream,
 )
 from eventlake.sources.tables import read_table
+from eventlake.streaming.progress import ProgressListener
 from eventlake.streaming.runs import TRIGGERS
 
 # Topics the jobs read, and their rate limits.
@@ -27,10 +29,11 @@ TOPICS = {
     "versioned-orders": ("cdc.public.orders", ORDERS_PER_TRIGGER),
     "stages": ("cdc.public.orders", ORDERS_PER_TRIGGER),
     "clickstream": ("app.clickstream", CLICKS_PER_TRIGGER),
-    "alerting": ("app.transactions", None),
-    "dedup": ("app.transactions", None),
-    "archive": (None, None),
+    "alerting": ("app.transactions", TXNS_PER_TRIGGER),
+    "dedup": ("app.transactions", TXNS_PER_TRIGGER),
+    "archive": (None, ARCHIVE_PER_TRIGGER),
 }
+FLUSH_SECONDS = 60
 
 
 def parser() -> argparse.ArgumentParser:
@@ -89,9 +92,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list:
         if args.job == "stages":
             return orders.run_stages(spark, raw, products, base, pace("orders"))
         if args.job == "versioned-orders":
-            return [orders.run_versioned(raw, products, search, f"{base}/lake", cp, pace("orders"))]
+            return orders.run_versioned(raw, products, search, f"{base}/lake", cp, pace("orders"),
+                                        f"{base}/dead_letters")
         sinks = orders.order_sinks(hot, search, f"{base}/lake", f"{base}/metrics")
-        return orders.run_enrichment(raw, products, sinks, cp, pace("orders"))
+        return orders.run_enrichment(raw, products, sinks, cp, pace("orders"),
+                                     dead_letter_path=f"{base}/dead_letters")
     if args.job == "clickstream":
         return activity.run_clickstream(
             raw, ColumnarSink("country-windows", path=f"{base}/country_page_views_5min"),
@@ -99,21 +104,31 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list:
     if args.job == "alerting":
         return [activity.run_alerting(raw, _alert_sink(args), cp, pace("alerts"))]
     if args.job == "dedup":
-        return [activity.run_dedup_audit(
-            activity.transactions(raw), f"{base}/kept", f"{base}/late", cp, trigger=pace("alerts"))]
+        return activity.run_dedup_audit(
+            activity.transactions(raw), f"{base}/kept", f"{base}/audit", cp, trigger=pace("alerts"))
     return [operations.run_raw_archive(
         raw, f"{base}/archive", f"{base}/dead_letters", cp, None if args.once else "10 minutes")]
 
 
 def main(argv: list[str] | None = None) -> None:
+    """Runs a job; the figures of its micro-batches go to ``<output>/progress`` once a minute."""
     args = parser().parse_args(argv)
     spark = build_session(f"eventlake-{args.job}")
-    queries = start(spark, args)
-    if args.once:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+    ship_package(spark)
+    listener, progress = ProgressListener(), f"{args.output}/progress"
+    spark.streams.addListener(listener)
+    try:
+        queries = start(spark, args)
+        if args.once:
+            for query in queries:
+                query.awaitTermination()
+            listener.wait_for(queries)
+        else:
+            while not spark.streams.awaitAnyTermination(FLUSH_SECONDS):
+                listener.flush(spark, progress)
+    finally:
+        spark.streams.removeListener(listener)
+        listener.flush(spark, progress)
 
 
 if __name__ == "__main__":

@@ -26,7 +26,9 @@ def event_id(lsn: Column, topic: Column, partition: Column, offset: Column) -> C
     return F.coalesce(lsn.cast("string"), fallback)
 
 
-def _flat(decoded: DataFrame, *extra: Column) -> DataFrame:
+def _flat(
+    decoded: DataFrame, *extra: Column, images: tuple[str, ...] = ("before", "after")
+) -> DataFrame:
     return decoded.select(
         event_id(
             F.col("env.source.lsn"), F.col("raw_topic"),
@@ -38,8 +40,7 @@ def _flat(decoded: DataFrame, *extra: Column) -> DataFrame:
         F.col("env.source.schema").alias("source_schema"),
         F.col("env.source.table").alias("source_table"),
         F.col("env.source.lsn").alias("source_lsn"),
-        F.col("env.before").alias("before"),
-        F.col("env.after").alias("after"),
+        *[F.col(f"env.{image}").alias(image) for image in images],
         "raw_offset", "raw_partition", "raw_topic", "kafka_ts",
         *extra,
     )
@@ -66,39 +67,53 @@ def _broker_columns(rows: DataFrame, env: Column, *extra: Column) -> DataFrame:
 
 
 def decode_changes(
-    rows: DataFrame, row_schema: T.StructType, decoder: Decoder = json_decoder
+    rows: DataFrame, row_schema: T.StructType, decoder: Decoder = json_decoder,
+    images: tuple[str, ...] = ("before", "after"),
 ) -> DataFrame:
     """Flat change rows from broker rows; messages without a value are dropped.
 
+    Only the row ``images`` named are parsed; for figures about the changes
+    themselves none are needed.
+
     Works on batch and streaming input. A message that is not valid JSON stays
     as a row of nulls, since permissive decoding yields an empty struct; use
     ``decode_or_reject`` to set such messages aside.
     """
-    decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema)))
-    return _flat(decoded.where(F.col("env").isNotNull()))
-
+    decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema, images)))
+    return _flat(decoded.where(F.col("env").isNotNull()), images=images)
 
-def decode_or_reject(rows: DataFrame, row_schema: T.StructType) -> DataFrame:
-    """Flat change rows plus ``reject_reason`` (null when good) and the raw text.
 
-    One pass over the input: the same frame feeds the good path and the
-    dead-letter path.
-    """
+def _judged(rows: DataFrame, row_schema: T.StructType) -> tuple[DataFrame, Column]:
+    """Parsed messages with their raw text, and why one is no change (null when it is)."""
     schema = T.StructType([
         *envelope_schema(row_schema).fields, T.StructField(_CORRUPT, T.StringType()),
     ])
     text = F.col("value").cast("string")
     env = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    decoded = _broker_columns(rows, env, text.alias("raw_value"))
     # Only a missing value gives a null struct; any text gives a struct.
     reason = (
         F.when(F.col("env").isNull(), "tombstone")
         .when(F.col(f"env.{_CORRUPT}").isNotNull(), "malformed")
         .when(~F.coalesce(F.col("env.op").isin(*ALL_OPS), F.lit(False)), "unknown_op")
     )
+    return _broker_columns(rows, env, text.alias("raw_value")), reason
+
+
+def decode_or_reject(rows: DataFrame, row_schema: T.StructType) -> DataFrame:
+    """Flat change rows plus ``reject_reason`` (null when good) and the raw text.
+
+    One pass over the input: the same frame feeds the good path and the
+    dead-letter path.
+    """
+    decoded, reason = _judged(rows, row_schema)
     return _flat(decoded, F.col("raw_value"), reason.alias("reject_reason"))
 
 
+def decode_good(rows: DataFrame, row_schema: T.StructType) -> DataFrame:
+    """Flat change rows of the messages that are changes; what is left out, ``dead_letters`` has."""
+    return good_changes(decode_or_reject(rows, row_schema))
+
+
 def good_changes(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_value")
 
@@ -115,15 +130,14 @@ def dead_letters(decoded: DataFrame, ignore_tombstones: bool = True) -> DataFram
 
 def changelog(
     rows: DataFrame, row_schema: T.StructType, watermark: str = "10 seconds",
-    decoder: Decoder = json_decoder,
 ) -> DataFrame:
     """Changes as a table of rows: payload columns, ``op``, source time, event time.
 
     The event time is the commit time at the source database (the envelope's own
     time where that is missing) and carries the watermark. A delete shows the row
-    it removed.
+    it removed. Messages that are no changes are left to ``dead_letters``.
     """
-    decoded = _broker_columns(rows, decoder(F.col("value"), envelope_schema(row_schema)))
+    decoded, reason = _judged(rows, row_schema)
     gone = F.col("env.after").isNull()
     image = [
         F.when(gone, F.col(f"env.before.{f.name}")).otherwise(F.col(f"env.after.{f.name}"))
@@ -131,9 +145,10 @@ def changelog(
         for f in row_schema.fields
     ]
     ms = F.col("env.source.ts_ms")
-    flat = decoded.where(F.col("env").isNotNull()).select(
+    flat = decoded.where(reason.isNull()).select(
         *image, F.col("env.op").alias("op"), ms.alias("source_ts_ms"),
         F.timestamp_millis(F.coalesce(ms, F.col("env.ts_ms"))).alias("event_time"),
+        F.col("env.source.lsn").alias("source_lsn"),
         "raw_topic", "raw_partition", "raw_offset",
     )
     return flat.withWatermark("event_time", watermark)

@@ -16,7 +16,7 @@ def _truthy(df: DataFrame, name: str) -> Column:
 
 
 def idempotency_token(df: DataFrame) -> Column:
-    """``lsn:<lsn>``, else ``eid:<event_id>``, else ``koffset:<topic>:<partition>:<offset>``.
+    """``lsn:<lsn>`` (column ``lsn`` or ``source_lsn``), else ``eid:<event_id>``, else ``koffset:<topic>:<partition>:<offset>``.
 
     Empty and zero values fall through, and unknown parts show as ``?``. The
     token derives from data only, so a replay builds the same one.
@@ -30,7 +30,7 @@ def idempotency_token(df: DataFrame) -> Column:
         F.lit("koffset:"),
         F.concat_ws(":", part("raw_topic"), part("raw_partition"), part("raw_offset")),
     )
-    for name, prefix in (("event_id", "eid:"), ("lsn", "lsn:")):
+    for name, prefix in (("event_id", "eid:"), ("source_lsn", "lsn:"), ("lsn", "lsn:")):
         if name in df.columns:
             token = F.when(
                 _truthy(df, name), F.concat(F.lit(prefix), F.col(name).cast("string"))

@@ -7,6 +7,8 @@ deviation of exactly zero, in any order of addition.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ def trailing_stats(
     frame is ever summed anew.
     """
     frame_us = micros(frame)
-    if frame_us % cells:
-        raise ValueError("the frame must be a whole number of cells")
+    # As many cells as divide the frame evenly, ``cells`` at most.
+    cells = next(c for c in range(cells, 0, -1) if frame_us % c == 0)
     width = frame_us // cells
     at = F.unix_micros(time_col)
     units = _units(F.col(amount_col), decimals)
@@ -161,29 +163,29 @@ def _stats_where_needed(
 ) -> DataFrame:
     """The sliding windows some row is scored with, without building all others.
 
-    Rows are combined per (user, pane) on the map side. A window is a run of
+    Rows are combined per (user, pane) on the map side, a pane being the longest
+    time that both a window and a slide are whole numbers of. A window is a run of
     panes, so its figures are a sum over the panes before its end, taken only at
     the ends that have a row right after them. A user's share of the ordered
     step is bounded by the number of panes in the time span.
     """
-    if size_us % step:
-        raise ValueError("the window size must be a whole number of slides")
-    pane = F.floor(F.unix_micros(time_col) / F.lit(step))
+    width = math.gcd(size_us, step)
+    pane = F.floor(F.unix_micros(time_col) / F.lit(width))
     panes = rows.where(F.col(time_col).isNotNull()).groupBy(
         F.col(user_col).alias("__user"), pane.alias("__i")
     ).agg(*_parts(amount_col, decimals))
-    # End e, as a number of slides, of the window a row is scored with.
+    # End e, as a number of panes, of the window a row is scored with.
     ends = rows.where(F.col(time_col).isNotNull()).select(
         F.col(user_col).alias("__user"),
-        F.floor(F.unix_micros("__end") / F.lit(step)).alias("__i"), F.lit(True).alias("__scored"),
+        F.floor(F.unix_micros("__end") / F.lit(width)).alias("__i"), F.lit(True).alias("__scored"),
     ).distinct()
-    within = Window.partitionBy("__user").orderBy("__i").rangeBetween(-(size_us // step), -1)
+    within = Window.partitionBy("__user").orderBy("__i").rangeBetween(-(size_us // width), -1)
     line = panes.unionByName(ends, allowMissingColumns=True)
     sums = line.select(
         "__user", "__i", "__scored", *[F.sum(c).over(within).alias(c) for c in ("c", "n", "s", "sq")]
     )
     return sums.where("__scored and c > 0").select(
-        "__user", F.timestamp_micros(F.col("__i") * step).alias("window_end"),
+        "__user", F.timestamp_micros(F.col("__i") * width).alias("window_end"),
         *_named_stats(decimals),
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.operators.joins import bounded_broadcast
 from eventlake.schemas import OP_DELETE, OP_SNAPSHOT, OP_TRUNCATE
 
 
@@ -31,15 +30,13 @@ def latest_state(
 
 def latest_state_with_truncate(
     changes: DataFrame, table_col: str, keys: list[str], position: list[str],
-    op_col: str = "cdc_op", max_tables: int | None = 10_000,
+    op_col: str = "cdc_op",
 ) -> DataFrame:
     """``latest_state`` over several tables, each cleared by its truncates.
 
     The log is folded first. A key whose newest change precedes the table's last
     truncate has only earlier changes, so comparing the folded row is enough and
-    the truncate positions (one row per table) never meet the raw log. They are
-    broadcast up to ``max_tables`` tables, more stop the query; with None they
-    join by shuffle, whatever their number.
+    the truncate positions (one row per table) never meet the raw log.
     """
     marks = (
         changes.where(F.col(op_col) == OP_TRUNCATE)
@@ -50,8 +47,6 @@ def latest_state_with_truncate(
         changes.where(F.col(op_col) != OP_TRUNCATE), [table_col, *keys], position, op_col
     )
     alive = F.col("__cleared").isNull() | (F.struct(*position) > F.col("__cleared"))
-    if max_tables is not None:
-        marks = bounded_broadcast(marks, max_tables)
     return (
         folded.join(marks, table_col, "left")
         .where(alive).drop("__cleared").select(*changes.columns)
@@ -59,21 +54,57 @@ def latest_state_with_truncate(
 
 
 def merge_guarded(
-    target: DataFrame, updates: DataFrame, keys: list[str], lsn_col: str = "source_lsn",
-    op_col: str | None = None,
+    target: DataFrame, updates: DataFrame, keys: list[str],
+    position: tuple[str, ...] = ("source_lsn", "raw_offset"),
 ) -> DataFrame:
-    """Target after an upsert that only lets newer log positions overwrite.
+    """Target after an upsert that only lets newer positions overwrite.
 
     A new key is inserted; a stale or repeated change (position not above the
-    target's) changes nothing. With ``op_col`` a newer delete removes the key.
+    target's) changes nothing. The position is compared part by part, a missing
+    part counting as lowest, so sources without a log position go by the offset.
+    A delete stays in the target as a row of its own: without it a late update
+    from before the delete would bring the key back. Readers take ``live_rows``;
+    ``drop_tombstones`` ends the retention of old deletes.
     """
     both = target.withColumn("__held", F.lit(1)).unionByName(
         updates.withColumn("__held", F.lit(0)), allowMissingColumns=True
     )
-    newest = latest_changes(both, keys, [lsn_col, "__held"])
-    if op_col:
-        newest = newest.where(F.coalesce(F.col(op_col) != OP_DELETE, F.lit(True)))
-    return newest.drop("__held")
+    return latest_changes(both, keys, [*position, "__held"]).drop("__held")
+
+
+def live_rows(target: DataFrame, op_col: str = "cdc_op") -> DataFrame:
+    """Rows of a merged target that are not deletes."""
+    return target.where(~F.col(op_col).eqNullSafe(OP_DELETE))
+
+
+def drop_tombstones(
+    target: DataFrame, before: Column, time_col: str = "event_time", op_col: str = "cdc_op"
+) -> DataFrame:
+    """Target without the deletes older than ``before``.
+
+    Safe once no change from before that time can arrive any more.
+    """
+    old = F.col(op_col).eqNullSafe(OP_DELETE) & F.coalesce(F.col(time_col) < before, F.lit(False))
+    return target.where(~old)
+
+
+def merge_into_table(
+    updates: DataFrame, table: str, keys: list[str],
+    position: tuple[str, ...] = ("source_lsn", "raw_offset"),
+) -> None:
+    """``merge_guarded`` as ``MERGE INTO`` a lake table that supports row changes.
+
+    The guard belongs to the matched branch: in the join condition a stale row
+    would count as not matched and be inserted. Deletes are stored like other
+    changes, see ``live_rows``.
+    """
+    source = latest_changes(updates, keys, list(position)).alias("u")
+    on = F.lit(True)
+    for key in keys:
+        on = on & (F.col(f"u.{key}") == F.col(f"{table}.{key}"))
+    newer = F.struct(*[F.col(f"u.{c}") for c in position]) > F.struct(
+        *[F.col(f"{table}.{c}") for c in position])
+    source.mergeInto(table, on).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
 
 
 def snapshot_as_changes(

@@ -7,49 +7,16 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.durations import micros
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 256 * 1024 * 1024
 
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether a batch table is proven small, by counting at most ``max_rows + 1`` rows."""
-    text_bytes = F.octet_length(F.to_json(F.struct(*df.columns)))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("b")
-    ).first()
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint with a bound checked while the query runs.
-
-    For small derived tables (one row per source table, per policy) whose count
-    would cost a pass of its own. More than ``max_rows`` rows stop the query, so
-    nothing is ever cut off; callers with more rows use a shuffled join.
-    """
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
-    message = F.lit(f"more than {max_rows} rows on the broadcast side")
-    checked = df.limit(max_rows + 1).withColumn(
-        "__ok", F.when(n <= max_rows, True).otherwise(F.raise_error(message))
-    )
-    return F.broadcast(checked.where("__ok").drop("__ok"))
-
-
-def broadcast_enrich(
-    df: DataFrame, dim: DataFrame, key: str, dim_cols: list[str], how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def enrich(df: DataFrame, dim: DataFrame, key: str, dim_cols: list[str], how: str = "left") -> DataFrame:
     """Join a table or stream with the needed columns of a batch dimension.
 
-    A dimension proven small is broadcast. A larger one joins by shuffle, where
-    adaptive execution splits the partitions of hot keys.
+    No side is forced to be broadcast: the optimizer and adaptive execution
+    choose by the dimension's size at run time, for a stream in each
+    micro-batch, and a shuffled join splits the partitions of hot keys. A hint
+    on ``dim`` still holds.
     """
-    needed = dim.select(key, *dim_cols)
-    if fits_broadcast(needed, max_rows):
-        needed = F.broadcast(needed)
-    return df.join(needed, on=key, how=how)
+    return df.join(dim.select(key, *dim_cols), on=key, how=how)
 
 
 def unmatched_keys(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -160,29 +127,26 @@ def version_intervals(
 
 def asof_join(
     df: DataFrame, versions: DataFrame, key: str, time_col: str, updated_col: str,
-    dim_cols: list[str], max_rows: int = BROADCAST_ROWS, max_versions: int = 32,
-    chunk: str = "1 day",
+    dim_cols: list[str], few_versions: bool = False, chunk: str = "1 day",
 ) -> DataFrame:
     """Left join to the newest version of ``key`` with ``updated_col <= time_col``.
 
-    * Few versions per key in a table proven small: validity intervals, broadcast,
-      joined by key with the interval as residual; the facts are not shuffled.
-    * A stream against a larger table: the same intervals by shuffled join.
+    Versions without a key or a time are never valid, and rows without a key or
+    a time find none. Both routes give the same rows:
+
+    * ``few_versions`` (the caller knows that a key has a handful), and every
+      stream: validity intervals, joined by key with the interval as residual;
+      a small table is broadcast by the optimizer's own choice.
     * Otherwise facts and versions are merged on the time line of each (key,
       chunk of time), after the version valid at the start of every chunk was
       worked out from the versions and the distinct chunks alone. The rows of a
       hot key are spread over its chunks and read once.
     """
-    needed = versions.select(key, updated_col, *dim_cols)
-    small = fits_broadcast(needed, max_rows)
-    if small:
-        most = needed.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        small = most <= max_versions
-    if small or df.isStreaming:
+    needed = versions.select(key, updated_col, *dim_cols).where(
+        F.col(key).isNotNull() & F.col(updated_col).isNotNull())
+    if few_versions or df.isStreaming:
         spans = version_intervals(needed, key, updated_col).drop(updated_col)
         spans = spans.withColumnRenamed(key, "__key")
-        if small:
-            spans = F.broadcast(spans)
         at = F.col(time_col)
         on = (
             (F.col(key) == F.col("__key")) & (at >= F.col("valid_from"))

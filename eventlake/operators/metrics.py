@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.durations import micros
-from eventlake.operators.joins import fits_broadcast
 
 
 def _pname(p: float) -> str:
@@ -204,43 +203,48 @@ def metric_series(points: DataFrame, period: str, keys: list[str] | None = None)
              "avg_value", "max_value", "sum_value", "p99_value", "points")
 
 
-def alarm_runs(points: DataFrame, alarm: Alarm, keys: list[str] | None = None) -> DataFrame:
-    """Runs of consecutive breaching periods at least ``alarm.periods`` long.
+def evaluate_alarms(points: DataFrame, alarms, keys: list[str] | None = None) -> DataFrame:
+    """Runs of consecutive breaching periods, at least as long as their alarm asks for.
 
-    A period without points does not breach, so only breaching periods are
-    ordered per series and no grid of all periods is built.
+    All alarms are judged in one pass: a point meets the alarms of its metric
+    (a short list) and is summed up per alarm, series and period. A period
+    without points does not breach, so only breaching periods are ordered per
+    series and no grid of all periods is built.
     """
     keys = keys or ["dimension"]
-    width = micros(alarm.period)
-    value = _STATISTICS[alarm.statistic]("value")
-    breaching = (
-        points.where(F.col("metric") == alarm.metric)
-        .groupBy(*keys, F.floor(F.unix_micros("ts") / F.lit(width)).alias("__p"))
-        .agg(value.alias("__v"))
-        .where(F.col("__v") > alarm.threshold)
-    )
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__p"))
+    rules = points.sparkSession.createDataFrame(
+        [(a.name, a.metric, a.statistic, micros(a.period), float(a.threshold), a.periods)
+         for a in alarms],
+        "alarm string, __metric string, __statistic string, __width long, __threshold double, "
+        "__least int")
+    met = points.join(rules, F.col("metric") == F.col("__metric"))
+    period = F.floor(F.unix_micros("ts") / F.col("__width")).alias("__p")
+    rule = ["alarm", "__statistic", "__width", "__threshold", "__least"]
+    summed = met.groupBy(*rule, *keys, period).agg(
+        *[f("value").alias(f"__{name}") for name, f in _STATISTICS.items()])
+    value = F.lit(None).cast("double")
+    for name in _STATISTICS:
+        value = F.when(F.col("__statistic") == name, F.col(f"__{name}")).otherwise(value)
+    breaching = summed.withColumn("__v", value).where(F.col("__v") > F.col("__threshold"))
+    nth = F.row_number().over(Window.partitionBy("alarm", *keys).orderBy("__p"))
     return (
         breaching.withColumn("__run", F.col("__p") - nth)
-        .groupBy(*keys, "__run")
+        .groupBy("alarm", "__width", "__least", *keys, "__run")
         .agg(F.min("__p").alias("__first"), F.max("__p").alias("__last"),
              F.count(F.lit(1)).alias("periods"), F.max("__v").alias("worst_value"))
-        .where(F.col("periods") >= alarm.periods)
+        .where(F.col("periods") >= F.col("__least"))
         .select(
-            F.lit(alarm.name).alias("alarm"), *keys,
-            F.timestamp_micros(F.col("__first") * width).alias("breach_start"),
-            F.timestamp_micros((F.col("__last") + 1) * width).alias("breach_end"),
+            "alarm", *keys,
+            F.timestamp_micros(F.col("__first") * F.col("__width")).alias("breach_start"),
+            F.timestamp_micros((F.col("__last") + 1) * F.col("__width")).alias("breach_end"),
             "periods", "worst_value",
         )
     )
 
 
-def evaluate_alarms(points: DataFrame, alarms, keys: list[str] | None = None) -> DataFrame:
-    runs = [alarm_runs(points, alarm, keys) for alarm in alarms]
-    out = runs[0]
-    for more in runs[1:]:
-        out = out.unionByName(more)
-    return out
+def alarm_runs(points: DataFrame, alarm: Alarm, keys: list[str] | None = None) -> DataFrame:
+    """The breaching runs of one alarm."""
+    return evaluate_alarms(points, [alarm], keys)
 
 
 # Rate alerts. Periods are one minute long.
@@ -267,9 +271,11 @@ def growing_lag(
         .groupBy(*keys, F.floor(F.unix_micros("ts") / F.lit(width)).alias("__p"))
         .agg(F.max("value").alias("lag_value"))
     )
-    before = F.lag("lag_value").over(Window.partitionBy(*keys).orderBy("__p"))
+    line = Window.partitionBy(*keys).orderBy("__p")
+    # A gap in the series has no period before.
+    follows = F.lag("__p").over(line) == F.col("__p") - 1
     return (
-        series.withColumn("previous_value", before)
+        series.withColumn("previous_value", F.when(follows, F.lag("lag_value").over(line)))
         .where((F.col("lag_value") > limit) & (F.col("lag_value") > F.col("previous_value")))
         .select(*keys, F.timestamp_micros(F.col("__p") * width).alias("period_start"),
                 "lag_value", "previous_value")
@@ -326,8 +332,6 @@ def retention_actions(
         .when(age_days > F.col("move_days"), "move")
         .otherwise("keep")
     )
-    if fits_broadcast(policy):
-        policy = F.broadcast(policy)
     return (
         df.join(policy, tier_col, "left")
         .withColumn("action", action).drop("keep_days", "move_days")

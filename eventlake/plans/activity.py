@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from eventlake.functions.envelope import decode_json
 from eventlake.operators.anomaly import trailing_alerts, windowed_alerts
 from eventlake.operators.windows import session_window, sliding_window, with_session_seconds
 from eventlake.schemas import CLICK_SCHEMA, TXN_SCHEMA
-from eventlake.sinks.base import Sink, overwrite_partitions
-from eventlake.streaming.dedup import first_per_window_stream
-from eventlake.streaming.runs import TRIGGERS, start_query
+from eventlake.sinks.base import Sink
+from eventlake.streaming.dedup import LateSplit, first_per_window_stream
+from eventlake.streaming.runs import TRIGGERS, batch_table, start_query
 
 
 def clicks(broker_rows: DataFrame) -> DataFrame:
@@ -73,27 +72,22 @@ def run_alerting(broker_rows: DataFrame, sink: Sink, checkpoint: str,
     return start_query(rows, sink.foreach_batch(), f"{checkpoint}/alerts", trigger)
 
 
-def split_late(kept_path: str, late_path: str):
-    """Callback writing kept rows and late rows to their own tables, replay-safe."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            for late, path in ((False, kept_path), (True, late_path)):
-                part = numbered.where(F.col("is_late") == late).drop("is_late")
-                overwrite_partitions(part, path, ["batch_id"])
-        finally:
-            batch.unpersist()
-
-    return on_batch
-
-
 def run_dedup_audit(
-    txns: DataFrame, kept_path: str, late_path: str, checkpoint: str,
-    window: str = "1 hour", allowed: str = "1 hour", slack: str = "24 hours",
+    txns: DataFrame, kept_path: str, late_base: str, checkpoint: str,
+    window: str = "1 hour", allowed: str = "1 hour",
     trigger: str | None = TRIGGERS["alerts"], key: str = "txn_id", time_col: str = "event_time",
-):
-    """Each key once per window; rows beyond the allowed lateness go to the audit table."""
-    rows = first_per_window_stream(txns, key, time_col, window, allowed, slack)
-    return start_query(rows, split_late(kept_path, late_path), f"{checkpoint}/dedup", trigger)
+) -> list:
+    """Each key once per window; rows beyond the allowed lateness go to the audit table.
+
+    Two queries: the first deals rows to ``late_base/on_time`` and
+    ``late_base/late``, the second keeps the first on-time rows. Every row of the
+    input is kept, repeated or late. Without a trigger the first one drains
+    before the second starts.
+    """
+    spark = txns.sparkSession
+    split = LateSplit(spark, late_base, txns.schema, key, time_col, allowed)
+    first = start_query(txns, split, f"{checkpoint}/late", trigger)
+    if trigger is None:
+        first.awaitTermination()
+    rows = first_per_window_stream(split.read_on_time(spark), key, time_col, window, allowed)
+    return [first, start_query(rows, batch_table(kept_path), f"{checkpoint}/dedup", trigger)]

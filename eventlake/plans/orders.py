@@ -6,25 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.functions.envelope import changelog, decode_changes, flatten_after, upserts
-from eventlake.operators.joins import asof_join, broadcast_enrich, with_margin
+from eventlake.functions.envelope import (
+    changelog, dead_letters, decode_good, decode_or_reject, flatten_after, good_changes, upserts,
+)
+from eventlake.operators.joins import asof_join, enrich, with_margin
 from eventlake.operators.quality import ORDER_EXPECTATIONS, enforce
 from eventlake.schemas import ORDER_SCHEMA, UPSERT_OPS
 from eventlake.sinks.document import DocumentSink
 from eventlake.sinks.keyed import KeyedSink
 from eventlake.sinks.lake import LakeSink, lake_rows
-from eventlake.streaming.runs import start_per_sink, start_shared, start_table
+from eventlake.streaming.runs import batch_table, start_per_sink, start_query, start_shared, start_table
 
 DIM_COLS = ["product_name", "category", "brand", "unit_cost"]
 LINEAGE = ("event_id", "event_time", "cdc_op")
-RAW = ("raw_topic", "raw_partition", "raw_offset")
+RAW = ("source_lsn", "raw_topic", "raw_partition", "raw_offset")
+# Newest last: the log position of the source, then the offset in the partition.
+POSITION = ("source_lsn", "raw_offset")
 
 
 def order_rows(
     broker_rows: DataFrame, row_schema: T.StructType = ORDER_SCHEMA, keep: tuple[str, ...] = RAW
 ) -> DataFrame:
-    """Created, updated and snapshot orders as flat rows."""
-    changes = upserts(decode_changes(broker_rows, row_schema))
+    """Created, updated and snapshot orders as flat rows; broken messages are left to the dead letters."""
+    changes = upserts(decode_good(broker_rows, row_schema))
     return flatten_after(changes, row_schema, *LINEAGE, *keep)
 
 
@@ -33,20 +37,19 @@ def enriched_orders(
 ) -> DataFrame:
     """Orders with product columns and margin; works on tables and streams."""
     orders = order_rows(broker_rows, row_schema)
-    return with_margin(broadcast_enrich(orders, products, "product_id", DIM_COLS))
+    return with_margin(enrich(orders, products, "product_id", DIM_COLS))
 
 
 def versioned_orders(
     broker_rows: DataFrame, product_versions: DataFrame, updated_col: str = "_updated_at",
-    row_schema: T.StructType = ORDER_SCHEMA, max_rows: int | None = None,
+    row_schema: T.StructType = ORDER_SCHEMA, few_versions: bool = False,
 ) -> DataFrame:
     """Orders with the product version valid at their event time, margin and date."""
     orders = changelog(broker_rows, row_schema).where(F.col("op").isin(*UPSERT_OPS))
     orders = orders.drop("op", "source_ts_ms")
-    bound = {} if max_rows is None else {"max_rows": max_rows}
     joined = asof_join(
         orders, product_versions, "product_id", "event_time", updated_col,
-        ["product_name", "category", "unit_cost"], **bound,
+        ["product_name", "category", "unit_cost"], few_versions,
     )
     return lake_rows(with_margin(joined), "order_ts")
 
@@ -57,7 +60,7 @@ def refreshing_products(read_products, callback):
     For plain order rows as input: dimension changes take effect without a restart.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        enriched = broadcast_enrich(batch, read_products(), "product_id", DIM_COLS)
+        enriched = enrich(batch, read_products(), "product_id", DIM_COLS)
         callback(with_margin(enriched), batch_id)
 
     return on_batch
@@ -69,41 +72,52 @@ def lake_copy(
     """The one-destination variant: log position kept, partition date added."""
     orders = order_rows(broker_rows, row_schema, keep=("source_lsn",))
     cols = ["product_name", "category", "unit_cost"]
-    enriched = with_margin(broadcast_enrich(orders, products, "product_id", cols))
+    enriched = with_margin(enrich(orders, products, "product_id", cols))
     return lake_rows(enriched.drop("event_id", "cdc_op"), "order_ts")
 
 
+def start_dead_letters(
+    broker_rows: DataFrame, path: str | None, checkpoint: str, trigger: str | None,
+    row_schema: T.StructType = ORDER_SCHEMA,
+) -> list:
+    """A query that stores the messages an order job cannot use, with the reason; none without a path."""
+    if path is None:
+        return []
+    rejected = dead_letters(decode_or_reject(broker_rows, row_schema))
+    return [start_query(rejected, batch_table(path), f"{checkpoint}/dead-letters", trigger)]
+
+
 def run_lake_copy(
     broker_rows: DataFrame, products: DataFrame, sink, checkpoint: str,
-    trigger: str | None = "5 seconds",
+    trigger: str | None = "5 seconds", dead_letter_path: str | None = None,
 ):
     """The one-destination variant as a query."""
-    return start_per_sink(lake_copy(broker_rows, products), [sink], checkpoint, trigger)
+    queries = start_per_sink(lake_copy(broker_rows, products), [sink], checkpoint, trigger)
+    return queries + start_dead_letters(broker_rows, dead_letter_path, checkpoint, trigger)
 
 
 def bronze(broker_rows: DataFrame, row_schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
-    """Decoded envelopes, nothing judged yet."""
-    return decode_changes(broker_rows, row_schema)
+    """All messages, decoded, with the reason why one is no change; nothing left out yet."""
+    return decode_or_reject(broker_rows, row_schema)
 
 
 def silver(bronze_rows: DataFrame, row_schema: T.StructType = ORDER_SCHEMA, observation=None):
     """Flat orders that satisfy the drop rules; rules are judged before projection."""
-    kept = enforce(bronze_rows, ORDER_EXPECTATIONS, observation)
+    kept = enforce(good_changes(bronze_rows), ORDER_EXPECTATIONS, observation)
     return flatten_after(kept, row_schema, "event_time")
 
 
 def gold(silver_rows: DataFrame, products: DataFrame) -> DataFrame:
     cols = ["product_name", "category", "unit_cost"]
-    return lake_rows(with_margin(broadcast_enrich(silver_rows, products, "product_id", cols)))
+    return lake_rows(with_margin(enrich(silver_rows, products, "product_id", cols)))
 
 
 def order_sinks(open_hot, open_search, lake_path: str, metrics_path: str | None = None) -> list:
     """Hot, search and cold destinations of the enriched orders."""
-    position = ("event_time", "raw_offset")
     return [
-        KeyedSink("orders-hot", open_hot, "order_id", "order:", 3600, position,
+        KeyedSink("orders-hot", open_hot, "order_id", "order:", 3600, POSITION,
                   metrics_path=metrics_path),
-        DocumentSink("orders-search", open_search, "orders-{yyyy_mm_dd}", "order_ts", position,
+        DocumentSink("orders-search", open_search, "orders-{yyyy_mm_dd}", "order_ts", POSITION,
                      metrics_path=metrics_path),
         LakeSink("orders-cold", path=lake_path, metrics_path=metrics_path),
     ]
@@ -111,33 +125,43 @@ def order_sinks(open_hot, open_search, lake_path: str, metrics_path: str | None
 
 def run_enrichment(
     broker_rows: DataFrame, products: DataFrame, sinks: list, checkpoint: str,
-    trigger: str | None = "5 seconds", shared: bool = False,
+    trigger: str | None = "5 seconds", shared: bool = False, dead_letter_path: str | None = None,
 ):
     """Stream to all sinks, each with its own query, or all from one shared plan."""
     enriched = enriched_orders(broker_rows, products)
+    rejects = start_dead_letters(broker_rows, dead_letter_path, checkpoint, trigger)
     if shared:
-        return [start_shared(enriched, sinks, checkpoint, trigger)]
-    return start_per_sink(enriched, sinks, checkpoint, trigger)
+        return [start_shared(enriched, sinks, checkpoint, trigger), *rejects]
+    return start_per_sink(enriched, sinks, checkpoint, trigger) + rejects
 
 
 def run_versioned(
     broker_rows: DataFrame, product_versions: DataFrame, open_search, lake_path: str,
-    checkpoint: str, trigger: str | None = "5 seconds",
+    checkpoint: str, trigger: str | None = "5 seconds", dead_letter_path: str | None = None,
 ):
-    """As-of enrichment to search (one document per order) and lake from one plan."""
+    """As-of enrichment to search (one document per order) and lake from one plan.
+
+    Returns the query, or with a dead-letter path a list of both queries.
+    """
     rows = versioned_orders(broker_rows, product_versions)
     sinks = [
         DocumentSink("orders-search", open_search, "orders-{yyyy_mm_dd}", "order_ts",
-                     ("event_time", "raw_offset"), id_col="order_id"),
+                     POSITION, id_col="order_id"),
         LakeSink("orders-cold", path=lake_path),
     ]
-    return start_shared(rows, sinks, checkpoint, trigger)
+    query = start_shared(rows, sinks, checkpoint, trigger)
+    rejects = start_dead_letters(broker_rows, dead_letter_path, checkpoint, trigger)
+    return [query, *rejects] if rejects else query
 
 
 def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
-               trigger: str | None = None, gold_partition: tuple[str, ...] = ("event_date",)) -> list:
+               trigger: str | None = None, gold_partition: tuple[str, ...] = ("event_date",),
+               observation: str | None = "quality") -> list:
     """Bronze, silver and gold as three chained tables, each with its own checkpoint.
 
+    The counts of the quality rules come with the progress of the silver query,
+    as observed metrics of the name ``observation``.
+
     Without a trigger every stage drains its input before the next one starts.
     """
     def start(df, stage, partition_by=()):
@@ -149,7 +173,8 @@ def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
 
     first = bronze(broker_rows)
     queries = [start(first, "bronze")]
-    second = silver(spark.readStream.schema(first.schema).parquet(f"{base}/bronze"))
+    second = silver(spark.readStream.schema(first.schema).parquet(f"{base}/bronze"),
+                    observation=observation)
     queries.append(start(second, "silver"))
     third = gold(spark.readStream.schema(second.schema).parquet(f"{base}/silver"), products)
     queries.append(start(third, "gold", gold_partition))

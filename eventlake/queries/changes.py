@@ -44,18 +44,24 @@ def cdc_truncate(spark, sf_dir):
 
 
 def cdc_merge_guarded(spark, sf_dir):
-    """A table of first versions, merged with a batch of later and of stale changes."""
-    changes = _decoded(spark, sf_dir).withColumn("total_amount", F.col("after.total_amount"))
-    cols = ["order_id", "source_lsn", "cdc_op", "total_amount"]
-    seq = F.col("source_lsn") % 8
-    target = changes.where((seq == 0) & (F.col("cdc_op") == "c")).select(cols)
-    # The batch repeats the first versions under an older position.
-    stale = target.select(
-        "order_id", (F.col("source_lsn") - 1).alias("source_lsn"), "cdc_op",
-        F.lit(-1.0).alias("total_amount"),
+    """First versions, then three batches: later changes, stale ones also after deletes, the rest.
+
+    Every third order comes from a source without log positions.
+    """
+    cols = ["order_id", "source_lsn", "raw_offset", "cdc_op", "total_amount"]
+    unknown = F.substring("order_id", 3, 20).cast("long") % 3 == 0
+    changes = _decoded(spark, sf_dir).select(
+        "order_id", F.when(~unknown, F.col("source_lsn")).alias("source_lsn"), "raw_offset",
+        "cdc_op", F.col("after.total_amount").alias("total_amount"),
     )
-    updates = changes.where((seq > 0) | (F.col("cdc_op") == "r")).select(cols).unionByName(stale)
-    return ops.merge_guarded(target, updates, ["order_id"], op_col="cdc_op").select(cols)
+    seq = F.col("raw_offset") % 8
+    first = (seq == 0) & (F.col("cdc_op") == "c")
+    # Updates delivered once more, behind the deletes that followed them.
+    stale = changes.where(seq == 1).withColumn("total_amount", F.lit(-1.0))
+    state = changes.where(first)
+    for batch in (changes.where((seq.isin(0, 1, 2)) & ~first), stale, changes.where(seq == 3)):
+        state = ops.merge_guarded(state, batch.select(cols), ["order_id"])
+    return ops.live_rows(state).select(cols)
 
 
 def cdc_diff(spark, sf_dir):
@@ -67,7 +73,8 @@ def cdc_diff(spark, sf_dir):
 
 
 def cdc_op_stats(spark, sf_dir):
-    return plain_times(ops.op_stats(_decoded(spark, sf_dir)))
+    rows = env.decode_changes(feeds.order_changes(spark, sf_dir), ORDER_SCHEMA, images=())
+    return plain_times(ops.op_stats(rows))
 
 
 def snapshot_then_changes(spark, sf_dir):
@@ -115,7 +122,8 @@ ranked AS (SELECT *, {_NEWEST} AS rn FROM left_over)
 SELECT priority AS source_table, order_id, lsn AS source_lsn, op AS cdc_op
 FROM ranked WHERE rn = 1 AND op <> 'd'""",
     "cdc_merge_guarded": f"""WITH {HISTORY}, ranked AS (SELECT *, {_NEWEST} AS rn FROM history)
-SELECT order_id, lsn AS source_lsn, op AS cdc_op, total_amount
+SELECT order_id, CASE WHEN CAST(substring(order_id, 3) AS BIGINT) % 3 <> 0 THEN lsn END AS source_lsn,
+  lsn AS raw_offset, op AS cdc_op, total_amount
 FROM ranked WHERE rn = 1 AND op <> 'd'""",
     "cdc_diff": f"""WITH {HISTORY}
 SELECT order_id, lsn AS source_lsn, 'total_amount' AS changed,

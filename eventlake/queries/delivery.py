@@ -22,8 +22,7 @@ def _orders(spark, sf_dir):
 def keyed_hash_rows(spark, sf_dir):
     """Hot-store hashes, newest change per order."""
     rows = keyed.hash_rows(
-        _orders(spark, sf_dir), "order:", "order_id", 3600, F.col("event_time"),
-        ["event_time", "raw_offset"],
+        _orders(spark, sf_dir), "order:", "order_id", 3600, F.col("event_time"), plans.POSITION,
     )
     names = ("order_id", "qty", "total_amount", "currency", "order_ts", "cdc_op")
     return plain_times(rows.select(
@@ -35,7 +34,7 @@ def keyed_hash_rows(spark, sf_dir):
 def keyed_merge_rows(spark, sf_dir):
     """Field-wise merge of line changes; lines without an order id fall back to a token."""
     rows = plans.order_rows(feeds.line_changes(spark, sf_dir))
-    rows = rows.where(F.col("event_time").isNotNull()).select(
+    rows = rows.select(
         "event_id", "order_id", "currency", "raw_topic", "raw_partition", "raw_offset"
     )
     merged = keyed.merged_hash_rows(rows, "order:", "order_id", ["raw_offset", "event_id"])
@@ -46,7 +45,7 @@ def live_hash_rows(spark, sf_dir):
     """Hashes that have not expired at a point in time, per currency."""
     rows = keyed.hash_rows(
         _orders(spark, sf_dir), "order:", "order_id", 86_400 * 365, F.col("event_time"),
-        ["event_time", "raw_offset"],
+        plans.POSITION,
     )
     now = F.lit("1999-07-01 00:00:00").cast("timestamp")
     live = keyed.live_rows(rows, now)
@@ -60,7 +59,7 @@ def search_documents(spark, sf_dir):
     rows = _orders(spark, sf_dir).drop("cdc_op")
     # Two deliveries of every change: the second must not add a document.
     twice = rows.unionByName(rows)
-    docs = document.documents(twice, "orders-{yyyy_mm_dd}", "order_ts", ["event_time"])
+    docs = document.documents(twice, "orders-{yyyy_mm_dd}", "order_ts", list(plans.POSITION))
     source = F.from_json("_source", "order_id string, qty long, total_amount double")
     return docs.select(
         "_index", "_id", *[source[n].alias(n) for n in ("order_id", "qty", "total_amount")]
@@ -106,8 +105,8 @@ def archive_partitions(spark, sf_dir):
 
 
 def broadcast_messages(spark, sf_dir):
-    """Broadcast topic messages of large transactions, read back from their JSON."""
-    txns = transactions(feeds.txn_messages(spark, sf_dir)).where("amount > 200")
+    """Broadcast topic messages of all transactions, read back from their JSON."""
+    txns = transactions(feeds.txn_messages(spark, sf_dir))
     targets = F.when(F.col("merchant") != "error", F.array("user_id", F.lit("ops-team")))
     sent = broadcast.broadcast_messages(
         txns.withColumn("user_targets", targets), F.lit(7).cast("long")
@@ -205,7 +204,7 @@ def sink_metrics(spark, sf_dir):
 
 def distinct_completeness(spark, sf_dir):
     """Every change delivered twice, one destination keyed by token: nothing surplus."""
-    rows = env.decode_changes(feeds.order_changes(spark, sf_dir), ORDER_SCHEMA)
+    rows = env.decode_changes(feeds.order_changes(spark, sf_dir), ORDER_SCHEMA, images=())
     twice = rows.select("event_id").unionAll(rows.select("event_id"))
     return metrics.completeness(twice, "event_id")
 
@@ -220,14 +219,15 @@ QUERIES = {
 }
 
 _NEWEST_ORDER = """newest AS (SELECT * FROM history WHERE op <> 'd'
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_time DESC, lsn DESC) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY lsn DESC) = 1)"""
 _REGISTRY = """registry AS (
   SELECT 'conn-' || (event_id % 997) AS connection_id, event_type,
     CASE WHEN user_id % 5 <> 0 THEN 'u' || user_id ELSE 'anonymous' END AS user_id,
     CASE WHEN event_id % 3 <> 0 THEN 'orders|t' || user_id ELSE '*' END AS subscribed_topics,
     ts AS connected_at, CAST(floor(epoch(ts)) AS BIGINT) + 30 * 86400 AS ttl
   FROM events WHERE event_type IN ('signup', 'error')
-  QUALIFY row_number() OVER (PARTITION BY event_id % 997 ORDER BY ts DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY event_id % 997
+    ORDER BY ts DESC, event_type <> 'signup' DESC) = 1),
 live AS (SELECT * EXCLUDE (event_type) FROM registry
   WHERE event_type = 'signup' AND ttl > epoch(TIMESTAMP '2024-01-30'))"""
 _DELIVERIES = f"""{_REGISTRY}, wanted AS (
@@ -244,7 +244,7 @@ _OUTCOMES = """outcomes AS (
 SQL = {
     "keyed_hash_rows": f"""WITH {HISTORY}, {_NEWEST_ORDER}
 SELECT 'order:' || order_id AS key, event_time + INTERVAL 3600 SECOND AS expires_at,
-  CAST(13 AS BIGINT) AS field_count, order_id, CAST(qty AS VARCHAR) AS qty,
+  CAST(14 AS BIGINT) AS field_count, order_id, CAST(qty AS VARCHAR) AS qty,
   CAST(total_amount AS VARCHAR) AS total_amount, currency,
   strftime(order_ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS order_ts, op AS cdc_op FROM newest""",
     "keyed_merge_rows": f"""WITH {LINES}, keyed AS (
@@ -263,7 +263,7 @@ SELECT currency, count(*) AS keys FROM newest
 WHERE event_time + INTERVAL 365 DAY > TIMESTAMP '1999-07-01' GROUP BY currency""",
     "search_documents": f"""WITH {HISTORY}
 SELECT strftime(order_ts, 'orders-%Y.%m.%d') AS _index,
-  CASE WHEN lsn = 0 THEN 'eid:0' ELSE 'eid:' || lsn END AS _id, order_id, qty, total_amount
+  CASE WHEN lsn = 0 THEN 'eid:0' ELSE 'lsn:' || lsn END AS _id, order_id, qty, total_amount
 FROM history WHERE op <> 'd'""",
     "index_names": f"""WITH {HISTORY}, t AS (
   SELECT CASE WHEN lsn % 5 <> 0 THEN order_ts ELSE TIMESTAMP '1970-01-01' END AS ts
@@ -284,7 +284,7 @@ SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d
     "broadcast_messages": f"""WITH {TXNS}
 SELECT txn_id, amount, merchant = 'error' AS everyone,
   CASE WHEN merchant = 'error' THEN '' ELSE user_id || ',ops-team' END AS users,
-  CAST(7 AS BIGINT) AS batch_id FROM txns WHERE amount > 200""",
+  CAST(7 AS BIGINT) AS batch_id FROM txns""",
     "connection_registry": f"WITH {_REGISTRY} SELECT * FROM live",
     "broadcast_targets": f"WITH {_DELIVERIES} SELECT * FROM deliveries",
     "delivery_outcomes": f"""WITH {_DELIVERIES}, d AS (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.session import prepare
+from eventlake.session import prepare, shared_dir
 from eventlake.sources.broker import file_stream
 from eventlake.sources.envelopes import broker_rows, envelope
 
@@ -21,26 +21,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-FILES_PER_TRIGGER = 64
+SLICES = 4
+
+
+def arrival_slice(arrival: Column, lowest: int, highest: int, slices: int = SLICES) -> Column:
+    """Number of the slice of the time line [lowest, highest] (microseconds) a row arrives in."""
+    number = F.floor((F.unix_micros(arrival) - lowest) * slices / F.lit(highest - lowest + 1))
+    return F.coalesce(F.least(number, F.lit(slices - 1)), F.lit(0))
+
+
+def sliced_stream(
+    df: DataFrame, arrival: Column, slices: int = SLICES, files_per_trigger: int = 1
+) -> DataFrame:
+    """A table as a stream that brings it in equal slices of the arrival time, one after the other.
+
+    Each slice is one file of a shared folder, written before the next one
+    begins, since a file source reads files by their age. A table with more than
+    ``slices`` files has as many slices as files.
+    """
+    spark = df.sparkSession
+    slices = max(slices, len(df.inputFiles()))
+    us = F.unix_micros(arrival)
+    ends = df.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
+    path = shared_dir(spark, "slices")
+    lowest, highest = ends["low"] or 0, ends["high"] or 0
+    for number in range(slices):
+        part = df.where(arrival_slice(arrival, lowest, highest, slices) == number)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, files_per_trigger, df.schema)
 
 
 def topic_table(
-    spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool = False
+    spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool = False,
+    files_per_trigger: int = 1,
 ) -> DataFrame:
     """A table dealt out by message key, as a topic deals its messages to partitions.
 
-    Only a table with fewer splits than the cluster has slots is dealt out; a
-    large one already has a split for every task. As a stream, a bounded number
-    of its files makes up a micro-batch.
+    As a stream it comes in time slices of several micro-batches.
     """
     df = table(spark, sf_dir, name)
-    slots = spark.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < slots
     if stream:
-        # A file source takes a folder or a pattern; a table may be either file or folder.
-        path = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
-        df = file_stream(spark, path, FILES_PER_TRIGGER, df.schema)
-    return df.repartition(slots, key) if few else df
+        arrival = utc({"lineitem": "l_shipdate", "events": "ts"}[name])
+        df = sliced_stream(df, arrival, files_per_trigger=files_per_trigger)
+    return df.repartition(key)
 
 
 def utc(name: str) -> Column:
@@ -251,8 +274,10 @@ CLICKS = """clicks AS (
   FROM events WHERE event_id % 97 <> 0)"""
 
 
-def txn_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    events = topic_table(spark, sf_dir, "events", "event_id", stream)
+def txn_messages(
+    spark: SparkSession, sf_dir: str, stream: bool = False, files_per_trigger: int = 1
+) -> DataFrame:
+    events = topic_table(spark, sf_dir, "events", "event_id", stream, files_per_trigger)
     txn = F.struct(
         F.col("event_id").cast("string").alias("txn_id"), _user().alias("user_id"),
         F.col("value").alias("amount"), F.col("event_type").alias("merchant"),

@@ -122,7 +122,8 @@ def consumer_lag_total(spark, sf_dir):
 def alarm_eval(spark, sf_dir):
     """The platform's alarms with hourly periods, per dimension."""
     alarms = [replace(a, period="1 hour") for a in metrics.PLATFORM_ALARMS]
-    return plain_times(metrics.evaluate_alarms(feeds.metric_points(spark, sf_dir), alarms))
+    rows = metrics.evaluate_alarms(feeds.metric_points(spark, sf_dir), alarms)
+    return plain_times(rows.withColumn("worst_value", F.round("worst_value", 6)))
 
 
 def rate_alerts(spark, sf_dir):
@@ -132,6 +133,15 @@ def rate_alerts(spark, sf_dir):
     ))
 
 
+def rate_alarms(spark, sf_dir):
+    """The alarms on time lag and on backpressure, scaled to the values of the table."""
+    names = {"EstimatedMaxTimeLag": "LagMs", "backPressuredTimeMsPerSecond": "Errors"}
+    alarms = [replace(a, metric=names[a.metric], period="6 hours", threshold=a.threshold / 10,
+                      periods=min(a.periods, 2)) for a in metrics.RATE_ALARMS]
+    rows = metrics.evaluate_alarms(feeds.metric_points(spark, sf_dir), alarms)
+    return plain_times(rows.withColumn("worst_value", F.round("worst_value", 6)))
+
+
 def slow_batches(spark, sf_dir):
     """Batch duration above twice the trigger for consecutive periods."""
     alarm = replace(metrics.slow_batch_alarm(20), metric="Errors", period="6 hours", periods=3)
@@ -175,17 +185,23 @@ def topic_retention(spark, sf_dir):
 
 
 def approx_completeness(spark, sf_dir):
-    """Distinct events and users from sketches."""
+    """Distinct events and users from sketches: within three times their error of the exact number."""
     rows = feeds.events(spark, sf_dir)
-    return metrics.approx_completeness(rows, "event_id").unionByName(
-        metrics.approx_completeness(rows, "user_id"))
+    out = None
+    for key in ("event_id", "user_id"):
+        exact = rows.agg(F.lit(key).alias("key"), F.countDistinct(key).alias("exact"))
+        both = metrics.approx_completeness(rows, key, 0.01).join(exact, "key")
+        near = F.abs(F.col("distinct_keys") - F.col("exact")) <= F.col("exact") * 0.03
+        part = both.select("key", "row_count", near.alias("near"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 QUERIES = {
     f.__name__: f for f in (
         approx_completeness, latency_percentiles, latency_percentiles_exact, throughput_minute, union_tracks,
         recent_tracks, runtime_comparison, cost_per_million, batch_metrics, falling_behind,
-        consumer_lag, consumer_lag_total, alarm_eval, rate_alerts, slow_batches,
+        consumer_lag, consumer_lag_total, alarm_eval, rate_alerts, rate_alarms, slow_batches,
         dashboard_series, retention_tiers, topic_retention,
     )
 }
@@ -217,6 +233,8 @@ GROUP BY dimension, run HAVING count(*) >= {periods}"""
 
 
 SQL = {
+    "approx_completeness": """SELECT 'event_id' AS key, count(event_id) AS row_count, true AS near FROM events
+UNION ALL SELECT 'user_id', count(user_id), true FROM events""",
     "latency_percentiles": f"""WITH {RUNS}
 SELECT runtime, count(*) AS events, {_QUANTILES}, max(latency) AS max_ms FROM runs GROUP BY runtime""",
     "latency_percentiles_exact": f"""WITH {RUNS}
@@ -264,7 +282,7 @@ SELECT topic, partition, end_offset, committed_offset, lag FROM lag""",
     "consumer_lag_total": f"""WITH {_LAGS}
 SELECT topic, count(*) AS partitions, CAST(sum(lag) AS BIGINT) AS total_lag, max(lag) AS max_lag
 FROM lag GROUP BY topic""",
-    "alarm_eval": f"WITH {POINTS}\n" + "\nUNION ALL\n".join((
+    "alarm_eval": f"WITH {POINTS}\n" + "\nUNION ALL\n".join(f"SELECT * REPLACE (round(worst_value, 6) AS worst_value) FROM ({q})" for q in (
         _runs_sql("under-replicated", "UnderReplicatedPartitions", "max", 1, 0.0, 2),
         _runs_sql("disk-usage", "KafkaDataLogsDiskUsed", "max", 1, 75.0, 2),
         _runs_sql("handler-errors", "Errors", "sum", 1, 5.0, 2),
@@ -273,8 +291,13 @@ FROM lag GROUP BY topic""",
     "rate_alerts": f"""WITH {POINTS}, s AS (
   SELECT dimension, time_bucket(INTERVAL 1 HOUR, ts) AS period_start, max(value) AS lag_value
   FROM points WHERE metric = 'LagMs' GROUP BY ALL),
-b AS (SELECT *, lag(lag_value) OVER (PARTITION BY dimension ORDER BY period_start) AS previous_value FROM s)
+b AS (SELECT s.*, p.lag_value AS previous_value FROM s JOIN s p ON p.dimension = s.dimension
+  AND p.period_start = s.period_start - INTERVAL 1 HOUR)
 SELECT * FROM b WHERE lag_value > 60 AND lag_value > previous_value""",
+    "rate_alarms": f"WITH {POINTS}\n" + "\nUNION ALL\n".join(f"SELECT * REPLACE (round(worst_value, 6) AS worst_value) FROM ({q})" for q in (
+        _runs_sql("consumer-lag", "LagMs", "max", 6, 30.0, 1),
+        _runs_sql("backpressure", "Errors", "avg", 6, 50.0, 2),
+    )),
     "slow_batches": f"WITH {POINTS}\n" + _runs_sql("slow-batches", "Errors", "max", 6, 40.0, 3),
     "dashboard_series": f"""WITH {POINTS}
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS period_start, metric, round(avg(value), 6) AS avg_value,

@@ -29,7 +29,7 @@ def cdc_decode(spark, sf_dir):
 
 
 def cdc_event_id(spark, sf_dir):
-    rows = env.decode_changes(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
+    rows = env.decode_changes(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA, images=())
     return rows.select("event_id", F.col("source_lsn").isNull().alias("from_offset")).groupBy(
         "from_offset"
     ).agg(F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_id"),
@@ -51,14 +51,12 @@ def dead_letter_rows(spark, sf_dir):
 def order_rows(spark, sf_dir):
     """Op filter and flattening of the new image."""
     rows = plans.order_rows(feeds.line_changes(spark, sf_dir))
-    good = rows.where(F.col("event_time").isNotNull())
-    return plain_times(good.drop("raw_topic"))
+    return plain_times(rows.drop("raw_topic"))
 
 
 def cdc_lag(spark, sf_dir):
     """Lag between change and ingestion, exact and from whole seconds."""
-    rows = env.decode_changes(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
-    rows = rows.where(F.col("event_time").isNotNull())
+    rows = env.decode_good(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
     at, seen = F.col("event_time"), F.col("kafka_ts")
     return rows.groupBy("raw_partition").agg(
         F.max(env.lag_ms(at, seen)).alias("max_lag_ms"),
@@ -105,30 +103,27 @@ def topic_positions(spark, sf_dir):
 
 def broadcast_enrich_margin(spark, sf_dir):
     rows = plans.enriched_orders(feeds.line_changes(spark, sf_dir), feeds.products(spark, sf_dir))
-    return plans.margin_by_brand(rows.where(F.col("event_time").isNotNull()))
+    return plans.margin_by_brand(rows)
 
 
 def enriched_order_rows(spark, sf_dir):
     rows = plans.enriched_orders(feeds.line_changes(spark, sf_dir), feeds.products(spark, sf_dir))
-    return rows.where(F.col("event_time").isNotNull()).select(
+    return rows.select(
         "raw_offset", "order_id", "product_id", "product_name", "category", "brand", "unit_cost",
         F.round("margin_amount", 2).alias("margin_amount"),
     )
 
 
 def shuffled_enrich_margin(spark, sf_dir):
-    """The same enrichment with a dimension too large to broadcast."""
+    """The same enrichment by shuffle, as with a dimension too large to broadcast."""
     rows = plans.order_rows(feeds.line_changes(spark, sf_dir))
-    rows = rows.where(F.col("event_time").isNotNull())
-    joined = joins.broadcast_enrich(
-        rows, feeds.products(spark, sf_dir), "product_id", plans.DIM_COLS, max_rows=0
-    )
+    large = feeds.products(spark, sf_dir).hint("merge")
+    joined = joins.enrich(rows, large, "product_id", plans.DIM_COLS)
     return plans.margin_by_brand(joins.with_margin(joined))
 
 
 def unmatched_dim_keys(spark, sf_dir):
     rows = plans.order_rows(feeds.line_changes(spark, sf_dir))
-    rows = rows.where(F.col("event_time").isNotNull())
     return joins.unmatched_keys(rows, feeds.products(spark, sf_dir), "product_id")
 
 
@@ -148,29 +143,55 @@ def dimension_refresh(spark, sf_dir):
     )
 
 
-def _versioned(spark, sf_dir, **kwargs):
+def _versioned(spark, sf_dir, few_versions):
     rows = plans.versioned_orders(
-        feeds.line_changes(spark, sf_dir), feeds.product_versions(spark, sf_dir), **kwargs
+        feeds.line_changes(spark, sf_dir), feeds.product_versions(spark, sf_dir),
+        few_versions=few_versions,
     )
-    return rows.where(F.col("event_time").isNotNull()).select(
+    return rows.select(
         "raw_offset", "order_id", "product_id", "product_name", "unit_cost",
         F.round("margin_amount", 2).alias("margin_amount"), "event_date",
     )
 
 
 def asof_enrich_margin(spark, sf_dir):
-    return _versioned(spark, sf_dir)
+    return _versioned(spark, sf_dir, few_versions=True)
 
 
 def asof_enrich_chunked(spark, sf_dir):
     """The same as-of join by the route for large version tables."""
-    return _versioned(spark, sf_dir, max_rows=0)
+    return _versioned(spark, sf_dir, few_versions=False)
+
+
+def _versioned_with_gaps(spark, sf_dir, few_versions):
+    """Rows and versions with and without a key, with and without a time."""
+    rows = plans.order_rows(feeds.line_changes(spark, sf_dir)).select(
+        "raw_offset",
+        F.when(F.col("raw_offset") % 41 != 0, F.col("product_id")).alias("product_id"),
+        F.when(F.col("raw_offset") % 43 != 0, F.col("event_time")).alias("event_time"),
+    )
+    versions = feeds.product_versions(spark, sf_dir).select("product_id", "_updated_at", "unit_cost")
+    keyless = versions.withColumn("product_id", F.lit(None).cast("string"))
+    timeless = versions.withColumn("_updated_at", F.lit(None).cast("timestamp"))
+    joined = joins.asof_join(
+        rows, versions.union(keyless).union(timeless), "product_id", "event_time", "_updated_at",
+        ["unit_cost"], few_versions,
+    )
+    return plain_times(joined)
+
+
+def asof_gaps_intervals(spark, sf_dir):
+    return _versioned_with_gaps(spark, sf_dir, True)
+
+
+def asof_gaps_chunked(spark, sf_dir):
+    return _versioned_with_gaps(spark, sf_dir, False)
 
 
 def changelog_rows(spark, sf_dir):
     """The change log as a table, by operation; a delete counts the row it removed."""
     rows = env.changelog(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
-    return plain_times(rows.where(F.col("event_time").isNotNull()).groupBy("op", "currency").agg(
+    return plain_times(rows.groupBy("op", "currency").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("qty").alias("qty"),
         F.max("event_time").alias("last_time"),
     ))
@@ -178,8 +199,8 @@ def changelog_rows(spark, sf_dir):
 
 def stream_events(spark, sf_dir):
     """Changes in the canonical event shape, with the lag between event and ingestion."""
-    changes = env.decode_changes(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
-    rows = env.as_stream_events(changes, F.col("kafka_ts")).where(F.col("event_time").isNotNull())
+    changes = env.decode_good(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA)
+    rows = env.as_stream_events(changes, F.col("kafka_ts"))
     return rows.groupBy("source_type", "source_topic", "partition", "cdc_op").agg(
         F.count_if(env.is_cdc(F.col("source_type"))).alias("cdc_rows"),
         F.sum(env.lag_ms(F.col("event_time"), F.col("ingestion_time"))).alias("lag_sum"),
@@ -189,7 +210,7 @@ def stream_events(spark, sf_dir):
 
 def lake_copy_rows(spark, sf_dir):
     rows = plans.lake_copy(feeds.line_changes(spark, sf_dir), feeds.products(spark, sf_dir))
-    return rows.where(F.col("event_time").isNotNull()).groupBy("event_date").agg(
+    return rows.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("orders"), F.count("source_lsn").alias("with_lsn"),
         F.sum(F.round("margin_amount", 2).cast("decimal(18,2)")).cast("double").alias("margin"),
     )
@@ -201,14 +222,13 @@ def dq_report(spark, sf_dir):
 
 
 def dq_silver(spark, sf_dir):
-    rows = env.good_changes(env.decode_or_reject(feeds.line_changes(spark, sf_dir), ORDER_SCHEMA))
-    return plain_times(plans.silver(rows))
+    return plain_times(plans.silver(plans.bronze(feeds.line_changes(spark, sf_dir))))
 
 
 def medallion_gold(spark, sf_dir):
     first = plans.bronze(feeds.line_changes(spark, sf_dir))
     last = plans.gold(plans.silver(first), feeds.products(spark, sf_dir))
-    return last.where(F.col("event_time").isNotNull()).groupBy("event_date", "category").agg(
+    return last.groupBy("event_date", "category").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("qty").alias("qty"),
         F.sum(F.round("margin_amount", 2).cast("decimal(18,2)")).cast("double").alias("margin"),
     )
@@ -230,13 +250,13 @@ QUERIES = {
         cdc_decode, cdc_event_id, cdc_quarantine, dead_letter_rows, order_rows, cdc_lag,
         topic_routing, start_offsets, start_timestamp, topic_positions, broadcast_enrich_margin,
         enriched_order_rows, shuffled_enrich_margin, unmatched_dim_keys, duplicate_dim_keys,
-        dimension_refresh, asof_enrich_margin, asof_enrich_chunked, changelog_rows,
+        dimension_refresh, asof_enrich_margin, asof_enrich_chunked, asof_gaps_intervals,
+        asof_gaps_chunked, changelog_rows,
         stream_events, lake_copy_rows, dq_report,
         dq_silver, medallion_gold, idempotency_tokens,
     )
 }
 
-_READ = "defect > 3 OR defect = 2"
 _MARGIN = "round(total_amount - qty * unit_cost, 2)"
 _ID = "coalesce(CAST(lsn AS VARCHAR), topic || ':' || part || ':' || pos)"
 _BY_BRAND = f"""WITH {LINES}, {PRODUCTS}
@@ -248,6 +268,12 @@ SELECT f.pos AS raw_offset, order_id, f.product_id, v.product_name, v.unit_cost,
   {_MARGIN} AS margin_amount, CAST(order_ts AS DATE) AS event_date
 FROM flat f ASOF LEFT JOIN versions v ON f.product_id = v.product_id AND f.event_time >= v.updated_at"""
 
+_ASOF_GAPS = f"""WITH {LINES}, {VERSIONS}, f AS (
+  SELECT pos AS raw_offset, CASE WHEN pos % 41 <> 0 THEN product_id END AS product_id,
+    CASE WHEN pos % 43 <> 0 THEN event_time END AS event_time FROM flat)
+SELECT f.*, v.unit_cost FROM f ASOF LEFT JOIN versions v
+  ON f.product_id = v.product_id AND f.event_time >= v.updated_at"""
+
 SQL = {
     "cdc_decode": f"""WITH {LINES}
 SELECT CASE WHEN defect = 1 THEN topic || ':' || part || ':' || pos ELSE {_ID} END AS event_id,
@@ -279,13 +305,13 @@ SELECT topic AS raw_topic, part AS raw_partition, pos AS raw_offset,
   CASE defect WHEN 2 THEN 'unknown_op' ELSE 'malformed' END AS reject_reason
 FROM lines WHERE defect IN (1, 2, 3)""",
     "order_rows": f"""WITH {LINES}
-SELECT {_ID} AS event_id, event_time, op AS cdc_op, part AS raw_partition, pos AS raw_offset,
+SELECT {_ID} AS event_id, event_time, op AS cdc_op, lsn AS source_lsn, part AS raw_partition, pos AS raw_offset,
   order_id, customer_id, product_id, qty, total_amount, currency, order_ts FROM flat""",
     "cdc_lag": f"""WITH {LINES}
 SELECT part AS raw_partition, CAST(250 AS BIGINT) AS max_lag_ms,
   CAST(sum(((ts_ms + 250) // 1000 - ts_ms // 1000) * 1000) AS BIGINT) AS sum_whole_lag_ms,
   count(*) AS rows
-FROM lines WHERE {_READ} GROUP BY part""",
+FROM good GROUP BY part""",
     "topic_routing": f"""WITH {LINES}
 SELECT 'cdc' AS prefix, 'public' AS source_schema, 'orders' AS source_table,
   count(*) AS messages, count(*) FILTER (defect <> 0) AS with_value FROM lines""",
@@ -315,17 +341,18 @@ SELECT category, count(*) AS versions,
 FROM versions WHERE updated_at <= TIMESTAMP '1999-01-01' GROUP BY category""",
     "asof_enrich_margin": _ASOF,
     "asof_enrich_chunked": _ASOF,
+    "asof_gaps_intervals": _ASOF_GAPS,
+    "asof_gaps_chunked": _ASOF_GAPS,
     "changelog_rows": f"""WITH {LINES}
 SELECT op, currency, count(*) AS rows, CAST(sum(qty) AS BIGINT) AS qty,
   max(make_timestamp(ts_ms * 1000)) AS last_time
-FROM (SELECT * REPLACE (CASE defect WHEN 2 THEN 'x' ELSE op END AS op) FROM lines
-  WHERE {_READ}) GROUP BY ALL""",
+FROM good GROUP BY ALL""",
     "stream_events": f"""WITH {LINES}
 SELECT 'cdc_debezium' AS source_type, topic AS source_topic, part AS partition,
-  CASE defect WHEN 2 THEN 'x' ELSE op END AS cdc_op, count(*) AS cdc_rows,
+  op AS cdc_op, count(*) AS cdc_rows,
   CAST(count(*) * 250 AS BIGINT) AS lag_sum, max(pos) AS last_offset,
   CAST(sum(CASE WHEN op <> 'd' THEN qty END) AS BIGINT) AS qty
-FROM lines WHERE {_READ} GROUP BY ALL""",
+FROM good GROUP BY ALL""",
     "lake_copy_rows": f"""WITH {LINES}, {PRODUCTS}
 SELECT CAST(order_ts AS DATE) AS event_date, count(*) AS orders, count(lsn) AS with_lsn,
   CAST(sum(CAST({_MARGIN} AS DECIMAL(18,2))) AS DOUBLE) AS margin

@@ -14,9 +14,12 @@ from eventlake.plans import activity, orders
 from eventlake.queries import feeds
 from eventlake.queries.activity import _SCORED, _alert_columns, _dedup_sql, _pairs_sql, _sessions_sql
 from eventlake.queries.activity import SQL as BATCH_SQL
-from eventlake.queries.feeds import CLICKS, TXNS, plain_times
+from eventlake.queries.feeds import CLICKS, LINES, TXNS, plain_times
 from eventlake.queries.orders import SQL as ORDER_SQL
 from eventlake.session import prepare, shared_dir
+from eventlake.sinks.base import (
+    ParkingSink, PartitionSink, once_per_token, parked_batches, replay_parked,
+)
 from eventlake.sinks.columnar import ColumnarSink, newest_version
 from eventlake.sinks.lake import LakeSink
 from eventlake.streaming.dedup import first_per_window_stream
@@ -75,15 +78,92 @@ def dedup_stream(spark, sf_dir):
     """Exact first row per key and window from the stateful processor."""
     base = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
     rows = base.select("event_id", feeds.utc("ts").alias("ts"), "user_id", "event_type", "value")
-    kept = first_per_window_stream(
-        rows, "user_id", "ts", "12 hours", "24 hours", "48 hours", ["event_id"]
-    )
-    out = _drain(kept, "dedup")
-    return plain_times(out.where(~F.col("is_late")).drop("batch_id", "is_late"))
+    kept = first_per_window_stream(rows, "user_id", "ts", "12 hours", "24 hours", ["event_id"])
+    return plain_times(_drain(kept, "dedup").drop("batch_id"))
+
+
+def late_stream(spark, sf_dir):
+    """The audit of a stream in which every seventh event arrives five days after its time.
+
+    Per verdict the number of rows and of events: kept, repeated and late make up the input.
+    """
+    base = shared_dir(prepare(spark), "audit")
+    events = feeds.table(spark, sf_dir, "events")
+    delay = F.expr("make_interval(0, 0, 0, CASE WHEN event_id % 7 = 0 THEN 5 ELSE 0 END)")
+    arriving = feeds.sliced_stream(events, feeds.utc("ts") + delay)
+    rows = arriving.select("event_id", F.col("event_id").cast("string").alias("txn_id"),
+                           feeds.utc("ts").alias("ts"))
+    for query in activity.run_dedup_audit(
+        rows, f"{base}/kept", f"{base}/audit", f"{base}/checkpoint", "1 hour", "6 hours", None,
+        time_col="ts",
+    ):
+        query.awaitTermination()
+    on_time, late = (spark.read.parquet(f"{base}/audit/{n}") for n in ("on_time", "late"))
+    kept = spark.read.parquet(f"{base}/kept")
+    parts = [("on_time", on_time), ("late", late), ("kept", kept)]
+    counts = [df.agg(F.lit(name).alias("verdict"), F.count(F.lit(1)).alias("rows"),
+                     F.countDistinct("event_id").alias("events"), F.sum("event_id").alias("id_sum"))
+              for name, df in parts]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+def sink_tolerance_stream(spark, sf_dir):
+    """A store that refuses some rows: written, failed and parked rows of every micro-batch."""
+    base = shared_dir(prepare(spark), "tolerance")
+    events = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    sink = PartitionSink("store", _picky_store, max_failure_fraction=0.5, metrics_path=f"{base}/metrics")
+    rows = events.select("event_id", "event_type")
+    start_query(rows, sink.foreach_batch(), f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/metrics").select(
+        "sink_name", F.col("batch_id").cast("long"), "records_written", "records_failed", "records_parked")
+
+
+def _picky_store():
+    return lambda rows: [row["event_id"] % 10 != 0 for row in rows]
+
+
+def _unreachable_store():
+    def store(rows):
+        raise ConnectionError("no route to the store")
+
+    return store
+
+
+def parking_replay_stream(spark, sf_dir):
+    """Micro-batches parked while the store is down, replayed once when it is back."""
+    base = shared_dir(prepare(spark), "parking")
+    events = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    rows = events.select("event_id", "event_type")
+    down = ParkingSink(PartitionSink("store", _unreachable_store), f"{base}/parked")
+    start_query(rows, down.foreach_batch(), f"{base}/checkpoint").awaitTermination()
+    store = ColumnarSink("store", path=f"{base}/store")
+    for _ in range(2):  # the second time nothing is left to replay
+        replay_parked(spark, f"{base}/parked", rows.schema, store)
+    left = parked_batches(spark, f"{base}/parked", rows.schema).count()
+    return spark.read.parquet(f"{base}/store").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("events")
+    ).withColumn("still_parked", F.lit(left).cast("long"))
 
 
 def orders_fanout_stream(spark, sf_dir):
     """Enriched orders to a lake and an OLAP table from one shared plan; margins from the lake."""
+    base = _fanned_out(spark, sf_dir)
+    return orders.margin_by_brand(spark.read.parquet(f"{base}/lake"))
+
+
+def olap_stream(spark, sf_dir):
+    """The OLAP copy of the same job."""
+    base = _fanned_out(spark, sf_dir)
+    return orders.margin_by_brand(spark.read.parquet(f"{base}/olap"))
+
+
+def orders_dead_letters_stream(spark, sf_dir):
+    """What the same job sets aside, with the reason."""
+    rows = spark.read.parquet(f"{_fanned_out(spark, sf_dir)}/dead_letters")
+    return rows.select("raw_partition", "raw_offset", "reject_reason")
+
+
+def _fanned_out(spark, sf_dir):
     base = shared_dir(prepare(spark), "orders")
     # Years of orders in one go: monthly folders, not one per day.
     sinks = [
@@ -92,11 +172,11 @@ def orders_fanout_stream(spark, sf_dir):
     ]
     raw = feeds.line_changes(spark, sf_dir, stream=True)
     for query in orders.run_enrichment(
-        raw, feeds.products(spark, sf_dir), sinks, f"{base}/checkpoint", None, shared=True
+        raw, feeds.products(spark, sf_dir), sinks, f"{base}/checkpoint", None, shared=True,
+        dead_letter_path=f"{base}/dead_letters",
     ):
         query.awaitTermination()
-    cold = spark.read.parquet(f"{base}/lake")
-    return orders.margin_by_brand(cold.where(F.col("event_time").isNotNull()))
+    return base
 
 
 def medallion_stream(spark, sf_dir):
@@ -107,19 +187,24 @@ def medallion_stream(spark, sf_dir):
         spark, raw, feeds.products(spark, sf_dir), base, gold_partition=("category",)
     )
     last = spark.read.parquet(f"{base}/gold")
-    return last.where(F.col("event_time").isNotNull()).groupBy("event_date", "category").agg(
+    return last.groupBy("event_date", "category").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("qty").alias("qty"),
         F.sum(F.round("margin_amount", 2).cast("decimal(18,2)")).cast("double").alias("margin"),
     )
 
 
 def exactly_once_replay(spark, sf_dir):
-    """The same input written again after its checkpoint is lost: nothing doubles."""
+    """The same input written again after its checkpoint is lost, in other batches.
+
+    The table then holds rows twice; readers take one for each token.
+    """
     base = shared_dir(prepare(spark), "replay")
-    txns = activity.transactions(feeds.txn_messages(spark, sf_dir, stream=True))
-    for attempt in ("first", "second"):
-        start_query(txns, batch_table(f"{base}/out"), f"{base}/{attempt}").awaitTermination()
-    rows = spark.read.parquet(f"{base}/out")
+    for attempt, files in (("first", 1), ("second", 2)):
+        txns = activity.transactions(
+            feeds.txn_messages(spark, sf_dir, stream=True, files_per_trigger=files))
+        named = txns.withColumn("event_id", F.col("txn_id"))
+        start_query(named, batch_table(f"{base}/out"), f"{base}/{attempt}").awaitTermination()
+    rows = once_per_token(spark.read.parquet(f"{base}/out"))
     return rows.groupBy("merchant").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("txn_id").alias("txns")
     )
@@ -128,11 +213,16 @@ def exactly_once_replay(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
-        zscore_alerts_stream, dedup_stream, orders_fanout_stream, medallion_stream,
-        exactly_once_replay,
+        zscore_alerts_stream, dedup_stream, late_stream, sink_tolerance_stream,
+        parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
+        medallion_stream, exactly_once_replay,
     )
 }
 
+_SLICED = """ends AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+sliced AS (SELECT events.*, CAST(least(3, (epoch_us(ts) - low) * 4 // (high - low + 1)) AS BIGINT) AS batch
+  FROM events, ends)"""
+
 SQL = {
     "tumbling_stream": f"""WITH {CLICKS}, w AS (
   SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS window_start,
@@ -155,6 +245,30 @@ scored AS (SELECT t.*, avg_amount, std_amount, txn_count FROM txns t JOIN stats
   AND t.event_time <= s.window_end + INTERVAL 1 HOUR)
 {_SCORED}""",
     "dedup_stream": _dedup_sql("e.event_id, e.ts, e.user_id, e.event_type, e.value", "user_id", 12),
+    "late_stream": f"""WITH e AS (
+  SELECT event_id, ts, epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN 5 * 86400000000 ELSE 0 END AS arrival
+  FROM events),
+ends AS (SELECT min(arrival) AS low, max(arrival) AS high FROM e),
+s AS (SELECT e.*, least(3, (arrival - low) * 4 // (high - low + 1)) AS batch FROM e, ends),
+tops AS (SELECT batch, max(ts) AS top FROM s GROUP BY batch),
+seen AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
+  FROM tops),
+judged AS (SELECT event_id, coalesce(ts < latest - INTERVAL 6 HOUR, false) AS late FROM s JOIN seen USING (batch))
+SELECT CASE WHEN late THEN 'late' ELSE 'on_time' END AS verdict, count(*) AS rows,
+  count(DISTINCT event_id) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM judged GROUP BY ALL
+UNION ALL SELECT 'kept', count(*), count(DISTINCT event_id), CAST(sum(event_id) AS BIGINT)
+FROM judged WHERE NOT late""",
+    "sink_tolerance_stream": f"""WITH {_SLICED}
+SELECT 'store' AS sink_name, batch AS batch_id, count(*) FILTER (event_id % 10 <> 0) AS records_written,
+  count(*) FILTER (event_id % 10 = 0) AS records_failed, CAST(0 AS BIGINT) AS records_parked
+FROM sliced GROUP BY batch""",
+    "parking_replay_stream": """SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events,
+  CAST(0 AS BIGINT) AS still_parked FROM events GROUP BY event_type""",
+    "olap_stream": ORDER_SQL["broadcast_enrich_margin"],
+    "orders_dead_letters_stream": f"""WITH {LINES}
+SELECT part AS raw_partition, pos AS raw_offset,
+  CASE defect WHEN 2 THEN 'unknown_op' ELSE 'malformed' END AS reject_reason
+FROM lines WHERE defect IN (1, 2, 3)""",
     "orders_fanout_stream": ORDER_SQL["broadcast_enrich_margin"],
     "medallion_stream": ORDER_SQL["medallion_gold"],
     "exactly_once_replay": """SELECT event_type AS merchant, count(*) AS rows,

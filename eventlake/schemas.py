@@ -58,8 +58,10 @@ TXN_SCHEMA = T.StructType([
 ])
 
 
-def envelope_schema(row_schema: T.StructType) -> T.StructType:
-    """Change envelope {op, ts_ms, source, before, after} around ``row_schema``."""
+def envelope_schema(
+    row_schema: T.StructType, images: tuple[str, ...] = ("before", "after")
+) -> T.StructType:
+    """Change envelope {op, ts_ms, source, before, after} around ``row_schema``, with the named images."""
     source = T.StructType([
         T.StructField("db", T.StringType()),
         T.StructField("schema", T.StringType()),
@@ -71,8 +73,7 @@ def envelope_schema(row_schema: T.StructType) -> T.StructType:
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
         T.StructField("source", source),
-        T.StructField("before", row_schema),
-        T.StructField("after", row_schema),
+        *[T.StructField(image, row_schema) for image in images],
     ])
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +53,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the executors, for clusters that don't have it installed."""
+    source = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="eventlake-")) / "eventlake.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(source.rglob("*.py")):
+            archive.write(path, path.relative_to(source.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
@@ -62,5 +74,4 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="eventlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,8 +1,10 @@
 """Micro-batch writing: outcome, tolerance, metrics, parking and fan-out.
 
-Writers run on the executors. Every write is keyed by the micro-batch id or by
-keys derived from the data, so a batch that is run again after a failure leaves
-the destination as one run would.
+Writers run on the executors. Files are keyed by the micro-batch id and keyed
+stores by the data, so a batch that the same checkpoint runs again leaves the
+destination as one run would. A batch id says nothing once the checkpoint is
+lost and the input is cut anew: then readers of files take one row for each
+idempotency token (``once_per_token``). Topics are appended to, at least once.
 """
 
 from __future__ import annotations
@@ -16,10 +18,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlake.functions.tokens import idempotency_token
+from eventlake.operators.changes import latest_changes
+
 # Defaults of a destination.
 BATCH_ROWS = 1_000
 MAX_FAILURE_FRACTION = 0.0
-METRICS_SCHEMA = "sink_name string, batch_id long, records_written long, records_failed long, duration_ms long"
+METRICS_SCHEMA = (
+    "sink_name string, batch_id long, records_written long, records_failed long, "
+    "duration_ms long, records_parked long"
+)
+# Errors that mean an unreachable store, by the names of their types.
+OUTAGES = ("ConnectionError", "ConnectionRefusedError", "ConnectionResetError", "TimeoutError")
 
 
 class SinkFailure(RuntimeError):
@@ -34,9 +44,14 @@ class BatchOutcome:
     records_failed: int
     duration_ms: int
     error: Exception | None = None
+    records_parked: int = 0
+    first_error: str | None = None
 
     @property
     def failure_rate(self) -> float:
+        """Share of failed rows; a write that raised has failed altogether, whatever its rows."""
+        if self.error is not None:
+            return 1.0
         total = self.records_written + self.records_failed
         return self.records_failed / total if total else 0.0
 
@@ -49,6 +64,7 @@ class Sink(ABC):
         metrics_path: str | None = None,
     ):
         self.name = name
+        self.first_error: str | None = None
         self.max_failure_fraction = max_failure_fraction
         self.metrics_path = metrics_path
 
@@ -57,14 +73,19 @@ class Sink(ABC):
         """Write one micro-batch; returns (written, failed) rows."""
 
     def run(self, batch: DataFrame, batch_id: int) -> BatchOutcome:
-        """Write and time one batch; a write that raises has failed for all its rows."""
-        began, error = time.perf_counter(), None
+        """Write and time one batch.
+
+        A write that raises counts no rows: how many there were would take the
+        whole batch once more, and the error alone decides.
+        """
+        began, error, self.first_error = time.perf_counter(), None, None
         try:
             written, failed = self.write(batch, batch_id)
         except Exception as raised:
-            written, failed, error = 0, batch.count(), raised
+            written, failed, error = 0, 0, raised
         took = int((time.perf_counter() - began) * 1000)
-        return BatchOutcome(self.name, batch_id, written, failed, took, error)
+        return BatchOutcome(self.name, batch_id, written, failed, took, error,
+                            first_error=self.first_error)
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
         """Callback for ``writeStream.foreachBatch``: write, record, halt on breach."""
@@ -73,10 +94,11 @@ class Sink(ABC):
             outcome = self.run(batch, batch_id)
             if self.metrics_path:
                 record_outcomes(batch.sparkSession, [outcome], self.metrics_path)
-            if outcome.failure_rate > self.max_failure_fraction:
+            if outcome.error is not None or outcome.failure_rate > self.max_failure_fraction:
                 raise SinkFailure(
-                    f"sink {self.name} batch {batch_id}: failure rate "
-                    f"{outcome.failure_rate:.2%} exceeds {self.max_failure_fraction:.2%}"
+                    f"{self.name} could not store {outcome.failure_rate:.2%} of batch {batch_id}, "
+                    f"tolerated are {self.max_failure_fraction:.2%}; first error: "
+                    f"{outcome.error or outcome.first_error or 'rows refused'}"
                 ) from outcome.error
 
         return on_batch
@@ -84,7 +106,8 @@ class Sink(ABC):
 
 def record_outcomes(spark: SparkSession, outcomes: list[BatchOutcome], path: str) -> None:
     """Outcome rows as a table partitioned by sink and batch; a replayed batch replaces its own."""
-    rows = [(o.sink_name, o.batch_id, o.records_written, o.records_failed, o.duration_ms)
+    rows = [(o.sink_name, o.batch_id, o.records_written, o.records_failed, o.duration_ms,
+             o.records_parked)
             for o in outcomes]
     frame = spark.createDataFrame(rows, METRICS_SCHEMA)
     overwrite_partitions(frame, path, ["sink_name", "batch_id"])
@@ -122,7 +145,7 @@ class PartitionSink(Sink):
 
     ``open_client`` is called once per task and returns a function taking a list
     of row dictionaries and returning one boolean per row (stored or not). Rows
-    never pass the driver; it only receives two numbers per task.
+    never pass the driver; it only receives two numbers and the first error per task.
     """
 
     def __init__(self, name: str, open_client, rows_per_call: int = BATCH_ROWS, **kwargs):
@@ -142,58 +165,102 @@ class PartitionSink(Sink):
         def send(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            store, written, failed = open_client(), 0, 0
+            store, written, failed, first = open_client(), 0, 0, None
             for records in batches:
                 for start in range(0, records.num_rows, size):
                     rows = records.slice(start, size).to_pylist()
                     try:
                         stored = sum(bool(ok) for ok in store(rows))
-                    except Exception:  # the whole call failed
-                        stored = 0
+                    except Exception as raised:  # the whole call failed
+                        stored, first = 0, first or f"{type(raised).__name__}: {raised}"
                     written += stored
                     failed += len(rows) - stored
-            yield pa.RecordBatch.from_pydict({"w": [written], "f": [failed]})
-
-        counts = self.shape(batch).mapInArrow(send, "w long, f long")
-        total = counts.agg(F.sum("w").alias("w"), F.sum("f").alias("f")).first()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([written]), pa.array([failed]), pa.array([first], pa.string())],
+                ["w", "f", "e"])
+
+        counts = self.shape(batch).mapInArrow(send, "w long, f long, e string")
+        total = counts.agg(
+            F.sum("w").alias("w"), F.sum("f").alias("f"), F.min("e").alias("e")).first()
+        self.first_error = total["e"]
         return total["w"] or 0, total["f"] or 0
 
 
 class ParkingSink(Sink):
-    """Writes to ``sink`` and, while that fails, to files to be replayed later."""
+    """Writes to ``sink`` and, during an outage of its store, to files to be replayed later.
 
-    def __init__(self, sink: Sink, parking_path: str):
+    An outage is an error whose type (or the type a client raised in a task) is
+    among ``outages``. Anything else, a wrong column or refused rows, fails as it
+    would without parking. Parked rows are neither written nor failed.
+    """
+
+    def __init__(self, sink: Sink, parking_path: str, outages: tuple[str, ...] = OUTAGES):
         super().__init__(sink.name, sink.max_failure_fraction, sink.metrics_path)
-        self.sink = sink
-        self.parking_path = parking_path
+        self.sink, self.parking_path, self.outages = sink, parking_path, outages
 
     def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
+        outcome = self.run(batch, batch_id)
+        if outcome.error is not None:
+            raise outcome.error
+        return outcome.records_written, outcome.records_failed
+
+    def _is_outage(self, outcome: BatchOutcome) -> bool:
+        if outcome.error is not None:
+            return any(t.__name__ in self.outages for t in type(outcome.error).__mro__)
+        return (outcome.first_error or "").split(":")[0] in self.outages
+
+    def run(self, batch: DataFrame, batch_id: int) -> BatchOutcome:
         outcome = self.sink.run(batch, batch_id)
-        if outcome.failure_rate <= self.max_failure_fraction:
-            return outcome.records_written, outcome.records_failed
-        parked = batch.withColumn("parked_batch", F.lit(batch_id))
+        if outcome.failure_rate <= self.max_failure_fraction or not self._is_outage(outcome):
+            return outcome
+        parked = batch.withColumn("parked_batch", F.lit(batch_id).cast("long"))
         n = write_counted(
             parked, lambda df: overwrite_partitions(df, self.parking_path, ["parked_batch"])
         )
-        return n, 0
+        return BatchOutcome(self.name, batch_id, 0, 0, outcome.duration_ms, records_parked=n)
+
+
+def _retired(spark: SparkSession, parking_path: str) -> DataFrame:
+    """Batch ids that were replayed: one row each in a table next to the parked rows."""
+    path = f"{parking_path.rstrip('/')}-retired"
+    overwrite_partitions(
+        spark.createDataFrame([], "n int, parked_batch long"), path, ["parked_batch"])
+    return spark.read.schema("n int, parked_batch long").parquet(path)
 
 
 def parked_batches(spark: SparkSession, parking_path: str, schema) -> DataFrame:
     """Rows waiting for replay with their batch id; the schema needs no files to exist."""
     full = T.StructType([*schema.fields, T.StructField("parked_batch", T.LongType())])
-    return spark.read.schema(full).parquet(parking_path)
+    rows = spark.read.schema(full).parquet(parking_path)
+    return rows.join(_retired(spark, parking_path), "parked_batch", "left_anti").select(
+        *[f.name for f in schema.fields], "parked_batch")
 
 
 def replay_parked(spark: SparkSession, parking_path: str, schema, sink: Sink) -> list[BatchOutcome]:
-    """Give every parked batch to ``sink`` again, under its own batch id.
+    """Give every parked batch to ``sink`` again, under its own batch id, and retire it.
 
-    The loop runs over batch ids (a short list of folder names), not over rows.
+    A batch that fails again stays parked. The loop runs over batch ids (a short
+    list of folder names), not over rows.
     """
     waiting = parked_batches(spark, parking_path, schema)
     ids = [r[0] for r in waiting.select("parked_batch").distinct().orderBy(1).toLocalIterator()]
-    return [
-        sink.run(waiting.where(F.col("parked_batch") == i).drop("parked_batch"), i) for i in ids
-    ]
+    outcomes = []
+    for i in ids:
+        outcome = sink.run(waiting.where(F.col("parked_batch") == i).drop("parked_batch"), i)
+        if outcome.failure_rate <= sink.max_failure_fraction and not outcome.records_parked:
+            done = spark.createDataFrame([(1, i)], "n int, parked_batch long")
+            overwrite_partitions(done, f"{parking_path.rstrip('/')}-retired", ["parked_batch"])
+        outcomes.append(outcome)
+    return outcomes
+
+
+def once_per_token(df: DataFrame, newest: str = "batch_id") -> DataFrame:
+    """One row for each idempotency token, the one of the highest ``newest``.
+
+    For tables whose input was written again under other batch ids.
+    """
+    rows = df.withColumn("__token", idempotency_token(df))
+    return latest_changes(rows, ["__token"], [newest]).drop("__token")
 
 
 def fan_out(sinks: list[Sink]) -> Callable[[DataFrame, int], None]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.tokens import idempotency_token
 from eventlake.operators.changes import latest_changes
 from eventlake.sinks.base import Sink, write_counted
 
@@ -15,18 +16,22 @@ _EVERYONE_SPLITS = 16
 def broadcast_messages(
     df: DataFrame, batch_id: Column, targets_col: str = "user_targets"
 ) -> DataFrame:
-    """``value`` = JSON of {user_targets, payload, batch_id}; no target means everyone."""
+    """``value`` = JSON of {user_targets, payload, batch_id, token}; no target means everyone.
+
+    ``token`` is the row's idempotency token: a topic may get a message again, and
+    receivers drop what they have seen.
+    """
     # A message without user_targets goes to everyone, and JSON leaves nulls out.
     targets = F.col(targets_col) if targets_col in df.columns else F.lit("*")
     message = F.struct(
         targets.alias("user_targets"), F.struct(*df.columns).alias("payload"),
-        batch_id.alias("batch_id"),
+        batch_id.alias("batch_id"), idempotency_token(df).alias("token"),
     )
     return df.select(F.to_json(message).alias("value"))
 
 
 class BroadcastSink(Sink):
-    """Writes the messages to a topic, from the executors."""
+    """Writes the messages to a topic, from the executors, at least once."""
 
     def __init__(self, name: str, options: dict[str, str], topic: str = "ws-broadcast",
                  targets_col: str = "user_targets", fmt: str = "kafka", **kwargs):
@@ -58,9 +63,11 @@ def connection_registry(
     """Live connections: newest event per connection is a connect and has not expired.
 
     ``events`` has connection_id, event (connect, disconnect or gone), user_id,
-    topics and the ``position`` time.
+    topics and the ``position`` time. Of events of one instant the one that ends
+    the connection counts as the later one.
     """
-    newest = latest_changes(events, ["connection_id"], [position])
+    ends = events.withColumn("__ends", (F.col("event") != connect).cast("int"))
+    newest = latest_changes(ends, ["connection_id"], [position, "__ends", "event"])
     return newest.where(F.col("event") == connect).select(
         "connection_id", F.coalesce("user_id", F.lit("anonymous")).alias("user_id"),
         subscribed_topics(F.col("topics")).alias("subscribed_topics"),

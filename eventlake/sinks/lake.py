@@ -29,7 +29,10 @@ def lake_rows(
 
 
 class LakeSink(Sink):
-    """Date-partitioned table: a catalog table (append), or files replaced per batch."""
+    """Date-partitioned table: of a catalog or as files; a batch that runs again replaces its rows.
+
+    A catalog table has a column ``batch_id``, and needs no folder for each batch.
+    """
 
     def __init__(
         self, name: str, path: str | None = None, table: str | None = None,
@@ -42,9 +45,10 @@ class LakeSink(Sink):
 
     def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
         rows = lake_rows(batch, self.time_col, unit=self.unit)
-        if self.table:
-            return write_counted(rows, lambda df: df.writeTo(self.table).append()), 0
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if self.table:
+            own = F.col("batch_id") == batch_id
+            return write_counted(rows, lambda df: df.writeTo(self.table).overwrite(own)), 0
         return write_counted(rows, lambda df: overwrite_partitions(
             df, self.path, ["event_date", "batch_id"], compression=LAKE_CODEC
         )), 0
@@ -73,13 +77,18 @@ class ArchiveSink(Sink):
         rows = archive_rows(batch, self.ts_ms).withColumn(
             "batch_id", F.lit(batch_id).cast("long")
         )
-        good = rows.where(F.col("year").isNotNull())
-        bad = rows.where(F.col("year").isNull()).drop(*HOUR_FOLDERS).withColumn(
-            "reject_reason", F.lit("no readable ts_ms")
-        )
-        n = write_counted(good, lambda df: overwrite_partitions(
-            df, self.path, [*HOUR_FOLDERS, "batch_id"], compression=ARCHIVE_CODEC,
-            maxRecordsPerFile=ARCHIVE_ROWS_PER_FILE,
-        ))
-        overwrite_partitions(bad, self.dead_letter_path, ["batch_id"])
+        # Kept while both parts are written: the topic is read and parsed once.
+        rows.persist()
+        try:
+            good = rows.where(F.col("year").isNotNull())
+            bad = rows.where(F.col("year").isNull()).drop(*HOUR_FOLDERS).withColumn(
+                "reject_reason", F.lit("no readable ts_ms")
+            )
+            n = write_counted(good, lambda df: overwrite_partitions(
+                df, self.path, [*HOUR_FOLDERS, "batch_id"], compression=ARCHIVE_CODEC,
+                maxRecordsPerFile=ARCHIVE_ROWS_PER_FILE,
+            ))
+            overwrite_partitions(bad, self.dead_letter_path, ["batch_id"])
+        finally:
+            rows.unpersist()
         return n, 0

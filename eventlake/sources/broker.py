@@ -22,6 +22,9 @@ IAM_OPTIONS = {
 # Rows per micro-batch of the order and click jobs.
 ORDERS_PER_TRIGGER = 50_000
 CLICKS_PER_TRIGGER = 100_000
+# Rows per micro-batch of the other jobs; they bound what one key brings at once.
+TXNS_PER_TRIGGER = 100_000
+ARCHIVE_PER_TRIGGER = 500_000
 
 
 @dataclass(frozen=True)

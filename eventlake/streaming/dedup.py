@@ -1,9 +1,10 @@
-"""Exact keyed deduplication with late rows set aside, as a stateful processor."""
+"""Exact keyed deduplication as a stateful processor, with late rows set aside before it."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventlake.functions.durations import micros
+from eventlake.sinks.base import overwrite_partitions
 
 
 class FirstPerWindow(StatefulProcessor):
@@ -19,16 +21,11 @@ class FirstPerWindow(StatefulProcessor):
     State per key is one time. The comparison uses event times, not timers: all
     rows of one micro-batch reach the processor before any timer fires, so a
     timer alone would keep one row per batch. The timer only removes state.
-
-    Stock operators drop late rows silently. Here the declared watermark is
-    loose (``slack_us``); the latest event time is the watermark plus that
-    slack, and rows more than ``allowed_us`` behind it come out as late.
     """
 
-    def __init__(self, key_col: str, time_col: str, window_us: int, allowed_us: int,
-                 slack_us: int, columns: list[str], tie_cols: list[str]):
-        self.key_col, self.time_col = key_col, time_col
-        self.window_us, self.allowed_us, self.slack_us = window_us, allowed_us, slack_us
+    def __init__(self, key_col: str, time_col: str, window_us: int, columns: list[str],
+                 tie_cols: list[str]):
+        self.key_col, self.time_col, self.window_us = key_col, time_col, window_us
         self.columns, self.tie_cols = columns, tie_cols
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -38,8 +35,6 @@ class FirstPerWindow(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        watermark_ms = timerValues.getCurrentWatermarkInMs()
-        latest_us = watermark_ms * 1000 + self.slack_us if watermark_ms > 0 else None
         last = self.last_kept.get()[0] if self.last_kept.exists() else None
         began = last
         # The engine delivers a key's rows of one batch in any order; they are
@@ -47,20 +42,17 @@ class FirstPerWindow(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values([self.time_col, *self.tie_cols], kind="stable")
         times = batch[self.time_col].astype("datetime64[us]").astype("int64").to_numpy()
-        keep, late = [], []
-        for us in times.tolist():
-            is_late = latest_us is not None and us < latest_us - self.allowed_us
-            kept = not is_late and (last is None or us >= last + self.window_us)
-            if kept:
-                last = us
-            keep.append(kept or is_late)
-            late.append(is_late)
+        # From one kept row straight to the next: a search for each kept row.
+        kept, at = [], 0 if last is None else int(np.searchsorted(times, last + self.window_us))
+        while at < len(times):
+            kept.append(at)
+            last = int(times[at])
+            at = int(np.searchsorted(times, last + self.window_us))
         if last is not None and last != began:
             self.last_kept.update((last,))
             # Rows this much behind the watermark no longer reach the processor.
             self.handle.registerTimer((last + self.window_us) // 1000 + 1)
-        batch["is_late"] = late
-        yield batch[keep][[*self.columns, "is_late"]]
+        yield batch.iloc[kept][self.columns]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.last_kept.exists():
@@ -75,21 +67,60 @@ class FirstPerWindow(StatefulProcessor):
 
 def first_per_window_stream(
     df: DataFrame, key: str, time_col: str, window: str = "1 hour", allowed: str = "1 hour",
-    slack: str = "24 hours", tie_cols: list[str] | None = None,
+    tie_cols: list[str] | None = None,
 ) -> DataFrame:
-    """Kept rows (``is_late`` false) and late rows (``is_late`` true) of a stream.
+    """Kept rows of a stream.
 
-    Split the two in ``foreachBatch``. Rows later than ``slack`` are dropped by
-    the engine and appear as ``dropped_by_watermark`` in the progress metrics.
+    As in the batch form, rows without key or time are left out. Rows more than
+    ``allowed`` behind the latest time of the batches before are dropped by the
+    engine and show as ``dropped_by_watermark`` in the progress metrics; behind a
+    ``LateSplit`` there are none.
     """
-    columns = df.columns
-    out = T.StructType([*df.schema.fields, T.StructField("is_late", T.BooleanType())])
-    processor = FirstPerWindow(
-        key, time_col, micros(window), micros(allowed), micros(slack), columns,
-        list(tie_cols or []),
-    )
-    keyed = df.where(F.col(key).isNotNull()).withWatermark(time_col, slack).groupBy(key)
-    return keyed.transformWithStateInPandas(
+    out = T.StructType(df.schema.fields)
+    processor = FirstPerWindow(key, time_col, micros(window), df.columns, list(tie_cols or []))
+    known = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
+    return known.withWatermark(time_col, allowed).groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode="Append",
         timeMode="EventTime",
     )
+
+
+class LateSplit:
+    """``foreachBatch`` callback that deals every row to ``on_time`` or ``late`` tables.
+
+    Late is what lies more than ``allowed`` behind the latest event time of all
+    batches before, and what has no key or no time. The latest time of each
+    batch is stored, so a batch that runs again decides as it did before. A
+    stateful query that reads the on-time table in the order it was written
+    sees its own watermark no further than this one, so it drops nothing.
+    """
+
+    def __init__(self, spark, base: str, schema: T.StructType, key: str, time_col: str,
+                 allowed: str = "1 hour"):
+        self.on_time, self.late, self.latest = (f"{base}/{n}" for n in ("on_time", "late", "latest"))
+        self.key, self.time_col, self.allowed_us = key, time_col, micros(allowed)
+        self.schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        for path, columns in ((self.on_time, self.schema), (self.late, self.schema),
+                              (self.latest, "us long, batch_id long")):
+            overwrite_partitions(spark.createDataFrame([], columns), path, ["batch_id"])
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = spark.read.schema("us long, batch_id long").parquet(self.latest)
+        before = seen.where(F.col("batch_id") < batch_id).agg(F.max("us")).first()[0]
+        us = F.unix_micros(self.time_col)
+        is_late = F.col(self.key).isNull() | us.isNull()
+        if before is not None:
+            is_late = is_late | (us < before - self.allowed_us)
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        try:
+            overwrite_partitions(numbered.where(~is_late), self.on_time, ["batch_id"])
+            overwrite_partitions(numbered.where(is_late), self.late, ["batch_id"])
+            newest = numbered.agg(F.max(us).alias("us"), F.lit(batch_id).cast("long").alias("batch_id"))
+            overwrite_partitions(newest, self.latest, ["batch_id"])
+        finally:
+            numbered.unpersist()
+
+    def read_on_time(self, spark) -> DataFrame:
+        """The on-time rows as a stream."""
+        return spark.readStream.schema(self.schema).parquet(self.on_time).drop("batch_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,13 @@ class ProgressListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
+    def wait_for(self, queries: list, seconds: float = 10.0) -> None:
+        """Waits until the reports of ended queries have arrived; they come on a thread of their own."""
+        due = time.monotonic() + seconds
+        last = {(q.name or str(q.id), q.lastProgress["batchId"]) for q in queries if q.lastProgress}
+        while last - {row[:2] for row in self.rows} and time.monotonic() < due:
+            time.sleep(0.05)
+
     def flush(self, spark: SparkSession, path: str) -> None:
         rows, self.rows = self.rows, []
         if rows:
@@ -93,7 +101,7 @@ def committed_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     newest = log("commits").agg(F.max("batch_id").alias("batch_id"))
     # A log file has a version line, a settings line, and one line per source.
     lines = F.split("value", "\n")
-    sources = F.filter(F.slice(lines, 3, 1_000_000), lambda line: line.startswith("{"))
+    sources = F.filter(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0))), lambda line: line.startswith("{"))
     planned = log("offsets").join(F.broadcast(newest), "batch_id").select(
         F.explode(sources).alias("source")
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,17 +47,15 @@ def test_truncate_clears_earlier_rows_of_its_table(spark):
         spark, ("t", "a", 1, 1, "c", 10), ("u", "a", 2, 2, "c", 20), ("t", None, 3, 3, "t", None),
         ("t", "b", 4, 4, "c", 30), ("t", None, 2, 2, "t", None),
     )
-    for limit in (10, None):
-        out = changes.latest_state_with_truncate(
-            df, "table", ["id"], ["source_lsn", "raw_offset"], max_tables=limit)
-        assert state(out, "table", "id", "v") == [("t", "b", 30), ("u", "a", 20)]
+    out = changes.latest_state_with_truncate(df, "table", ["id"], ["source_lsn", "raw_offset"])
+    assert state(out, "table", "id", "v") == [("t", "b", 30), ("u", "a", 20)]
 
 
 def test_stale_changes_do_not_overwrite(spark):
-    names = "id string, source_lsn long, v string"
-    target = spark.createDataFrame([("a", 5, "old"), ("b", 5, "old"), ("c", 5, "old")], names)
+    names = "id string, source_lsn long, raw_offset long, v string"
+    target = spark.createDataFrame([("a", 5, 1, "old"), ("b", 5, 1, "old"), ("c", 5, 1, "old")], names)
     batch = spark.createDataFrame(
-        [("a", 4, "stale"), ("b", 5, "same"), ("c", 6, "new"), ("c", 7, "newer"), ("d", 1, "in")],
+        [("a", 4, 9, "stale"), ("b", 5, 1, "same"), ("c", 6, 2, "new"), ("c", 7, 3, "newer"), ("d", 1, 4, "in")],
         names)
     once = changes.merge_guarded(target, batch, ["id"])
     assert state(once, "id", "v") == [("a", "old"), ("b", "old"), ("c", "newer"), ("d", "in")]
@@ -64,6 +63,32 @@ def test_stale_changes_do_not_overwrite(spark):
     assert state(again, "id", "v") == state(once, "id", "v")
 
 
+def test_deleted_keys_stay_deleted(spark):
+    empty = spark.createDataFrame([], LOG + ", event_time timestamp")
+    target = empty
+    for batch in (
+        [("t", "a", 10, 1, "c", 1), ("t", "n", None, 1, "c", 1)],
+        [("t", "a", 30, 3, "d", None), ("t", "n", None, 2, "u", 2)],
+        [("t", "a", 20, 2, "u", 9), ("t", "n", None, 1, "c", 1)],  # late and repeated
+    ):
+        rows = spark.createDataFrame(batch, LOG).withColumn("event_time", F.lit(datetime(2026, 1, 1)))
+        target = changes.merge_guarded(target, rows, ["id"])
+    assert state(changes.live_rows(target), "id", "v") == [("n", 2)]
+    old, new = F.lit(datetime(2025, 1, 1)), F.lit(datetime(2026, 2, 1))
+    assert changes.drop_tombstones(target, old).count() == 2
+    assert state(changes.drop_tombstones(target, new), "id", "v") == [("n", 2)]
+
+
+def test_merge_into_a_table_without_row_changes_is_refused(spark):
+    rows = spark.createDataFrame([("t", "a", 1, 1, "c", 1)], LOG)
+    rows.write.saveAsTable("merge_target")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            changes.merge_into_table(rows, "merge_target", ["id"])
+    finally:
+        spark.sql("DROP TABLE merge_target")
+
+
 def test_folding_combines_before_the_shuffle(spark):
     out = changes.latest_changes(
         spark.range(10).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")), ["k"], ["v"])

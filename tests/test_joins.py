@@ -50,53 +50,46 @@ def test_unknown_join_type(spark):
         joins.interval_join(df, df, "k", "t", "t", how="cross")
 
 
-def test_broadcast_only_when_proven_small(spark):
+def test_enrich_leaves_the_strategy_to_the_optimizer(spark):
     facts = spark.range(100).withColumn("k", F.col("id") % 10)
     dim = spark.range(8).select(F.col("id").alias("k"), F.lit("x").alias("v"), F.lit(1).alias("w"))
 
     def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
+        return df._jdf.queryExecution().toString()
 
-    small = joins.broadcast_enrich(facts, dim, "k", ["v"])
-    large = joins.broadcast_enrich(facts, dim, "k", ["v"], max_rows=5)
-    assert "broadcast" in plan(small) and "broadcast" not in plan(large)
-    assert small.columns == ["k", "id", "v"]
-    assert small.exceptAll(large).count() == 0
-    assert small.where("v is null").count() == 20
-    assert joins.broadcast_enrich(facts, dim, "k", ["v"], "inner").count() == 80
-    assert not joins.fits_broadcast(dim, max_bytes=10)
-
-
-def test_bounded_broadcast_refuses_to_cut(spark):
-    dim = spark.range(10)
-    assert spark.range(20).join(joins.bounded_broadcast(dim, 10), "id").count() == 10
-    with pytest.raises(Exception, match="more than 9 rows"):
-        spark.range(20).join(joins.bounded_broadcast(dim, 9), "id").collect()
+    free, hinted = joins.enrich(facts, dim, "k", ["v"]), joins.enrich(facts, dim.hint("merge"), "k", ["v"])
+    assert "broadcast" not in free._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" in plan(hinted)
+    assert free.columns == ["k", "id", "v"]
+    assert free.exceptAll(hinted).count() == 0
+    assert free.where("v is null").count() == 20
+    assert joins.enrich(facts, dim, "k", ["v"], "inner").count() == 80
 
 
 def test_margin_and_key_checks(spark):
     facts = spark.createDataFrame([("p1", 10.0, 2), ("p2", 10.0, 2)], "k string, total_amount double, qty long")
     dim = spark.createDataFrame([("p1", 3.0), ("p3", 1.0), ("p3", 2.0)], "k string, unit_cost double")
-    rows = joins.with_margin(joins.broadcast_enrich(facts, dim, "k", ["unit_cost"])).orderBy("k")
+    rows = joins.with_margin(joins.enrich(facts, dim, "k", ["unit_cost"])).orderBy("k")
     assert [r.margin_amount for r in rows.collect()] == [4.0, None]
     assert [tuple(r) for r in joins.unmatched_keys(facts, dim, "k").collect()] == [("p2", 1)]
     assert [tuple(r) for r in joins.duplicate_keys(dim, "k").collect()] == [("p3", 2)]
 
 
-@pytest.mark.parametrize("max_rows", [joins.BROADCAST_ROWS, 0])
-def test_asof_boundaries(spark, max_rows):
+@pytest.mark.parametrize("few_versions", [True, False])
+def test_asof_boundaries(spark, few_versions):
     versions = spark.createDataFrame(
-        [("a", T0, 1), ("a", T0 + timedelta(days=1), 2), ("a", T0 + timedelta(days=9, hours=5), 3)],
+        [("a", T0, 1), ("a", T0 + timedelta(days=1), 2), ("a", T0 + timedelta(days=9, hours=5), 3),
+         (None, T0, 4), ("a", None, 5), (None, None, 6)],
         "k string, updated timestamp, v long")
     facts = times(spark, [
         ("a", T0 - timedelta(microseconds=1), 1), ("a", T0, 2), ("a", T0 + timedelta(hours=23), 3),
         ("a", T0 + timedelta(days=1), 4), ("a", T0 + timedelta(days=9), 5),
-        ("a", T0 + timedelta(days=9, hours=5), 6), ("b", T0, 7), ("a", None, 8), (None, T0, 9),
+        ("a", T0 + timedelta(days=9, hours=5), 6), ("b", T0, 7), ("a", None, 8), (None, T0, 9), (None, None, 10),
     ])
-    out = joins.asof_join(facts, versions, "k", "t", "updated", ["v"], max_rows=max_rows)
+    out = joins.asof_join(facts, versions, "k", "t", "updated", ["v"], few_versions)
     assert out.columns == ["k", "t", "id", "v"]
     assert {r.id: r.v for r in out.collect()} == {
-        1: None, 2: 1, 3: 1, 4: 2, 5: 2, 6: 3, 7: None, 8: None, 9: None}
+        1: None, 2: 1, 3: 1, 4: 2, 5: 2, 6: 3, 7: None, 8: None, 9: None, 10: None}
 
 
 def test_asof_routes_agree_on_hot_keys(spark):
@@ -110,7 +103,7 @@ def test_asof_routes_agree_on_hot_keys(spark):
             seen.add((key, at))
             versions.append((key, at, i))
     versions = spark.createDataFrame(versions, "k string, updated timestamp, v long")
-    spans = joins.asof_join(facts, versions, "k", "t", "updated", ["v"], max_versions=10_000)
+    spans = joins.asof_join(facts, versions, "k", "t", "updated", ["v"], few_versions=True)
     merged = joins.asof_join(facts, versions, "k", "t", "updated", ["v"], chunk="3 hours")
     assert spans.exceptAll(merged).count() == 0 and merged.exceptAll(spans).count() == 0
 

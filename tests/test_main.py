@@ -31,6 +31,7 @@ def test_archive_job(spark, shared):
     messages(spark, f"{shared}/in", [order_message(i) for i in range(6)])
     run("archive", shared)
     assert spark.read.parquet(f"{shared}/out/archive").count() == 6
+    assert spark.read.parquet(f"{shared}/out/progress").agg(F.sum("records_in")).first()[0] == 6
 
 
 def test_arguments(shared):
@@ -45,3 +46,4 @@ def test_arguments(shared):
 def test_every_job_has_a_topic_and_a_limit():
     assert cli.TOPICS["orders"] == ("cdc.public.orders", 50_000)
     assert cli.TOPICS["clickstream"][1] == 100_000
+    assert all(limit for _, limit in cli.TOPICS.values())

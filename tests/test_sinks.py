@@ -71,10 +71,10 @@ def test_tolerance_halts(spark):
     Failing((99, 1), max_failure_fraction=0.01).foreach_batch()(df, 0)
     with pytest.raises(base.SinkFailure, match="50.00%"):
         Failing((1, 1)).foreach_batch()(df, 3)
-    with pytest.raises(base.SinkFailure, match="100.00%") as failure:
-        Failing(ValueError("down")).foreach_batch()(df, 3)
-    assert isinstance(failure.value.__cause__, ValueError)
-    Failing(ValueError("down"), max_failure_fraction=1.0).foreach_batch()(df, 3)
+    for rows, tolerated in ((df, 0.0), (df.limit(0), 0.0), (df, 1.0)):
+        with pytest.raises(base.SinkFailure, match="100.00%.*down") as failure:
+            Failing(ValueError("down"), max_failure_fraction=tolerated).foreach_batch()(rows, 3)
+        assert isinstance(failure.value.__cause__, ValueError)
 
 
 def test_metrics_are_replaced_on_replay(spark, shared):
@@ -105,7 +105,9 @@ def test_item_failures_are_counted(spark, tmp_path):
             raise OSError("gone")
         return store
 
-    assert keyed.KeyedSink("hot", open_broken, "order_id").write(df, 0) == (0, 2)
+    broken = keyed.KeyedSink("hot", open_broken, "order_id")
+    assert broken.write(df, 0) == (0, 2)
+    assert broken.first_error == "OSError: gone"
     assert keyed.KeyedSink("hot", open_broken, "order_id").write(df.limit(0), 0) == (0, 0)
     assert document.statuses_ok([200, 201, 400, 500]) == [True, True, False, False]
 
@@ -159,7 +161,7 @@ def test_lake_layout(spark, shared):
 
 def test_lake_catalog_table(spark):
     spark.sql("CREATE TABLE cold (order_id string, event_id string, event_time timestamp, order_ts timestamp, "
-              "raw_offset long, total_amount double, event_date date) USING parquet")
+              "raw_offset long, total_amount double, event_date date, batch_id long) USING parquet")
     try:
         assert lake.LakeSink("cold", table="spark_catalog.default.cold").write(two(spark), 0) == (2, 0)
     except Exception as error:  # the built-in catalog has no v2 tables; lake catalogs do
@@ -182,14 +184,34 @@ def test_archive_folders_and_dead_letters(spark, shared):
 
 
 def test_parking_and_replay(spark, shared, tmp_path):
-    path = str(tmp_path / "back")
+    path, parked = str(tmp_path / "back"), f"{shared}/parked"
     df = two(spark)
-    for batch_id, outcome in ((0, OSError("down")), (1, (1, 1))):
-        assert base.ParkingSink(Failing(outcome), shared).write(df, batch_id) == (2, 0)
-    assert base.ParkingSink(Failing((2, 0)), shared).write(df, 2) == (2, 0)
+
+    def open_unreachable():
+        def store(rows):
+            raise TimeoutError("no answer")
+        return store
+
+    for batch_id, sink in ((0, Failing(ConnectionResetError("down"))), (1, keyed.KeyedSink("hot", open_unreachable, "order_id"))):
+        outcome = base.ParkingSink(sink, parked).run(df, batch_id)
+        assert (outcome.records_written, outcome.records_failed, outcome.records_parked) == (0, 0, 2)
+    assert base.ParkingSink(Failing((2, 0)), parked).write(df, 2) == (2, 0)
+    # Only outages park: other errors and refused rows fail.
+    with pytest.raises(base.SinkFailure):
+        base.ParkingSink(Failing(KeyError("no such column")), parked).foreach_batch()(df, 3)
+    with pytest.raises(base.SinkFailure):
+        base.ParkingSink(Failing((1, 1)), parked).foreach_batch()(df, 4)
     up = keyed.KeyedSink("hot", folder_client(path), "order_id")
-    outcomes = base.replay_parked(spark, shared, df.schema, up)
+    assert [o.records_failed for o in base.replay_parked(spark, parked, df.schema, Failing((0, 2)))] == [2, 2]
+    outcomes = base.replay_parked(spark, parked, df.schema, up)
     assert [(o.batch_id, o.records_written) for o in outcomes] == [(0, 2), (1, 2)]
+    assert base.replay_parked(spark, parked, df.schema, up) == []
+
+
+def test_once_per_token(spark):
+    df = two(spark)
+    rows = df.withColumn("batch_id", F.lit(0)).union(df.withColumn("batch_id", F.lit(3)))
+    assert sorted((r.order_id, r.batch_id) for r in base.once_per_token(rows).collect()) == [("a", 3), ("b", 3)]
 
 
 def test_fan_out_computes_once(spark, shared):
@@ -224,6 +246,8 @@ def registry(spark, now=T0):
         ("c6", "gone", None, None, T0 - timedelta(hours=8)),
         ("c7", "disconnect", None, None, T0 - timedelta(hours=8)),
         ("c7", "connect", "u7", None, T0 - timedelta(hours=7)),
+        ("c8", "connect", "u8", None, T0 - timedelta(hours=6)),
+        ("c8", "disconnect", None, None, T0 - timedelta(hours=6)),
     ]
     events = spark.createDataFrame(
         rows, "connection_id string, event string, user_id string, topics string, ts timestamp")
@@ -257,7 +281,7 @@ def test_recipients(spark, targets, want):
 def test_broadcast_messages(spark):
     df = spark.createDataFrame([("t1", ["u1", "ops-team"]), ("t2", None)], "txn_id string, user_targets array<string>")
     got = [json.loads(r.value) for r in broadcast.broadcast_messages(df, F.lit(4)).collect()]
-    assert got[0] == {"user_targets": ["u1", "ops-team"], "batch_id": 4,
+    assert got[0] == {"user_targets": ["u1", "ops-team"], "batch_id": 4, "token": "koffset:?:?:?",
                       "payload": {"txn_id": "t1", "user_targets": ["u1", "ops-team"]}}
     assert "user_targets" not in got[1]
     plain = broadcast.broadcast_messages(df.drop("user_targets"), F.lit(4)).first()

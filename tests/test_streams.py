@@ -97,31 +97,36 @@ def test_left_interval_join_stream_emits_unmatched(spark, shared):
     assert pairs == {("1", "8"), ("2", None)}
 
 
+def audited(spark, shared, stream, *args):
+    for query in activity.run_dedup_audit(
+            stream, f"{shared}/kept", f"{shared}/audit", f"{shared}/cp", *args, trigger=None):
+        query.awaitTermination()
+    schema = stream.schema.add("batch_id", "long")
+    return [spark.read.schema(schema).parquet(f"{shared}/{n}") for n in ("kept", "audit/on_time", "audit/late")]
+
+
 def test_dedup_and_late_rows(spark, shared):
     stream = txn_stream(spark, f"{shared}/in", [
-        [txn("a", "1", 0), txn("a", "2", 30), txn("b", "3", 0)],
+        [txn("a", "1", 0), txn("a", "2", 30), txn("b", "3", 0), txn("z", "0", 1)],
         [txn("a", "4", 59), txn("b", "5", 600)],
         # The latest time is 600 minutes: one hour behind it is the limit.
-        [txn("a", "6", 539), txn("c", "7", 540), txn("a", "8", 570), txn("b", "9", 660)],
+        [txn("a", "6", 539), txn("c", "7", 540), txn("a", "8", 570), txn("b", "9", 660), txn("a", "10", -90_000)],
     ])
-    query = activity.run_dedup_audit(
-        stream, f"{shared}/kept", f"{shared}/late", f"{shared}/cp", trigger=None)
-    query.awaitTermination()
-    kept = spark.read.parquet(f"{shared}/kept")
-    assert sorted(r.user_id for r in kept.collect()) == ["1", "3", "5", "7", "8", "9"]
-    late = spark.read.parquet(f"{shared}/late")
-    assert [(r.txn_id, r.user_id) for r in late.collect()] == [("a", "6")]
+    kept, on_time, late = audited(spark, shared, stream)
+    assert sorted(r.user_id for r in kept.collect()) == ["0", "1", "3", "5", "7", "8", "9"]
+    # Rows a long way behind are in the audit as well.
+    assert sorted((r.txn_id, r.user_id) for r in late.collect()) == [("a", "10"), ("a", "6")]
+    assert on_time.count() + late.count() == 11
     assert kept.schema["event_time"].dataType == TXN_SCHEMA["event_time"].dataType
 
 
 def test_dedup_stream_equals_batch(spark, shared):
     rows = [txn(f"k{i % 7}", str(i), i * 11) for i in range(400)]
     stream = txn_stream(spark, f"{shared}/in", [rows[:150], rows[150:290], rows[290:]])
-    query = activity.run_dedup_audit(stream, f"{shared}/kept", f"{shared}/late", f"{shared}/cp",
-                                     "3 hours", "24 hours", "48 hours", trigger=None)
-    query.awaitTermination()
+    kept, _, late = audited(spark, shared, stream, "3 hours", "24 hours")
     batch = dedup.first_per_window(spark.createDataFrame(rows, TXN_SCHEMA), "txn_id", "event_time", "3 hours")
-    kept = spark.read.parquet(f"{shared}/kept").drop("batch_id")
+    kept = kept.drop("batch_id")
+    assert late.count() == 0
     assert kept.exceptAll(batch).count() == 0 and batch.exceptAll(kept).count() == 0
 
 
@@ -316,36 +321,24 @@ def test_raw_archive(spark, shared):
     assert len(glob.glob(f"{shared}/a/year=2026/month=01/day=0?/hour=00")) == 2
 
 
-def test_merge_sink_folds_a_change_stream(spark, shared):
-    from eventlake.functions.envelope import decode_changes
-    from eventlake.operators.changes import key_image
-    from eventlake.schemas import ORDER_SCHEMA
-    from eventlake.sinks.merged import MergeSink
-
-    # Orders 0-9 created, 0-4 updated, 5-6 deleted, then stale copies of the first batch.
-    first = [order_message(i) for i in range(10)]
-    second = [order_message(i).replace('"lsn": %d' % (i + 1), '"lsn": %d' % (100 + i)).replace(
-        '"qty": 2', '"qty": 9') for i in range(5)]
-    second += [order_message(i, "d").replace('"lsn": %d' % (i + 1), '"lsn": %d' % (100 + i)) for i in (5, 6)]
-    stale = [order_message(i) for i in (0, 1, 2, 3, 4, 7, 8)]
-    raw = messages(spark, f"{shared}/in", [*first, *second, *stale, *stale[:4]], batches=4)
-    rows = decode_changes(raw, ORDER_SCHEMA).select(
-        key_image("order_id").alias("order_id"), "source_lsn", "cdc_op", F.col("after.qty").alias("qty"))
-    sink = MergeSink("state", f"{shared}/state", rows.schema, ["order_id"], op_col="cdc_op", buckets=4)
-    runs.start_query(rows, sink.foreach_batch(), f"{shared}/cp").awaitTermination()
-
-    def state():
-        return {r.order_id: r.qty for r in sink.read(spark).collect()}
-
-    want = {"o0": 9, "o1": 9, "o2": 9, "o3": 9, "o4": 9, "o7": 2, "o8": 2, "o9": 2}
-    assert state() == want
-    # A replayed batch (same id, same rows) leaves the table as it was.
-    last = rows.sparkSession.read.schema(BROKER_SCHEMA).parquet(f"{shared}/in")
-    again = decode_changes(last.where("offset >= 18"), ORDER_SCHEMA).select(
-        key_image("order_id").alias("order_id"), "source_lsn", "cdc_op", F.col("after.qty").alias("qty"))
-    sink.write(again, 3)
-    sink.write(again, 3)
-    assert state() == want
+def test_registered_streams_run_several_batches(spark):
+    from eventlake.queries import streams
+
+    clicks = streams._clicks(spark, "/root/testdata/sf0.001")
+    drained = streams._drain(clicks, "check")
+    assert drained.select("batch_id").distinct().count() == 4
+
+
+def test_dead_letters_of_the_order_job(spark, shared, tmp_path, products):
+    values = [order_message(1), "junk", None, order_message(2).replace('"op": "c"', '"op": "x"')]
+    raw = messages(spark, f"{shared}/in", values, batches=2)
+    queries = orders.run_lake_copy(raw, products, ColumnarSink("olap", path=f"{shared}/olap"), f"{shared}/cp", None,
+                                   f"{shared}/dead")
+    for query in queries:
+        query.awaitTermination()
+    assert spark.read.parquet(f"{shared}/olap").count() == 1
+    reasons = [r.reject_reason for r in spark.read.parquet(f"{shared}/dead").collect()]
+    assert sorted(reasons) == ["malformed", "unknown_op"]
 
 
 def test_native_table_writer(spark, shared):
