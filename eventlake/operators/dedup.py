@@ -7,12 +7,15 @@ time line is cut into chunks several windows long:
 
 1. per (key, chunk), in parallel: for every row that could be the first one kept
    in the chunk, which row would be the last one kept there;
-2. per key: follow those chunk summaries from chunk to chunk, which gives the
-   last kept time at the entry of each chunk;
-3. per (key, chunk), in parallel: keep rows, given that entry time.
-
-Steps 1 and 3 read sorted Arrow batches and hold only one chunk's chain ends,
-never the chunk. The chains of a chunk merge quickly, so step 2 sees few rows.
+2. per (key, group of chunks), in parallel: compose the summaries of neighbouring
+   chunks to one of the group; chains that met are one from there on, so few are
+   left;
+3. per key: follow the groups' summaries, then, again per group in parallel, the
+   chunks' summaries, which gives the last kept time at the entry of each chunk;
+4. per (key, chunk), in parallel: keep rows, given that entry time.
+
+Steps 1 and 4 read sorted Arrow batches and hold only one chunk's chain ends,
+never the chunk. What a key brings to one task is a few rows for each group.
 """
 
 from __future__ import annotations
@@ -131,29 +134,104 @@ def _chunk_summaries(window: int):
     return run
 
 
-def _chunk_entries(window: int):
-    """(group, last_us): last kept time before each chunk, following the summaries."""
+def _whole_groups(batches, names: tuple[str, ...]):
+    """Tables with all rows of one or more groups, from batches sorted by the columns ``names``."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        last = [held.column(c)[-1].as_py() for c in names]
+        same = np.ones(held.num_rows, bool)
+        for c, value in zip(names, last):
+            same &= pc.equal(held.column(c), value).to_numpy()
+        upto = int(np.argmax(same))
+        if upto:
+            yield held.slice(0, upto)
+            held = held.slice(upto)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _bounds(table: pa.Table, names: tuple[str, ...]) -> np.ndarray:
+    """Where each group of a sorted table begins, and the end."""
+    new = np.zeros(table.num_rows, bool)
+    for c in names:
+        column = table.column(c).combine_chunks()
+        new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    new[0] = True
+    return np.append(np.flatnonzero(new), table.num_rows)
+
+
+def _compose(first, second, window: int, edge: int):
+    """Summary of two neighbouring stretches: (entries, last) pairs of arrays.
+
+    Nothing enters the first stretch later than ``edge``, so what enters the second one
+    without keeping a row in the first matters only where the first ends before that.
+    """
+    (entry, last), (next_entry, next_last) = first, second
+    at = np.searchsorted(next_entry, last + window)
+    goes_on = at < len(next_entry)
+    last = np.where(goes_on, next_last[np.minimum(at, len(next_last) - 1)], last)
+    if not len(entry) or entry[-1] < edge:
+        entry, last = np.append(entry, next_entry), np.append(last, next_last)
+    keep = np.append(last[1:] != last[:-1], True)
+    return entry[keep], last[keep]
+
+
+_KEY, _CHUNK = ("key_id", "stretch"), ("key_id", "stretch", "number")
+
+
+def _composed(window: int):
+    """(key, stretch, entry, last): the summaries of a stretch's chunks composed to one."""
+
+    def run(batches):
+        for table in _whole_groups(batches, _KEY):
+            entry, last, edge = (table.column(c).to_numpy() for c in ("entry_us", "last_us", "edge_us"))
+            groups, chunks = _bounds(table, _KEY), _bounds(table, _CHUNK)
+            where, entries, lasts = [], [], []
+            for low, high in zip(groups[:-1], groups[1:]):
+                cuts = chunks[np.searchsorted(chunks, low):np.searchsorted(chunks, high) + 1]
+                one = entry[low:cuts[1]], last[low:cuts[1]]
+                for x, y in zip(cuts[1:-1], cuts[2:]):
+                    one = _compose(one, (entry[x:y], last[x:y]), window, int(edge[low]))
+                where.append(np.full(len(one[0]), low))
+                entries.append(one[0])
+                lasts.append(one[1])
+            rows = table.take(pa.array(np.concatenate(where))).select(["key_id", "stretch"])
+            yield from pa.Table.from_arrays(
+                [*rows.columns, pa.array(np.concatenate(entries)), pa.array(np.concatenate(lasts))],
+                ["key_id", "stretch", "entry_us", "last_us"]).to_batches()
+
+    return run
+
+
+def _followed(window: int, outer: tuple[str, ...], inner: tuple[str, ...]):
+    """(inner columns, last_us): last kept time before each unit of a group, following the units' summaries.
+
+    A group may begin with a row that has no summary (``entry_us`` is the
+    mark): the last kept time the group is entered with.
+    """
 
     def run(batches):
-        key, group, last, found = None, None, _NEVER, False
-        for batch in batches:
-            out_group, out_last = [], []
-            rows = zip(*[
-                batch.column(c).to_pylist() for c in ("key_id", "__group", "entry_us", "last_us")
-            ])
-            for row_key, row_group, entry, after in rows:
-                if row_key != key:
-                    key, group, last = row_key, None, _NEVER
-                if row_group != group:
-                    group, found = row_group, False
-                    out_group.append(group)
-                    out_last.append(last)
-                if not found and last + window <= entry:
-                    last, found = after, True
-            yield pa.RecordBatch.from_pydict({
-                "__group": pa.array(out_group, pa.string()),
-                "last_us": pa.array(out_last, pa.int64()),
-            })
+        for table in _whole_groups(batches, outer):
+            entry, last = table.column("entry_us").to_numpy(), table.column("last_us").to_numpy()
+            groups, units = _bounds(table, outer), _bounds(table, inner)
+            where, before = [], []
+            for low, high in zip(groups[:-1], groups[1:]):
+                now = _NEVER
+                cuts = units[np.searchsorted(units, low):np.searchsorted(units, high) + 1]
+                for x, y in zip(cuts[:-1], cuts[1:]):
+                    if entry[x] == _NEVER:
+                        now = int(last[x])
+                        continue
+                    where.append(x)
+                    before.append(now)
+                    at = x + int(np.searchsorted(entry[x:y], now + window))
+                    if at < y:
+                        now = int(last[at])
+            rows = table.take(pa.array(where, pa.int64())).select(list(inner))
+            yield from pa.Table.from_arrays(
+                [*rows.columns, pa.array(before, pa.int64())], [*inner, "last_us"]).to_batches()
 
     return run
 
@@ -194,7 +272,7 @@ def _keep_rows(window: int):
 
 def first_per_window(
     df: DataFrame, key: str, time_col: str, window: str = "1 hour",
-    tie_cols: list[str] | None = None, windows_per_chunk: int = 24,
+    tie_cols: list[str] | None = None, windows_per_chunk: int = 24, chunks_per_stretch: int = 64,
 ) -> DataFrame:
     """First row of each key, then each first row at least ``window`` after the last kept.
 
@@ -222,11 +300,31 @@ def first_per_window(
     summaries = sorted_times.mapInArrow(
         _chunk_summaries(width), "__group string, entry_us long, last_us long"
     )
-    key_of = F.expr("substring(__group, instr(__group, '@') + 1)")
+    number_of = F.substring_index("__group", "@", 1).cast("long")
+    stretch = F.floor(F.col("number") / F.lit(chunks_per_stretch))
+    summaries = summaries.select(
+        F.expr("substring(__group, instr(__group, '@') + 1)").alias("key_id"),
+        number_of.alias("number"), "entry_us", "last_us",
+    ).select("key_id", stretch.alias("stretch"), "number", "entry_us", "last_us")
+    edge = F.col("stretch") * (chunk * chunks_per_stretch) + width
+    composed = (
+        summaries.withColumn("edge_us", edge)
+        .repartition("key_id", "stretch").sortWithinPartitions("key_id", "stretch", "number", "entry_us")
+        .mapInArrow(_composed(width), "key_id string, stretch long, entry_us long, last_us long")
+    )
+    entered = (
+        composed.repartition("key_id").sortWithinPartitions("key_id", "stretch", "entry_us")
+        .mapInArrow(_followed(width, ("key_id",), _KEY), "key_id string, stretch long, last_us long")
+    )
+    opening = entered.select(
+        "key_id", "stretch", (F.col("stretch") * chunks_per_stretch - 1).alias("number"),
+        F.lit(_NEVER).alias("entry_us"), "last_us",
+    )
     entries = (
-        summaries.withColumn("key_id", key_of)
-        .repartition("key_id").sortWithinPartitions("key_id", "entry_us")
-        .mapInArrow(_chunk_entries(width), "__group string, last_us long")
+        summaries.unionByName(opening)
+        .repartition("key_id", "stretch").sortWithinPartitions("key_id", "stretch", "number", "entry_us")
+        .mapInArrow(_followed(width, _KEY, _CHUNK), "key_id string, stretch long, number long, last_us long")
+        .select(F.concat_ws("@", F.col("number").cast("string"), "key_id").alias("__group"), "last_us")
     )
     marks = entries.select(
         "__group", F.lit(_NEVER).alias("__us"), F.col("last_us").alias("__entry")

@@ -92,3 +92,21 @@ def test_repartitioning_does_not_change_the_result(spark):
     one = dedup.first_per_window(df.repartition(1), "k", "t", "2 hours", ["off"])
     many = dedup.first_per_window(df.repartition(9), "k", "t", "2 hours", ["off"])
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_stretches_of_chunks_do_not_change_the_result(spark):
+    """Few and many chunks, alone or composed, on random, regular and bursty keys."""
+    rnd = random.Random(5)
+    rows = [("r", rnd.randrange(40_000)) for _ in range(900)] + [("h", 10 * i) for i in range(900)]
+    rows += [("b", 5_000 * (i // 50) + i % 50) for i in range(400)] + [("one", 7)]
+    df = spark.createDataFrame([(k, T0 + timedelta(minutes=m), i) for i, (k, m) in enumerate(rows)], "k string, t timestamp, id long")
+    want = []
+    for key in ("r", "h", "b", "one"):
+        last = None
+        for m, i in sorted((m, i) for i, (k, m) in enumerate(rows) if k == key):
+            if last is None or m >= last + 60:
+                want.append(i)
+                last = m
+    for chunk, stretch in ((24, 64), (2, 3), (1, 2), (3, 1)):
+        got = dedup.first_per_window(df, "k", "t", "1 hour", ["id"], chunk, stretch)
+        assert sorted(r.id for r in got.collect()) == sorted(want)
