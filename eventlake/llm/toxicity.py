@@ -66,7 +66,7 @@ class ToxicityModel:
 
 
 def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.ndarray, steps: int = 120,
-                 rate: float = 0.15, sparsity: float = 1e-4, least_docs: int = 4) -> ToxicityModel:
+                 rate: float = 0.15, sparsity: float = 2e-4, least_docs: int = 4) -> ToxicityModel:
     """Fits sentence weights to document labels.
 
     A document is toxic unless none of its sentences is: P = 1 - prod(1 - p_s).
@@ -111,7 +111,7 @@ def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.
     return ToxicityModel(weights.astype(np.float32), float(bias))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 5_000) -> ToxicityModel:
     """A model of ``labels.toxic``, from the whole texts of about ``max_rows`` labelled documents at most.
 
     Rows with a null id or label are left out; an id with two labels counts
