@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.tables import perhaps_among, stored
@@ -82,83 +82,57 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(np.diff(found.chunk).astype(np.int32))], ["key", "seq", "hash", "lines"])
 
 
-_PIECE = ("doc_id long, key long, low int, high int, first int, starts array<long>, ends array<long>, n_words array<int>, "
-          "before array<binary>, body array<binary>, after array<binary>")
+_PIECE = ("doc_id long, key long, low int, high int, line long, line_end long, word long, word_end long, start long, end long, body binary, "
+          "before array<struct<text: binary, word: long, start: long>>, after array<struct<text: binary, word_end: long, end: long>>")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked runs of chunks of each document, as lines with their places, and the lines next to them."""
+    """The asked runs of chunks of each document: their lines, places counted in lines, words and bytes, and the lines next to them.
+
+    Neighbours come with the nearest first.
+    """
+    names = ["doc_id", "key", "low", "high", "line", "line_end", "word", "word_end", "start", "end", "body", "before", "after"]
+    before = pa.struct([("text", pa.binary()), ("word", pa.int64()), ("start", pa.int64())])
+    after = pa.struct([("text", pa.binary()), ("word_end", pa.int64()), ("end", pa.int64())])
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 6, pa.binary(), pa.list_(before), pa.list_(after)]
     for batch in batches:
         for block in blocks(batch.column(2)):
             found, raw = lines(block), block.data.tobytes()
-            out = []
+            word = np.concatenate([[0], np.cumsum(found.n_words)])
+            starts, ends, out = found.starts.tolist(), found.ends.tolist(), []
             for r in range(block.n):
                 doc_id, key = batch.column(0)[block.first + r].as_py(), batch.column(1)[block.first + r].as_py()
                 base, low, high = int(block.rows[r]), int(found.rows[r]), int(found.rows[r + 1])
                 for span in batch.column(3)[block.first + r].as_py():
                     a = int(found.chunk[found.chunk_rows[r] + span["low"]])
                     b = int(found.chunk[found.chunk_rows[r] + span["high"] + 1])
-                    near = [(max(low, a - BEFORE), a), (a, b), (b, min(high, b + AFTER))]
-                    texts = [[raw[found.starts[i]:found.ends[i]] for i in range(*part)] for part in near]
-                    wide = slice(near[0][0], near[2][1])
-                    out.append((doc_id, key, span["low"], span["high"], near[0][0] - low, (found.starts[wide] - base).tolist(),
-                                (found.ends[wide] - base).tolist(), found.n_words[wide].tolist(), *texts))
+                    out.append((
+                        doc_id, key, span["low"], span["high"], a - low, b - low, int(word[a] - word[low]), int(word[b] - word[low]),
+                        starts[a] - base, ends[b - 1] - base, b"\n".join(raw[starts[i]:ends[i]] for i in range(a, b)),
+                        [{"text": raw[starts[i]:ends[i]], "word": int(word[i] - word[low]), "start": starts[i] - base}
+                         for i in range(a - 1, max(low, a - BEFORE) - 1, -1)],
+                        [{"text": raw[starts[i]:ends[i]], "word_end": int(word[i + 1] - word[low]), "end": ends[i] - base}
+                         for i in range(b, min(high, b + AFTER))]))
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()),
-                         pa.list_(pa.int32()), *[pa.list_(pa.binary())] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                                 [x.split()[0] for x in _PIECE.split(", ")])
+                                                 names)
 
 
-def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of each run that equal those of its first occurrence, byte by byte, and equal neighbours on either side."""
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            own, other = row["own"], row["other"]
-            equal = [x == y for x, y in zip(own["body"], other["body"], strict=False)]
-            low = high = 0
-            for x, y in zip(reversed(own["before"]), reversed(other["before"]), strict=False):
-                if x != y or not equal[0]:
-                    break
-                low += 1
-            for x, y in zip(own["after"], other["after"], strict=False):
-                if x != y or not equal[-1]:
-                    break
-                high += 1
-            skip = len(own["before"])
-            at = [*range(skip - low, skip), *(skip + k for k, same in enumerate(equal) if same),
-                  *range(skip + len(own["body"]), skip + len(own["body"]) + high)]
-            out.append((own["doc_id"], row["key"], [own["first"] + k for k in at], [own["starts"][k] for k in at], [own["ends"][k] for k in at],
-                        [own["n_words"][k] for k in at], other["doc_id"]))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
-        columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)],
-                                         ["doc_id", "key", "line", "start", "end", "n_words", "first_doc_id"])
-
-
-def _joined_runs(least_lines: int, least_words: int):
-    """One document's matched lines, put together to passages."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                covered: dict[int, tuple] = {}
-                for m in row["matches"]:
-                    for line, *place in zip(m["line"], m["start"], m["end"], m["n_words"], strict=True):
-                        firsts = [x for x in (m["first_doc_id"], covered.get(line, (None,))[-1]) if x is not None]
-                        covered[line] = (*place, min(firsts, default=None))
-                order = np.array(sorted(covered))
-                for part in np.split(order, np.flatnonzero(np.diff(order) > 1) + 1):
-                    found = [covered[int(k)] for k in part]
-                    n_words = sum(x[2] for x in found)
-                    if len(found) >= least_lines and n_words >= least_words:
-                        firsts = [x[3] for x in found if x[3] is not None]
-                        out.append((row["doc_id"], row["key"], found[0][0], found[-1][1], len(found), n_words, min(firsts, default=None)))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns],
-                                             ["doc_id", "key", "start", "end", "n_lines", "n_words", "first_doc_id"])
-    return run
+def _equal_neighbours(side: str, most: int) -> Column:
+    """How many neighbouring lines are the same in both places, up to the first that differs."""
+    count = F.lit(0)
+    for k in range(most, 0, -1):
+        same = F.lit(True)
+        for j in range(k):
+            same = same & F.coalesce(F.get(F.col(f"own.{side}"), j)["text"] == F.get(F.col(f"other.{side}"), j)["text"], F.lit(False))
+        count = F.when(same & (count == 0), F.lit(k)).otherwise(count)
+    return count
+
+
+def _grown(side: str, field: str, own: str) -> Column:
+    """A bound of the run, moved out over the equal neighbours."""
+    n = F.col(f"n_{side}")
+    return F.when(n > 0, F.get(F.col(f"own.{side}"), n - 1)[field]).otherwise(F.col(f"own.{own}"))
 
 
 def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,7 +142,8 @@ def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int =
     ``first_doc_id`` is the document of the first place (the smallest id, where
     parts have several). A passage is a run of repeated neighbouring lines of
     ``least_lines`` and ``least_words`` at least; repeated chunks that follow
-    each other in both places must cover ``least_lines`` lines of it. First is what has the
+    each other in both places must cover ``least_lines`` lines of it, and their bytes must
+    agree. First is what has the
     smallest hash of id and text, then what stands first in the text. Rows of
     the same id and text are one document. Null and empty texts have no lines.
 
@@ -179,7 +154,8 @@ def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int =
     rows = _keyed(docs, id_col, text_col)
     chunks = stored(rows.select("key", "text").mapInArrow(_chunks, "key long, seq int, hash long, lines int"), "line-chunks")
     firsts = chunks.groupBy("hash").agg(F.min(F.struct("key", "seq")).alias("at"), F.count("*").alias("n")).where("n > 1")
-    links = chunks.join(firsts.select("hash", F.col("at.key").alias("first_key"), F.col("at.seq").alias("first_seq")), "hash")
+    firsts = stored(firsts.select("hash", F.col("at.key").alias("first_key"), F.col("at.seq").alias("first_seq")), "line-firsts")
+    links = perhaps_among(chunks, firsts, "hash").join(firsts, "hash")
     links = links.where("key != first_key or seq != first_seq").withColumn("shift", F.col("seq") - F.col("first_seq"))
     together = Window.partitionBy("key", "first_key", "shift")
     runs = links.withColumn("run", F.col("seq") - F.dense_rank().over(together.orderBy("seq"))).groupBy("key", "first_key", "shift", "run").agg(
@@ -190,16 +166,26 @@ def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int =
     asked = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     texts = perhaps_among(rows, spans.select("key"), "key").join(asked, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "spans")
     pieces = stored(texts.mapInArrow(_pieces, _PIECE), "line-pieces")
-    whole = F.struct("doc_id", "first", "starts", "ends", "n_words", "before", "body", "after")
-    own = pieces.select("key", "low", "high", whole.alias("own"))
+    own = pieces.select("key", "low", "high", F.struct(*[c for c in pieces.columns if c not in ("key", "low", "high")]).alias("own"))
     other = pieces.select(F.col("key").alias("first_key"), F.col("low").alias("first_low"), F.col("high").alias("first_high"),
-                          F.struct("doc_id", "before", "body", "after").alias("other"))
-    met = runs.join(own, ["key", "low", "high"]).join(other, ["first_key", "first_low", "first_high"]).select("key", "own", "other")
-    matched = met.mapInArrow(_matched, "doc_id long, key long, line array<int>, start array<long>, end array<long>, n_words array<int>, first_doc_id long")
-    by_document = matched.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.collect_list(F.struct("line", "start", "end", "n_words", "first_doc_id")).alias("matches"))
-    return by_document.select("doc_id", "key", "matches").mapInArrow(
-        _joined_runs(least_lines, least_words), "doc_id long, key long, start long, end long, n_lines long, n_words long, first_doc_id long")
+                          F.struct("doc_id", "body", "before", "after").alias("other"))
+    met = runs.join(own, ["key", "low", "high"]).join(other, ["first_key", "first_low", "first_high"]).where("own.body = other.body")
+    met = met.select("key", "own", "other", _equal_neighbours("before", BEFORE).alias("n_before"), _equal_neighbours("after", AFTER).alias("n_after"))
+    covered = met.select(
+        "key", F.col("own.doc_id").alias("doc_id"), F.col("other.doc_id").alias("first_doc_id"),
+        (F.col("own.line") - F.col("n_before")).alias("line"), (F.col("own.line_end") + F.col("n_after")).alias("line_end"),
+        _grown("before", "word", "word").alias("word"), _grown("after", "word_end", "word_end").alias("word_end"),
+        _grown("before", "start", "start").alias("start"), _grown("after", "end", "end").alias("end"))
+    # Runs that touch or overlap make one passage.
+    upto = Window.partitionBy("key").orderBy("line", "line_end", "first_doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce((F.col("line") > F.max("line_end").over(upto)).cast("int"), F.lit(1))
+    numbered = covered.withColumn("opens", opens).withColumn(
+        "passage", F.sum("opens").over(Window.partitionBy("key").orderBy("line", "line_end", "first_doc_id")))
+    passages = numbered.groupBy("key", "passage").agg(
+        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("line_end") - F.min("line")).alias("n_lines"), (F.max("word_end") - F.min("word")).alias("n_words"),
+        F.min("first_doc_id").alias("first_doc_id"))
+    return passages.where((F.col("n_lines") >= least_lines) & (F.col("n_words") >= least_words)).drop("passage")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
