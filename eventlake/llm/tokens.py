@@ -16,7 +16,7 @@ from eventlake.llm import packing
 from eventlake.llm.text import SPACE, Block, Hasher, blocks
 from eventlake.session import shared_dir
 
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 19
 # White space beyond ASCII, and the special token: such texts are encoded in one piece.
 _WHOLE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|endoftext\|>")
 _KEPT_PIECES, _KEPT_IDS = 1 << 20, 1 << 23
@@ -79,7 +79,9 @@ class PieceEncoder:
         return starts, np.minimum(ends, block.rows[row] - 1)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # In small batches, as the library's encodings are many times as large as their ids.
+        return [np.array(x.ids, np.uint32) for k in range(0, len(texts), 32)
+                for x in self.tokenizer.encode_batch_fast(texts[k:k + 32], add_special_tokens=False)]
 
     def _encode_pieces(self, pieces: list[bytes], joined: np.ndarray, group: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and how many each has. ``joined`` marks those that may be run together."""
@@ -136,7 +138,7 @@ class PieceEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2,
-                 segment_ids: int = SEGMENT_IDS, block_bytes: int = 1 << 21, id_col: str = "doc_id", text_col: str = "text") -> None:
+                 segment_ids: int = SEGMENT_IDS, block_bytes: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text, appends ``end_id`` and writes the ids in ascending order of the document id.
 
     Rows are dealt out by ranges of the id (null first, repeated ids by a hash
