@@ -18,7 +18,7 @@ def remainder(doc_id: str, divisor: int) -> Column:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: later steps no longer depend on executors that made it."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
