@@ -235,6 +235,17 @@ def test_scores_of_edge_rows(edge, nothing):
     assert ngrams.score_texts(nothing, F.lit(True)).count() == 0
 
 
+def test_rare_words_are_states_in_a_large_corpus(spark):
+    """Each count is far below one of 100,000 training tokens, and some bigrams stand once only."""
+    texts = [(k, " ".join(["filler"] * 3999)) for k in range(100)] + [(1000, "rare pair"), (1001, "rare pair"), (1002, "rare thing"), (2000, "rare pair")]
+    rows = ngrams.score_texts(spark.createDataFrame(texts, "doc_id long, text string"), F.col("doc_id") < 2000)
+    score = {r["doc_id"]: r["score"] for r in rows.collect()}
+    n, v, begun, d = 100 * 4000 + 9, 5, 103, ngrams.DISCOUNT
+    arc = lambda pair, state, follow, word: (pair - d) / state + d * follow / state * (word + 0.1) / (n + 0.1 * (v + 1))
+    assert math.isclose(score[2000], math.log10(arc(3, begun, 2, 3)) + math.log10(arc(2, 3, 2, 2)) + math.log10(arc(2, 2, 1, begun)), rel_tol=1e-9)
+    assert math.isclose(score[1002], math.log10(arc(3, begun, 2, 3)) + math.log10(arc(1, 3, 2, 1)) + math.log10(arc(1, 1, 1, begun)), rel_tol=1e-9)
+
+
 # Token ids
 
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000])
