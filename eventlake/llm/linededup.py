@@ -1,11 +1,12 @@
-"""Repeated passages by content-defined chunks of lines.
-
-A line is a run of words up to a line feed or the end of a sentence. A rolling
-hash over two line hashes is taken after each line; a chunk ends where it is
-the least of ``SPAN`` neighbouring values, so equal passages are cut alike
-wherever they stand, and a shared run of five lines always holds a chunk. Chunks found
-more than once are compared byte by byte with their first occurrence, matches
-grow over equal lines on either side, and runs that are long enough go.
+"""Repeated passages by content-defined pieces of lines.
+
+A line is a run of words up to a line feed or the end of a sentence. In lines of
+``SPAN`` words or more, each word whose hash is the least of ``SPAN`` neighbouring
+ones ends a piece, so equal text is cut alike wherever it stands. From each piece on, and up to each
+piece, the least run of pieces with enough words is a window: every shared run
+of whole lines with that many words is made of such windows, however many lines it
+has, and so is every other shared run but for ``SPAN`` words at most on either side. Windows found
+more than once are joined to runs, and these are compared byte by byte with their first place.
 """
 
 from __future__ import annotations
@@ -15,26 +16,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.llm.packing import packed, unpacked
 from eventlake.llm.tables import perhaps_among, stored
-from eventlake.llm.text import Block, Hasher, blocks, mix, words
+from eventlake.llm.text import Block, Hasher, blocks, combined, words
 
-SPAN = 2
-BEFORE, AFTER = 3, 2  # lines next to a chunk that a match may still cover
+SPAN = 10
+BLOCK_BYTES = 8 << 20       # of text whose windows are asked for together
+BUCKET_BYTES = 16 << 20     # of text whose windows are counted together
 
 
 @dataclass(frozen=True)
 class Lines:
-    """Lines of a block and the chunks they form."""
+    """Pieces of the lines of a block."""
 
     starts: np.ndarray  # bytes, first word to last word
     ends: np.ndarray
     n_words: np.ndarray
-    rows: np.ndarray    # each row's first line; one more at the end
-    chunk: np.ndarray   # each chunk's first line; one more at the end
-    chunk_rows: np.ndarray
+    rows: np.ndarray    # each row's first piece; one more at the end
 
 
 def lines(block: Block) -> Lines:
@@ -45,23 +47,29 @@ def lines(block: Block) -> Lines:
     feeds = np.concatenate([[0], np.cumsum(block.data == 10)])
     last[:-1] |= feeds[found.starts[1:]] > feeds[found.ends[:-1]]
     last |= np.isin(block.data[found.ends - 1], list(b".!?"))
+    if n >= SPAN:  # the least hash of each window of SPAN words within a line ends a piece
+        line = np.cumsum(last) - last
+        inside = np.flatnonzero(line[:-SPAN + 1] == line[SPAN - 1:])
+        hashes = Hasher(block.data)(found.starts, found.ends)
+        last[inside + np.lib.stride_tricks.sliding_window_view(hashes, SPAN)[inside].argmin(1)] = True
     stop = np.flatnonzero(last)
     begin = np.concatenate([[0], stop[:-1] + 1]) if n else stop
     starts, ends = found.starts[begin], found.ends[stop]
-    rows = np.searchsorted(starts, block.rows)
-    hashes = Hasher(block.data)(starts, ends)
-    owner = np.repeat(np.arange(block.n), np.diff(rows))
-    before = np.concatenate([[np.uint64(0)], hashes[:-1]]) if n else hashes
-    before[rows[:-1][np.diff(rows) > 0]] = 0
-    rolling = mix(before * np.uint64(0x9E3779B97F4A7C15) + hashes)
-    ending = np.zeros(len(starts), bool)
-    if len(rolling) >= SPAN:  # the least value of each window of SPAN within a row ends a chunk
-        inside = np.flatnonzero(owner[:-SPAN + 1] == owner[SPAN - 1:])
-        ending[inside + np.lib.stride_tricks.sliding_window_view(rolling, SPAN)[inside].argmin(1)] = True
-    ending[rows[1:][np.diff(rows) > 0] - 1] = True
-    chunk_ends = np.flatnonzero(ending) + 1
-    chunk = np.concatenate([[0], chunk_ends])
-    return Lines(starts, ends, stop - begin + 1, rows, chunk, np.searchsorted(chunk[:-1], rows))
+    return Lines(starts, ends, stop - begin + 1, np.searchsorted(starts, block.rows))
+
+
+def windows(n_words: np.ndarray, rows: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The least runs of pieces with enough words within a row: first piece and end of those that start at a piece, then of the others, which end at one."""
+    upto = np.concatenate([[0], np.cumsum(n_words)])
+    piece = np.arange(len(n_words))
+    begin, end = (np.repeat(x, np.diff(rows)) for x in (rows[:-1], rows[1:]))
+    until = np.searchsorted(upto, upto[:-1] + least_words)
+    low = piece[until <= end]
+    high = until[low]
+    since = np.searchsorted(upto, upto[1:] - least_words, side="right") - 1
+    back = piece[since >= begin]
+    back = back[until[since[back]] != back + 1]
+    return low, high, since[back], back + 1
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -70,69 +78,66 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("key"), text.alias("text"))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text) as block rows: keys, pieces of each row, and the hash and words of each piece."""
+    part, seq, size = TaskContext.get().partitionId(), 0, 0
+    held: list[tuple[list, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def row() -> pa.RecordBatch:
+        fields = [(part << 32) + seq, sum((x[0] for x in held), []), *(np.concatenate([x[k] for x in held]) for k in (1, 2, 3))]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+        fields = [*fields[:2], fields[2].tolist(), fields[3].tobytes(), fields[4].astype(np.uint8).tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([f], k) for f, k in zip(fields, kinds, strict=True)], ["block", "keys", "pieces", "hashes", "words"])
+
     for batch in batches:
         for block in blocks(batch.column(1)):
             found = lines(block)
-            hashes = Hasher(block.data)(found.starts[found.chunk[:-1]], found.ends[found.chunk[1:] - 1])
-            row = np.repeat(np.arange(block.n), np.diff(found.chunk_rows))
-            seq = np.arange(len(row)) - found.chunk_rows[row]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(block.first + row)), pa.array(seq.astype(np.int32)), pa.array(hashes.view(np.int64)),
-                 pa.array(np.diff(found.chunk).astype(np.int32))], ["key", "seq", "hash", "lines"])
+            held.append((batch.column(0).slice(block.first, block.n).to_pylist(), np.diff(found.rows), Hasher(block.data)(found.starts, found.ends), found.n_words))
+            size += len(block.data)
+            if size >= BLOCK_BYTES:
+                yield row()
+                seq, size, held = seq + 1, 0, []
+    if held:
+        yield row()
 
 
-_PIECE = ("doc_id long, key long, low int, high int, line long, line_end long, word long, word_end long, start long, end long, body binary, "
-          "before array<struct<text: binary, word: long, start: long>>, after array<struct<text: binary, word_end: long, end: long>>")
+def _unpacked_lines(block: dict, least_words: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Piece hashes, each row's first piece and the windows of a block row."""
+    rows = np.cumsum([0, *block["pieces"]])
+    return np.frombuffer(block["hashes"], np.uint64), rows, windows(np.frombuffer(block["words"], np.uint8).astype(np.int64), rows, least_words)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked runs of chunks of each document: their lines, places counted in lines, words and bytes, and the lines next to them.
+def _repeated(asked: pa.Table) -> pa.Table:
+    """For all requests of one range of hashes: which stand in several places."""
+    keys = [np.cumsum(unpacked(x), dtype=np.uint64) for x in asked.column("hashes").to_pylist()]
+    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(asked.column("several").to_pylist(), keys, strict=True)])
+    _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    again = np.split((n[at] > 1) | (several > 0), np.cumsum([len(x) for x in keys])[:-1])
+    return pa.table([asked.column("block"), asked.column("bucket"), pa.array([len(x) for x in keys], pa.int32()),
+                     pa.array([np.packbits(x).tobytes() for x in again], pa.binary())], ["block", "bucket", "n", "again"])
 
-    Neighbours come with the nearest first.
-    """
-    names = ["doc_id", "key", "low", "high", "line", "line_end", "word", "word_end", "start", "end", "body", "before", "after"]
-    before = pa.struct([("text", pa.binary()), ("word", pa.int64()), ("start", pa.int64())])
-    after = pa.struct([("text", pa.binary()), ("word_end", pa.int64()), ("end", pa.int64())])
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 6, pa.binary(), pa.list_(before), pa.list_(after)]
+
+_PIECE = "doc_id long, key long, low int, high int, word long, word_end long, start long, end long, body binary"
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The asked runs of pieces of each document: their bytes, and places counted in words and bytes."""
+    names = ["doc_id", "key", "low", "high", "word", "word_end", "start", "end", "body"]
     for batch in batches:
         for block in blocks(batch.column(2)):
             found, raw = lines(block), block.data.tobytes()
+            joined = b"\n".join([raw[x:y] for x, y in zip(found.starts.tolist(), found.ends.tolist(), strict=True)])
+            at = np.concatenate([[0], np.cumsum(found.ends - found.starts + 1)])
             word = np.concatenate([[0], np.cumsum(found.n_words)])
-            starts, ends, out = found.starts.tolist(), found.ends.tolist(), []
-            for r in range(block.n):
-                doc_id, key = batch.column(0)[block.first + r].as_py(), batch.column(1)[block.first + r].as_py()
-                base, low, high = int(block.rows[r]), int(found.rows[r]), int(found.rows[r + 1])
-                for span in batch.column(3)[block.first + r].as_py():
-                    a = int(found.chunk[found.chunk_rows[r] + span["low"]])
-                    b = int(found.chunk[found.chunk_rows[r] + span["high"] + 1])
-                    out.append((
-                        doc_id, key, span["low"], span["high"], a - low, b - low, int(word[a] - word[low]), int(word[b] - word[low]),
-                        starts[a] - base, ends[b - 1] - base, b"\n".join(raw[starts[i]:ends[i]] for i in range(a, b)),
-                        [{"text": raw[starts[i]:ends[i]], "word": int(word[i] - word[low]), "start": starts[i] - base}
-                         for i in range(a - 1, max(low, a - BEFORE) - 1, -1)],
-                        [{"text": raw[starts[i]:ends[i]], "word_end": int(word[i + 1] - word[low]), "end": ends[i] - base}
-                         for i in range(b, min(high, b + AFTER))]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                                 names)
-
-
-def _equal_neighbours(side: str, most: int) -> Column:
-    """How many neighbouring lines are the same in both places, up to the first that differs."""
-    count = F.lit(0)
-    for k in range(most, 0, -1):
-        same = F.lit(True)
-        for j in range(k):
-            same = same & F.coalesce(F.get(F.col(f"own.{side}"), j)["text"] == F.get(F.col(f"other.{side}"), j)["text"], F.lit(False))
-        count = F.when(same & (count == 0), F.lit(k)).otherwise(count)
-    return count
-
-
-def _grown(side: str, field: str, own: str) -> Column:
-    """A bound of the run, moved out over the equal neighbours."""
-    n = F.col(f"n_{side}")
-    return F.when(n > 0, F.get(F.col(f"own.{side}"), n - 1)[field]).otherwise(F.col(f"own.{own}"))
+            spans = batch.column(3).slice(block.first, block.n)
+            low, high = (x.to_numpy() for x in spans.flatten().flatten())
+            row = np.repeat(np.arange(block.n), spans.value_lengths().to_numpy())
+            begin, owner = found.rows[row], pa.array(block.first + row)
+            a, b = begin + low, begin + high
+            body = [joined[x:y] for x, y in zip(at[a].tolist(), (at[b] - 1).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(low), pa.array(high), pa.array(word[a] - word[begin]), pa.array(word[b] - word[begin]),
+                 pa.array(found.starts[a] - block.rows[row]), pa.array(found.ends[b - 1] - block.rows[row]), pa.array(body, pa.binary())], names)
 
 
 def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,42 +145,79 @@ def repeated_passages(docs: DataFrame, least_lines: int = 2, least_words: int =
 
     ``start`` and ``end`` are byte bounds in the document's UTF-8 text,
     ``first_doc_id`` is the document of the first place (the smallest id, where
-    parts have several). A passage is a run of repeated neighbouring lines of
-    ``least_lines`` and ``least_words`` at least; repeated chunks that follow
-    each other in both places must cover ``least_lines`` lines of it, and their bytes must
-    agree. First is what has the
+    parts have several). A passage is a run of pieces of lines of which each is part of
+    ``least_words`` neighbouring words, bounded by pieces, that also stand, byte by byte but for the space between
+    pieces, in an earlier place that doesn't overlap; ``n_lines`` counts its pieces. Every shared run of whole lines with
+    that many words is found in full, and of any other shared run all but ``SPAN``
+    words at most on either side. First is what has the
     smallest hash of id and text, then what stands first in the text. Rows of
     the same id and text are one document. Null and empty texts have no lines.
 
-    Chunk hashes are counted with partial sums, and a chunk that is everywhere is joined
+    Blocks of documents ask by ranges of hashes, packed, which of their windows
+    stand in several places; only those become rows. A window that is everywhere is joined
     with its single first place. Of texts only those with a run to
-    compare are shuffled, and runs, not chunks, carry their text to the comparison.
+    compare are shuffled, and runs, not windows, carry their text to the comparison.
     """
     rows = _keyed(docs, id_col, text_col)
-    chunks = stored(rows.select("key", "text").mapInArrow(_chunks, "key long, seq int, hash long, lines int"), "line-chunks")
-    firsts = chunks.groupBy("hash").agg(F.min(F.struct("key", "seq")).alias("at"), F.count("*").alias("n")).where("n > 1")
-    firsts = stored(firsts.select("hash", F.col("at.key").alias("first_key"), F.col("at.seq").alias("first_seq")), "line-firsts")
-    links = perhaps_among(chunks, firsts, "hash").join(firsts, "hash")
-    links = links.where("key != first_key or seq != first_seq").withColumn("shift", F.col("seq") - F.col("first_seq"))
-    together = Window.partitionBy("key", "first_key", "shift")
-    runs = links.withColumn("run", F.col("seq") - F.dense_rank().over(together.orderBy("seq"))).groupBy("key", "first_key", "shift", "run").agg(
-        F.min("seq").alias("low"), F.max("seq").alias("high"), F.sum("lines").alias("lines")).where(F.col("lines") >= least_lines)
+    packed_lines = stored(rows.select("key", "text").mapInArrow(
+        _packed_lines, "block long, keys array<long>, pieces array<int>, hashes binary, words binary"), "line-blocks")
+    text_blocks = packed_lines.count()
+    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_blocks * BLOCK_BYTES // BUCKET_BYTES)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+        for batch in batches:
+            for block in batch.to_pylist():
+                pieces, _, (low, high, _, _) = _unpacked_lines(block, least_words)
+                hashes, n = np.unique(combined(pieces, low, high), return_counts=True)
+                bounds = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
+                some = np.flatnonzero(np.diff(bounds))
+                spans = [slice(bounds[k], bounds[k + 1]) for k in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), block["block"])), pa.array(some.astype(np.int32)),
+                     pa.array([packed(np.diff(hashes[x], prepend=np.uint64(0))) for x in spans], pa.binary()),
+                     pa.array([np.packbits(n[x] > 1).tobytes() for x in spans], pa.binary())], ["block", "bucket", "hashes", "several"])
+
+    def repeated_windows(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers, out = right.sort_by("bucket"), []
+        again = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(answers.column("again").to_pylist(), answers.column("n").to_pylist(), strict=True)]
+        for block in left.to_pylist() if again else []:
+            pieces, rows, (low, high, back_low, back_high) = _unpacked_lines(block, least_words)
+            hashes = combined(pieces, low, high)
+            _, at = np.unique(hashes, return_inverse=True)
+            kept = np.concatenate(again)[at] > 0
+            marked = np.zeros(len(pieces), bool)
+            marked[low[kept]] = True
+            back = marked[back_low]  # whose part, the window from the same piece on, stands elsewhere as well
+            low, high = np.concatenate([low[kept], back_low[back]]), np.concatenate([high[kept], back_high[back]])
+            row = np.searchsorted(rows, low, side="right") - 1
+            out.append(pa.table([pa.array(np.array(block["keys"], np.int64)[row]), pa.array((low - rows[row]).astype(np.int32)),
+                                 pa.array((high - rows[row]).astype(np.int32)), pa.array(combined(pieces, low, high).view(np.int64))],
+                                ["key", "low", "high", "hash"]))
+        schema = pa.schema([("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("hash", pa.int64())])
+        return pa.concat_tables([x.cast(schema) for x in out]) if out else schema.empty_table()
+
+    answers = packed_lines.mapInArrow(ask, "block long, bucket int, hashes binary, several binary").groupBy("bucket").applyInArrow(
+        _repeated, "block long, bucket int, n int, again binary")
+    found = stored(packed_lines.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        repeated_windows, "key long, low int, high int, hash long"), "line-windows")
+    firsts = found.groupBy("hash").agg(F.min(F.struct("key", "low")).alias("at"), F.count("*").alias("n")).where("n > 1")
+    firsts = stored(firsts.select("hash", F.col("at.key").alias("first_key"), F.col("at.low").alias("first_low")), "line-firsts")
+    links = found.join(firsts, "hash").where("key != first_key or low >= first_low + high - low").withColumn("shift", F.col("low") - F.col("first_low"))
+    together = Window.partitionBy("key", "first_key", "shift").orderBy("low", "high")
+    apart = F.coalesce((F.col("low") > F.max("high").over(together.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
+    runs = links.withColumn("apart", apart).withColumn("run", F.sum("apart").over(together.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
+        "key", "first_key", "shift", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     runs = stored(runs.select("key", "low", "high", "first_key", (F.col("low") - F.col("shift")).alias("first_low"),
                               (F.col("high") - F.col("shift")).alias("first_high")), "line-runs")
     spans = runs.select("key", "low", "high").union(runs.select("first_key", "first_low", "first_high")).distinct()
     asked = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     texts = perhaps_among(rows, spans.select("key"), "key").join(asked, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "spans")
     pieces = stored(texts.mapInArrow(_pieces, _PIECE), "line-pieces")
-    own = pieces.select("key", "low", "high", F.struct(*[c for c in pieces.columns if c not in ("key", "low", "high")]).alias("own"))
     other = pieces.select(F.col("key").alias("first_key"), F.col("low").alias("first_low"), F.col("high").alias("first_high"),
-                          F.struct("doc_id", "body", "before", "after").alias("other"))
-    met = runs.join(own, ["key", "low", "high"]).join(other, ["first_key", "first_low", "first_high"]).where("own.body = other.body")
-    met = met.select("key", "own", "other", _equal_neighbours("before", BEFORE).alias("n_before"), _equal_neighbours("after", AFTER).alias("n_after"))
-    covered = met.select(
-        "key", F.col("own.doc_id").alias("doc_id"), F.col("other.doc_id").alias("first_doc_id"),
-        (F.col("own.line") - F.col("n_before")).alias("line"), (F.col("own.line_end") + F.col("n_after")).alias("line_end"),
-        _grown("before", "word", "word").alias("word"), _grown("after", "word_end", "word_end").alias("word_end"),
-        _grown("before", "start", "start").alias("start"), _grown("after", "end", "end").alias("end"))
+                          F.col("doc_id").alias("first_doc_id"), F.col("body").alias("first_body"))
+    covered = runs.join(pieces, ["key", "low", "high"]).join(other, ["first_key", "first_low", "first_high"]).where("body = first_body").select(
+        "key", "doc_id", "first_doc_id", F.col("low").alias("line"), F.col("high").alias("line_end"), "word", "word_end", "start", "end")
     # Runs that touch or overlap make one passage.
     upto = Window.partitionBy("key").orderBy("line", "line_end", "first_doc_id").rowsBetween(Window.unboundedPreceding, -1)
     opens = F.coalesce((F.col("line") > F.max("line_end").over(upto)).cast("int"), F.lit(1))

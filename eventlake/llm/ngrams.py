@@ -37,15 +37,6 @@ BUCKET_TOKENS = 1 << 21  # whose bigrams are counted together
 BEGIN, END = 0, 1        # stand for the beginning and the end token among the 64-bit word hashes
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """64-bit values by planes of bytes: the upper ones are mostly zeros, which compress."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
-
-
 def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (id, train, text) as block rows: ids, lengths, the sorted hashes of the block's tokens, and each token's place there."""
     part, seq, size = TaskContext.get().partitionId(), 0, 0
@@ -95,15 +86,15 @@ def _in_training(block: dict) -> np.ndarray:
 
 def _counted_pairs(asked: pa.Table, least_pair: int) -> pa.Table:
     """Answers to all requests of one range of hashes: corpus counts, and marks on one request of each bigram."""
-    keys = [np.cumsum(_unpacked(x), dtype=np.uint64) for x in asked.column("keys").to_pylist()]
+    keys = [np.cumsum(packing.unpacked(x), dtype=np.uint64) for x in asked.column("keys").to_pylist()]
     ends = np.cumsum([len(x) for x in keys])[:-1]
     _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    n = np.concatenate([_unpacked(x) for x in asked.column("n").to_pylist()])
+    n = np.concatenate([packing.unpacked(x) for x in asked.column("n").to_pylist()])
     count = np.bincount(at, weights=n).astype(np.int64)
     count[count < least_pair] = 0
     once = np.zeros(len(at), bool)
     once[first] = True
-    return pa.table([asked.column("block"), asked.column("bucket"), pa.array([_packed(x) for x in np.split(count[at], ends)], pa.binary()),
+    return pa.table([asked.column("block"), asked.column("bucket"), pa.array([packing.packed(x) for x in np.split(count[at], ends)], pa.binary()),
                      pa.array([np.packbits(x).tobytes() for x in np.split(once, ends)], pa.binary())], ["block", "bucket", "counts", "once"])
 
 
@@ -113,7 +104,7 @@ def _token_requests(left: pa.Table, right: pa.Table) -> pa.Table:
     for block in left.to_pylist():
         token, before, pair = _pairs(block)
         _, first = np.unique(pair, return_index=True)
-        count = np.concatenate([_unpacked(x) for x in answers.column("counts").to_pylist()]).astype(np.int64)
+        count = np.concatenate([packing.unpacked(x) for x in answers.column("counts").to_pylist()]).astype(np.int64)
         once = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(y) // 8) for x, y in zip(
             answers.column("once").to_pylist(), answers.column("counts").to_pylist(), strict=True)]).astype(bool)
         kept = once & (count > 0)
@@ -159,8 +150,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                 spans = [slice(bounds[k], bounds[k + 1]) for k in some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), block["block"])), pa.array(some.astype(np.int32)),
-                     pa.array([_packed(np.diff(keys[x], prepend=np.uint64(0))) for x in spans], pa.binary()),
-                     pa.array([_packed(count[x]) for x in spans], pa.binary())], ["block", "bucket", "keys", "n"])
+                     pa.array([packing.packed(np.diff(keys[x], prepend=np.uint64(0))) for x in spans], pa.binary()),
+                     pa.array([packing.packed(count[x]) for x in spans], pa.binary())], ["block", "bucket", "keys", "n"])
 
     pairs = text_blocks.select("block", "train", "lengths", "vocabulary", "tokens").mapInArrow(ask_pairs, "block long, bucket int, keys binary, n binary")
     paired = stored(pairs.groupBy("bucket").applyInArrow(
@@ -187,7 +178,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             # From a state: a bigram arc if there is one, else the failure arc; from the empty state: the unigram.
             p = unigram[token] * failure[before]
             _, at = np.unique(pair, return_inverse=True)
-            arc = np.concatenate([_unpacked(x) for x in of_pairs.column("counts").to_pylist()]).astype(np.int64)[at]
+            arc = np.concatenate([packing.unpacked(x) for x in of_pairs.column("counts").to_pylist()]).astype(np.int64)[at]
             has = arc > 0
             p[has] += (arc[has] - DISCOUNT) / count[before[has]]
             first = np.cumsum([0, *block["lengths"]])[:-1]

@@ -98,3 +98,12 @@ def decode(segment: bytes, first_block: int = 0, last_block: int | None = None)
         block = np.searchsorted(first, np.arange(a, b), side="right") - 1 - first_block
         out[block, place[a:b]] = value[a:b]
     return out.ravel()[:max(0, n - first_block * BLOCK)]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values by planes of bytes: the upper ones are mostly zeros, which compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()

@@ -126,6 +126,14 @@ class Hasher:
         return mix(spans + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def combined(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of hashes, in their order."""
+    _Powers.upto(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _Powers.up[:len(hashes)], out=sums[1:])
+    return mix((sums[high] - sums[low]) * _Powers.down[low] + (high - low).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``size``-word windows within a row, and where each window starts (index of its word)."""
     n = len(hashes) - size + 1

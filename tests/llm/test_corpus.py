@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from eventlake.llm import decontam, fixity, linededup, mixing, ngrams, packing, tokens
 from eventlake.llm.queries import QUERIES, SQL
 from eventlake.llm.tables import remainder
-from tests.llm.conftest import PROSE, SF
+from tests.llm.conftest import PROSE, SF, SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -347,3 +347,41 @@ def test_passages_edge_rows(edge, nothing):
     assert found.where("doc_id in (1, 2, 3, 6, 7)").count() == 0
     assert linededup.repeated_passages(nothing).count() == 0
     assert PROSE in {r["text"] for r in linededup.remove_passages(edge, found).collect()}
+
+
+def test_shared_runs_of_any_number_of_lines_are_found(spark, tmp_path):
+    """Whole lines with 30 words in full, 50 words within a line but for their ends, however many lines."""
+    rng = np.random.default_rng(8)
+    names = lambda n: [f"w{x}" for x in rng.integers(10**9, size=n)]
+    own = lambda n: " ".join(f"{' '.join(names(7))}." for _ in range(n))
+    planted, texts = {}, []
+    for k in range(60):
+        n_lines, within = k % 6 + 1, k >= 48
+        shared = " ".join(names(50)) if within else " ".join(f"{' '.join(names(-(-(30 + k % 5) // n_lines)))}." for _ in range(n_lines))
+        edge = (lambda: " ".join(names(20))) if within else (lambda: own(4))
+        planted |= {2 * k: shared, 2 * k + 1: shared}
+        texts += [(2 * k, f"{edge()} {shared} {edge()}"), (2 * k + 1, f"{edge()} {shared} {edge()}")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op10_passages"](spark, str(tmp_path)).collect()}
+    assert sorted(i // 2 for i in rows) == list(range(60))
+    for i, r in rows.items():
+        [p] = r["passages"]
+        cut = dict(texts)[i].encode()[p["start"]:p["end"]].decode()
+        assert p["first_doc_id"] == i ^ 1 and (cut == planted[i] if i < 96 else cut in planted[i] and p["n_words"] >= 30)
+
+
+def test_every_shared_run_of_fifty_words_in_a_table_is_found(spark):
+    """Against brute force: of all places of 50 words, but for one, a passage covers the middle."""
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
+    passages = {r["doc_id"]: [(p["start"], p["end"]) for p in r["passages"]] for r in QUERIES["op10_passages"](spark, SMALL).collect()}
+    places = defaultdict(set)
+    for i, t in texts.items():
+        raw = (t or "").encode()
+        bounds = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        for k in range(len(bounds) - 49):
+            places[raw[bounds[k][0]:bounds[k + 49][1]]].add((i, bounds[k + 24][0]))
+    shared = [x for x in places.values() if len({i for i, _ in x}) > 1]
+    assert shared
+    for x in shared:
+        missed = {i for i, at in x if not any(a <= at < b for a, b in passages.get(i, []))}
+        assert len(missed) <= 1
