@@ -15,6 +15,7 @@ from eventlake.llm.text import Block, blocks
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 HALO = max(WIDTHS) - 1
+LEAST_DOCS = 16  # of a language
 UNKNOWN = "und"
 
 
@@ -110,23 +111,23 @@ def fit_bytes(x: np.ndarray, y: np.ndarray, languages: list[str], embed: int = 8
     return net
 
 
-def train_language(rows: DataFrame, max_docs: int = 4000, windows_per_doc: int = 4, max_languages: int = 256,
-                   seed: int = 5) -> ByteNet:
+def train_language(rows: DataFrame, max_docs: int = 4000, windows_per_doc: int = 4, seed: int = 5) -> ByteNet:
     """A network for the values of ``lang``, from columns ``doc_id text lang``.
 
-    Fits about ``max_docs`` documents at most, shared evenly by the languages
+    Fits about ``max_docs`` documents, shared evenly by the languages
     and chosen by a hash of the id, ``windows_per_doc`` windows spread over
-    each. The ``max_languages`` most frequent values are learned. Rows with a
+    each. Every value is learned, from about ``LEAST_DOCS`` documents at least if
+    it has them, so many languages take more than ``max_docs``. Rows with a
     null text or language teach nothing; without any, every text is ``und``.
     """
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return fit_bytes(np.zeros((0, WINDOW + HALO), np.uint8), np.zeros(0, int), [])
-    spark, share = rows.sparkSession, max_docs / len(languages)
+    spark, share = rows.sparkSession, max(LEAST_DOCS, max_docs / len(languages))
     rates = spark.createDataFrame([(r["lang"], int((1 << 32) * min(1.0, share / r["n"]))) for r in counts],
                                   "lang string, rate long")
     chosen = rows.join(F.broadcast(rates), "lang").where(

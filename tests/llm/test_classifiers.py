@@ -118,3 +118,9 @@ def test_toxicity_edge_rows(edge, nothing, spark):
     unlearned = toxicity.train_toxicity(nothing, labels)
     assert toxicity.drop_toxic(edge, unlearned).count() == edge.count()
     assert toxicity.drop_toxic(nothing, model).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, f"zq{k:03d} text of language {k}", f"x{k:03d}") for k in range(300)]
+    net = language.train_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert list(net.languages) == [f"x{k:03d}" for k in range(300)]
