@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontam, fixity, language, linededup, mixing, neardup, ngrams, quality, tokens, toxicity
+from eventlake.llm import decontam, fixity, language, linededup, mixing, neardup, ngrams, pieces, prefixes, quality, tokens, toxicity
 from eventlake.llm.tables import remainder, stored, table
 
 
@@ -89,5 +89,52 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "key").agg(F.sum("n_words").alias("removed_words"), F.array_sort(F.collect_list(span)).alias("passages")).drop("key")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op4_decontam, op5_quality, op6_fixity, op7_toxicity, op8_ngrams, op9_tokens, op10_passages)}
-SQL: dict[str, str] = {"op6_fixity": OP6_SQL}
+def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of rebuilt conversations: identical ones collapsed, leaves by anti-join, weighted prefixes aggregated."""
+    trie = prefixes.prefix_trie(*prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+    return trie.nodes.join(prefixes.ends_digest(trie.ends), ["conv_id", "depth"], "left").withColumn(
+        "ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+
+
+# crc32 bit by bit, as SQL has no function for it.
+OP11_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns,
+         xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+           lambda crc, byte: list_reduce([xor(crc, byte)] || range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))) % 4 AS h
+  FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, coalesce(o.turns[1:c.h], []) || c.turns[c.h + 1:] AS turns
+  FROM own c LEFT JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth), '') AS ends
+  FROM steps GROUP BY ALL),
+links AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         CASE WHEN n.depth = 0 THEN 0 ELSE len(regexp_extract_all(n.path[n.depth].text, '[^\x20\x09-\x0D]+')) END AS words,
+         NOT EXISTS (SELECT 1 FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS childless
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+up AS (SELECT path, depth, n_convs, words, childless, unnest(range(0, depth + 1)) AS above FROM links),
+sums AS (
+  SELECT above, path[1:above] AS top, sum((n_convs - 1) * words) AS saved_tokens, count(*) FILTER (WHERE childless) AS n_leaves,
+         count(*) FILTER (WHERE depth = above + 1) AS n_children
+  FROM up GROUP BY ALL)
+SELECT conv_id, l.depth, parent_conv_id, l.n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM links l JOIN sums s ON s.above = l.depth AND s.top = l.path
+"""
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents by an agenda of symbol pairs, and the text that they decode to."""
+    found = pieces.encode_pieces(table(spark, sf_dir, "documents"), decoded=True)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op4_decontam, op5_quality, op6_fixity, op7_toxicity, op8_ngrams, op9_tokens, op10_passages,
+                                  op11_prefixes, op12_pieces)}
+SQL: dict[str, str] = {"op6_fixity": OP6_SQL, "op11_prefixes": OP11_SQL}
