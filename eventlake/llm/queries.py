@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontam, fixity, language, linededup, mixing, neardup, ngrams, pieces, prefixes, quality, tokens, toxicity
+from eventlake.llm import decontam, fixity, language, linededup, mixing, neardup, negatives, ngrams, pieces, prefixes, quality, tokens, toxicity
 from eventlake.llm.tables import remainder, stored, table
 
 
@@ -135,6 +135,33 @@ def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, from lists sorted once for each cluster of anchors."""
+    vectors = table(spark, sf_dir, "embeddings").where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+hard AS (
+  SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank,
+         n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_language, op2_neardup, op3_mixing, op4_decontam, op5_quality, op6_fixity, op7_toxicity, op8_ngrams, op9_tokens, op10_passages,
-                                  op11_prefixes, op12_pieces)}
-SQL: dict[str, str] = {"op6_fixity": OP6_SQL, "op11_prefixes": OP11_SQL}
+                                  op11_prefixes, op12_pieces, op13_negatives)}
+SQL: dict[str, str] = {"op6_fixity": OP6_SQL, "op11_prefixes": OP11_SQL, "op13_negatives": OP13_SQL}
