@@ -75,8 +75,11 @@ def shed_load(
 ) -> DataFrame:
     """Keep the rows matching ``keep`` and ``percent`` of the others.
 
-    The choice depends on the key alone, so a replay keeps the same rows. With
-    ``hashed=False`` a numeric key is used as it is.
+    The choice depends on the key alone, so a replay keeps the same rows: the
+    first 15 hex digits of the key's MD5, a number that other engines compute as
+    well. A null key counts as the empty text. With ``hashed=False`` a numeric
+    key is used as it is.
     """
-    slot = F.pmod(F.xxhash64(key) if hashed else key, F.lit(100))
+    digest = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15)
+    slot = F.pmod(F.conv(digest, 16, 10).cast("long") if hashed else key, F.lit(100))
     return df.where(F.coalesce(keep, F.lit(False)) | (slot < percent))

@@ -76,6 +76,7 @@ def run_dedup_audit(
     txns: DataFrame, kept_path: str, late_base: str, checkpoint: str,
     window: str = "1 hour", allowed: str = "1 hour",
     trigger: str | None = TRIGGERS["alerts"], key: str = "txn_id", time_col: str = "event_time",
+    tie_cols: list[str] | None = None,
 ) -> list:
     """Each key once per window; rows beyond the allowed lateness go to the audit table.
 
@@ -89,5 +90,5 @@ def run_dedup_audit(
     first = start_query(txns, split, f"{checkpoint}/late", trigger)
     if trigger is None:
         first.awaitTermination()
-    rows = first_per_window_stream(split.read_on_time(spark), key, time_col, window, allowed)
+    rows = first_per_window_stream(split.read_on_time(spark), key, time_col, window, allowed, tie_cols)
     return [first, start_query(rows, batch_table(kept_path), f"{checkpoint}/dedup", trigger)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.session import prepare, shared_dir
 from eventlake.sources.broker import file_stream
@@ -22,6 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 SLICES = 4
+MOST_FILES = 64  # of one slice of a stream
 
 
 def arrival_slice(arrival: Column, lowest: int, highest: int, slices: int = SLICES) -> Column:
@@ -31,39 +33,45 @@ def arrival_slice(arrival: Column, lowest: int, highest: int, slices: int = SLIC
 
 
 def sliced_stream(
-    df: DataFrame, arrival: Column, slices: int = SLICES, files_per_trigger: int = 1
+    df: DataFrame, arrival: Column, slices: int = SLICES, slices_per_trigger: int = 1,
+    span: tuple[int, int] | None = None,
 ) -> DataFrame:
     """A table as a stream that brings it in equal slices of the arrival time, one after the other.
 
-    Each slice is one file of a shared folder, written before the next one
-    begins, since a file source reads files by their age. A table with more than
-    ``slices`` files has as many slices as files.
+    The table is read once and written by slice. Then each slice goes to the
+    folder of the stream in turn, as a file source reads files by their age, and
+    always as the same number of files: one for every 1,000 rows of the smallest
+    slice, ``MOST_FILES`` at most. How the table is cut into files plays no part. ``span`` gives the
+    time line (microseconds) where several streams share a clock.
     """
     spark = df.sparkSession
-    slices = max(slices, len(df.inputFiles()))
-    us = F.unix_micros(arrival)
-    ends = df.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
-    path = shared_dir(spark, "slices")
-    lowest, highest = ends["low"] or 0, ends["high"] or 0
+    if span is None:
+        us = F.unix_micros(arrival)
+        ends = df.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
+        span = ends["low"] or 0, ends["high"] or 0
+    cut, path = shared_dir(spark, "slices-cut"), shared_dir(spark, "slices")
+    df.withColumn("__slice", arrival_slice(arrival, *span, slices)).write.partitionBy("__slice").parquet(cut)
+    parts = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.LongType())])).parquet(cut)
+    sizes = {r["__slice"]: r["count"] for r in parts.groupBy("__slice").count().collect()}
+    files = max(1, min(MOST_FILES, min(sizes.get(k, 0) for k in range(slices)) // 1000))
     for number in range(slices):
-        part = df.where(arrival_slice(arrival, lowest, highest, slices) == number)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return file_stream(spark, path, files_per_trigger, df.schema)
+        part = parts.where(F.col("__slice") == number).drop("__slice")
+        part.repartition(files, F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+    return file_stream(spark, path, files * slices_per_trigger, df.schema)
 
 
 def topic_table(
-    spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool = False,
-    files_per_trigger: int = 1,
+    spark: SparkSession, sf_dir: str, name: str, stream: bool = False, slices_per_trigger: int = 1,
 ) -> DataFrame:
-    """A table dealt out by message key, as a topic deals its messages to partitions.
+    """A table whose rows become the messages of a topic; as a stream it comes in time slices of several micro-batches.
 
-    As a stream it comes in time slices of several micro-batches.
+    The topic partition of a message is an expression on its key, so no exchange deals the rows out.
     """
     df = table(spark, sf_dir, name)
     if stream:
         arrival = utc({"lineitem": "l_shipdate", "events": "ts"}[name])
-        df = sliced_stream(df, arrival, files_per_trigger=files_per_trigger)
-    return df.repartition(key)
+        df = sliced_stream(df, arrival, slices_per_trigger=slices_per_trigger)
+    return df
 
 
 def utc(name: str) -> Column:
@@ -91,7 +99,7 @@ _CURRENCY_SQL = "CASE {0} % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'G
 
 def line_changes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One change per line item. Some messages are empty, broken, or carry an unknown op."""
-    lines = topic_table(spark, sf_dir, "lineitem", "l_orderkey", stream)
+    lines = topic_table(spark, sf_dir, "lineitem", stream)
     key, number = F.col("l_orderkey"), F.col("l_linenumber")
     pos = key * 8 + number
     turn = (key + number) % 10
@@ -187,7 +195,7 @@ VERSIONS = """versions AS (
 
 def order_changes(spark: SparkSession, sf_dir: str, table_col: Column | None = None) -> DataFrame:
     """Change histories of orders: created or snapshot, updated, deleted, created again."""
-    orders = topic_table(spark, sf_dir, "orders", "o_orderkey")
+    orders = topic_table(spark, sf_dir, "orders")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     gone = (F.col("o_orderpriority") == "5-LOW") & (status == "F")
     back = gone & (F.col("o_custkey") % 2 == 0)
@@ -248,7 +256,7 @@ def _user() -> Column:
 
 def click_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Clicks as JSON; errors have no page, and some messages no time."""
-    events = topic_table(spark, sf_dir, "events", "event_id", stream)
+    events = topic_table(spark, sf_dir, "events", stream)
     countries = F.array(*[F.lit(c) for c in ("DE", "FR", "JP", "US")])
     click = F.struct(
         _user().alias("user_id"), F.concat(F.lit("s"), F.col("user_id")).alias("session_id"),
@@ -275,9 +283,9 @@ CLICKS = """clicks AS (
 
 
 def txn_messages(
-    spark: SparkSession, sf_dir: str, stream: bool = False, files_per_trigger: int = 1
+    spark: SparkSession, sf_dir: str, stream: bool = False, slices_per_trigger: int = 1
 ) -> DataFrame:
-    events = topic_table(spark, sf_dir, "events", "event_id", stream, files_per_trigger)
+    events = topic_table(spark, sf_dir, "events", stream, slices_per_trigger)
     txn = F.struct(
         F.col("event_id").cast("string").alias("txn_id"), _user().alias("user_id"),
         F.col("value").alias("amount"), F.col("event_type").alias("merchant"),

@@ -58,7 +58,7 @@ def session_stream(spark, sf_dir):
 
 
 def interval_join_stream(spark, sf_dir):
-    base = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    base = feeds.topic_table(spark, sf_dir, "events", stream=True)
     base = base.withColumn("ts", feeds.utc("ts")).select("event_id", "user_id", "event_type", "ts")
     left = base.where("event_type = 'purchase'").drop("event_type")
     right = base.where("event_type = 'click'").drop("event_type")
@@ -76,7 +76,7 @@ def zscore_alerts_stream(spark, sf_dir):
 
 def dedup_stream(spark, sf_dir):
     """Exact first row per key and window from the stateful processor."""
-    base = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    base = feeds.topic_table(spark, sf_dir, "events", stream=True)
     rows = base.select("event_id", feeds.utc("ts").alias("ts"), "user_id", "event_type", "value")
     kept = first_per_window_stream(rows, "user_id", "ts", "12 hours", "24 hours", ["event_id"])
     return plain_times(_drain(kept, "dedup").drop("batch_id"))
@@ -85,22 +85,23 @@ def dedup_stream(spark, sf_dir):
 def late_stream(spark, sf_dir):
     """The audit of a stream in which every seventh event arrives five days after its time.
 
-    Per verdict the number of rows and of events: kept, repeated and late make up the input.
+    A user counts once in 12 hours. Per verdict the number of rows and of
+    events: kept, repeated and late make up the input.
     """
     base = shared_dir(prepare(spark), "audit")
     events = feeds.table(spark, sf_dir, "events")
     delay = F.expr("make_interval(0, 0, 0, CASE WHEN event_id % 7 = 0 THEN 5 ELSE 0 END)")
     arriving = feeds.sliced_stream(events, feeds.utc("ts") + delay)
-    rows = arriving.select("event_id", F.col("event_id").cast("string").alias("txn_id"),
-                           feeds.utc("ts").alias("ts"))
+    rows = arriving.select("event_id", "user_id", feeds.utc("ts").alias("ts"))
     for query in activity.run_dedup_audit(
-        rows, f"{base}/kept", f"{base}/audit", f"{base}/checkpoint", "1 hour", "6 hours", None,
-        time_col="ts",
+        rows, f"{base}/kept", f"{base}/audit", f"{base}/checkpoint", "12 hours", "6 hours", None,
+        key="user_id", time_col="ts", tie_cols=["event_id"],
     ):
         query.awaitTermination()
     on_time, late = (spark.read.parquet(f"{base}/audit/{n}") for n in ("on_time", "late"))
     kept = spark.read.parquet(f"{base}/kept")
-    parts = [("on_time", on_time), ("late", late), ("kept", kept)]
+    repeated = on_time.join(kept, "event_id", "left_anti")
+    parts = [("kept", kept), ("repeated", repeated), ("late", late)]
     counts = [df.agg(F.lit(name).alias("verdict"), F.count(F.lit(1)).alias("rows"),
                      F.countDistinct("event_id").alias("events"), F.sum("event_id").alias("id_sum"))
               for name, df in parts]
@@ -110,7 +111,7 @@ def late_stream(spark, sf_dir):
 def sink_tolerance_stream(spark, sf_dir):
     """A store that refuses some rows: written, failed and parked rows of every micro-batch."""
     base = shared_dir(prepare(spark), "tolerance")
-    events = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    events = feeds.topic_table(spark, sf_dir, "events", stream=True)
     sink = PartitionSink("store", _picky_store, max_failure_fraction=0.5, metrics_path=f"{base}/metrics")
     rows = events.select("event_id", "event_type")
     start_query(rows, sink.foreach_batch(), f"{base}/checkpoint").awaitTermination()
@@ -132,7 +133,7 @@ def _unreachable_store():
 def parking_replay_stream(spark, sf_dir):
     """Micro-batches parked while the store is down, replayed once when it is back."""
     base = shared_dir(prepare(spark), "parking")
-    events = feeds.topic_table(spark, sf_dir, "events", "event_id", stream=True)
+    events = feeds.topic_table(spark, sf_dir, "events", stream=True)
     rows = events.select("event_id", "event_type")
     down = ParkingSink(PartitionSink("store", _unreachable_store), f"{base}/parked")
     start_query(rows, down.foreach_batch(), f"{base}/checkpoint").awaitTermination()
@@ -199,9 +200,9 @@ def exactly_once_replay(spark, sf_dir):
     The table then holds rows twice; readers take one for each token.
     """
     base = shared_dir(prepare(spark), "replay")
-    for attempt, files in (("first", 1), ("second", 2)):
+    for attempt, slices in (("first", 1), ("second", 2)):
         txns = activity.transactions(
-            feeds.txn_messages(spark, sf_dir, stream=True, files_per_trigger=files))
+            feeds.txn_messages(spark, sf_dir, stream=True, slices_per_trigger=slices))
         named = txns.withColumn("event_id", F.col("txn_id"))
         start_query(named, batch_table(f"{base}/out"), f"{base}/{attempt}").awaitTermination()
     rows = once_per_token(spark.read.parquet(f"{base}/out"))
@@ -245,19 +246,29 @@ scored AS (SELECT t.*, avg_amount, std_amount, txn_count FROM txns t JOIN stats
   AND t.event_time <= s.window_end + INTERVAL 1 HOUR)
 {_SCORED}""",
     "dedup_stream": _dedup_sql("e.event_id, e.ts, e.user_id, e.event_type, e.value", "user_id", 12),
-    "late_stream": f"""WITH e AS (
-  SELECT event_id, ts, epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN 5 * 86400000000 ELSE 0 END AS arrival
+    "late_stream": """WITH RECURSIVE e AS (
+  SELECT event_id, user_id, ts, epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN 5 * 86400000000 ELSE 0 END AS arrival
   FROM events),
 ends AS (SELECT min(arrival) AS low, max(arrival) AS high FROM e),
 s AS (SELECT e.*, least(3, (arrival - low) * 4 // (high - low + 1)) AS batch FROM e, ends),
 tops AS (SELECT batch, max(ts) AS top FROM s GROUP BY batch),
 seen AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
   FROM tops),
-judged AS (SELECT event_id, coalesce(ts < latest - INTERVAL 6 HOUR, false) AS late FROM s JOIN seen USING (batch))
-SELECT CASE WHEN late THEN 'late' ELSE 'on_time' END AS verdict, count(*) AS rows,
-  count(DISTINCT event_id) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM judged GROUP BY ALL
-UNION ALL SELECT 'kept', count(*), count(DISTINCT event_id), CAST(sum(event_id) AS BIGINT)
-FROM judged WHERE NOT late""",
+judged AS (SELECT event_id, user_id, epoch_us(ts) AS us,
+    coalesce(ts < latest - INTERVAL 6 HOUR, false) AS late FROM s JOIN seen USING (batch)),
+ready AS (SELECT * FROM judged WHERE NOT late),
+-- The on-time rows are drained in one go, so a kept row is followed by the next in time that lies 12 hours later.
+kept AS (
+  SELECT user_id, min(us) AS us FROM ready GROUP BY user_id
+  UNION ALL
+  SELECT k.user_id, (SELECT min(r.us) FROM ready r WHERE r.user_id = k.user_id AND r.us >= k.us + 12 * 3600000000)
+  FROM kept k WHERE us IS NOT NULL),
+first AS (SELECT r.user_id, r.us, min(event_id) AS event_id FROM ready r JOIN kept k ON k.user_id = r.user_id AND k.us = r.us GROUP BY ALL),
+verdicts AS (
+  SELECT j.*, CASE WHEN late THEN 'late' WHEN f.event_id IS NOT NULL THEN 'kept' ELSE 'repeated' END AS verdict
+  FROM judged j LEFT JOIN first f ON f.event_id = j.event_id)
+SELECT verdict, count(*) AS rows, count(DISTINCT event_id) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum
+FROM verdicts GROUP BY verdict""",
     "sink_tolerance_stream": f"""WITH {_SLICED}
 SELECT 'store' AS sink_name, batch AS batch_id, count(*) FILTER (event_id % 10 <> 0) AS records_written,
   count(*) FILTER (event_id % 10 = 0) AS records_failed, CAST(0 AS BIGINT) AS records_parked

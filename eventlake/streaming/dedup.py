@@ -89,8 +89,9 @@ class LateSplit:
     """``foreachBatch`` callback that deals every row to ``on_time`` or ``late`` tables.
 
     Late is what lies more than ``allowed`` behind the latest event time of all
-    batches before, and what has no key or no time. The latest time of each
-    batch is stored, so a batch that runs again decides as it did before. A
+    batches before, and what has no key or no time. Each batch stores the latest
+    time up to its end and reads only what the batch before has stored, so a
+    batch that runs again decides as it did before. A
     stateful query that reads the on-time table in the order it was written
     sees its own watermark no further than this one, so it drops nothing.
     """
@@ -106,8 +107,9 @@ class LateSplit:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = spark.read.schema("us long, batch_id long").parquet(self.latest)
-        before = seen.where(F.col("batch_id") < batch_id).agg(F.max("us")).first()[0]
+        before = None
+        if batch_id > 0:  # that one folder, whatever number of batches there was
+            before = spark.read.schema("us long").parquet(f"{self.latest}/batch_id={batch_id - 1}").agg(F.max("us")).first()[0]
         us = F.unix_micros(self.time_col)
         is_late = F.col(self.key).isNull() | us.isNull()
         if before is not None:
@@ -116,7 +118,8 @@ class LateSplit:
         try:
             overwrite_partitions(numbered.where(~is_late), self.on_time, ["batch_id"])
             overwrite_partitions(numbered.where(is_late), self.late, ["batch_id"])
-            newest = numbered.agg(F.max(us).alias("us"), F.lit(batch_id).cast("long").alias("batch_id"))
+            newest = numbered.agg(F.greatest(F.max(us), F.lit(before).cast("long")).alias("us"),
+                                  F.lit(batch_id).cast("long").alias("batch_id"))
             overwrite_partitions(newest, self.latest, ["batch_id"])
         finally:
             numbered.unpersist()
