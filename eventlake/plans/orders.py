@@ -16,6 +16,7 @@ from eventlake.sinks.document import DocumentSink
 from eventlake.sinks.keyed import KeyedSink
 from eventlake.sinks.lake import LakeSink, lake_rows
 from eventlake.streaming.runs import batch_table, start_per_sink, start_query, start_shared, start_table
+from eventlake.streaming.temporal import asof_join_streams
 
 DIM_COLS = ["product_name", "category", "brand", "unit_cost"]
 LINEAGE = ("event_id", "event_time", "cdc_op")
@@ -42,15 +43,22 @@ def enriched_orders(
 
 def versioned_orders(
     broker_rows: DataFrame, product_versions: DataFrame, updated_col: str = "_updated_at",
-    row_schema: T.StructType = ORDER_SCHEMA, few_versions: bool = False,
+    row_schema: T.StructType = ORDER_SCHEMA, few_versions: bool = False, **stream_options,
 ) -> DataFrame:
-    """Orders with the product version valid at their event time, margin and date."""
+    """Orders with the product version valid at their event time, margin and date.
+
+    Where the versions are a stream as well, ``stream_options`` go to
+    ``asof_join_streams``; the orders keep the watermark of the change log.
+    """
     orders = changelog(broker_rows, row_schema).where(F.col("op").isin(*UPSERT_OPS))
     orders = orders.drop("op", "source_ts_ms")
-    joined = asof_join(
-        orders, product_versions, "product_id", "event_time", updated_col,
-        ["product_name", "category", "unit_cost"], few_versions,
-    )
+    dims = ["product_name", "category", "unit_cost"]
+    if product_versions.isStreaming:
+        joined = asof_join_streams(
+            orders, product_versions, "product_id", "event_time", updated_col, dims, allowed=None, **stream_options)
+    else:
+        joined = asof_join(
+            orders, product_versions, "product_id", "event_time", updated_col, dims, few_versions)
     return lake_rows(with_margin(joined), "order_ts")
 
 

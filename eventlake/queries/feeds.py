@@ -62,6 +62,7 @@ def sliced_stream(
 
 def topic_table(
     spark: SparkSession, sf_dir: str, name: str, stream: bool = False, slices_per_trigger: int = 1,
+    span: tuple[int, int] | None = None,
 ) -> DataFrame:
     """A table whose rows become the messages of a topic; as a stream it comes in time slices of several micro-batches.
 
@@ -70,7 +71,7 @@ def topic_table(
     df = table(spark, sf_dir, name)
     if stream:
         arrival = utc({"lineitem": "l_shipdate", "events": "ts"}[name])
-        df = sliced_stream(df, arrival, slices_per_trigger=slices_per_trigger)
+        df = sliced_stream(df, arrival, slices_per_trigger=slices_per_trigger, span=span)
     return df
 
 
@@ -97,9 +98,11 @@ _CURRENCY_SQL = "CASE {0} % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'G
     "WHEN 3 THEN 'JPY' ELSE 'XXX' END"
 
 
-def line_changes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def line_changes(
+    spark: SparkSession, sf_dir: str, stream: bool = False, span: tuple[int, int] | None = None
+) -> DataFrame:
     """One change per line item. Some messages are empty, broken, or carry an unknown op."""
-    lines = topic_table(spark, sf_dir, "lineitem", stream)
+    lines = topic_table(spark, sf_dir, "lineitem", stream, span=span)
     key, number = F.col("l_orderkey"), F.col("l_linenumber")
     pos = key * 8 + number
     turn = (key + number) % 10
@@ -193,6 +196,30 @@ VERSIONS = """versions AS (
   FROM part, range(4) AS r(v))"""
 
 
+LATE_DAYS = 500  # a version reaches its stream so long after it took effect
+
+
+def lines_and_late_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order changes, and a stream of product versions that trails them, on one clock.
+
+    Every product changes every two years from 1992 on, on a day of its own.
+    """
+    ends = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high")).select(
+        F.unix_micros(utc("low")).alias("low"), F.unix_micros(utc("high")).alias("high")).first()
+    span = ends["low"] or 0, (ends["high"] or 0) + LATE_DAYS * 86_400_000_000
+    day = F.pmod(F.regexp_extract("product_id", "[0-9]+", 0).cast("long"), F.lit(300)).cast("int")
+    versions = product_versions(spark, sf_dir).withColumn(
+        "_updated_at", F.col("_updated_at") + F.make_interval(years=F.lit(-4), days=day))
+    arrival = F.col("_updated_at") + F.make_interval(days=F.lit(LATE_DAYS))
+    return line_changes(spark, sf_dir, stream=True, span=span), sliced_stream(versions, arrival, span=span)
+
+
+LATE_VERSIONS = """versions AS (
+  SELECT 'P-' || p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice + v * 10 AS unit_cost,
+    make_timestamp(1992 + v * 2, 1, 1, 0, 0, 0) + to_days(CAST(p_partkey % 300 AS INTEGER)) AS updated_at
+  FROM part, range(4) AS r(v))"""
+
+
 def order_changes(spark: SparkSession, sf_dir: str, table_col: Column | None = None) -> DataFrame:
     """Change histories of orders: created or snapshot, updated, deleted, created again."""
     orders = topic_table(spark, sf_dir, "orders")

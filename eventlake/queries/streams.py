@@ -14,7 +14,8 @@ from eventlake.plans import activity, orders
 from eventlake.queries import feeds
 from eventlake.queries.activity import _SCORED, _alert_columns, _dedup_sql, _pairs_sql, _sessions_sql
 from eventlake.queries.activity import SQL as BATCH_SQL
-from eventlake.queries.feeds import CLICKS, LINES, TXNS, plain_times
+from eventlake.queries.feeds import CLICKS, LATE_VERSIONS, LINES, TXNS, plain_times
+from eventlake.queries.orders import _MARGIN
 from eventlake.queries.orders import SQL as ORDER_SQL
 from eventlake.session import prepare, shared_dir
 from eventlake.sinks.base import (
@@ -67,6 +68,15 @@ def interval_join_stream(spark, sf_dir):
     return plain_times(rows.drop("batch_id"))
 
 
+def asof_stream(spark, sf_dir):
+    """Orders with the product version of their time; the versions are a stream too and come far behind the orders."""
+    raw, versions = feeds.lines_and_late_versions(spark, sf_dir)
+    joined = orders.versioned_orders(raw, versions, tick="1 hour", salts=2)
+    rows = _drain(joined.select("raw_offset", "order_id", "product_id", "product_name", "unit_cost",
+                                F.round("margin_amount", 2).alias("margin_amount"), "event_date"), "asof")
+    return rows.drop("batch_id")
+
+
 def zscore_alerts_stream(spark, sf_dir):
     """Alerts against the last window the watermark has closed."""
     txns = activity.transactions(feeds.txn_messages(spark, sf_dir, stream=True))
@@ -214,7 +224,7 @@ def exactly_once_replay(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
-        zscore_alerts_stream, dedup_stream, late_stream, sink_tolerance_stream,
+        asof_stream, zscore_alerts_stream, dedup_stream, late_stream, sink_tolerance_stream,
         parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
         medallion_stream, exactly_once_replay,
     )
@@ -235,6 +245,14 @@ SELECT * FROM w WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE
 {_sessions_sql("user_id", "count(page_url) AS page_view_count")}
 ) WHERE session_end <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events WHERE event_id % 97 <> 0)""",
     "interval_join_stream": _pairs_sql("INNER"),
+    # A row comes out once both watermarks have passed its hour.
+    "asof_stream": f"""WITH {LINES}, {LATE_VERSIONS}, passed AS (
+  SELECT least((SELECT max(epoch_us(event_time)) FROM good) - 10000000,
+    (SELECT max(epoch_us(updated_at)) FROM versions) - 3600000000) AS us)
+SELECT f.pos AS raw_offset, order_id, f.product_id, v.product_name, v.unit_cost,
+  {_MARGIN} AS margin_amount, CAST(order_ts AS DATE) AS event_date
+FROM flat f ASOF LEFT JOIN versions v ON f.product_id = v.product_id AND f.event_time >= v.updated_at
+WHERE (epoch_us(f.event_time) // 3600000000 + 1) * 3600000000 <= (SELECT us FROM passed)""",
     "zscore_alerts_stream": f"""WITH {TXNS}, spread AS (
   SELECT user_id, amount, time_bucket(INTERVAL 1 HOUR, event_time) + to_hours(k + 1) AS window_end
   FROM txns, range(24) AS r(k)),
