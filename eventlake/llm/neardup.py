@@ -1,7 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
-A document's set holds the hashes of its word shingles. Equal sets form
-classes, and each class goes on as one representative. Minima of ``BANDS`` x
+A document's set holds the hashes of its word shingles. Equal sets, by a
+128-bit digest of the whole set, form classes, and each class goes on as one
+representative, named by half of its digest. Minima of ``BANDS`` x
 ``ROWS`` hash functions, and of some more, are taken; bands of whole minima give candidate
 buckets, and only the low ``BITS`` bits of all minima are kept, packed into
 words, to estimate the similarity of a candidate pair by counting bits. What
@@ -10,6 +11,7 @@ the estimate doesn't rule out is confirmed on the full sets.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ from eventlake.llm.text import LOWER, Block, Hasher, blocks, distinct, mix, shin
 BANDS, ROWS, BITS = 45, 6, 2
 FUNCTIONS = 1440  # whose low bits are kept; the first BANDS * ROWS make the bands
 # 4.5 standard deviations of the estimate at similarity 0.8: sqrt(0.85 * 0.15 / 1440) / 0.75 * 4.5, missed with 3.4e-6.
+# That holds for sets of any size, as the kept bits of each function are mixed on their own (``kept_bits``).
 MARGIN = 0.057
 CELL_ROWS = 1500  # of one bucket that meet in one task
 
@@ -68,8 +71,22 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def kept_bits(low: np.ndarray) -> np.ndarray:
+    """Minima after a mix of each function's own, so that different minima agree in their low bits by chance alone.
+
+    The low bits of the minima themselves would do so for all functions alike:
+    an odd factor leaves them a fixed image of the low bits of the shingle.
+    """
+    x = low ^ np.random.default_rng(21).integers(0, 1 << 32, low.shape[1], dtype=np.uint32)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        x ^= x >> np.uint32(shift)
+        x *= np.uint32(factor)
+    return x ^ (x >> np.uint32(16))
+
+
 def packed_bits(low: np.ndarray) -> np.ndarray:
-    """The low ``BITS`` bits of all minima as 64-bit words, one plane of words for each bit."""
+    """The low ``BITS`` of ``kept_bits`` of all minima as 64-bit words, one plane of words for each bit."""
+    low = kept_bits(low)
     planes = []
     for bit in range(BITS):
         bits = ((low >> np.uint32(bit)) & 1).astype(np.uint8)
@@ -95,6 +112,13 @@ def _any_bit(a: Column, b: Column, k: int, words_each: int) -> Column:
     return out
 
 
+def _digests(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """128 bits of each whole sorted set, as two numbers."""
+    raw = keys.tobytes()
+    whole = b"".join(hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+    return np.frombuffer(whole, "<i8").reshape(-1, 2)
+
+
 def _profiles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,20 +126,17 @@ def _profiles(size: int):
                 keys, bounds = shingle_sets(block, size)
                 n = np.diff(bounds)
                 full = np.flatnonzero(n > 0)
-                # Two independent sums over the set identify it.
-                sums = [np.zeros(block.n, np.int64) for _ in range(2)]
+                digests = _digests(keys, bounds)
                 bands, bits = [None] * block.n, [None] * block.n
                 if len(full):
                     tight = np.append(bounds[full], len(keys))
-                    for k, salt in enumerate((0, 0x5851F42D4C957F2D)):
-                        sums[k][full] = np.add.reduceat(mix(keys ^ np.uint64(salt)), tight[:-1]).view(np.int64)
                     low = minima(keys, tight)
                     for i, x, y in zip(full, band_keys(low).tolist(), packed_bits(low).tolist(), strict=True):
                         bands[i], bits[i] = x, y
                 part = batch.column(0).slice(block.first, block.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part, pa.array(n.astype(np.int64)), *map(pa.array, sums), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                    ["id", "n", "f1", "f2", "bands", "bits"])
+                    [part, batch.column(2).slice(block.first, block.n), pa.array(n.astype(np.int64)), *(pa.array(np.ascontiguousarray(x)) for x in digests.T), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                    ["id", "text_hash", "n", "f1", "f2", "bands", "bits"])
     return run
 
 
@@ -125,7 +146,7 @@ def _sets(size: int):
             for block in blocks(batch.column(1)):
                 keys, bounds = shingle_sets(block, size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, block.n),
+                    [pa.array(np.ascontiguousarray(_digests(keys, bounds)[:, 0])),
                      pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["id", "items"])
     return run
 
@@ -187,31 +208,37 @@ def _across(percent: int):
     return run
 
 
-def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: int = 2) -> DataFrame:
+def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Component of each document under links of ``percent`` similarity or more.
 
     ``rows`` has ``id`` (long) and ``text``. Returns ``id``, ``n_shingles`` and
     ``component_id``, the smallest id that links reach, for each row. Null,
     empty and wordless texts have an empty set and stay alone. Rows that share
-    an id count as one document; where their texts differ, links other than
-    equal sets are sought for one of them. A row without an id takes the
-    component of an equal set, if any.
+    an id but not a text each have their own set and links. A row without an id
+    takes the component of an equal set, if any.
 
     Copies are never expanded into pairs. A bucket's hub is its member with the
     most company over all its buckets, which in a group of copies is the text
     they were made from. Each representative is compared with the
     hub it resembles most, and what is linked becomes one component. ``stars`` such rounds
     are made, the later ones with any other hub. Only buckets that
-    still hold several components have the pairs across components compared, so
+    still hold several components have the pairs across components compared, in cells of ``cell_rows``, so
     every link that the bands see is confirmed or refuted unless its ends are in
     one component anyway.
     """
-    texts = rows.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    profiles = stored(texts.mapInArrow(_profiles(size), "id long, n long, f1 long, f2 long, bands array<long>, bits array<long>"), "profiles")
+    return _grouped(rows, size, percent, stars, cell_rows).select("id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(rows: DataFrame, size: int, percent: int, stars: int, cell_rows: int) -> DataFrame:
+    """``id``, ``text_hash``, ``n``, ``component`` (null if the set is empty) and ``component_id`` of each row. Within, an id is that of a class: half of its digest."""
+    text = F.col("text").cast("string")
+    texts = rows.select(F.col("id").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    profiles = stored(texts.mapInArrow(
+        _profiles(size), "id long, text_hash long, n long, f1 long, f2 long, bands array<long>, bits array<long>"), "profiles")
     filled = profiles.where("n > 0 and id is not null")
     classes = stored(filled.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "classes")
-    at_rep = classes.withColumnRenamed("rep", "id")
-    reps = filled.join(at_rep, ["id", "f1", "f2", "n"], "left_semi").select("id", "n", "bands", "bits").dropDuplicates(["id"])
+    one_of = classes.select(F.col("rep").alias("id"), "f1", "f2", "n")
+    reps = filled.join(one_of, ["id", "f1", "f2", "n"], "left_semi").select(F.col("f1").alias("id"), "n", "bands", "bits").dropDuplicates(["id"])
     reps = stored(reps, "representatives")
     members = reps.select("id", F.explode("bands").alias("bucket"))
     busy = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -229,8 +256,10 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
 
     def confirmed(pairs: DataFrame, purpose: str) -> DataFrame:
         pairs = stored(pairs, purpose)
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = stored(perhaps_among(texts, needed, "id").join(needed, "id", "left_semi").mapInArrow(_sets(size), "id long, items binary"), "sets")
+        needed = pairs.select(F.col("a").alias("f1")).union(pairs.select("b")).distinct()
+        wanted = classes.join(needed, "f1", "left_semi").select(F.col("rep").alias("id")).distinct()
+        found = perhaps_among(texts, wanted, "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_sets(size), "id long, items binary")
+        sets = stored(found.dropDuplicates(["id"]), "sets")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_linked(percent), "a long, b long"), "links")
@@ -252,7 +281,7 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     split = labelled.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
     # A large bucket is dealt into parts, and every two parts meet in a cell of their own.
-    parts = F.ceil(F.col("size") / CELL_ROWS).cast("long")
+    parts = F.ceil(F.col("size") / cell_rows).cast("long")
     part = F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts"))
     open_members = labelled.select("id", "bucket", "component").join(split.select("bucket", parts.alias("parts")), "bucket")
     open_members = open_members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -261,17 +290,26 @@ def near_duplicates(rows: DataFrame, size: int = 5, percent: int = 80, stars: in
     across = full.select("bucket", "cell", "id", "component", "n", "bits", "bands").mapInArrow(_across(percent), "a long, b long").distinct()
     links = links.union(confirmed(across, "across"))
     labels = stored(components(reps.select("id"), links), "labels")
-    by_class = classes.join(labels.withColumnRenamed("id", "rep"), "rep").select("f1", "f2", "n", "component")
-    return profiles.join(by_class, ["f1", "f2", "n"], "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    joined = stored(classes.join(labels.withColumnRenamed("id", "f1"), "f1"), "class-components")
+    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
+    by_class = joined.join(least, "component").select("f1", "f2", "n", "component", "component_id")
+    return profiles.join(by_class, ["f1", "f2", "n"], "left").select("id", "text_hash", "n", "component", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keeps the document with the smallest id of each component, with the columns of ``docs``.
 
-    Of rows that share an id, one stays; rows without an id are kept as they are.
+    Of rows that share id and text, one stays. Of rows that share an id with
+    different texts in one component, the one whose text has the smallest hash
+    stays; in different components all stay. Empty texts stay, one for each id.
+    Rows without an id are kept as they are.
     """
-    known = docs.where(F.col(id_col).isNotNull())
-    found = near_duplicates(known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), size, percent)
-    kept = found.where("id = component_id").select(F.col("id").alias(id_col)).distinct()
-    return known.join(kept, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    known = docs.where(id_.isNotNull())
+    found = _grouped(known.select(id_.alias("id"), text.alias("text")), size, percent, 2, CELL_ROWS)
+    best = found.where("id = component_id").groupBy("id", "component").agg(F.min("text_hash").alias("__hash"))
+    best = best.select(F.col("id").alias("__id"), "__hash").distinct()
+    marked = known.withColumn("__id", id_.cast("long")).withColumn("__hash", F.xxhash64(text))
+    kept = marked.join(best, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).union(docs.where(id_.isNull()).select(*columns))

@@ -21,7 +21,8 @@ def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """b-bit MinHash on two-word shingles: components of documents at 80 percent or more."""
     docs = table(spark, sf_dir, "documents")
     found = neardup.near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), size=2)
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventlake.session import shared_dir
 
 _HASH_SPAN = 1 << 32
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def remainder(doc_id: str, divisor: int) -> Column:
@@ -19,7 +20,11 @@ def remainder(doc_id: str, divisor: int) -> Column:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: later steps no longer depend on executors that made it."""
+    """Writes a table to the shared folder and reads it back: later steps no longer depend on executors that made it.
+
+    Python workers get Arrow batches of 4 MB, or of one row where that is larger.
+    """
+    df.sparkSession.conf.set(*_BATCH)
     path = shared_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -62,4 +67,5 @@ def perhaps_among(rows: DataFrame, asked: DataFrame, key: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set(*_BATCH)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
