@@ -18,11 +18,11 @@ MIN_COUNT = 5
 Z_LIMIT = 3.0
 
 
-def _units(amount: Column, decimals: int) -> Column:
+def units_of(amount: Column, decimals: int) -> Column:
     return F.round(amount * (10 ** decimals)).cast("long")
 
 
-def _mean_and_std(n: Column, s: Column, sq: Column, decimals: int) -> tuple[Column, Column]:
+def mean_and_std(n: Column, s: Column, sq: Column, decimals: int) -> tuple[Column, Column]:
     """Mean and sample deviation from exact count, sum and sum of squares."""
     scale = float(10 ** decimals)
     spread = n.cast("decimal(19,0)") * sq - s.cast("decimal(19,0)") * s.cast("decimal(19,0)")
@@ -51,7 +51,7 @@ def trailing_stats(
     cells = next(c for c in range(cells, 0, -1) if frame_us % c == 0)
     width = frame_us // cells
     at = F.unix_micros(time_col)
-    units = _units(F.col(amount_col), decimals)
+    units = units_of(F.col(amount_col), decimals)
     squared = units.cast("decimal(19,0)") * units.cast("decimal(19,0)")
     rows = df.where(F.col(time_col).isNotNull()).select(
         F.col(user_col).alias("__user"), at.alias("__us"),
@@ -89,7 +89,7 @@ def trailing_stats(
     past = upto.rangeBetween(Window.unboundedPreceding, -1)
     sums = [F.coalesce(F.sum(c).over(past), F.lit(0)).alias(c) for c in names]
     stats = line.select("__kind", "__row", *sums).where("__kind = 1")
-    mean, std = _mean_and_std(F.col("__n"), F.col("__s"), F.col("__sq"), decimals)
+    mean, std = mean_and_std(F.col("__n"), F.col("__s"), F.col("__sq"), decimals)
     return stats.select(
         "__row.*", mean.alias("avg_amount"), std.alias("std_amount"),
         F.col("__c").alias("txn_count"),
@@ -130,7 +130,7 @@ def trailing_alerts(
 
 
 def _parts(amount_col: str, decimals: int) -> tuple[Column, ...]:
-    units = _units(F.col(amount_col), decimals)
+    units = units_of(F.col(amount_col), decimals)
     squared = units.cast("decimal(19,0)") * units.cast("decimal(19,0)")
     return (
         F.count(F.lit(1)).alias("c"), F.count(units).alias("n"),
@@ -139,7 +139,7 @@ def _parts(amount_col: str, decimals: int) -> tuple[Column, ...]:
 
 
 def _named_stats(decimals: int) -> tuple[Column, ...]:
-    mean, std = _mean_and_std(F.col("n"), F.col("s"), F.col("sq").cast("decimal(38,0)"), decimals)
+    mean, std = mean_and_std(F.col("n"), F.col("s"), F.col("sq").cast("decimal(38,0)"), decimals)
     return mean.alias("avg_amount"), std.alias("std_amount"), F.col("c").alias("txn_count")
 
 

@@ -26,19 +26,10 @@ def cdc_latest_state(spark, sf_dir):
     ))
 
 
-def _truncates(changes):
-    """A truncate in the middle of the log of every table with an even number."""
-    return (
-        changes.where(F.substring("source_table", 1, 1).isin("2", "4")).groupBy("source_table")
-        .agg(((F.max("source_lsn") / 16).cast("long") * 8 + 7).alias("source_lsn"))
-        .withColumn("cdc_op", F.lit("t")).withColumn("raw_offset", F.col("source_lsn"))
-    )
-
-
 def cdc_truncate(spark, sf_dir):
     """Several tables in one log, some of them cleared along the way."""
     changes = _decoded(spark, sf_dir, F.col("o_orderpriority"))
-    log = changes.unionByName(_truncates(changes), allowMissingColumns=True)
+    log = changes.unionByName(feeds.truncates(changes).drop("event_time"), allowMissingColumns=True)
     state = ops.latest_state_with_truncate(log, "source_table", ["order_id"], POSITION)
     return state.select("source_table", "order_id", "source_lsn", "cdc_op")
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlake.functions.envelope import decode_changes
+from eventlake.schemas import ORDER_SCHEMA
 from eventlake.session import prepare, shared_dir
 from eventlake.sources.broker import file_stream
 from eventlake.sources.envelopes import broker_rows, envelope
@@ -260,6 +262,22 @@ def order_changes(spark: SparkSession, sf_dir: str, table_col: Column | None = N
     )
 
 
+def truncates(changes: DataFrame) -> DataFrame:
+    """A truncate in the middle of the log of every table with an even number."""
+    return (
+        changes.where(F.substring("source_table", 1, 1).isin("2", "4")).groupBy("source_table")
+        .agg(((F.max("source_lsn") / 16).cast("long") * 8 + 7).alias("source_lsn"), F.max("event_time").alias("event_time"))
+        .withColumn("cdc_op", F.lit("t")).withColumn("raw_offset", F.col("source_lsn"))
+    )
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded order changes of several tables (one for each priority) with truncates in between."""
+    changes = decode_changes(order_changes(spark, sf_dir, F.col("o_orderpriority")), ORDER_SCHEMA)
+    changes = changes.select("source_table", "source_lsn", "raw_offset", "event_time", "cdc_op", "before", "after")
+    return changes.unionByName(truncates(changes), allowMissingColumns=True)
+
+
 HISTORY = f"""history AS (
   SELECT o_orderkey * 8 + seq AS lsn, seq, o_orderpriority AS priority,
     CAST(o_orderkey % 3 AS INTEGER) AS part,

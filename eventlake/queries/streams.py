@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import joins, windows
 from eventlake.operators.anomaly import windowed_alerts
+from eventlake.operators.joins import enrich, with_margin
 from eventlake.plans import activity, orders
 from eventlake.queries import feeds
 from eventlake.queries.activity import _SCORED, _alert_columns, _dedup_sql, _pairs_sql, _sessions_sql
@@ -23,6 +24,7 @@ from eventlake.sinks.base import (
 )
 from eventlake.sinks.columnar import ColumnarSink, newest_version
 from eventlake.sinks.lake import LakeSink
+from eventlake.streaming import retractions, trailing
 from eventlake.streaming.dedup import first_per_window_stream
 from eventlake.streaming.runs import batch_table, drain, start_query
 
@@ -84,6 +86,33 @@ def zscore_alerts_stream(spark, sf_dir):
     return _alert_columns(_drain(rows, "alerts"))
 
 
+def trailing_stats_stream(spark, sf_dir):
+    """The exact trailing statistics of every transaction, over several micro-batches."""
+    txns = activity.transactions(feeds.txn_messages(spark, sf_dir, stream=True))
+    rows = _drain(trailing.trailing_stats_stream(txns, "merchant", "amount", "event_time", "2 hours"), "trailing")
+    return rows.select(
+        "txn_id", F.round(F.col("avg_amount") + 1e-9, 6).alias("avg_amount"),
+        F.round("std_amount", 6).alias("std_amount"), "txn_count",
+    )
+
+
+def margin_by_brand_stream(spark, sf_dir):
+    """Margins that follow updates, deletes and truncates of several tables; every fifth update arrives after what came later."""
+    base = shared_dir(prepare(spark), "retractions")
+    log = feeds.order_log(spark, sf_dir)
+    stale = (F.col("source_lsn") % 8 == 1) & (F.col("source_lsn") % 40 < 8)
+    arrival = F.col("event_time") + F.when(stale, F.make_interval(days=F.lit(400))).otherwise(F.make_interval())
+    arriving = feeds.sliced_stream(log, arrival)
+    rows = retractions.retractions(arriving, ["order_id"], ["source_lsn", "raw_offset"], buckets=64)
+    enriched = with_margin(enrich(rows, feeds.products(spark, sf_dir), "product_id", ["brand", "unit_cost"]))
+    sums = {"revenue": F.col("total_amount").cast("decimal(18,2)"), "margin": F.round("margin_amount", 2).cast("decimal(18,2)")}
+    callback = retractions.weighted_sums(f"{base}/sums", ["brand"], sums)
+    start_query(enriched, callback, f"{base}/checkpoint", output_mode="update").awaitTermination()
+    total = retractions.totals(spark.read.parquet(f"{base}/sums"), ["brand"])
+    return total.select("brand", F.col("rows").alias("orders"), F.col("revenue").cast("double").alias("revenue"),
+                        F.col("margin").cast("double").alias("margin"))
+
+
 def dedup_stream(spark, sf_dir):
     """Exact first row per key and window from the stateful processor."""
     base = feeds.topic_table(spark, sf_dir, "events", stream=True)
@@ -224,7 +253,7 @@ def exactly_once_replay(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
-        asof_stream, zscore_alerts_stream, dedup_stream, late_stream, sink_tolerance_stream,
+        asof_stream, zscore_alerts_stream, trailing_stats_stream, margin_by_brand_stream, dedup_stream, late_stream, sink_tolerance_stream,
         parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
         medallion_stream, exactly_once_replay,
     )
@@ -263,6 +292,17 @@ scored AS (SELECT t.*, avg_amount, std_amount, txn_count FROM txns t JOIN stats
   ON t.user_id = s.user_id AND t.event_time > s.window_end
   AND t.event_time <= s.window_end + INTERVAL 1 HOUR)
 {_SCORED}""",
+    # Every row that the watermark has passed.
+    "trailing_stats_stream": f"""SELECT * FROM ({BATCH_SQL["trailing_stats"]})
+WHERE txn_id IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE ts <= (SELECT max(ts) - INTERVAL 5 MINUTE FROM events))""",
+    "margin_by_brand_stream": f"""WITH {feeds.HISTORY}, {feeds.PRODUCTS}, cleared AS (
+  SELECT priority, (max(lsn) // 16) * 8 + 7 AS upto FROM history
+  WHERE substring(priority, 1, 1) IN ('2', '4') GROUP BY priority),
+left_over AS (SELECT h.* FROM history h LEFT JOIN cleared c USING (priority) WHERE c.upto IS NULL OR h.lsn > c.upto),
+latest AS (SELECT * FROM left_over QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY lsn DESC) = 1)
+SELECT brand, count(*) AS orders, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+  CAST(sum(CAST({_MARGIN} AS DECIMAL(18,2))) AS DOUBLE) AS margin
+FROM latest LEFT JOIN products USING (product_id) WHERE op <> 'd' GROUP BY brand""",
     "dedup_stream": _dedup_sql("e.event_id, e.ts, e.user_id, e.event_type, e.value", "user_id", 12),
     "late_stream": """WITH RECURSIVE e AS (
   SELECT event_id, user_id, ts, epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN 5 * 86400000000 ELSE 0 END AS arrival

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventlake.functions.durations import micros
 
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 ROW, VERSION = 1, 0
 
 
@@ -105,7 +105,7 @@ def asof_join_streams(
     def packed(df: DataFrame, at: str, kind: int, columns: list[str], salt: Column, delay: str | None) -> DataFrame:
         return (df.withWatermark(at, delay) if delay else df).select(
             F.col(key).alias("key_"), salt.alias("salt"), F.col(at).alias("at"),
-            F.unix_micros(at).alias("us"), F.lit(kind).alias("kind"), F.to_json(F.struct(*columns), _JSON).alias("payload"))
+            F.unix_micros(at).alias("us"), F.lit(kind).alias("kind"), F.to_json(F.struct(*columns), JSON_OPTIONS).alias("payload"))
 
     one = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -116,7 +116,7 @@ def asof_join_streams(
         statefulProcessor=VersionedRows(micros(tick)), outputStructType="payload string, dim string",
         outputMode="Append", timeMode="EventTime")
     row_type, dim_type = rows.schema, T.StructType([versions.schema[c] for c in dim_cols])
-    joined = matched.select(F.from_json("payload", row_type, _JSON).alias("r"), F.from_json("dim", dim_type, _JSON).alias("d")).select(
+    joined = matched.select(F.from_json("payload", row_type, JSON_OPTIONS).alias("r"), F.from_json("dim", dim_type, JSON_OPTIONS).alias("d")).select(
         "r.*", *[F.col(f"d.{c}").alias(c) for c in dim_cols])
     alone = rows.where(~known).select("*", *[F.lit(None).cast(dim_type[c].dataType).alias(c) for c in dim_cols])
     return joined.union(alone)
