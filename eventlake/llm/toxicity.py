@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.tables import sampled
-from eventlake.llm.text import LOWER, Block, Hasher, blocks, row_sums, runs
+from eventlake.llm.text import LOWER, Block, Hasher, blocks, row_sums, runs, views
 
 BUCKETS = 1 << 18
 BEGINNINGS = (5, 7)  # bytes of a word's beginning that count as features besides the whole word
@@ -65,6 +66,14 @@ class ToxicityModel:
         return self.bias + row_sums(self.weights[s.bucket].astype(np.float64), s.words)
 
 
+def _sums_by(index: np.ndarray, values: np.ndarray, by: np.ndarray, n: int, step: int = 1 << 20) -> np.ndarray:
+    """Sums of ``values[by]`` for each of ``n`` indices, in pieces, as the values of all features at once would fill the driver."""
+    out = np.zeros(n)
+    for at in range(0, len(index), step):
+        out += np.bincount(index[at:at + step], values[by[at:at + step]], n)
+    return out
+
+
 def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.ndarray, steps: int = 120,
                  rate: float = 0.15, sparsity: float = 2e-4, least_docs: int = 4) -> ToxicityModel:
     """Fits sentence weights to document labels.
@@ -87,19 +96,20 @@ def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.
     used = np.flatnonzero(holders >= least_docs)
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    word = place[bucket]
-    word, owner = word[word >= 0], owner[word >= 0]
+    known = place[bucket] >= 0
+    word, owner = place[bucket[known]], owner[known]
+    del bucket, known
     per_doc = max(1.0, len(sentence_row) / n)
     w, bias = np.zeros(len(used)), float(np.log(y.mean() / per_doc + 1e-9))
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     y_s = y[sentence_row]
     for step in range(1, steps + 1):
-        z = bias + np.bincount(owner, w[word], len(sentence_row))
+        z = bias + _sums_by(owner, w, word, len(sentence_row))
         p = _sigmoid(z)
         q = np.bincount(sentence_row, _softplus(z), n)
         ratio = np.exp(-q) / np.maximum(-np.expm1(-q), 1e-9)
         by_sentence = np.where(y_s > 0, -p * ratio[sentence_row], p) / n
-        grad = np.bincount(word, by_sentence[owner], len(used)) + 1e-6 * w
+        grad = _sums_by(word, by_sentence, owner, len(used)) + 1e-6 * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         mb, vb = 0.9 * mb + 0.1 * by_sentence.sum(), 0.99 * vb + 0.01 * by_sentence.sum() ** 2
         up = rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
@@ -136,13 +146,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 5_000) ->
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(known), "doc_id").select("doc_id", F.col("toxic").cast("int"), "text")
-    data = rows.mapInArrow(run, "doc_id long, toxic int, buckets binary, lengths binary").toArrow().sort_by(
-        [("doc_id", "ascending"), ("buckets", "ascending")])
-    bucket = np.frombuffer(b"".join(data.column("buckets").to_pylist()), np.int32)
-    lengths = [np.frombuffer(x, np.int32) for x in data.column("lengths").to_pylist()]
+    data = rows.mapInArrow(run, "doc_id long, toxic int, buckets binary, lengths binary").toArrow().combine_chunks()
+    order = pc.sort_indices(data, [("doc_id", "ascending"), ("buckets", "ascending")]).to_pylist()
+    bucket, lengths = (
+        [np.frombuffer(held[i], np.int32) for i in order] for held in (views(data.column(c)) for c in ("buckets", "lengths")))
+    bucket = np.concatenate([np.empty(0, np.int32), *bucket])
     words = np.concatenate([[0], *lengths]).cumsum()
     n_sentences = np.cumsum([0, *map(len, lengths)])
-    return fit_noisy_or(bucket, words, n_sentences, (data.column("toxic").to_numpy() > 0).astype(float))
+    toxic = (data.column("toxic").to_numpy()[order] > 0).astype(float)
+    del data, lengths
+    return fit_noisy_or(bucket, words, n_sentences, toxic)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
