@@ -258,8 +258,9 @@ def _grouped(rows: DataFrame, size: int, percent: int, stars: int, cell_rows: in
         pairs = stored(pairs, purpose)
         needed = pairs.select(F.col("a").alias("f1")).union(pairs.select("b")).distinct()
         wanted = classes.join(needed, "f1", "left_semi").select(F.col("rep").alias("id")).distinct()
-        found = perhaps_among(texts, wanted, "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_sets(size), "id long, items binary")
-        sets = stored(found.dropDuplicates(["id"]), "sets")
+        # The sets that are sought, some of them several times where an id has several texts of one set.
+        asked = perhaps_among(texts, wanted, "id").join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"])
+        sets = stored(asked.select("id", "text").mapInArrow(_sets(size), "id long, items binary"), "sets")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_linked(percent), "a long, b long"), "links")
