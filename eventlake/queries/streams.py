@@ -20,12 +20,13 @@ from eventlake.queries.orders import _MARGIN
 from eventlake.queries.orders import SQL as ORDER_SQL
 from eventlake.session import prepare, shared_dir
 from eventlake.sinks.base import (
-    ParkingSink, PartitionSink, once_per_token, parked_batches, replay_parked,
+    ParkingSink, PartitionSink, once_per_token, parked_batches, rejected_rows, replay_parked,
 )
 from eventlake.sinks.columnar import ColumnarSink, newest_version
 from eventlake.sinks.lake import LakeSink
 from eventlake.streaming import retractions, trailing
 from eventlake.streaming.dedup import first_per_window_stream
+from eventlake.streaming.progress import ProgressListener
 from eventlake.streaming.runs import batch_table, drain, start_query
 
 
@@ -162,6 +163,53 @@ def _picky_store():
     return lambda rows: [row["event_id"] % 10 != 0 for row in rows]
 
 
+def _strict_store():
+    """Refuses some rows with a reason, and finds no store for others."""
+    def store(rows):
+        if any(row["event_id"] % 7 == 3 for row in rows):
+            raise ConnectionError("no route to the store")
+        return ["too old" if row["event_id"] % 10 == 0 else True for row in rows]
+
+    return store
+
+
+def sink_rejects_stream(spark, sf_dir):
+    """Refused and parked rows as rows, and what a replay of the parked ones stores: by batch, reason and status."""
+    base = shared_dir(prepare(spark), "rejects")
+    events = feeds.topic_table(spark, sf_dir, "events", stream=True)
+    rows = events.select("event_id", "event_type")
+    sink = PartitionSink("store", _strict_store, rows_per_call=1, rejects_path=f"{base}/rejects", max_failure_fraction=0.5,
+                         metrics_path=f"{base}/metrics")
+    start_query(rows, ParkingSink(sink, f"{base}/parked").foreach_batch(), f"{base}/checkpoint").awaitTermination()
+    again = PartitionSink("store", _picky_store, max_failure_fraction=0.5, rejects_path=f"{base}/rejects")
+    replayed = spark.createDataFrame(
+        [(o.batch_id, o.records_written) for o in replay_parked(spark, f"{base}/parked", rows.schema, again)], "batch_id long, n long")
+    lost = rejected_rows(spark, f"{base}/rejects", rows.schema).unionByName(
+        rejected_rows(spark, f"{base}/rejects-replayed", rows.schema).withColumn("status", F.lit("refused later")))
+    found = lost.groupBy("batch_id", "status", "reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("id_sum"))
+    written = spark.read.parquet(f"{base}/metrics").select("batch_id", F.lit("stored").alias("status"), F.col("records_written").alias("n"))
+    written = written.union(replayed.select("batch_id", F.lit("stored later"), "n")).select(
+        "batch_id", "status", F.lit(None).cast("string").alias("reason"), F.col("n").alias("rows"), F.lit(None).cast("long").alias("id_sum"))
+    return found.union(written).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def dq_counts_stream(spark, sf_dir):
+    """Violations of every quality rule as the silver stage counted them, batch by batch, stored and summed."""
+    base = shared_dir(prepare(spark), "counts")
+    raw = feeds.line_changes(spark, sf_dir, stream=True)
+    listener = ProgressListener()
+    spark.streams.addListener(listener)
+    try:
+        queries = orders.run_stages(spark, raw, feeds.products(spark, sf_dir), base, gold_partition=("category",))
+        listener.wait_for(queries)
+    finally:
+        spark.streams.removeListener(listener)
+    listener.flush(spark, f"{base}/progress")
+    rules = spark.read.parquet(f"{base}/progress-rules")
+    return rules.groupBy("rule").agg((F.sum("rows") - F.sum("failed")).alias("passed"), F.sum("failed").alias("failed"))
+
+
 def _unreachable_store():
     def store(rows):
         raise ConnectionError("no route to the store")
@@ -254,6 +302,7 @@ QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
         asof_stream, zscore_alerts_stream, trailing_stats_stream, margin_by_brand_stream, dedup_stream, late_stream, sink_tolerance_stream,
+        sink_rejects_stream, dq_counts_stream,
         parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
         medallion_stream, exactly_once_replay,
     )
@@ -331,6 +380,17 @@ FROM verdicts GROUP BY verdict""",
 SELECT 'store' AS sink_name, batch AS batch_id, count(*) FILTER (event_id % 10 <> 0) AS records_written,
   count(*) FILTER (event_id % 10 = 0) AS records_failed, CAST(0 AS BIGINT) AS records_parked
 FROM sliced GROUP BY batch""",
+    "sink_rejects_stream": f"""WITH {_SLICED}, judged AS (
+  SELECT batch AS batch_id, event_id, CASE WHEN event_id % 7 = 3 THEN 'unreachable' WHEN event_id % 10 = 0 THEN 'refused' ELSE 'stored' END AS status
+  FROM sliced),
+verdicts AS (
+  SELECT batch_id, status, CASE status WHEN 'refused' THEN 'too old' WHEN 'unreachable' THEN 'ConnectionError: no route to the store' END AS reason, event_id
+  FROM judged
+  UNION ALL SELECT batch_id, CASE WHEN event_id % 10 = 0 THEN 'refused later' ELSE 'stored later' END,
+    CASE WHEN event_id % 10 = 0 THEN 'refused' END, event_id FROM judged WHERE status = 'unreachable')
+SELECT batch_id, status, reason, count(*) AS rows,
+  CASE WHEN status NOT IN ('stored', 'stored later') THEN CAST(sum(event_id) AS BIGINT) END AS id_sum FROM verdicts GROUP BY batch_id, status, reason""",
+    "dq_counts_stream": f"SELECT rule, passed, failed FROM ({ORDER_SQL['dq_report']})",
     "parking_replay_stream": """SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events,
   CAST(0 AS BIGINT) AS still_parked FROM events GROUP BY event_type""",
     "olap_stream": ORDER_SQL["broadcast_enrich_margin"],

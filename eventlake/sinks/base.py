@@ -14,7 +14,7 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,46 +144,103 @@ class PartitionSink(Sink):
     """Sink that hands rows to a client opened on the executor.
 
     ``open_client`` is called once per task and returns a function taking a list
-    of row dictionaries and returning one boolean per row (stored or not). Rows
-    never pass the driver; it only receives two numbers and the first error per task.
+    of row dictionaries and returning one outcome per row: true if it is stored,
+    false or a text (the reason) if it is refused. Rows
+    never pass the driver; it receives counts and the first error.
+
+    With ``rejects_path`` the rows that are not stored become a table of
+    (status, reason, token, row) in the same pass, a partition for each batch.
+    The status is ``refused`` (by the store), ``unreachable`` (the call raised
+    one of ``outages``) or ``failed`` (it raised something else); rows of status
+    ``stored`` are counts without a row, ``n`` each.
     """
 
-    def __init__(self, name: str, open_client, rows_per_call: int = BATCH_ROWS, **kwargs):
+    def __init__(self, name: str, open_client, rows_per_call: int = BATCH_ROWS, rejects_path: str | None = None,
+                 outages: tuple[str, ...] = OUTAGES, **kwargs):
         super().__init__(name, **kwargs)
         if not callable(open_client):
             raise ValueError(f"sink {name} needs a function that opens its client")
-        self.open_client = open_client
-        self.rows_per_call = rows_per_call
+        self.open_client, self.rows_per_call = open_client, rows_per_call
+        self.rejects_path, self.outages = rejects_path, outages
+        self.counts: dict[str, int] = {}
 
     def shape(self, batch: DataFrame) -> DataFrame:
         """Rows as the client takes them."""
         return batch
 
-    def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
-        open_client, size = self.open_client, self.rows_per_call
+    @property
+    def as_they_come(self) -> bool:
+        """Whether the client takes the rows of a batch unshaped, each by itself."""
+        return type(self).shape is PartitionSink.shape
+
+    def _sent(self, batch: DataFrame) -> DataFrame:
+        """What became of the rows; they are sent whenever this is evaluated."""
+        open_client, size, outages = self.open_client, self.rows_per_call, self.outages
 
         def send(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            store, written, failed, first = open_client(), 0, 0, None
+            store, stored, kind = open_client(), 0, None
             for records in batches:
+                row, token = records.column("row"), records.column("token")
+                kind = row.type
                 for start in range(0, records.num_rows, size):
-                    rows = records.slice(start, size).to_pylist()
+                    rows = row.slice(start, size).to_pylist()
                     try:
-                        stored = sum(bool(ok) for ok in store(rows))
+                        verdicts = list(store(rows))
+                        status = "refused"
                     except Exception as raised:  # the whole call failed
-                        stored, first = 0, first or f"{type(raised).__name__}: {raised}"
-                    written += stored
-                    failed += len(rows) - stored
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([written]), pa.array([failed]), pa.array([first], pa.string())],
-                ["w", "f", "e"])
+                        known = {t.__name__ for t in type(raised).__mro__} & set(outages)
+                        status = "unreachable" if known else "failed"
+                        verdicts = [f"{type(raised).__name__}: {raised}"] * len(rows)
+                    verdicts += [False] * (len(rows) - len(verdicts))
+                    lost = [i for i, v in enumerate(verdicts[:len(rows)]) if isinstance(v, str) or not v]
+                    stored += len(rows) - len(lost)
+                    if lost:
+                        places = pa.array([start + i for i in lost], pa.int64())
+                        reasons = [v if isinstance(v, str) else "refused" for v in (verdicts[i] for i in lost)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([status] * len(lost)), pa.array(reasons), pa.array([1] * len(lost)), token.take(places), row.take(places)],
+                            ["status", "reason", "n", "token", "row"])
+            if kind is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(["stored"]), pa.nulls(1, pa.string()), pa.array([stored]), pa.nulls(1, pa.string()), pa.nulls(1, kind)],
+                    ["status", "reason", "n", "token", "row"])
+
+        shaped = self.shape(batch)
+        rows = shaped.select(F.struct(*[F.col(f"`{c}`") for c in shaped.columns]).alias("row"), idempotency_token(shaped).alias("token"))
+        return rows.mapInArrow(send, rejects_schema(shaped.schema))
+
+    def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
+        def n_of(status: str) -> Column:
+            return F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0)).alias(status)
+
+        statuses = ("stored", "refused", "unreachable", "failed")
+        error = F.min(F.when(F.col("status").isin("unreachable", "failed"), F.col("reason"))).alias("error")
+        sent = self._sent(batch)
+        if self.rejects_path:
+            seen = Observation()
+            numbered = sent.observe(seen, *map(n_of, statuses), error).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            overwrite_partitions(numbered, self.rejects_path, ["batch_id"])
+            total = seen.get
+        else:
+            total = sent.agg(*map(n_of, statuses), error).first().asDict()
+        self.first_error, self.counts = total["error"], {s: total[s] for s in statuses}
+        return total["stored"], sum(total[s] for s in statuses[1:])
 
-        counts = self.shape(batch).mapInArrow(send, "w long, f long, e string")
-        total = counts.agg(
-            F.sum("w").alias("w"), F.sum("f").alias("f"), F.min("e").alias("e")).first()
-        self.first_error = total["e"]
-        return total["w"] or 0, total["f"] or 0
+
+def rejects_schema(row_schema: T.StructType) -> T.StructType:
+    """Table of what a ``PartitionSink`` could not store, without its ``batch_id``."""
+    return T.StructType([
+        T.StructField("status", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("n", T.LongType()),
+        T.StructField("token", T.StringType()), T.StructField("row", row_schema)])
+
+
+def rejected_rows(spark: SparkSession, rejects_path: str, row_schema: T.StructType) -> DataFrame:
+    """Refused, unreachable and failed rows of all batches: ``batch_id``, ``status``, ``reason``, ``token`` and the row's columns."""
+    full = T.StructType([*rejects_schema(row_schema).fields, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(full).parquet(rejects_path).where("status <> 'stored'")
+    return rows.select("batch_id", "status", "reason", "token", "row.*")
 
 
 class ParkingSink(Sink):
@@ -192,11 +249,19 @@ class ParkingSink(Sink):
     An outage is an error whose type (or the type a client raised in a task) is
     among ``outages``. Anything else, a wrong column or refused rows, fails as it
     would without parking. Parked rows are neither written nor failed.
+
+    Where the client takes rows as they come, only the rows of the calls that
+    found no store are parked, whatever other tasks have stored. A sink that
+    shapes its rows to keys, and one that writes all or nothing, parks the whole
+    batch: sent again, it leaves what sending it once leaves.
     """
 
     def __init__(self, sink: Sink, parking_path: str, outages: tuple[str, ...] = OUTAGES):
         super().__init__(sink.name, sink.max_failure_fraction, sink.metrics_path)
         self.sink, self.parking_path, self.outages = sink, parking_path, outages
+        if isinstance(sink, PartitionSink):
+            sink.outages = outages
+            sink.rejects_path = sink.rejects_path or f"{parking_path.rstrip('/')}-rejects"
 
     def write(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
         outcome = self.run(batch, batch_id)
@@ -207,17 +272,26 @@ class ParkingSink(Sink):
     def _is_outage(self, outcome: BatchOutcome) -> bool:
         if outcome.error is not None:
             return any(t.__name__ in self.outages for t in type(outcome.error).__mro__)
-        return (outcome.first_error or "").split(":")[0] in self.outages
+        counts = self.sink.counts if isinstance(self.sink, PartitionSink) else {}
+        return counts.get("unreachable", 0) > 0 and counts.get("failed", 0) == 0
 
     def run(self, batch: DataFrame, batch_id: int) -> BatchOutcome:
         outcome = self.sink.run(batch, batch_id)
+        if isinstance(self.sink, PartitionSink) and self.sink.as_they_come and outcome.error is None:
+            n = self.sink.counts["unreachable"]
+            if n:
+                own = self.sink.rejects_path.rstrip("/")
+                rows = batch.sparkSession.read.schema(rejects_schema(batch.schema)).parquet(f"{own}/batch_id={batch_id}")
+                self._park(rows.where("status = 'unreachable'").select("row.*"), batch_id)
+            return BatchOutcome(self.name, batch_id, outcome.records_written, outcome.records_failed - n, outcome.duration_ms,
+                                records_parked=n, first_error=outcome.first_error)
         if outcome.failure_rate <= self.max_failure_fraction or not self._is_outage(outcome):
             return outcome
-        parked = batch.withColumn("parked_batch", F.lit(batch_id).cast("long"))
-        n = write_counted(
-            parked, lambda df: overwrite_partitions(df, self.parking_path, ["parked_batch"])
-        )
-        return BatchOutcome(self.name, batch_id, 0, 0, outcome.duration_ms, records_parked=n)
+        return BatchOutcome(self.name, batch_id, 0, 0, outcome.duration_ms, records_parked=self._park(batch, batch_id))
+
+    def _park(self, rows: DataFrame, batch_id: int) -> int:
+        parked = rows.withColumn("parked_batch", F.lit(batch_id).cast("long"))
+        return write_counted(parked, lambda df: overwrite_partitions(df, self.parking_path, ["parked_batch"]))
 
 
 def _retired(spark: SparkSession, parking_path: str) -> DataFrame:
@@ -239,9 +313,16 @@ def parked_batches(spark: SparkSession, parking_path: str, schema) -> DataFrame:
 def replay_parked(spark: SparkSession, parking_path: str, schema, sink: Sink) -> list[BatchOutcome]:
     """Give every parked batch to ``sink`` again, under its own batch id, and retire it.
 
-    A batch that fails again stays parked. The loop runs over batch ids (a short
+    A batch that fails again stays parked; where the client takes rows as they
+    come, only those of its rows that found no store again. Refused rows of a replay go to a table of their
+    own (``-replayed``), beside those of the first time. The loop runs over batch ids (a short
     list of folder names), not over rows.
     """
+    if isinstance(sink, PartitionSink) and sink.as_they_come:
+        sink = ParkingSink(sink, parking_path)
+    first = sink.sink if isinstance(sink, ParkingSink) else sink
+    if isinstance(first, PartitionSink) and first.rejects_path:
+        first.rejects_path = f"{first.rejects_path.rstrip('/').removesuffix('-replayed')}-replayed"
     waiting = parked_batches(spark, parking_path, schema)
     ids = [r[0] for r in waiting.select("parked_batch").distinct().orderBy(1).toLocalIterator()]
     outcomes = []

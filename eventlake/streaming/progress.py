@@ -41,25 +41,39 @@ def progress_row(job: str, progress: dict) -> tuple:
     )
 
 
+RULE_SCHEMA = "job string, batch_id long, at string, rule string, rows long, failed long"
+
+
+def rule_rows(job: str, progress: dict, observation: str = "quality") -> list[tuple]:
+    """One row for each rule that ``enforce`` counted under the name ``observation`` in a batch."""
+    counts = (progress.get("observedMetrics") or {}).get(observation) or {}
+    return [(job, int(progress["batchId"]), progress["timestamp"], rule, int(counts["rows"]), int(failed))
+            for rule, failed in counts.items() if rule != "rows"]
+
+
 def _millis(iso: str) -> int:
     return int(datetime.fromisoformat(iso.replace("Z", "+00:00")).timestamp() * 1000)
 
 
 class ProgressListener(StreamingQueryListener):
-    """Keeps the figures of the micro-batches seen since the last ``flush``.
+    """Keeps the figures of the micro-batches seen since the last ``flush``, and the counts of quality rules.
 
-    One small row per micro-batch, so the driver holds no data.
+    A few small rows per micro-batch, so the driver holds no data.
     """
 
-    def __init__(self):
+    def __init__(self, observation: str = "quality"):
         self.rows: list[tuple] = []
+        self.rules: list[tuple] = []
+        self.observation = observation
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
         report = json.loads(event.progress.json)
-        self.rows.append(progress_row(report.get("name") or str(report["id"]), report))
+        job = report.get("name") or str(report["id"])
+        self.rules.extend(rule_rows(job, report, self.observation))
+        self.rows.append(progress_row(job, report))
 
     def onQueryIdle(self, event):
         pass
@@ -75,10 +89,12 @@ class ProgressListener(StreamingQueryListener):
             time.sleep(0.05)
 
     def flush(self, spark: SparkSession, path: str) -> None:
-        rows, self.rows = self.rows, []
-        if rows:
-            frame = spark.createDataFrame(rows, PROGRESS_SCHEMA)
-            overwrite_partitions(frame, path, ["job", "batch_id"])
+        """Stores what has come since the last time, rules below ``path``-rules; rows whose write fails stay for the next time."""
+        for kept, schema, target in ((self.rows, PROGRESS_SCHEMA, path), (self.rules, RULE_SCHEMA, f"{path.rstrip('/')}-rules")):
+            n = len(kept)
+            if n:
+                overwrite_partitions(spark.createDataFrame(kept[:n], schema), target, ["job", "batch_id"])
+                del kept[:n]
 
 
 def progress_table(spark: SparkSession, job: str, reports: list[dict]) -> DataFrame:

@@ -298,3 +298,64 @@ def test_broadcast_sink(spark, shared):
 def test_delivery_outcomes(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "ok boolean")
     assert tuple(broadcast.delivery_outcomes(df, F.col("ok")).first()) == (1, 2)
+
+
+def test_only_rows_that_found_no_store_are_parked(spark, shared, tmp_path):
+    path, parked = str(tmp_path / "store"), f"{shared}/parked"
+    df = spark.range(60).select(F.col("id").cast("string").alias("key")).repartition(3)
+
+    def flaky(lost):
+        inner = folder_client(path)
+
+        def open_client():
+            store = inner()
+
+            def send(rows):
+                if any(int(r["key"]) % 5 in lost for r in rows):
+                    raise TimeoutError("no answer")
+                return ["too small" if not ok or r["key"] == "7" else True for r, ok in zip(rows, store([r for r in rows if r["key"] != "7"] or rows))]
+
+            return send
+
+        return open_client
+
+    def sink(*lost):
+        return base.PartitionSink("s", flaky(lost), rows_per_call=1, max_failure_fraction=0.1)
+
+    outcome = base.ParkingSink(sink(0, 1), parked).run(df, 4)
+    assert (outcome.records_written, outcome.records_failed, outcome.records_parked) == (35, 1, 24)
+    assert {r["key"] for r in base.parked_batches(spark, parked, df.schema).collect()} == {str(k) for k in range(60) if k % 5 < 2}
+    assert [(o.records_written, o.records_parked) for o in base.replay_parked(spark, parked, df.schema, sink(1))] == [(12, 12)]
+    assert [(o.records_written, o.records_parked) for o in base.replay_parked(spark, parked, df.schema, sink())] == [(12, 0)]
+    assert base.replay_parked(spark, parked, df.schema, sink()) == []
+    keys = [r["key"] for r in stored(path) if r["key"] != "7"]
+    assert sorted(map(int, keys)) == [k for k in range(60) if k != 7]  # none twice
+    lost = base.rejected_rows(spark, f"{parked}-rejects", df.schema)
+    assert [tuple(r) for r in lost.where("status = 'refused'").select("batch_id", "reason", "key").collect()] == [(4, "too small", "7")]
+
+
+def test_a_typed_error_is_no_outage(spark, shared):
+    def open_mixed():
+        def store(rows):
+            raise (TimeoutError("slow") if rows[0]["key"].endswith("a") else KeyError("no such field"))
+        return store
+
+    df = orders(spark, ("a", "1", T0, T0, 1, 10.0), ("b", "2", T0, T0, 2, 20.0))
+    sink = keyed.KeyedSink("hot", open_mixed, "order_id", rows_per_call=1)
+    outcome = base.ParkingSink(sink, f"{shared}/parked").run(df, 0)
+    assert (outcome.records_failed, outcome.records_parked) == (2, 0)
+    assert sink.counts == {"stored": 0, "refused": 0, "unreachable": 1, "failed": 1}
+
+
+def test_figures_stay_until_they_are_stored(spark, shared):
+    from eventlake.streaming.progress import ProgressListener
+
+    listener = ProgressListener()
+    listener.rows.append(("job", 1, "2026-01-01T00:00:00Z", 5, 5, 10, None, 0.0, 0.0, 0, 0))
+    listener.rules.append(("job", 1, "2026-01-01T00:00:00Z", "amount_positive", 5, 2))
+    with pytest.raises(Exception):
+        listener.flush(spark, "nowhere://x")
+    assert len(listener.rows) == len(listener.rules) == 1
+    listener.flush(spark, f"{shared}/figures")
+    assert not listener.rows and not listener.rules
+    assert spark.read.parquet(f"{shared}/figures-rules").first()["failed"] == 2
