@@ -23,6 +23,7 @@ from eventlake.sinks.base import (
     ParkingSink, PartitionSink, once_per_token, parked_batches, rejected_rows, replay_parked,
 )
 from eventlake.sinks.columnar import ColumnarSink, newest_version
+from eventlake.sinks.folding import file_count, fold_batches, read_folded
 from eventlake.sinks.lake import LakeSink
 from eventlake.streaming import retractions, trailing
 from eventlake.streaming.dedup import first_per_window_stream
@@ -194,6 +195,32 @@ def sink_rejects_stream(spark, sf_dir):
     return found.union(written).withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
+def compacted_lake(spark, sf_dir):
+    """A lake of 40 micro-batches folded in three goes, with a crash between the steps and the newest batch written again."""
+    base = shared_dir(prepare(spark), "folding")
+    path = f"{base}/lake"
+    events = feeds.events(spark, sf_dir).select("event_id", "event_type", "ts", F.pmod("event_id", F.lit(40)).alias("turn")).persist()
+    sink = LakeSink("lake", path=path, time_col="ts", unit="month")
+    schema = events.drop("turn").schema.add("event_date", "date")
+    try:
+        for number in range(40):
+            sink.write(events.where(F.col("turn") == number).drop("turn"), number)
+            if number in (15, 29):
+                fold_batches(spark, path, schema, until=1 if number == 15 else 2)  # the next fold takes it up
+            elif number == 16:
+                fold_batches(spark, path, schema)
+        sink.write(events.where("turn = 39").drop("turn"), 39)
+        fold_batches(spark, path, schema)
+    finally:
+        events.unpersist()
+    rows = read_folded(spark, path, schema)
+    months = rows.agg(F.countDistinct("event_date")).first()[0]
+    counts = rows.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("batch_id").alias("batches"), F.sum("event_id").alias("id_sum"))
+    # Three folds and the newest batch: at most four files for each month that are not large.
+    return counts.withColumn("few_files", F.lit(file_count(spark, path) <= 4 * months))
+
+
 def dq_counts_stream(spark, sf_dir):
     """Violations of every quality rule as the silver stage counted them, batch by batch, stored and summed."""
     base = shared_dir(prepare(spark), "counts")
@@ -302,7 +329,7 @@ QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
         asof_stream, zscore_alerts_stream, trailing_stats_stream, margin_by_brand_stream, dedup_stream, late_stream, sink_tolerance_stream,
-        sink_rejects_stream, dq_counts_stream,
+        sink_rejects_stream, dq_counts_stream, compacted_lake,
         parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
         medallion_stream, exactly_once_replay,
     )
@@ -390,6 +417,8 @@ verdicts AS (
     CASE WHEN event_id % 10 = 0 THEN 'refused' END, event_id FROM judged WHERE status = 'unreachable')
 SELECT batch_id, status, reason, count(*) AS rows,
   CASE WHEN status NOT IN ('stored', 'stored later') THEN CAST(sum(event_id) AS BIGINT) END AS id_sum FROM verdicts GROUP BY batch_id, status, reason""",
+    "compacted_lake": """SELECT CAST(date_trunc('month', ts) AS DATE) AS event_date, count(*) AS rows,
+  count(DISTINCT event_id % 40) AS batches, CAST(sum(event_id) AS BIGINT) AS id_sum, true AS few_files FROM events GROUP BY 1""",
     "dq_counts_stream": f"SELECT rule, passed, failed FROM ({ORDER_SQL['dq_report']})",
     "parking_replay_stream": """SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events,
   CAST(0 AS BIGINT) AS still_parked FROM events GROUP BY event_type""",

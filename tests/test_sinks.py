@@ -359,3 +359,32 @@ def test_figures_stay_until_they_are_stored(spark, shared):
     listener.flush(spark, f"{shared}/figures")
     assert not listener.rows and not listener.rules
     assert spark.read.parquet(f"{shared}/figures-rules").first()["failed"] == 2
+
+
+def test_folding_reads_the_same_rows_after_every_step(spark, shared):
+    from eventlake.sinks.folding import file_count, fold_batches, read_folded
+
+    path = f"{shared}/table"
+    df = spark.range(120).select("id", F.expr("date_add(DATE'2026-01-01', cast(id % 3 as int))").alias("event_date"), (F.col("id") % 12).alias("turn"))
+    schema = df.drop("turn").schema
+
+    def write(number):
+        rows = df.where(F.col("turn") == number).drop("turn").withColumn("batch_id", F.lit(number).cast("long"))
+        base.overwrite_partitions(rows, path, ["event_date", "batch_id"])
+
+    def ids():
+        return sorted((r["id"], r["batch_id"]) for r in read_folded(spark, path, schema).collect())
+
+    want = []
+    for number, until in ((0, 3), (1, 3), (2, 3), (3, 1), (4, 1), (5, 2), (6, 3), (7, 2), (8, 1), (9, 3), (10, 3), (11, 3)):
+        for _ in range(2):  # the newest batch may run again
+            write(number)
+        want += [(i, number) for i in range(120) if i % 12 == number]
+        fold_batches(spark, path, schema, until=until)
+        assert ids() == sorted(want)
+    left = [d for _, folders, _ in os.walk(path) for d in folders if d.startswith("batch_id=")]
+    assert set(left) == {"batch_id=11"}
+    assert fold_batches(spark, path, schema) is None
+    assert fold_batches(spark, path, schema, keep_open=0) == 11 and ids() == sorted(want)
+    assert file_count(spark, path) > 0
+    assert fold_batches(spark, f"{shared}/nothing", schema) is None
