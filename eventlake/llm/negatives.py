@@ -94,6 +94,8 @@ def fit_centroids(vectors: list[list[int]], k: int, turns: int = 8) -> np.ndarra
     """Unit centroids by spherical k-means, begun at vectors spread evenly over the given order."""
     width = max((len(v) for v in vectors), default=0)
     units = _units(np.array([v + [0] * (width - len(v)) for v in vectors], np.float64).reshape(len(vectors), width))
+    if not len(units):
+        return units
     centroids = units[np.linspace(0, len(units) - 1, min(k, len(units))).astype(int)]
     for _ in range(turns):
         nearest = (units @ centroids.T).argmax(1)
