@@ -378,14 +378,14 @@ RUNS = """runs AS (
   FROM events)"""
 
 
-def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metric_points(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Events as metric points: the type picks the metric, the user the dimension."""
     names = {"click": "UnderReplicatedPartitions", "view": "KafkaDataLogsDiskUsed",
              "purchase": "Errors", "signup": "downtime"}
     metric = F.lit("LagMs")
     for kind, name in names.items():
         metric = F.when(F.col("event_type") == kind, name).otherwise(metric)
-    return events(spark, sf_dir).select(
+    return topic_table(spark, sf_dir, "events", stream).withColumn("ts", utc("ts")).select(
         metric.alias("metric"), F.concat(F.lit("d"), F.col("user_id") % 5).alias("dimension"),
         "value", "ts",
     )

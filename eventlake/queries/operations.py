@@ -6,10 +6,11 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from eventlake.operators import metrics
+from eventlake.operators import metrics, sketches
 from eventlake.plans import operations as plans
 from eventlake.queries import feeds
 from eventlake.queries.feeds import POINTS, RUNS, plain_times
+from eventlake.session import shared_dir
 
 END = "2024-01-31 00:00:00"
 
@@ -119,6 +120,32 @@ def consumer_lag_total(spark, sf_dir):
     return metrics.lag_summary(_lags(spark, sf_dir))
 
 
+def latency_rollup(spark, sf_dir):
+    """Latency quantiles for five minutes, an hour and a day, from sketches stored by the minute."""
+    runs = _runs(spark, sf_dir)
+    keys = ["runtime"]
+    path = shared_dir(spark, "latency")
+    sketches.value_sketches(runs, "end_to_end_latency_ms", "event_time", keys, k=4000).write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = None
+    for width in sketches.LEVELS:
+        stored = sketches.rolled_up(stored, keys, width, k=4000)
+        level = sketches.sketch_quantiles(stored, {"min_ms": 0.0, "p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99, "max_ms": 1.0})
+        level = level.withColumn("level", F.lit(width))
+        out = level if out is None else out.union(level)
+    return plain_times(out.withColumnRenamed("n", "events"))
+
+
+def missing_keys(spark, sf_dir):
+    """Events of each topic that a store lacks: some of every third hour, and all of one hour; the store holds others twice."""
+    events = feeds.events(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), "ts")
+    hour = F.floor(F.unix_seconds("ts") / 3600)
+    withheld = ((hour % 3 == 0) & (F.col("event_id") % 5 == 0)) | (hour % 100 == 7)
+    kept = events.where(~withheld)
+    rows = sketches.missing_keys(events, kept.union(kept.where("event_id % 4 = 0")), "event_id", "ts", ["topic"])
+    return plain_times(rows)
+
+
 def alarm_eval(spark, sf_dir):
     """The platform's alarms with hourly periods, per dimension."""
     alarms = [replace(a, period="1 hour") for a in metrics.PLATFORM_ALARMS]
@@ -201,7 +228,7 @@ QUERIES = {
     f.__name__: f for f in (
         approx_completeness, latency_percentiles, latency_percentiles_exact, throughput_minute, union_tracks,
         recent_tracks, runtime_comparison, cost_per_million, batch_metrics, falling_behind,
-        consumer_lag, consumer_lag_total, alarm_eval, rate_alerts, rate_alarms, slow_batches,
+        consumer_lag, consumer_lag_total, latency_rollup, missing_keys, alarm_eval, rate_alerts, rate_alarms, slow_batches,
         dashboard_series, retention_tiers, topic_retention,
     )
 }
@@ -237,6 +264,12 @@ SQL = {
 UNION ALL SELECT 'user_id', count(user_id), true FROM events""",
     "latency_percentiles": f"""WITH {RUNS}
 SELECT runtime, count(*) AS events, {_QUANTILES}, max(latency) AS max_ms FROM runs GROUP BY runtime""",
+    "missing_keys": """SELECT event_type AS topic, date_trunc('hour', ts) AS window_start, event_id FROM events
+WHERE (epoch_us(ts) // 3600000000 % 3 = 0 AND event_id % 5 = 0) OR epoch_us(ts) // 3600000000 % 100 = 7""",
+    # Windows of up to 4,000 rows are held exactly.
+    "latency_rollup": f"WITH {RUNS}\n" + "\nUNION ALL\n".join(f"""SELECT time_bucket(INTERVAL {span}, event_time) AS window_start, runtime,
+  count(*) AS events, min(latency) AS min_ms, {_QUANTILES}, max(latency) AS max_ms, '{level}' AS level FROM runs GROUP BY ALL"""
+        for level, span in (("300 seconds", "5 MINUTE"), ("1 hour", "1 HOUR"), ("1 day", "1 DAY"))),
     "latency_percentiles_exact": f"""WITH {RUNS}
 SELECT runtime, CAST(p AS DOUBLE) AS percentile, value FROM (
   SELECT runtime, 0.5 AS p, quantile_disc(latency, 0.5) AS value FROM runs GROUP BY runtime

@@ -6,16 +6,20 @@ sessions that the watermark has not closed yet are not part of append output.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from eventlake.operators import joins, windows
 from eventlake.operators.anomaly import windowed_alerts
 from eventlake.operators.joins import enrich, with_margin
+from eventlake.operators.metrics import PLATFORM_ALARMS
 from eventlake.plans import activity, orders
 from eventlake.queries import feeds
 from eventlake.queries.activity import _SCORED, _alert_columns, _dedup_sql, _pairs_sql, _sessions_sql
 from eventlake.queries.activity import SQL as BATCH_SQL
 from eventlake.queries.feeds import CLICKS, LATE_VERSIONS, LINES, TXNS, plain_times
+from eventlake.queries.operations import SQL as OPERATIONS_SQL
 from eventlake.queries.orders import _MARGIN
 from eventlake.queries.orders import SQL as ORDER_SQL
 from eventlake.session import prepare, shared_dir
@@ -25,7 +29,8 @@ from eventlake.sinks.base import (
 from eventlake.sinks.columnar import ColumnarSink, newest_version
 from eventlake.sinks.folding import file_count, fold_batches, read_folded
 from eventlake.sinks.lake import LakeSink
-from eventlake.streaming import retractions, trailing
+from eventlake.streaming import alarms as alarms_now
+from eventlake.streaming import lateness, retractions, trailing
 from eventlake.streaming.dedup import first_per_window_stream
 from eventlake.streaming.progress import ProgressListener
 from eventlake.streaming.runs import batch_table, drain, start_query
@@ -221,6 +226,24 @@ def compacted_lake(spark, sf_dir):
     return counts.withColumn("few_files", F.lit(file_count(spark, path) <= 4 * months))
 
 
+def alarm_stream(spark, sf_dir):
+    """The platform's alarms while points arrive: every run that has ended."""
+    alarms = [replace(a, period="1 hour") for a in PLATFORM_ALARMS]
+    rows = _drain(alarms_now.alarm_stream(feeds.metric_points(spark, sf_dir, stream=True), alarms), "alarms")
+    ended = rows.where("state = 'OK'").drop("batch_id", "state")
+    return plain_times(ended.withColumn("worst_value", F.round("worst_value", 6)))
+
+
+def watermark_advice(spark, sf_dir):
+    """Delays that leave half, a tenth and a hundredth of the rows late, from counts of four micro-batches."""
+    base = shared_dir(prepare(spark), "lateness")
+    delay = F.expr("make_interval(0, 0, 0, CASE WHEN event_id % 7 = 0 THEN event_id % 5 ELSE 0 END)")
+    arriving = feeds.sliced_stream(feeds.events(spark, sf_dir), F.col("ts") + delay)
+    measured = lateness.LatenessHistogram(base, "ts")
+    start_query(arriving, measured, f"{base}/checkpoint").awaitTermination()
+    return lateness.watermark_advice(measured.histogram(spark), [0.5, 0.1, 0.01, 0.001])
+
+
 def dq_counts_stream(spark, sf_dir):
     """Violations of every quality rule as the silver stage counted them, batch by batch, stored and summed."""
     base = shared_dir(prepare(spark), "counts")
@@ -329,7 +352,8 @@ QUERIES = {
     f.__name__: f for f in (
         tumbling_stream, sliding_update_stream, session_stream, interval_join_stream,
         asof_stream, zscore_alerts_stream, trailing_stats_stream, margin_by_brand_stream, dedup_stream, late_stream, sink_tolerance_stream,
-        sink_rejects_stream, dq_counts_stream, compacted_lake,
+        sink_rejects_stream, dq_counts_stream, compacted_lake, alarm_stream,
+        watermark_advice,
         parking_replay_stream, orders_fanout_stream, olap_stream, orders_dead_letters_stream,
         medallion_stream, exactly_once_replay,
     )
@@ -419,6 +443,24 @@ SELECT batch_id, status, reason, count(*) AS rows,
   CASE WHEN status NOT IN ('stored', 'stored later') THEN CAST(sum(event_id) AS BIGINT) END AS id_sum FROM verdicts GROUP BY batch_id, status, reason""",
     "compacted_lake": """SELECT CAST(date_trunc('month', ts) AS DATE) AS event_date, count(*) AS rows,
   count(DISTINCT event_id % 40) AS batches, CAST(sum(event_id) AS BIGINT) AS id_sum, true AS few_files FROM events GROUP BY 1""",
+    # Runs over closed periods, ended by a closed period that does not breach.
+    "alarm_stream": f"""WITH closed AS (SELECT max(ts) - INTERVAL 1 MINUTE AS reached FROM events),
+runs AS ({OPERATIONS_SQL["alarm_eval"].replace("'d' || (user_id % 5) AS dimension, value, ts FROM events)",
+    "'d' || (user_id % 5) AS dimension, value, ts FROM events WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT reached FROM closed))")})
+SELECT * FROM runs WHERE breach_end + INTERVAL 1 HOUR <= (SELECT reached FROM closed)""",
+    # The bucket of a lateness has its leading bit and the three bits after it.
+    "watermark_advice": """WITH e AS (
+  SELECT ts, epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN (event_id % 5) * 86400000000 ELSE 0 END AS arrival FROM events),
+ends AS (SELECT min(arrival) AS low, max(arrival) AS high FROM e),
+s AS (SELECT epoch_us(ts) AS us, least(3, (arrival - low) * 4 // (high - low + 1)) AS batch FROM e, ends),
+tops AS (SELECT batch, max(us) AS top FROM s GROUP BY batch),
+seen AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM tops),
+late AS (SELECT CAST(greatest(coalesce(latest - us, 0), 0) AS BIGINT) AS x FROM s JOIN seen USING (batch)),
+ended AS (SELECT CASE WHEN x < 8 THEN x ELSE ((x >> (length(bin(x)) - 4)) + 1) * CAST(2 ** (length(bin(x)) - 4) AS BIGINT) - 1 END AS delay_us FROM late),
+counts AS (SELECT delay_us, count(*) AS n FROM ended GROUP BY delay_us),
+ranked AS (SELECT delay_us, CAST(sum(n) OVER (ORDER BY delay_us DESC) - n AS BIGINT) AS late_rows, sum(n) OVER () AS total FROM counts)
+SELECT share, min(delay_us) AS delay_us, arg_min(late_rows, delay_us) AS late_rows
+FROM ranked, (SELECT unnest([CAST(0.5 AS DOUBLE), 0.1, 0.01, 0.001]) AS share) WHERE late_rows <= share * total GROUP BY share""",
     "dq_counts_stream": f"SELECT rule, passed, failed FROM ({ORDER_SQL['dq_report']})",
     "parking_replay_stream": """SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events,
   CAST(0 AS BIGINT) AS still_parked FROM events GROUP BY event_type""",

@@ -149,3 +149,93 @@ def test_trailing_alerts_of_a_stream(spark, shared):
     alerts = trailing_alerts_stream(in_batches(spark, f"{shared}/in", rows, TXNS))
     got = runs.drain(alerts, f"{shared}/out", f"{shared}/cp").collect()
     assert [(r["id"], r["alert_type"], r["txn_count"]) for r in got] == [(29, "anomalous_amount", 29)]
+
+
+POINTS = "metric string, dimension string, value double, ts timestamp"
+
+
+def test_alarms_begin_and_end_while_the_stream_runs(spark, shared):
+    from eventlake.operators.metrics import Alarm, evaluate_alarms
+    from eventlake.streaming.alarms import alarm_stream
+
+    alarms = [Alarm("high", "m", "max", "1 minute", 10.0, 2), Alarm("mean", "m", "avg", "2 minutes", 5.0, 1), Alarm("low", "n", "min", "1 minute", 0.0, 3)]
+    rng = random.Random(2)
+    batches = []
+    for b in range(5):
+        rows = []
+        for _ in range(60):
+            k = 30 * b + rng.randrange(30)
+            if 40 <= k < 50:  # nobody reports
+                continue
+            rows.append((rng.choice("mn"), rng.choice(["d1", "d2"]), 20.0 if k % 7 < 4 else rng.uniform(-3, 9), minute(k) + timedelta(seconds=rng.randrange(60))))
+        rows.append(("m", None, 99.0, minute(30 * b)))
+        rows.append(("m", "d1", None, minute(30 * b)))
+        batches.append(rows)
+    batches.append([("other", "d1", 1.0, minute(170))])
+    stream = in_batches(spark, f"{shared}/in", batches, POINTS)
+    got = runs.drain(alarm_stream(stream, alarms, allowed="1 minute"), f"{shared}/out", f"{shared}/cp").drop("batch_id")
+    table = spark.read.schema(POINTS).parquet(f"{shared}/in").where("value is not null")
+    want = evaluate_alarms(table, alarms)
+    ended = got.where("state = 'OK'").drop("state")
+    rounded = [df.withColumn("worst_value", F.round("worst_value", 6)) for df in (ended, want)]
+    same(*rounded)  # the last point has closed every period
+    begun = got.where("state = 'ALARM'").select("alarm", "dimension", "breach_start")
+    same(begun, want.select("alarm", "dimension", "breach_start"))
+
+
+def test_lateness_is_counted_by_batch_and_advice_covers_it(spark, shared):
+    from eventlake.streaming.lateness import LatenessHistogram, bucket_end, lateness_bucket, watermark_advice
+
+    values = sorted({0, 1, 7, 8, 9, 15, 16, 17, 1000, 12345, 10**9, 10**12 + 7, *(2**k for k in range(50)), *(2**k - 1 for k in range(1, 50))})
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", bucket_end(lateness_bucket(F.col("v"))).alias("e"), lateness_bucket(F.col("v")).alias("b")).orderBy("v").collect()
+    assert all(r["v"] <= r["e"] <= r["v"] * 9 / 8 + 1 for r in rows)
+    assert [r["b"] for r in rows] == sorted(r["b"] for r in rows)
+    batches = [[(minute(0),), (minute(60),)], [(minute(50),), (minute(100),), (None,)], [(minute(99),)] * 7 + [(minute(40),)]]
+    histogram = LatenessHistogram(f"{shared}/measured", "ts")
+    frames = [spark.createDataFrame(b, "ts timestamp") for b in batches]
+    for number in (0, 1, 1, 2, 2):  # batches that run again
+        histogram(frames[number], number)
+    counts = histogram.histogram(spark).collect()
+    assert sum(r["n"] for r in counts) == 12 and {r["bucket"]: r["n"] for r in counts}[0] == 3
+    advice = {r["share"]: (r["delay_us"], r["late_rows"]) for r in watermark_advice(histogram.histogram(spark), [0.0, 0.1, 0.5, 1.0]).collect()}
+    hour = 3_600_000_000
+    assert hour <= advice[0.0][0] <= hour * 9 / 8 and advice[0.0][1] == 0
+    assert hour / 6 <= advice[0.1][0] <= hour / 6 * 9 / 8 and advice[0.1][1] == 1
+    assert hour / 60 <= advice[0.5][0] <= hour / 60 * 9 / 8 and advice[1.0] == (0, 9)
+
+
+def test_sketches_roll_up_within_their_bound(spark):
+    from eventlake.operators import sketches
+
+    rng = random.Random(3)
+    rows = [(rng.choice("ab") if i % 3 else "a", int(rng.expovariate(0.01)), minute(rng.randrange(3000))) for i in range(30_000)] + [("a", None, minute(1)), ("b", 5, None)]
+    df = spark.createDataFrame(rows, "k string, v long, ts timestamp").repartition(6)
+    level = sketches.value_sketches(df, "v", "ts", ["k"], k=800)
+    for width in sketches.LEVELS:
+        level = sketches.rolled_up(level, ["k"], width)
+        named = sketches.sketch_quantiles(level, {"low": 0.0, "p50": 0.5, "p99": 0.99, "top": 1.0})
+        start = sketches._start(F.col("ts"), width)
+        exact = df.where("v is not null and ts is not null").select("k", "v", start.alias("window_start")).join(named, ["k", "window_start"])
+        checked = exact.groupBy("k", "window_start", "n", "low", "top", *("p50", "p99")).agg(
+            F.count("*").alias("m"), F.min("v").alias("least"), F.max("v").alias("most"),
+            *[F.sum((F.col("v") <= F.col(p)).cast("int")).alias(f"upto_{p}") for p in ("p50", "p99")],
+            *[F.sum((F.col("v") < F.col(p)).cast("int")).alias(f"below_{p}") for p in ("p50", "p99")]).collect()
+        assert len(checked) == level.count()
+        for r in checked:
+            assert (r["n"], r["low"], r["top"]) == (r["m"], r["least"], r["most"])
+            for p, q in (("p50", 0.5), ("p99", 0.99)):
+                assert r[f"below_{p}"] / r["m"] - 0.01 <= q <= r[f"upto_{p}"] / r["m"] + 0.01
+
+
+def test_missing_keys_compares_only_cells_that_differ(spark):
+    from eventlake.operators.sketches import missing_keys
+
+    made = spark.range(20_000).select("id", (F.col("id") % 3).alias("t"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 5).alias("ts"))
+    made = made.union(made.where("id < 50")).union(made.where("id = 1").select(F.lit(None).cast("long"), "t", "ts"))
+    lost = F.col("id").isin(7, 8, 19_999) | F.col("id").between(5000, 5100)
+    held = made.where(~lost | F.col("id").isNull())
+    for entries, slices in ((12, 1), (12, 3), (4, 1)):  # the last holds no cell exactly
+        got = [r["id"] for r in missing_keys(made, held, "id", "ts", ["t"], slices=slices, lg_entries=entries).collect()]
+        assert sorted(got) == [7, 8, *range(5000, 5101), 19_999]
+    assert missing_keys(made, made.union(made), "id", "ts", ["t"]).count() == 0
+    assert missing_keys(made.where("id < 10"), made.limit(0), "id", "ts", ["t"]).count() == 10
