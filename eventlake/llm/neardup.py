@@ -237,6 +237,7 @@ def _grouped(rows: DataFrame, size: int, percent: int, stars: int, cell_rows: in
         _profiles(size), "id long, text_hash long, n long, f1 long, f2 long, bands array<long>, bits array<long>"), "profiles")
     filled = profiles.where("n > 0 and id is not null")
     classes = stored(filled.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "classes")
+    ids_repeat = not filled.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty()
     one_of = classes.select(F.col("rep").alias("id"), "f1", "f2", "n")
     reps = filled.join(one_of, ["id", "f1", "f2", "n"], "left_semi").select(F.col("f1").alias("id"), "n", "bands", "bits").dropDuplicates(["id"])
     reps = stored(reps, "representatives")
@@ -258,8 +259,9 @@ def _grouped(rows: DataFrame, size: int, percent: int, stars: int, cell_rows: in
         pairs = stored(pairs, purpose)
         needed = pairs.select(F.col("a").alias("f1")).union(pairs.select("b")).distinct()
         wanted = classes.join(needed, "f1", "left_semi").select(F.col("rep").alias("id")).distinct()
-        # The sets that are sought, some of them several times where an id has several texts of one set.
-        asked = perhaps_among(texts, wanted, "id").join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"])
+        asked = perhaps_among(texts, wanted, "id").join(wanted, "id", "left_semi")
+        if ids_repeat:  # else texts need not be shuffled for it; an id may still have several texts of one set
+            asked = asked.dropDuplicates(["id", "text_hash"])
         sets = stored(asked.select("id", "text").mapInArrow(_sets(size), "id long, items binary"), "sets")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
