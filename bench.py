@@ -43,8 +43,8 @@ def stored_topics(spark) -> dict[str, str]:
         "lines": feeds.line_changes(spark, SF_DIR), "orders": feeds.order_changes(spark, SF_DIR),
         "clicks": feeds.click_messages(spark, SF_DIR), "txns": feeds.txn_messages(spark, SF_DIR),
     }
-    for name, df in sources.items():
-        df.write.parquet(f"{base}/{name}")
+    for name, df in sources.items():  # dealt by message key, as a topic is
+        df.repartition(int(CPUS), "key").write.parquet(f"{base}/{name}")
     return {name: f"{base}/{name}" for name in sources}
 
 
