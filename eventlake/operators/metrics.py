@@ -26,48 +26,83 @@ def latency_percentiles(
     )
 
 
-def exact_percentiles(
-    df: DataFrame, group: str, value: str,
-    percentiles: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99), width: int = 1_000,
-) -> DataFrame:
-    """Exact discrete percentiles of a whole-number column, one row per group and percentile.
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rows of each (keys, value): ``value`` and ``n``. Summed over keys or time they stay exact, as no sketch does."""
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+
 
-    Rows are counted per (group, value) with a map-side combine. Ranks are then
-    located among coarse value buckets, and only the bucket that holds a rank is
-    looked into, so no task sees the rows of a whole group.
+def counted_percentiles(counts: DataFrame, keys: list[str], value: str, percentiles: tuple[float, ...], width: int = 1_000) -> DataFrame:
+    """Exact discrete percentiles from ``value_counts``, one row per group and percentile; null values play no part.
+
+    Ranks are located among coarse value buckets, and only the bucket that holds
+    a rank is looked into, so no task sees the values of a whole group.
     """
-    bucket = F.floor(F.col(value) / F.lit(width))
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, F.col(value).alias("__v"), bucket.alias("__b"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    by_bucket = Window.partitionBy(group).orderBy("__b")
+    counts = counts.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).alias("__v"), F.floor(F.col(value) / F.lit(width)).alias("__b"), F.col("n").alias("__n"))
+    by_bucket = Window.partitionBy(*keys).orderBy("__b")
     coarse = (
-        counts.groupBy(group, "__b").agg(F.sum("__n").alias("__n"))
+        counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__n"))
         .withColumn("__upto", F.sum("__n").over(
             by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("__total", F.sum("__n").over(Window.partitionBy(group)))
+        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
     )
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in percentiles]))
     ranks = (
         coarse.withColumn("percentile", wanted)
         .withColumn("__rank", F.greatest(F.ceil(F.col("percentile") * F.col("__total")), F.lit(1)))
         .where("__rank <= __upto and __rank > __upto - __n")
-        .select(group, "__b", "percentile", "__rank", (F.col("__upto") - F.col("__n")).alias("__before"))
+        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__rb"),
+                "percentile", "__rank", (F.col("__upto") - F.col("__n")).alias("__before"))
     )
+    on = F.col("__b") == F.col("__rb")
+    for i, k in enumerate(keys):  # a null key is a group too
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     inside = (
-        Window.partitionBy(group, "__b", "percentile").orderBy("__v")
+        Window.partitionBy(*keys, "__b", "percentile").orderBy("__v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        counts.join(ranks, [group, "__b"])
+        counts.join(ranks, on)
         .withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
         .where("__rank <= __upto and __rank > __upto - __n")
-        .select(group, "percentile", F.col("__v").alias("value"))
+        .select(*keys, "percentile", F.col("__v").alias("value"))
     )
 
 
+def counted_summary(
+    counts: DataFrame, keys: list[str], value: str, percentiles: tuple[float, ...], *totals: Column, width: int = 1_000,
+) -> DataFrame:
+    """One row per group: ``totals`` (aggregates over ``value`` and ``n``) and the exact percentiles as columns."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    wide = counted_percentiles(counts, keys, value, percentiles, width).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(
+        *[F.max(F.when(F.col("percentile") == float(p), F.col("value"))).alias(_pname(p)) for p in percentiles])
+    on = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    return counts.groupBy(*keys).agg(*totals).join(wide, on, "left").drop(*names)
+
+
+def exact_latency(
+    df: DataFrame, group: str, latency: str, percentiles: tuple[float, ...] = (0.5, 0.95, 0.99),
+) -> DataFrame:
+    """Count, exact percentiles and maximum per group, at any number of rows."""
+    rows = counted_summary(value_counts(df, [group], latency), [group], latency, percentiles,
+                           F.sum("n").alias("events"), F.max(latency).alias("max_ms"), width=100)
+    return rows.select(group, "events", *[_pname(p) for p in percentiles], "max_ms")
+
+
+def exact_percentiles(
+    df: DataFrame, group: str, value: str,
+    percentiles: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99), width: int = 1_000,
+) -> DataFrame:
+    """Exact discrete percentiles of a whole-number column, one row per group and percentile.
+
+    Rows are counted per (group, value) with a map-side combine first.
+    """
+    known = df.where(F.col(value).isNotNull())
+    return counted_percentiles(value_counts(known, [group], value), [group], value, percentiles, width)
+
+
 def throughput_per_minute(df: DataFrame, group: str, time_col: str) -> DataFrame:
     minute = F.date_trunc("minute", time_col).alias("minute")
     return df.groupBy(F.col(group), minute).agg(F.count(F.lit(1)).alias("events_per_minute"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.envelope import lag_ms
-from eventlake.operators.metrics import cost_per_million, latency_percentiles, throughput_per_minute
+from eventlake.operators.metrics import cost_per_million, exact_latency, throughput_per_minute
 from eventlake.sinks.lake import ArchiveSink
 from eventlake.sources.broker import matching_topics
 from eventlake.sources.tables import recent, union_tracks
@@ -30,8 +30,8 @@ def all_runs(
 
 
 def runtime_comparison(runs: DataFrame) -> DataFrame:
-    """Latency figures and mean events per active minute for each track."""
-    latency = latency_percentiles(runs, "runtime", "end_to_end_latency_ms")
+    """Exact latency figures and mean events per active minute for each track."""
+    latency = exact_latency(runs, "runtime", "end_to_end_latency_ms")
     minutes = (
         runs.groupBy("runtime", F.date_trunc("minute", "event_time").alias("minute"))
         .agg(F.count(F.lit(1)).alias("n"))

@@ -132,3 +132,20 @@ def test_tracks_with_missing_columns(spark):
     b = spark.createDataFrame([(2,)], "id long")
     rows = union_tracks({"a": a, "b": b}).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, "x", "a"), (2, None, "b")]
+
+
+def test_percentiles_of_many_values_are_exact(spark):
+    """More values than a sketch holds, a group without a name and a missing value."""
+    from eventlake.plans.operations import runtime_comparison
+
+    rnd = random.Random(6)
+    values = {g: [rnd.randrange(10**9) for _ in range(30_000)] for g in ("a", None)}
+    rows = [(g, v, T0 + timedelta(seconds=v % 600)) for g, vs in values.items() for v in vs] + [("a", None, T0), ("b", None, T0)]
+    df = spark.createDataFrame(rows, "runtime string, end_to_end_latency_ms long, event_time timestamp").repartition(7)
+    got = {r["runtime"]: r for r in metrics.exact_latency(df, "runtime", "end_to_end_latency_ms").collect()}
+    for g, vs in values.items():
+        vs = sorted(vs)
+        assert (got[g].p50_ms, got[g].p95_ms, got[g].p99_ms, got[g].max_ms) == (vs[14_999], vs[28_499], vs[29_699], vs[-1])
+    assert {g: r.events for g, r in got.items()} == {"a": 30_001, None: 30_000, "b": 1} and got["b"].p50_ms is None
+    report = {r["runtime"]: r.p99_ms for r in runtime_comparison(df).collect()}
+    assert report["a"] == sorted(values["a"])[29_699]
