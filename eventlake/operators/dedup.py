@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.functions.durations import micros
+from eventlake.operators.metrics import counted_summary, value_counts
 
 _NEVER = -(2 ** 62)
 
@@ -385,21 +386,20 @@ def with_lateness(
 
 def out_of_orderness(
     df: DataFrame, time_col: str, partition_col: str, arrival_cols: list[str],
-    percentiles: tuple[float, ...] = (0.5, 0.95, 0.99), accuracy: int = 10_000,
+    percentiles: tuple[float, ...] = (0.5, 0.95, 0.99),
 ) -> DataFrame:
     """How far rows lag behind the latest event time seen, per source partition.
 
-    The high percentiles are the watermark delay the source needs.
+    The high percentiles, exact at any number of rows, are the watermark delay the source needs.
     """
     lateness = with_lateness(df, time_col, partition_col, arrival_cols)
     behind = F.greatest(
         F.unix_micros("max_seen") - F.unix_micros(time_col), F.lit(0)
     )
     behind_ms = F.coalesce((behind / 1000).cast("long"), F.lit(0))
-    return lateness.withColumn("__ms", behind_ms).groupBy(partition_col).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum((F.col("__ms") > 0).cast("long")).alias("out_of_order"),
-        *[F.percentile_approx("__ms", p, accuracy).alias(f"p{round(p * 100)}_ms")
-          for p in percentiles],
-        F.max("__ms").alias("max_ms"),
-    )
+    counts = value_counts(lateness.withColumn("__ms", behind_ms), [partition_col], "__ms")
+    rows = counted_summary(
+        counts, [partition_col], "__ms", percentiles, F.sum("n").alias("row_count"),
+        F.sum(F.when(F.col("__ms") > 0, F.col("n")).otherwise(0)).alias("out_of_order"), F.max("__ms").alias("max_ms"),
+        width=60_000)
+    return rows.select(partition_col, "row_count", "out_of_order", *[f"p{round(p * 100)}_ms" for p in percentiles], "max_ms")

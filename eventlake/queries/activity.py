@@ -181,7 +181,7 @@ def late_events(spark, sf_dir):
 
 def out_of_orderness(spark, sf_dir):
     return dedup.out_of_orderness(
-        _arrivals(spark, sf_dir), "ts", "source", ["arrival", "event_id"], accuracy=1_000_000
+        _arrivals(spark, sf_dir), "ts", "source", ["arrival", "event_id"]
     )
 
 

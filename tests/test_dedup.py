@@ -110,3 +110,14 @@ def test_stretches_of_chunks_do_not_change_the_result(spark):
     for chunk, stretch in ((24, 64), (2, 3), (1, 2), (3, 1)):
         got = dedup.first_per_window(df, "k", "t", "1 hour", ["id"], chunk, stretch)
         assert sorted(r.id for r in got.collect()) == sorted(want)
+
+
+def test_out_of_orderness_of_many_values_is_exact(spark):
+    rnd = random.Random(5)
+    top = T0 + timedelta(days=400)
+    late = [rnd.randrange(10**10) for _ in range(30_000)]
+    df = spark.createDataFrame([("s", 0, top)] + [("s", i + 1, top - timedelta(milliseconds=v)) for i, v in enumerate(late)],
+                               "part string, off long, t timestamp").repartition(5)
+    row = dedup.out_of_orderness(df, "t", "part", ["off"]).first()
+    ms = sorted([0, *late])
+    assert (row.row_count, row.p50_ms, row.p95_ms, row.p99_ms, row.max_ms) == (30_001, ms[15_000], ms[28_500], ms[29_700], ms[-1])
