@@ -85,6 +85,27 @@ def test_a_stopped_run_goes_on_from_its_checkpoint(spark, shared):
     same(got, want)
 
 
+def state_rows(query):
+    """The most rows that the state of a finished query has held."""
+    return max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def test_many_keys_share_few_values_of_state(spark, shared):
+    rng = random.Random(14)
+    names = [f"p{i}" for i in range(1500)]
+    rows = [[(b * 1500 + i, p, minute(60 * b + rng.randrange(60)), 1.0) for i, p in enumerate(names)] for b in range(3)]
+    versions = [[(p, minute(60 * b + rng.randrange(60)), float(b), "v") for p in names] for b in range(3)]
+    left, right = in_batches(spark, f"{shared}/rows", rows, ROWS), in_batches(spark, f"{shared}/versions", versions, VERSIONS)
+    joined = asof_join_streams(left, right, "product", "at", "since", ["cost"], "1 hour", "1 hour", buckets=4)
+    query = runs.start_query(joined, runs.batch_table(f"{shared}/out"), f"{shared}/cp")
+    query.awaitTermination()
+    table, dims = spark.read.schema(ROWS).parquet(f"{shared}/rows"), spark.read.schema(VERSIONS).parquet(f"{shared}/versions")
+    passed = min(table.agg(F.max("at")).first()[0], dims.agg(F.max("since")).first()[0]) - timedelta(hours=1, seconds=1)
+    want = joins.asof_join(table, dims, "product", "at", "since", ["cost"]).where(F.col("at") <= F.lit(passed))
+    same(spark.read.parquet(f"{shared}/out").drop("batch_id"), want)
+    assert state_rows(query) < 200
+
+
 IMAGE = "struct<k: string, v: long, at: timestamp>"
 CHANGES = f"source_table string, source_lsn long, raw_offset long, cdc_op string, before {IMAGE}, after {IMAGE}"
 
