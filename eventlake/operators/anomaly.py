@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.durations import micros
+from eventlake.streaming.panes import last_windows
 
 MIN_COUNT = 5
 Z_LIMIT = 3.0
@@ -193,14 +194,14 @@ def _stats_where_needed(
 def windowed_scores(
     df: DataFrame, user_col: str = "user_id", amount_col: str = "amount",
     time_col: str = "event_time", size: str = "1 hour", slide: str = "5 minutes",
-    watermark: str = "5 minutes", decimals: int = 2,
+    watermark: str = "5 minutes", decimals: int = 2, salts: int = 1,
 ) -> DataFrame:
     """Each row beside the statistics of the last closed window of its user.
 
     A row at t meets the one window whose end e satisfies e < t <= e + slide, so
-    the join is an equality on (user, e) and not on the user alone. On a stream
-    the time bounds let Spark drop old state; a row is scored at most one slide
-    plus the watermark late. A batch gives the same rows.
+    the join is an equality on (user, e) and not on the user alone. A stream keeps
+    panes and sums them where a row needs them; a row is scored once the watermark
+    has passed the end of its window. A batch gives the same rows. ``salts`` spreads a hot user of a stream.
     """
     step = micros(slide)
     last_end = F.timestamp_micros(F.floor((F.unix_micros(time_col) - 1) / F.lit(step)) * step)
@@ -213,16 +214,8 @@ def windowed_scores(
         on = (F.col(f"t.{user_col}") == F.col("s.__user")) & (
             F.col("t.__end") == F.col("s.window_end"))
         return ended.alias("t").join(stats, on, "inner").drop("__end", "__user")
-    stats = windowed_stats(rows, user_col, amount_col, time_col, size, slide, decimals)
-    stats = stats.withColumnRenamed(user_col, "__user").alias("s")
-    at, closed = F.col(f"t.{time_col}"), F.col("s.stats_time")
-    # The closing time is the end less a moment, hence the extra millisecond.
-    latest = closed + F.expr(f"INTERVAL {slide}") + F.expr("INTERVAL 1 millisecond")
-    on = (
-        (F.col(f"t.{user_col}") == F.col("s.__user"))
-        & (F.col("t.__end") == F.col("s.window_end")) & (at > closed) & (at <= latest)
-    )
-    return ended.alias("t").join(stats, on, "inner").drop("__end", "__user", "stats_time")
+    scored = last_windows(rows, user_col, units_of(F.col(amount_col), decimals), time_col, micros(size), step, salts)
+    return scored.select("r.*", "window_end", *_named_stats(decimals))
 
 
 def windowed_alerts(

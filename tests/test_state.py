@@ -163,6 +163,33 @@ def test_trailing_stream_equals_batch(spark, shared):
     same(got.drop("batch_id"), batch.where(F.col("event_time") <= F.lit(passed)))
 
 
+@pytest.mark.parametrize("salts", [1, 3])
+def test_last_windows_of_a_stream_equal_batch(spark, shared, salts):
+    """Many users in few values of state, one of them hot, and no window that no row needs."""
+    rng = random.Random(15)
+    batches, n = [], 0
+    for b in range(4):
+        rows = [(n, "u", 1.0, None), (n + 1, None, 1.0, minute(60 * b))]
+        for k in range(1200):
+            user = "hot" if k % 3 == 0 else f"u{k}"
+            amount = None if rng.random() < 0.05 else round(rng.uniform(0, 1e10), 2)
+            rows.append((n + 2 + k, user, amount, minute(60 * b + rng.randrange(60)) + timedelta(seconds=rng.randrange(3) * 20)))
+        n += len(rows)
+        batches.append(rows)
+    stream = in_batches(spark, f"{shared}/in", batches, TXNS)
+    args = {"size": "90 minutes", "slide": "10 minutes"}
+    scores = anomaly.windowed_scores(stream, **args, watermark="7 minutes", salts=salts)
+    query = runs.start_query(scores, runs.batch_table(f"{shared}/out"), f"{shared}/cp")
+    query.awaitTermination()
+    table = spark.read.schema(TXNS).parquet(f"{shared}/in")
+    passed = table.agg(F.max("event_time")).first()[0] - timedelta(minutes=7)
+    got = spark.read.parquet(f"{shared}/out").drop("batch_id")
+    want = anomaly.windowed_scores(table, **args).where(F.col("window_end") <= F.lit(passed))
+    assert got.columns == want.columns
+    same(got, want.select(*got.columns))
+    assert state_rows(query) < 512 * 4 * salts
+
+
 def test_trailing_alerts_of_a_stream(spark, shared):
     rows = [[(b * 10 + i, "u", 10.0 + i % 2, minute(b * 10 + i)) for i in range(10)] for b in range(3)]
     rows[2][9] = (29, "u", 500.0, minute(29))
