@@ -135,7 +135,13 @@ def run_enrichment(
     broker_rows: DataFrame, products: DataFrame, sinks: list, checkpoint: str,
     trigger: str | None = "5 seconds", shared: bool = False, dead_letter_path: str | None = None,
 ):
-    """Stream to all sinks, each with its own query, or all from one shared plan."""
+    """Stream to all sinks, each with its own query, or all from one shared plan.
+
+    The shared plan stores the dead letters too, so a message is parsed once for all destinations.
+    """
+    if shared and dead_letter_path is not None:
+        write = shared_orders(products, sinks, dead_letter_path)
+        return [start_query(usable_or_rejected(broker_rows), write, f"{checkpoint}/shared", trigger)]
     enriched = enriched_orders(broker_rows, products)
     rejects = start_dead_letters(broker_rows, dead_letter_path, checkpoint, trigger)
     if shared:
@@ -143,6 +149,33 @@ def run_enrichment(
     return start_per_sink(enriched, sinks, checkpoint, trigger) + rejects
 
 
+def usable_or_rejected(broker_rows: DataFrame, row_schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
+    """Flat orders and dead letters in one frame, told apart by ``reject_reason``; only a dead letter has its raw text."""
+    decoded = decode_or_reject(broker_rows, row_schema)
+    bad = F.col("reject_reason").isNotNull()
+    needed = decoded.where((bad & (F.col("reject_reason") != "tombstone")) | (~bad & F.col("cdc_op").isin(*UPSERT_OPS)))
+    needed = needed.withColumn("raw_value", F.when(bad, F.col("raw_value")))
+    return flatten_after(needed, row_schema, *LINEAGE, *RAW, "kafka_ts", "reject_reason", "raw_value")
+
+
+def shared_orders(products: DataFrame, sinks: list, dead_letter_path: str):
+    """``foreachBatch`` callback for ``usable_or_rejected``: dead letters first, then every sink, from one computed batch."""
+    park, writers = batch_table(dead_letter_path), [s.foreach_batch() for s in sinks]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            park(dead_letters(batch), batch_id)
+            orders = batch.where(F.col("reject_reason").isNull()).drop("kafka_ts", "reject_reason", "raw_value")
+            enriched = with_margin(enrich(orders, products, "product_id", DIM_COLS))
+            for write in writers:
+                write(enriched, batch_id)
+        finally:
+            batch.unpersist()
+
+    return on_batch
+
+
 def run_versioned(
     broker_rows: DataFrame, product_versions: DataFrame, open_search, lake_path: str,
     checkpoint: str, trigger: str | None = "5 seconds", dead_letter_path: str | None = None,

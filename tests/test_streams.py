@@ -17,6 +17,7 @@ from eventlake.schemas import BROKER_SCHEMA, TXN_SCHEMA
 from eventlake.sinks.base import Sink
 from eventlake.sinks.broadcast import BroadcastSink
 from eventlake.sinks.columnar import ColumnarSink, newest_version
+from eventlake.sinks.lake import LakeSink
 from eventlake.sources.broker import file_stream
 from eventlake.streaming import progress, runs
 from test_sinks import folder_client, stored
@@ -341,6 +342,22 @@ def test_dead_letters_of_the_order_job(spark, shared, tmp_path, products):
     assert sorted(reasons) == ["malformed", "unknown_op"]
 
 
+def test_a_shared_plan_parses_a_message_once(spark, shared, products):
+    values = [order_message(1), "junk", None, order_message(2).replace('"op": "c"', '"op": "x"'), order_message(3)]
+    raw = messages(spark, f"{shared}/in", values, batches=2)
+    sinks = [LakeSink("cold", path=f"{shared}/lake"), ColumnarSink("olap", path=f"{shared}/olap")]
+    [query] = orders.run_enrichment(raw, products, sinks, f"{shared}/cp", None, shared=True, dead_letter_path=f"{shared}/dead")
+    query.awaitTermination()
+    table = spark.read.schema(raw.schema).parquet(f"{shared}/in")
+    want = orders.enriched_orders(table, products)
+    for path in ("lake", "olap"):
+        got = spark.read.parquet(f"{shared}/{path}").select(*want.columns)
+        assert got.count() == want.count() == 2 and got.exceptAll(want).count() == 0
+    dead = spark.read.parquet(f"{shared}/dead").collect()
+    assert sorted((r.reject_reason, r.raw_value == "junk") for r in dead) == [("malformed", True), ("unknown_op", False)]
+    assert all(r.raw_value for r in dead)
+
+
 def test_native_table_writer(spark, shared):
     stream = txn_stream(spark, f"{shared}/in", [[txn(1, "u", 0)], [txn(2, "u", 1)]])
     runs.start_table(stream, f"{shared}/out", f"{shared}/cp", trigger=None).awaitTermination()
