@@ -13,14 +13,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventlake.functions.durations import micros
 from eventlake.sinks.base import overwrite_partitions
+from eventlake.streaming.waiting import BUCKETS, Wake, bucket_of, pack, unpack
 
 
 class FirstPerWindow(StatefulProcessor):
     """Keeps a row when its key was last kept at least ``window`` earlier.
 
-    State per key is one time. The comparison uses event times, not timers: all
-    rows of one micro-batch reach the processor before any timer fires, so a
-    timer alone would keep one row per batch. The timer only removes state.
+    State of a bucket of keys is one value: the time each key was last kept. The
+    comparison uses event times, not timers: all rows of one micro-batch reach
+    the processor before any timer fires, so a timer alone would keep one row
+    per batch. The timer only removes keys.
     """
 
     def __init__(self, key_col: str, time_col: str, window_us: int, columns: list[str],
@@ -29,36 +31,52 @@ class FirstPerWindow(StatefulProcessor):
         self.columns, self.tie_cols = columns, tie_cols
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last_kept = handle.getValueState(
-            "last_kept", T.StructType([T.StructField("us", T.LongType())])
-        )
+        self.last_kept, self.wake = handle.getValueState("last_kept", "rows binary"), Wake(handle)
+
+    def _held(self) -> dict:
+        if not self.last_kept.exists():
+            return {}
+        held = unpack(self.last_kept.get()[0])
+        return dict(zip(held["key_"], held["us"].tolist(), strict=True))
+
+    def _keep(self, last: dict) -> None:
+        self.last_kept.update((pack(pd.DataFrame({"key_": pd.Series(list(last), dtype=object), "us": np.array(list(last.values()), np.int64)})),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last_kept.get()[0] if self.last_kept.exists() else None
-        began = last
-        # The engine delivers a key's rows of one batch in any order; they are
+        last = self._held()
+        # The engine delivers the rows of one batch in any order; they are
         # bounded by the rate limit of the source.
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values([self.time_col, *self.tie_cols], kind="stable")
+        batch = batch.sort_values(["key_", self.time_col, *self.tie_cols], kind="stable", ignore_index=True)
         times = batch[self.time_col].astype("datetime64[us]").astype("int64").to_numpy()
+        owners = batch["key_"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
         # From one kept row straight to the next: a search for each kept row.
-        kept, at = [], 0 if last is None else int(np.searchsorted(times, last + self.window_us))
-        while at < len(times):
-            kept.append(at)
-            last = int(times[at])
-            at = int(np.searchsorted(times, last + self.window_us))
-        if last is not None and last != began:
-            self.last_kept.update((last,))
+        kept, before = [], len(last)
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(times)], strict=True):
+            own, at = last.get(owners[start]), start
+            if own is not None:
+                at = start + int(np.searchsorted(times[start:end], own + self.window_us))
+            while at < end:
+                kept.append(at)
+                own = int(times[at])
+                at += int(np.searchsorted(times[at:end], own + self.window_us))
+            last[owners[start]] = own
+        if kept or len(last) != before:
+            self._keep(last)
             # Rows this much behind the watermark no longer reach the processor.
-            self.handle.registerTimer((last + self.window_us) // 1000 + 1)
+            self.wake.by(min(last.values()) + self.window_us + 1000)
         yield batch.iloc[kept][self.columns]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last_kept.exists():
-            expired_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-            if self.last_kept.get()[0] + self.window_us <= expired_us:
-                self.last_kept.clear()
+        self.wake.woken()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        last = {k: us for k, us in self._held().items() if us + self.window_us > passed}
+        if last:
+            self._keep(last)
+            self.wake.by(min(last.values()) + self.window_us + 1000)
+        else:
+            self.last_kept.clear()
         return iter([])
 
     def close(self) -> None:
@@ -67,9 +85,9 @@ class FirstPerWindow(StatefulProcessor):
 
 def first_per_window_stream(
     df: DataFrame, key: str, time_col: str, window: str = "1 hour", allowed: str = "1 hour",
-    tie_cols: list[str] | None = None,
+    tie_cols: list[str] | None = None, buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Kept rows of a stream.
+    """Kept rows of a stream; keys are dealt to ``buckets``, whose state is held together.
 
     As in the batch form, rows without key or time are left out. Rows more than
     ``allowed`` behind the latest time of the batches before are dropped by the
@@ -78,8 +96,9 @@ def first_per_window_stream(
     """
     out = T.StructType(df.schema.fields)
     processor = FirstPerWindow(key, time_col, micros(window), df.columns, list(tie_cols or []))
-    known = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
-    return known.withWatermark(time_col, allowed).groupBy(key).transformWithStateInPandas(
+    known = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull()).withWatermark(time_col, allowed)
+    dealt = known.withColumn("key_", F.col(key).cast("string")).withColumn("bucket", bucket_of(F.col(key), buckets=buckets))
+    return dealt.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode="Append",
         timeMode="EventTime",
     )

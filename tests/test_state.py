@@ -163,6 +163,21 @@ def test_trailing_stream_equals_batch(spark, shared):
     same(got.drop("batch_id"), batch.where(F.col("event_time") <= F.lit(passed)))
 
 
+def test_first_per_window_holds_many_keys_in_few_values(spark, shared):
+    from eventlake.operators.dedup import first_per_window
+    from eventlake.streaming.dedup import first_per_window_stream
+
+    rng = random.Random(16)
+    batches = [[(b * 3000 + k, f"u{k % 1000}", 1.0, minute(60 * b + rng.randrange(60))) for k in range(3000)] for b in range(3)]
+    stream = in_batches(spark, f"{shared}/in", batches, TXNS)
+    kept = first_per_window_stream(stream, "user_id", "event_time", "50 minutes", "2 hours", ["id"], buckets=8)
+    query = runs.start_query(kept, runs.batch_table(f"{shared}/out"), f"{shared}/cp")
+    query.awaitTermination()
+    want = first_per_window(spark.read.schema(TXNS).parquet(f"{shared}/in"), "user_id", "event_time", "50 minutes", ["id"])
+    same(spark.read.parquet(f"{shared}/out").drop("batch_id"), want)
+    assert state_rows(query) < 100
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_last_windows_of_a_stream_equal_batch(spark, shared, salts):
     """Many users in few values of state, one of them hot, and no window that no row needs."""
