@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from eventlake.session import shared_dir
 
 _HASH_SPAN = 1 << 32
-_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+# Arrow batches for Python workers, and row groups of written tables: a task holds one of them, and scans are split between them.
+_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "parquet.block.size": str(16 << 20)}
 
 
 def remainder(doc_id: str, divisor: int) -> Column:
@@ -19,13 +20,20 @@ def remainder(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % divisor
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with the settings that bound what a task holds."""
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: later steps no longer depend on executors that made it.
 
-    Python workers get Arrow batches of 4 MB, or of one row where that is larger.
+    Python workers get Arrow batches of 4 MB, or of one row where that is larger;
+    row groups have about 16 MB.
     """
-    df.sparkSession.conf.set(*_BATCH)
-    path = shared_dir(df.sparkSession, purpose)
+    path = shared_dir(bounded(df.sparkSession), purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -67,5 +75,4 @@ def perhaps_among(rows: DataFrame, asked: DataFrame, key: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set(*_BATCH)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
