@@ -28,7 +28,8 @@ def cdc_latest_state(spark, sf_dir):
 
 def cdc_truncate(spark, sf_dir):
     """Several tables in one log, some of them cleared along the way."""
-    changes = _decoded(spark, sf_dir, F.col("o_orderpriority"))
+    changes = feeds.decoded_once(_decoded(spark, sf_dir, F.col("o_orderpriority")), "source_table", "order_id",
+                                 "source_lsn", "raw_offset", "event_time", "cdc_op")
     log = changes.unionByName(feeds.truncates(changes).drop("event_time"), allowMissingColumns=True)
     state = ops.latest_state_with_truncate(log, "source_table", ["order_id"], POSITION)
     return state.select("source_table", "order_id", "source_lsn", "cdc_op")

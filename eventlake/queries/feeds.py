@@ -271,10 +271,17 @@ def truncates(changes: DataFrame) -> DataFrame:
     )
 
 
+def decoded_once(changes: DataFrame, *columns: str) -> DataFrame:
+    """Columns of decoded changes, written and read back, so that several readers don't build and parse the messages again."""
+    spark, path, rows = changes.sparkSession, shared_dir(changes.sparkSession, "decoded"), changes.select(*columns)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded order changes of several tables (one for each priority) with truncates in between."""
     changes = decode_changes(order_changes(spark, sf_dir, F.col("o_orderpriority")), ORDER_SCHEMA)
-    changes = changes.select("source_table", "source_lsn", "raw_offset", "event_time", "cdc_op", "before", "after")
+    changes = decoded_once(changes, "source_table", "source_lsn", "raw_offset", "event_time", "cdc_op", "before", "after")
     return changes.unionByName(truncates(changes), allowMissingColumns=True)
 
 

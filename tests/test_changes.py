@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from eventlake.operators import changes, quality
 from eventlake.operators.quality import Expectation
+from eventlake.queries import changes as change_queries
+from eventlake.queries import feeds
 
 LOG = "table string, id string, source_lsn long, raw_offset long, cdc_op string, v long"
 
@@ -145,3 +147,10 @@ def test_shedding_is_repeatable(spark):
     assert one.exceptAll(two).count() == 0
     assert one.where(keep).count() == 2_000
     assert 100 < one.where("severity is null").count() < 280
+
+
+@pytest.mark.parametrize("make", [feeds.order_log, change_queries.cdc_truncate])
+def test_order_messages_are_built_once(spark, make):
+    """The log and its truncates come from decoded rows; nothing that reads them goes back to the orders."""
+    files = make(spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not any("orders.parquet" in f for f in files)
