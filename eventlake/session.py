@@ -20,8 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot keys are normal in event data: let a skewed join partition be split.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The JVM never compiles a method of over 8,000 bytes: a stage with one runs many times as
-    # fast operator by operator, whose code is split.
+    # The JVM never compiles a method of over 8,000 bytes: a stage with one runs operator by
+    # operator instead, whose code is split.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Merge sessions on the map side, so a hot user ships sessions, not events.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
