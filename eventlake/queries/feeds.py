@@ -7,6 +7,8 @@ texts derive the same flat rows without any message in between.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -248,17 +250,18 @@ def order_changes(spark: SparkSession, sf_dir: str, table_col: Column | None = N
     )
     ts_ms = F.unix_millis(utc("o_orderdate")) + key % 1000
     source = F.lit("orders") if table_col is None else table_col
-    messages = F.array_compact(F.array(*[
-        F.when(present, F.struct(
-            F.lit(seq).alias("seq"),
-            envelope(op, ts_ms + seq * 60_000, key * 8 + seq, before, after, table=source).alias("value"),
-        ))
-        for seq, op, present, before, after in steps
-    ]))
-    rows = orders.select("*", F.explode(messages).alias("m"))
+    seq = F.col("__seq")
+    present = F.explode(F.array(*[F.when(there, F.lit(number)) for number, _, there, _, _ in steps]))
+    rows = orders.select("*", present.alias("__seq")).where(seq.isNotNull())
+
+    def of_step(part: int) -> Column:
+        first, *others = [(seq == step[0], step[part]) for step in steps]
+        return reduce(lambda made, other: made.when(*other), others, F.when(*first))
+
+    value = envelope(of_step(1), ts_ms + seq * 60_000, key * 8 + seq, of_step(3), of_step(4), table=source)
     return broker_rows(
-        rows, key, F.col("m.value"), F.lit("cdc.public.orders"), key % 3,
-        key * 8 + F.col("m.seq"), F.timestamp_millis(ts_ms + F.col("m.seq") * 60_000 + 250),
+        rows, key, value, F.lit("cdc.public.orders"), key % 3,
+        key * 8 + seq, F.timestamp_millis(ts_ms + seq * 60_000 + 250),
     )
 
 

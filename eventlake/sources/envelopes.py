@@ -28,9 +28,15 @@ def broker_rows(
     df: DataFrame, key: Column, value: Column, topic: Column, partition: Column,
     offset: Column, timestamp: Column,
 ) -> DataFrame:
-    return df.select(
+    """Broker-shaped rows; a message is built once.
+
+    It is built in a projection below the generator, as a generator's own
+    expressions are interpreted: no code is compiled for them, and parts that
+    several of them share are computed again.
+    """
+    return df.withColumn("__value", value.cast("binary")).select(
         key.cast("string").cast("binary").alias("key"),
-        parsed_once(value.cast("binary")).alias("value"),
+        parsed_once(F.col("__value")).alias("value"),
         topic.alias("topic"), partition.cast("int").alias("partition"),
         offset.cast("long").alias("offset"), timestamp.alias("timestamp"),
     )

@@ -73,3 +73,13 @@ def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_messages_are_built_below_the_generator(spark):
+    """A generator's own expressions are interpreted row by row."""
+    from eventlake.queries import feeds
+
+    for rows in (feeds.line_changes(spark, "/root/testdata/sf0.001"), feeds.order_changes(spark, "/root/testdata/sf0.001")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        made = [line.strip(" +-:*") for line in plan.splitlines() if "StructsToJson" in line]
+        assert len(made) == 1 and "Project" in made[0] and "Generate" not in made[0]  # in a generator before
