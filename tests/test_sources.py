@@ -83,3 +83,11 @@ def test_messages_are_built_below_the_generator(spark):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         made = [line.strip(" +-:*") for line in plan.splitlines() if "StructsToJson" in line]
         assert len(made) == 1 and "Project" in made[0] and "Generate" not in made[0]  # in a generator before
+
+
+def test_search_documents_read_the_changes_once(spark):
+    """Both deliveries come from one reading of the messages."""
+    from eventlake.queries import delivery
+
+    df = delivery.search_documents(spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1  # two before
