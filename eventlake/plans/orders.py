@@ -15,6 +15,7 @@ from eventlake.schemas import ORDER_SCHEMA, UPSERT_OPS
 from eventlake.sinks.document import DocumentSink
 from eventlake.sinks.keyed import KeyedSink
 from eventlake.sinks.lake import LakeSink, lake_rows
+from eventlake.sources.tables import written_once
 from eventlake.streaming.runs import batch_table, start_per_sink, start_query, start_shared, start_table
 from eventlake.streaming.temporal import asof_join_streams
 
@@ -47,6 +48,8 @@ def versioned_orders(
 ) -> DataFrame:
     """Orders with the product version valid at their event time, margin and date.
 
+    The as-of join by chunks reads its rows twice; a table's are written once
+    before, as every reading would parse the messages again.
     Where the versions are a stream as well, ``stream_options`` go to
     ``asof_join_streams``; the orders keep the watermark of the change log.
     """
@@ -57,6 +60,8 @@ def versioned_orders(
         joined = asof_join_streams(
             orders, product_versions, "product_id", "event_time", updated_col, dims, allowed=None, **stream_options)
     else:
+        if not (few_versions or orders.isStreaming):
+            orders = written_once(orders, "versioned-orders")
         joined = asof_join(
             orders, product_versions, "product_id", "event_time", updated_col, dims, few_versions)
     return lake_rows(with_margin(joined), "order_ts")

@@ -18,6 +18,7 @@ from eventlake.schemas import ORDER_SCHEMA
 from eventlake.session import prepare, shared_dir
 from eventlake.sources.broker import file_stream
 from eventlake.sources.envelopes import broker_rows, envelope
+from eventlake.sources.tables import written_once
 
 MICRO_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -276,9 +277,7 @@ def truncates(changes: DataFrame) -> DataFrame:
 
 def decoded_once(changes: DataFrame, *columns: str) -> DataFrame:
     """Columns of decoded changes, written and read back, so that several readers don't build and parse the messages again."""
-    spark, path, rows = changes.sparkSession, shared_dir(changes.sparkSession, "decoded"), changes.select(*columns)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return written_once(changes.select(*columns), "decoded")
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.session import shared_dir
+
 
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """A table by path (anything with a slash) or by catalog name."""
@@ -22,6 +24,13 @@ def stream_table(spark: SparkSession, source: str, schema=None, fmt: str = "parq
     return spark.readStream.table(source)
 
 
+def written_once(df: DataFrame, purpose: str = "rows") -> DataFrame:
+    """Rows written to the shared folder and read back: for several readers of rows that are dear to make."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def recent(df: DataFrame, now: Column, period: str = "24 hours", time_col: str = "event_time"):
     """Rows newer than ``now - period``. The bound is a constant, so scans prune with it."""
     return df.where(F.col(time_col) > now - F.expr(f"INTERVAL {period}"))

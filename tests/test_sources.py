@@ -91,3 +91,11 @@ def test_search_documents_read_the_changes_once(spark):
 
     df = delivery.search_documents(spark, "/root/testdata/sf0.001")
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1  # two before
+
+
+@pytest.mark.parametrize("name", ["asof_gaps_chunked", "asof_enrich_chunked"])
+def test_as_of_joins_by_chunk_do_not_parse_messages_twice(spark, name):
+    from eventlake.queries import orders
+
+    df = orders.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()  # twice before, now in the written rows
