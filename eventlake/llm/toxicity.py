@@ -66,50 +66,82 @@ class ToxicityModel:
         return self.bias + row_sums(self.weights[s.bucket].astype(np.float64), s.words)
 
 
-def _sums_by(index: np.ndarray, values: np.ndarray, by: np.ndarray, n: int, step: int = 1 << 20) -> np.ndarray:
-    """Sums of ``values[by]`` for each of ``n`` indices, in pieces, as the values of all features at once would fill the driver."""
-    out = np.zeros(n)
-    for at in range(0, len(index), step):
-        out += np.bincount(index[at:at + step], values[by[at:at + step]], n)
-    return out
+def _owners(bounds: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The sentence of each of the features ``low`` to ``high``, where ``bounds`` has each sentence's first."""
+    first, last = np.searchsorted(bounds, [low, high - 1], side="right") - 1
+    return np.repeat(np.arange(first, last + 1), np.diff(np.clip(bounds[first:last + 2], low, high)))
 
 
-def fit_noisy_or(bucket: np.ndarray, words: np.ndarray, rows: np.ndarray, y: np.ndarray, steps: int = 120,
-                 rate: float = 0.15, sparsity: float = 2e-4, least_docs: int = 4) -> ToxicityModel:
+def _pieces(n: int, step: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Features piece by piece, as the values of all of them at once would fill the driver."""
+    return ((at, min(n, at + step)) for at in range(0, n, step))
+
+
+@dataclass(frozen=True)
+class Features:
+    """The features that count, of documents one after the other."""
+
+    used: np.ndarray    # their buckets
+    word: np.ndarray    # each feature's place in ``used``
+    bounds: np.ndarray  # each sentence's first feature; one more at the end
+    rows: np.ndarray    # each document's first sentence; one more at the end
+
+
+def common_features(buckets: list[memoryview], lengths: list[memoryview], least_docs: int = 4) -> Features:
+    """Of each document come its features' buckets and the number of features of each sentence, as 32-bit integers.
+
+    Features of under ``least_docs`` documents are left out; the rest is held once.
+    """
+    rows = np.cumsum([0, *(len(x) // 4 for x in lengths)])
+    holders = np.zeros(BUCKETS, np.int32)
+    for held in buckets:
+        holders[np.unique(np.frombuffer(held, np.int32))] += 1
+    used = np.flatnonzero(holders >= least_docs)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    word = np.empty(sum(np.count_nonzero(holders[np.frombuffer(x, np.int32)] >= least_docs) for x in buckets), np.int32)
+    bounds, at = np.zeros(rows[-1] + 1, np.int64), 0
+    for low, held, sizes in zip(rows[:-1], buckets, lengths, strict=True):
+        found = place[np.frombuffer(held, np.int32)]
+        ends = np.cumsum(np.frombuffer(sizes, np.int32))
+        bounds[low + 1:low + 1 + len(ends)] = at + np.append(0, np.cumsum(found >= 0))[ends]
+        found = found[found >= 0]
+        word[at:at + len(found)] = found
+        at += len(found)
+    return Features(used, word, bounds, rows)
+
+
+def fit_noisy_or(features: Features, y: np.ndarray, steps: int = 120, rate: float = 0.15, sparsity: float = 2e-4) -> ToxicityModel:
     """Fits sentence weights to document labels.
 
     A document is toxic unless none of its sentences is: P = 1 - prod(1 - p_s).
     With q = -log(1 - P) = sum of softplus(z_s), the gradient of the log loss
     by z_s is p_s for a clean document and -p_s (1 - P) / P for a toxic one. Adam
-    steps over all rows, each shrinking weights towards zero; features of under ``least_docs``
-    documents carry no weight.
+    steps over all rows, each shrinking weights towards zero; features left out carry no weight.
     """
     weights = np.zeros(BUCKETS)
     n = len(y)
     if not n or not y.any():
         return ToxicityModel(weights.astype(np.float32), -20.0)
-    sentence_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(rows))
-    owner = np.repeat(np.arange(len(words) - 1, dtype=np.int32), np.diff(words))
-    holders = np.zeros(BUCKETS, np.int32)
-    for low, high in zip(words[rows[:-1]], words[rows[1:]], strict=True):
-        holders[np.unique(bucket[low:high])] += 1
-    used = np.flatnonzero(holders >= least_docs)
-    place = np.full(BUCKETS, -1, np.int32)
-    place[used] = np.arange(len(used))
-    known = place[bucket] >= 0
-    word, owner = place[bucket[known]], owner[known]
-    del bucket, known
+    used, word, bounds = features.used, features.word, features.bounds
+    sentence_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(features.rows))
     per_doc = max(1.0, len(sentence_row) / n)
     w, bias = np.zeros(len(used)), float(np.log(y.mean() / per_doc + 1e-9))
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     y_s = y[sentence_row]
     for step in range(1, steps + 1):
-        z = bias + _sums_by(owner, w, word, len(sentence_row))
+        z = np.zeros(len(sentence_row))
+        for low, high in _pieces(len(word)):
+            z += np.bincount(_owners(bounds, low, high), w[word[low:high]], len(z))
+        z = bias + z
         p = _sigmoid(z)
         q = np.bincount(sentence_row, _softplus(z), n)
         ratio = np.exp(-q) / np.maximum(-np.expm1(-q), 1e-9)
         by_sentence = np.where(y_s > 0, -p * ratio[sentence_row], p) / n
-        grad = _sums_by(word, by_sentence, owner, len(used)) + 1e-6 * w
+        grad = np.zeros(len(used))
+        for low, high in _pieces(len(word)):
+            grad += np.bincount(word[low:high], by_sentence[_owners(bounds, low, high)], len(used))
+        grad = grad + 1e-6 * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         mb, vb = 0.9 * mb + 0.1 * by_sentence.sum(), 0.99 * vb + 0.01 * by_sentence.sum() ** 2
         up = rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
@@ -146,16 +178,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 5_000) ->
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(known), "doc_id").select("doc_id", F.col("toxic").cast("int"), "text")
-    data = rows.mapInArrow(run, "doc_id long, toxic int, buckets binary, lengths binary").toArrow().combine_chunks()
+    data = rows.mapInArrow(run, "doc_id long, toxic int, buckets binary, lengths binary").toArrow()
+    buckets, lengths = ([held for chunk in data.column(c).chunks for held in views(chunk)] for c in ("buckets", "lengths"))
     order = pc.sort_indices(data, [("doc_id", "ascending"), ("buckets", "ascending")]).to_pylist()
-    bucket, lengths = (
-        [np.frombuffer(held[i], np.int32) for i in order] for held in (views(data.column(c)) for c in ("buckets", "lengths")))
-    bucket = np.concatenate([np.empty(0, np.int32), *bucket])
-    words = np.concatenate([[0], *lengths]).cumsum()
-    n_sentences = np.cumsum([0, *map(len, lengths)])
     toxic = (data.column("toxic").to_numpy()[order] > 0).astype(float)
-    del data, lengths
-    return fit_noisy_or(bucket, words, n_sentences, toxic)
+    features = common_features([buckets[i] for i in order], [lengths[i] for i in order])
+    del data, buckets, lengths  # the driver holds the features once while it fits
+    pa.default_memory_pool().release_unused()
+    return fit_noisy_or(features, toxic)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",

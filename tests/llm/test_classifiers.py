@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +111,22 @@ def test_noisy_or_finds_the_offending_sentence(spark):
     assert toxicity.drop_toxic(docs, model).count() == 60
 
 
+def test_the_driver_holds_the_features_once_while_it_fits(spark, monkeypatch):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr(
+        "concat_ws(' ', transform(sequence(1, 5000), k -> concat('w', pmod(xxhash64(id, k), 20000), if(k % 10 = 0, '.', ''))))").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    monkeypatch.setattr(toxicity, "fit_noisy_or", partial(toxicity.fit_noisy_or, steps=2))
+    tracemalloc.start()
+    try:
+        model = toxicity.train_toxicity(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    features = 400 * 5000 * 3
+    assert -20 < model.bias < 0  # it was fitted
+    assert peak < 12 * features  # of 4 bytes each, besides a piece of a million at a time
+
+
 def test_toxicity_edge_rows(edge, nothing, spark):
     labels = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (1, None), (7, 0)], "doc_id long, toxic int")
     model = toxicity.train_toxicity(edge, labels)
