@@ -12,6 +12,7 @@ from eventlake.functions.envelope import (
 from eventlake.operators.joins import asof_join, enrich, with_margin
 from eventlake.operators.quality import ORDER_EXPECTATIONS, enforce
 from eventlake.schemas import ORDER_SCHEMA, UPSERT_OPS
+from eventlake.session import stream_settings
 from eventlake.sinks.document import DocumentSink
 from eventlake.sinks.keyed import KeyedSink
 from eventlake.sinks.lake import LakeSink, lake_rows
@@ -24,6 +25,8 @@ LINEAGE = ("event_id", "event_time", "cdc_op")
 RAW = ("source_lsn", "raw_topic", "raw_partition", "raw_offset")
 # Newest last: the log position of the source, then the offset in the partition.
 POSITION = ("source_lsn", "raw_offset")
+# Fixed value: bytes of silver files in one micro-batch of gold, which shuffles them.
+GOLD_BYTES = 512 << 20
 
 
 def order_rows(
@@ -202,19 +205,21 @@ def run_versioned(
 
 def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
                trigger: str | None = None, gold_partition: tuple[str, ...] = ("event_date",),
-               observation: str | None = "quality") -> list:
+               observation: str | None = "quality", gold_bytes: int = GOLD_BYTES) -> list:
     """Bronze, silver and gold as three chained tables, each with its own checkpoint.
 
     The counts of the quality rules come with the progress of the silver query,
     as observed metrics of the name ``observation``.
 
     Without a trigger every stage drains its input before the next one starts.
+    Gold takes files of ``gold_bytes`` at a time, so that its shuffles don't grow with the table.
     """
     def start(df, stage, partition_by=()):
-        query = start_table(df, f"{base}/{stage}", f"{base}/_checkpoints/{stage}",
-                            partition_by, trigger)
-        if trigger is None:
-            query.awaitTermination()
+        with stream_settings(spark):  # a file sink goes by the settings of the session, not of a clone
+            query = start_table(df, f"{base}/{stage}", f"{base}/_checkpoints/{stage}",
+                                partition_by, trigger)
+            if trigger is None:
+                query.awaitTermination()
         return query
 
     first = bronze(broker_rows)
@@ -222,7 +227,8 @@ def run_stages(spark, broker_rows: DataFrame, products: DataFrame, base: str,
     second = silver(spark.readStream.schema(first.schema).parquet(f"{base}/bronze"),
                     observation=observation)
     queries.append(start(second, "silver"))
-    third = gold(spark.readStream.schema(second.schema).parquet(f"{base}/silver"), products)
+    stored = spark.readStream.schema(second.schema).option("maxBytesPerTrigger", gold_bytes).parquet(f"{base}/silver")
+    third = gold(stored, products)
     queries.append(start(third, "gold", gold_partition))
     return queries
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from eventlake.functions.envelope import decode_changes
 from eventlake.schemas import ORDER_SCHEMA
-from eventlake.session import prepare, shared_dir
+from eventlake.session import discard, prepare, shared_dir, stream_settings
 from eventlake.sources.broker import file_stream
 from eventlake.sources.envelopes import broker_rows, envelope
 from eventlake.sources.tables import written_once
@@ -39,35 +39,38 @@ def arrival_slice(arrival: Column, lowest: int, highest: int, slices: int = SLIC
 
 def sliced_stream(
     df: DataFrame, arrival: Column, slices: int = SLICES, slices_per_trigger: int = 1,
-    span: tuple[int, int] | None = None,
+    span: tuple[int, int] | None = None, consume: bool = False,
 ) -> DataFrame:
     """A table as a stream that brings it in equal slices of the arrival time, one after the other.
 
-    The table is read once and written by slice. Then each slice goes to the
-    folder of the stream in turn, as a file source reads files by their age, and
+    The table is read once and written by slice, into a folder that is removed
+    in the end. Then each slice goes to the folder of the stream in turn, as a file source reads files by their age, and
     always as the same number of files: one for every 1,000 rows of the smallest
     slice, ``MOST_FILES`` at most. How the table is cut into files plays no part. ``span`` gives the
-    time line (microseconds) where several streams share a clock.
+    time line (microseconds) where several streams share a clock. ``consume`` is for a stream with a single
+    reader: a slice is removed when it has been read.
     """
     spark = df.sparkSession
+    cut, path = shared_dir(spark, "slices-cut"), shared_dir(spark, "slices")
     if span is None:
         us = F.unix_micros(arrival)
         ends = df.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
         span = ends["low"] or 0, ends["high"] or 0
-    cut, path = shared_dir(spark, "slices-cut"), shared_dir(spark, "slices")
-    df.withColumn("__slice", arrival_slice(arrival, *span, slices)).write.partitionBy("__slice").parquet(cut)
-    parts = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.LongType())])).parquet(cut)
-    sizes = {r["__slice"]: r["count"] for r in parts.groupBy("__slice").count().collect()}
-    files = max(1, min(MOST_FILES, min(sizes.get(k, 0) for k in range(slices)) // 1000))
-    for number in range(slices):
-        part = parts.where(F.col("__slice") == number).drop("__slice")
-        part.repartition(files, F.xxhash64(*df.columns)).write.mode("append").parquet(path)
-    return file_stream(spark, path, files * slices_per_trigger, df.schema)
+    with stream_settings(spark):
+        df.withColumn("__slice", arrival_slice(arrival, *span, slices)).write.partitionBy("__slice").parquet(cut)
+        parts = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.LongType())])).parquet(cut)
+        sizes = {r["__slice"]: r["count"] for r in parts.groupBy("__slice").count().collect()}
+        files = max(1, min(MOST_FILES, min(sizes.get(k, 0) for k in range(slices)) // 1000))
+        for number in range(slices):
+            part = parts.where(F.col("__slice") == number).drop("__slice")
+            part.repartition(files, F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+    discard(spark, cut)
+    return file_stream(spark, path, files * slices_per_trigger, df.schema, consume)
 
 
 def topic_table(
     spark: SparkSession, sf_dir: str, name: str, stream: bool = False, slices_per_trigger: int = 1,
-    span: tuple[int, int] | None = None,
+    span: tuple[int, int] | None = None, consume: bool = False,
 ) -> DataFrame:
     """A table whose rows become the messages of a topic; as a stream it comes in time slices of several micro-batches.
 
@@ -76,7 +79,7 @@ def topic_table(
     df = table(spark, sf_dir, name)
     if stream:
         arrival = utc({"lineitem": "l_shipdate", "events": "ts"}[name])
-        df = sliced_stream(df, arrival, slices_per_trigger=slices_per_trigger, span=span)
+        df = sliced_stream(df, arrival, slices_per_trigger=slices_per_trigger, span=span, consume=consume)
     return df
 
 
@@ -104,10 +107,10 @@ _CURRENCY_SQL = "CASE {0} % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'G
 
 
 def line_changes(
-    spark: SparkSession, sf_dir: str, stream: bool = False, span: tuple[int, int] | None = None
+    spark: SparkSession, sf_dir: str, stream: bool = False, span: tuple[int, int] | None = None, consume: bool = False,
 ) -> DataFrame:
     """One change per line item. Some messages are empty, broken, or carry an unknown op."""
-    lines = topic_table(spark, sf_dir, "lineitem", stream, span=span)
+    lines = topic_table(spark, sf_dir, "lineitem", stream, span=span, consume=consume)
     key, number = F.col("l_orderkey"), F.col("l_linenumber")
     pos = key * 8 + number
     turn = (key + number) % 10

@@ -320,7 +320,7 @@ def _fanned_out(spark, sf_dir):
 def medallion_stream(spark, sf_dir):
     """Bronze, silver and gold as chained streaming tables."""
     base = shared_dir(prepare(spark), "stages")
-    raw = feeds.line_changes(spark, sf_dir, stream=True)
+    raw = feeds.line_changes(spark, sf_dir, stream=True, consume=True)
     orders.run_stages(
         spark, raw, feeds.products(spark, sf_dir), base, gold_partition=("category",)
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -29,6 +31,16 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # A join of two streams keeps one store for each partition, not four; a running query keeps its checkpoint's format.
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+# Settings of what streams write, which stays on disk for the whole run.
+STREAM_CONF = {
+    # Shuffle files go when their micro-batch has ended, not when the driver's JVM next collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Eight bytes and statistics, not twelve bytes without.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
 }
 
 
@@ -58,6 +70,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Applies ``STREAM_CONF`` to what is written inside; a query started inside keeps it, as it clones the session."""
+    before = {name: spark.conf.get(name, None) for name in STREAM_CONF}
+    for name, value in STREAM_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Gives this package to the executors, for clusters that don't have it installed."""
     source = Path(__file__).parent
@@ -80,3 +108,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="eventlake-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``shared_dir`` that nobody reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -79,12 +79,18 @@ class BrokerSource:
 
 
 def file_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, schema=BROKER_SCHEMA
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, schema=BROKER_SCHEMA,
+    consume: bool = False,
 ) -> DataFrame:
-    """Broker-shaped (or other) parquet files as a stream."""
+    """Broker-shaped (or other) parquet files as a stream.
+
+    With ``consume`` the files of a micro-batch are removed once it is committed; one query only may read them.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if consume:
+        reader = reader.option("cleanSource", "delete")
     return reader.parquet(path)
 
 

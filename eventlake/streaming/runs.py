@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.session import stream_settings
 from eventlake.sinks.base import Sink, fan_out, overwrite_partitions
 
 # Trigger intervals of the jobs.
@@ -23,7 +24,8 @@ def start_query(
     if name:
         writer = writer.queryName(name)
     when = {"processingTime": trigger} if trigger else {"availableNow": True}
-    return writer.trigger(**when).start()
+    with stream_settings(df.sparkSession):
+        return writer.trigger(**when).start()
 
 
 def start_per_sink(
@@ -62,7 +64,8 @@ def start_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(**({"processingTime": trigger} if trigger else {"availableNow": True}))
-    return writer.start(target) if "/" in target else writer.toTable(target)
+    with stream_settings(df.sparkSession):
+        return writer.start(target) if "/" in target else writer.toTable(target)
 
 
 def batch_table(path: str, partition_by: tuple[str, ...] = ()):
