@@ -32,9 +32,9 @@ MOST_FILES = 64  # of one slice of a stream
 
 
 def arrival_slice(arrival: Column, lowest: int, highest: int, slices: int = SLICES) -> Column:
-    """Number of the slice of the time line [lowest, highest] (microseconds) a row arrives in."""
+    """Number of the slice of the time line [lowest, highest] (microseconds) a row arrives in; the first one takes what is older."""
     number = F.floor((F.unix_micros(arrival) - lowest) * slices / F.lit(highest - lowest + 1))
-    return F.coalesce(F.least(number, F.lit(slices - 1)), F.lit(0))
+    return F.greatest(F.least(number, F.lit(slices - 1)), F.lit(0))
 
 
 def sliced_stream(
@@ -219,7 +219,8 @@ def lines_and_late_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame
     versions = product_versions(spark, sf_dir).withColumn(
         "_updated_at", F.col("_updated_at") + F.make_interval(years=F.lit(-4), days=day))
     arrival = F.col("_updated_at") + F.make_interval(days=F.lit(LATE_DAYS))
-    return line_changes(spark, sf_dir, stream=True, span=span), sliced_stream(versions, arrival, span=span)
+    changes = line_changes(spark, sf_dir, stream=True, span=span, consume=True)
+    return changes, sliced_stream(versions, arrival, span=span, consume=True)
 
 
 LATE_VERSIONS = """versions AS (

@@ -22,7 +22,7 @@ def bucket_of(*keys: Column, buckets: int = BUCKETS) -> Column:
 def pack(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 

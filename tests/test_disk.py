@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import glob
+import json
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from test_streams import messages, order_message
@@ -14,6 +16,7 @@ from eventlake.plans import orders
 from eventlake.queries import feeds
 from eventlake.session import STREAM_CONF, stream_settings
 from eventlake.streaming import runs
+from eventlake.streaming.waiting import pack, unpack
 
 T0 = datetime(2026, 1, 1)
 
@@ -23,6 +26,10 @@ def shuffle_files(spark):
     return {name for name in files.split(",") if "shuffle_" in name and name.endswith(".data")}
 
 
+def micros(minutes):
+    return int((T0 + timedelta(minutes=minutes) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+
+
 def settle(holds, seconds=20):
     due = time.monotonic() + seconds
     while not holds() and time.monotonic() < due:
@@ -42,7 +49,7 @@ def test_a_sliced_table_is_held_once(spark):
     """The rows cut by slice stayed beside the files of the stream before."""
     before = folders(spark, "slices-cut")
     files = shuffle_files(spark)
-    stream = feeds.sliced_stream(timed_rows(spark), F.col("ts"), span=(0, 1))
+    stream = feeds.sliced_stream(timed_rows(spark), F.col("ts"), span=(micros(0), micros(400)))
     assert stream.isStreaming and folders(spark, "slices-cut") == before
     assert settle(lambda: not shuffle_files(spark) - files)
 
@@ -58,6 +65,14 @@ def test_consumed_slices_go_and_rows_stay(spark, shared):
     assert got.select("batch_id").distinct().count() == 4
 
 
+def test_rows_older_than_the_shared_clock_come_first(spark, shared):
+    """They lay in a slice of number -1, which nobody read."""
+    stream = feeds.sliced_stream(timed_rows(spark), F.col("ts"), span=(micros(100), micros(400)))
+    got = runs.drain(stream, f"{shared}/out", f"{shared}/cp")
+    first = {r.id for r in got.where("batch_id = 0").select("id").collect()}
+    assert got.count() == 400 and set(range(100)) <= first
+
+
 def test_shuffle_files_of_a_micro_batch_go_with_it(spark, shared):
     stream = feeds.sliced_stream(timed_rows(spark), F.col("ts"))
     files = shuffle_files(spark)
@@ -82,6 +97,15 @@ def test_stages_are_packed_and_gold_takes_bounded_batches(spark, shared):
     assert gold.select("batch_id").distinct().count() == len(glob.glob(f"{shared}/base/silver/*.parquet")) > 1  # one batch before
 
 
+def test_state_is_packed_tightly():
+    rows = pd.DataFrame([(f"p{i * 7919 % 20000}", micros(i), json.dumps(
+        {"order_id": f"O-{i * 104729 % 150000}-{i % 7}", "product_id": f"p{i * 7919 % 20000}", "qty": i * 31 % 50,
+         "total_amount": i * 7907 % 99991 / 100, "event_time": (T0 + timedelta(seconds=i * 61)).isoformat(), "raw_topic": "cdc.public.orders"}))
+        for i in range(1000)], columns=["key_", "us", "payload"])
+    held = pack(rows)
+    assert unpack(held).equals(rows) and len(held) < 45 * len(rows)
+
+
 def test_stream_settings_end_with_the_block(spark):
     before = {name: spark.conf.get(name, None) for name in STREAM_CONF}
     with stream_settings(spark):
